@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.llm import quality_rules, warc_archive
+from lumenkg.llm import quality_rules, simhash, warc_archive
 from lumenkg.llm.workspace import read_table, scratch_path
 
 
@@ -78,9 +78,17 @@ from f join verdict on f.source is not distinct from verdict.source
 """
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.near_duplicate_classes(read_table(spark, sf_dir, "documents"))
+    return classes.select(
+        "doc_id", F.lower(F.lpad(F.hex(simhash.P + "fp"), 16, "0")).alias("fingerprint"), F.col(simhash.P + "component").alias("component_id")
+    )
+
+
 QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op6_quality_rules": op6_quality_rules,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 ORACLES = {
