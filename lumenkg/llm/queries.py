@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.llm import quality_rules, simhash, warc_archive
+from lumenkg.llm import bpe_codec, quality_rules, simhash, warc_archive
 from lumenkg.llm.workspace import read_table, scratch_path
 
 
@@ -85,10 +85,22 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe_codec.decode_ids(bpe_codec.encode_texts(docs, drop_text=True))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op6_quality_rules": op6_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op9_bpe_codec": op9_bpe_codec,
 }
 
 ORACLES = {
