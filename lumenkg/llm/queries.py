@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.llm import bpe_codec, quality_rules, simhash, warc_archive
+from lumenkg.llm import best_fit_packing, bpe_codec, quality_rules, simhash, warc_archive, wavelet_store
 from lumenkg.llm.workspace import read_table, scratch_path
 
 
@@ -96,11 +96,31 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_wavelet_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "wavelet")
+    wavelet_store.write_shards(read_table(spark, sf_dir, "documents"), root)
+    found = wavelet_store.read_documents(spark, root, (F.crc32("ids").alias("ids_crc32"),))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = best_fit_packing.cut_pieces(read_table(spark, sf_dir, "documents"))
+    return pack_digest(pieces)
+
+
+def pack_digest(pieces: DataFrame) -> DataFrame:
+    slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    placed = best_fit_packing.place_pieces(slim)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op6_quality_rules": op6_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op9_bpe_codec": op9_bpe_codec,
+    "op2_wavelet_store": op2_wavelet_store,
+    "op5_best_fit_packing": op5_best_fit_packing,
 }
 
 ORACLES = {
