@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.llm import best_fit_packing, bpe_codec, quality_rules, simhash, warc_archive, wavelet_store
+from lumenkg.llm import best_fit_packing, bpe_codec, language_id, quality_rules, simhash, warc_archive, wavelet_store
 from lumenkg.llm.workspace import read_table, scratch_path
 
 
@@ -114,6 +114,16 @@ def pack_digest(pieces: DataFrame) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    net = language_id.fit(docs.filter(~held_out))
+    told = language_id.predict(docs.select("doc_id", "text"), net)
+    return told.select(
+        "doc_id", held_out.alias("held_out"), F.col(language_id.P + "lang").alias("lang_pred"), F.col(language_id.P + "score").alias("score")
+    )
+
+
 QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op6_quality_rules": op6_quality_rules,
@@ -121,6 +131,7 @@ QUERIES = {
     "op9_bpe_codec": op9_bpe_codec,
     "op2_wavelet_store": op2_wavelet_store,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op1_language_id": op1_language_id,
 }
 
 ORACLES = {
