@@ -9,10 +9,11 @@ Candidate search. A fingerprint is cut into two 32-bit segments, so of two
 linked fingerprints one segment differs by at most one bit. Each segment is
 indexed under its 32 one-wildcard variants (one bit deleted), variants meet by
 equality, and full fingerprints are verified. Groups of equal variants up to
-``SMALL_GROUP`` join directly. The members of larger groups are indexed under
-all two-wildcard variants of the whole fingerprint instead: any two that share
-one differ by at most two bits, so linking each to the smallest of its group
-gives the same components with rows in proportion to the members.
+``SMALL_GROUP`` join directly. Groups up to ``TASK_GROUP`` are compared inside
+one task, which hands on one link per member. The members of larger groups are
+indexed under all two-wildcard variants of the whole fingerprint instead: any
+two that share one differ by at most two bits, so linking each to the smallest
+of its group gives the same components with rows in proportion to the members.
 
 Defined results: null or blank text has fingerprint zero and links like any
 other; texts of one or two words are one shingle; repeated rows share their
@@ -36,6 +37,7 @@ from lumenkg.llm.components import connected_components
 from lumenkg.llm.workspace import materialise
 
 SMALL_GROUP = 16
+TASK_GROUP = 4096
 P = "__sh_"
 
 
@@ -101,12 +103,30 @@ def _pair_variants(prints: DataFrame) -> DataFrame:
     return prints.select("fp", F.posexplode(signed).alias("place", "mask")).select("fp", "place", F.col("fp").bitwiseAND(F.col("mask")).alias("rest"))
 
 
-def link_fingerprints(prints: DataFrame) -> DataFrame:
-    """Edges (a, b) between distinct ``fp`` values that connect all pairs at two or fewer differing bits.
+def _linked_within(prints: np.ndarray) -> np.ndarray:
+    """For each fingerprint the place of the first one of its component within the array."""
+    n = len(prints)
+    label = np.arange(n)
+    while True:
+        least = label.copy()
+        for at in range(0, n, 256):
+            near = np.bitwise_count(prints[at : at + 256, None] ^ prints[None, :]) <= 2
+            least[at : at + 256] = np.where(near, label[None, :], n).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _group_links(group: pa.Table) -> pa.Table:
+    prints = np.sort(group["fp"].to_numpy())
+    first = _linked_within(prints.view(np.uint64))
+    moved = first != np.arange(len(prints))
+    return pa.table({"a": prints[moved], "b": prints[first[moved]]})
 
-    Every pair within a small group of variants is verified; members of large
-    groups get star edges within groups that guarantee the distance.
-    """
+
+def link_fingerprints(prints: DataFrame) -> DataFrame:
+    """Edges (a, b) between distinct ``fp`` values whose components are those of all pairs at two or fewer differing bits."""
     variants = _segment_variants(prints)
     groups = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = materialise(variants.join(groups, "key"), "variants")
@@ -114,11 +134,13 @@ def link_fingerprints(prints: DataFrame) -> DataFrame:
     left, right = small.select("key", F.col("fp").alias("a")), small.select("key", F.col("fp").alias("b"))
     near = (F.col("a") > F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
     pairs = left.join(right, "key").filter(near).select("a", "b").distinct()
-    crowded = members.filter(F.col("n") > SMALL_GROUP).select("fp").distinct()
+    middle = members.filter((F.col("n") > SMALL_GROUP) & (F.col("n") <= TASK_GROUP)).select("key", "fp")
+    forests = middle.groupBy("key").applyInArrow(_group_links, "a long, b long").distinct()
+    crowded = members.filter(F.col("n") > TASK_GROUP).select("fp").distinct()
     deep = _pair_variants(crowded)
     least = deep.groupBy("place", "rest").agg(F.min("fp").alias("b"), F.max("fp").alias("most")).filter("b <> most")
     stars = deep.join(least, ["place", "rest"]).filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
-    return pairs.unionByName(stars)
+    return pairs.unionByName(forests).unionByName(stars)
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -53,8 +53,9 @@ def test_links_match_brute_force(spark, monkeypatch):
             c ^= (1 << rng.randrange(64)) | (1 << rng.randrange(64))
             values.add(c)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    for limit in (2, 16):
-        monkeypatch.setattr(simhash, "SMALL_GROUP", limit)
+    for small, task in ((2, 4096), (2, 3), (64, 4096)):
+        monkeypatch.setattr(simhash, "SMALL_GROUP", small)
+        monkeypatch.setattr(simhash, "TASK_GROUP", task)
         marked = spark.createDataFrame([(i, v) for i, v in enumerate(signed)], "doc_id long, __sh_fp long")
         got = {r["doc_id"]: r["__sh_component"] for r in simhash._with_components(marked, "doc_id").collect()}
         assert got == brute_components(dict(enumerate(values)))
