@@ -5,8 +5,9 @@ nearest point. A bounded sample is split into balanced clusters; each vector
 joins the lists of its nearest centroids, boundary vectors several of them.
 Centroids are searched through an in-memory neighbour graph. A query visits
 the lists whose centroid distance is within a ratio of the nearest one's, and
-is scored against their vectors in double precision. Long lists are cut into
-blocks, and so are the queries that visit them, so no task holds a whole one.
+is scored against their vectors in double precision. Some lists share a shelf,
+which hands on each query's best once; long shelves are cut into blocks, and so
+are the queries that visit them, so no task holds a whole one.
 
 Equal vectors form one class that is indexed and searched once; a class needs
 no more of its members than a query returns neighbours plus itself.
@@ -35,15 +36,16 @@ class IndexOptions:
     """``sample`` vectors at most reach the driver; lists number ``rows / list_size``, ``max_lists`` at most."""
 
     sample: int = 16384
-    list_size: int = 128
+    list_size: int = 512
+    shelf: int = 16
     max_lists: int = 4096
     degree: int = 16
-    beam: int = 96
+    beam: int = 32
     max_copies: int = 4
-    copy_ratio: float = 1.10
-    max_probes: int = 64
-    probe_ratio: float = 1.6
-    block: int = 4096
+    copy_ratio: float = 1.03
+    min_probes: int = 4
+    probe_ratio: float = 1.15
+    block: int = 8192
     seed: int = 5
 
 
@@ -55,8 +57,11 @@ class CentroidGraph:
     links: np.ndarray
     entries: np.ndarray
 
-    def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(lists, squared distances) of about the ``beam`` nearest centroids of each row, nearest first."""
+    def search(self, x: np.ndarray, beam: int, ratio: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """(lists, squared distances) of about the ``beam`` nearest centroids of each row, nearest first.
+
+        Centroids farther than ``ratio`` times the nearest one so far are not followed.
+        """
         n, c = len(x), len(self.centroids)
         beam = min(beam, c)
         norms = (self.centroids**2).sum(axis=1)
@@ -73,7 +78,7 @@ class CentroidGraph:
         seen[rows[:, None], ids[:, :k]] = True
         done = np.zeros((n, c), dtype=bool)
         for _ in range(c):
-            waiting = np.where((ids >= 0) & ~done[rows[:, None], ids], dist, np.inf)
+            waiting = np.where((ids >= 0) & ~done[rows[:, None], ids] & (dist <= ratio * ratio * np.maximum(dist[:, :1], 1e-12)), dist, np.inf)
             pick = np.argsort(waiting, axis=1, kind="stable")[:, :4]
             live = np.isfinite(np.take_along_axis(waiting, pick, axis=1))
             if not live.any():
@@ -169,13 +174,12 @@ def _list_rows(graph, dim: int, top: float, options: IndexOptions, query: bool):
                 x = _matrix(b.column(1), dim)
                 if query:
                     x = x / np.linalg.norm(x, axis=1, keepdims=True) * top
-                    ids, d = g.search(np.concatenate([x, np.zeros((len(x), 1))], axis=1), options.beam)
+                    ids, d = g.search(np.concatenate([x, np.zeros((len(x), 1))], axis=1), len(g.centroids), 1.05 * options.probe_ratio)
                     d = np.sqrt(d)
                     keep = (ids >= 0) & (d <= options.probe_ratio * d[:, :1])
-                    keep[:, options.max_probes :] = False
-                    keep[:, : min(8, keep.shape[1])] = ids[:, :8] >= 0
+                    keep[:, : options.min_probes] = ids[:, : options.min_probes] >= 0
                 else:
-                    ids, d = g.search(_augmented(x, top), min(options.beam, 32))
+                    ids, d = g.search(_augmented(x, top), options.beam)
                     d, keep = np.sqrt(d), np.zeros(ids.shape, dtype=bool)
                     keep[:, 0] = True
                     for j in range(1, min(2 * options.max_copies, ids.shape[1])):
@@ -191,20 +195,34 @@ def _list_rows(graph, dim: int, top: float, options: IndexOptions, query: bool):
 
 
 def _score_block(dim: int, k: int):
+    """Best ``k`` of each query over the lists of one shelf block; a query meets only the lists it visits."""
+
     def run(key, queries: pa.Table, postings: pa.Table) -> pa.Table:
         kinds = pa.schema([("q", pa.int64()), ("class_id", pa.int64()), ("score", pa.float64())])
         if not queries.num_rows or not postings.num_rows:
             return kinds.empty_table()
         q, p = _matrix(queries["v"].combine_chunks(), dim), _matrix(postings["v"].combine_chunks(), dim)
         qid, pid = queries["class_id"].to_numpy(), postings["class_id"].to_numpy()
-        order = np.argsort(pid, kind="stable")
-        p, pid, out = p[order], pid[order], []
-        for at in range(0, len(q), 256):
-            s = q[at : at + 256] @ p.T
-            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-            exact = np.einsum("ijk,ik->ij", p[best], q[at : at + 256])
-            out.append((np.repeat(qid[at : at + 256], best.shape[1]), pid[best].ravel(), exact.ravel()))
-        return pa.table([np.concatenate(c) for c in zip(*out)], schema=kinds)
+        qlist, plist = queries["list"].to_numpy(), postings["list"].to_numpy()
+        found = []
+        for one in np.unique(plist):
+            stored, asking = np.flatnonzero(plist == one), np.flatnonzero(qlist == one)
+            stored = stored[np.argsort(pid[stored], kind="stable")]
+            for at in range(0, len(asking), 256):
+                a = asking[at : at + 256]
+                best = stored[np.argsort(-(q[a] @ p[stored].T), axis=1, kind="stable")[:, :k]]
+                exact = np.einsum("ijk,ik->ij", p[best], q[a])
+                found.append((np.repeat(qid[a], best.shape[1]), pid[best].ravel(), exact.ravel()))
+        if not found:
+            return kinds.empty_table()
+        ask, hit, score = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((hit, -score, ask))
+        ask, hit, score = ask[order], hit[order], score[order]
+        again = np.concatenate([[False], (ask[1:] == ask[:-1]) & (hit[1:] == hit[:-1])])  # a copy in two lists
+        ask, hit, score = ask[~again], hit[~again], score[~again]
+        place = np.arange(len(ask)) - np.searchsorted(ask, ask)
+        keep = place < k
+        return pa.table([ask[keep], hit[keep], score[keep]], schema=kinds)
 
     return run
 
@@ -239,13 +257,15 @@ def search(
     asked = both.join(asked_ids.select("class_id").distinct(), "class_id")
     visits = materialise(asked.mapInArrow(_list_rows(graph, dim, top, options, True), rows_of), "visits")
 
-    parts = lambda df, name: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / options.block).cast("int").alias(name))
-    cuts = F.broadcast(parts(postings, "np").join(parts(visits, "nq"), "list"))  # one row per list, ``max_lists`` at most
+    shelf = F.floor(F.col("list") / options.shelf).cast("int")
+    postings, visits = postings.withColumn("shelf", shelf), visits.withColumn("shelf", shelf)
+    parts = lambda df, name: df.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / options.block).cast("int").alias(name))
+    cuts = F.broadcast(parts(postings, "np").join(parts(visits, "nq"), "shelf"))  # ``max_lists / shelf`` rows at most
     block = lambda c: F.pmod(F.xxhash64("class_id"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = visits.join(cuts, "list").select("list", "class_id", "v", block("nq").alias("qb"), every("np").alias("pb"))
-    right = postings.join(cuts, "list").select("list", "class_id", "v", every("nq").alias("qb"), block("np").alias("pb"))
-    key = ["list", "qb", "pb"]
+    left = visits.join(cuts, "shelf").select("shelf", "list", "class_id", "v", block("nq").alias("qb"), every("np").alias("pb"))
+    right = postings.join(cuts, "shelf").select("shelf", "list", "class_id", "v", every("nq").alias("qb"), block("np").alias("pb"))
+    key = ["shelf", "qb", "pb"]
     scored = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_score_block(dim, k + 1), "q long, class_id long, score double")
     scored = scored.groupBy("q", "class_id").agg(F.max("score").alias("score"))
     nearest = lambda c: Window.partitionBy("q").orderBy(F.desc("score"), c)
