@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lumenkg.llm.tokenization import _SPACED, _WIDE_SPACE, utf8, vocabulary_path
+from lumenkg.llm.tokenization import _SPACED, _WIDE_SPACE, byte_letters, utf8, vocabulary_path
 
 #: Fixed value: the piece pattern of byte-level vocabularies of this family.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -33,20 +33,13 @@ MAX_CACHED = 500_000
 _DEAD = -1
 
 
-def _byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in byte-level vocabulary files."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class BpeCodec:
     def __init__(self, vocabulary: str):
         import regex
 
         with open(vocabulary_path(vocabulary), encoding="utf-8") as f:
             spec = json.load(f)
-        letters, ids = _byte_letters(), spec["model"]["vocab"]
+        letters, ids = byte_letters(), spec["model"]["vocab"]
         self.bytes_of = {i: bytes(letters[c] for c in word) for word, i in ids.items() if all(c in letters for c in word)}
         self.first = [0] * 256
         for letter, b in letters.items():

@@ -1,9 +1,12 @@
 """Encoding whole texts with the tokenizers library, each distinct unit once per worker.
 
 A text is split into units whose encodings, put one after the other, equal the
-encoding of the whole text; units met before come from a bounded cache. Texts
-where that split isn't proven (white space around a space, special tokens,
-white space beyond ASCII) go to the library whole.
+encoding of the whole text; units met before come from a bounded cache. A new
+unit is cut further where the library always cuts (around a line end, before
+closing punctuation); a unit of Latin letters alone is one piece and goes
+straight to the library's model. Texts where the split isn't proven (white
+space around a space, special tokens, white space beyond ASCII) go to the
+library whole.
 """
 
 from __future__ import annotations
@@ -11,17 +14,31 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable
 from functools import lru_cache
 
-#: Entries a worker keeps; the cache starts anew beyond that.
-MAX_UNITS = 800_000
+#: Entries of each of a worker's two cache generations; a full one becomes the old one.
+MAX_UNITS = 600_000
 
 _SPACED = re.compile(rb"[\t-\r ] [\t-\r ]")
 #: UTF-8 forms of (or lead bytes shared by) the white space outside ASCII.
 _WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
+_ASCII_SPACE = b" \t\n\r\x0b\x0c"
+#: Punctuation that is a piece of its own after a letter, in vocabularies of both kinds.
+_CLOSING = b".,;:!?*#$%&"
+
+
+def byte_letters() -> dict[str, int]:
+    """The printable letter that stands for each byte in byte-level vocabulary files."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+_LETTERS = {b: letter for letter, b in byte_letters().items()}
+
+
 def vocabulary_path(name: str) -> str:
     """Where a public vocabulary file lies on this machine; absolute paths are taken as they are."""
     if os.path.isabs(name):
@@ -48,53 +65,73 @@ class UnitEncoder:
         self.tokenizer.no_padding()
         self.specials = [str(t).encode() for t in self._special_strings()]
         self.split = split
+        self.model = self.tokenizer.model
         self.units: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _special_strings(self) -> list[str]:
         return [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _whole(self, text: bytes) -> bytes:
-        import numpy as np
-
-        ids = self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids).tobytes()
 
     def _units(self, text: bytes) -> list[bytes] | None:
         if any(s in text for s in self.specials):
             return None
         if self.split == "words":
-            return text.split()
+            return None if any(s in text.lower() for s in self.specials) else text.lower().split()
         if _SPACED.search(text) or any(s in text for s in _WIDE_SPACE):
             return None
         first, *rest = text.split(b" ")
         return [first, *[b" " + x for x in rest]]
 
-    def _learn(self, units: Iterable[bytes]) -> None:
-        units = list(units)
-        if len(self.units) + len(units) > MAX_UNITS:
-            self.units.clear()
-        for at in range(0, len(units), 4096):
-            part = units[at : at + 4096]
-            for unit, found in zip(part, self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in part], add_special_tokens=False)):
-                self.units[unit] = array("I", found.ids).tobytes()
+    def _direct(self, word: str, spaced: bool) -> bytes | None:
+        """ids of one piece of Latin letters, or None."""
+        if not word.isalpha() or max(word) > "\xff":
+            return None
+        if self.split == "words":
+            word = word.lower()  # beyond ASCII
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize("\u0120" + word if spaced else word)]).tobytes()
+
+    def _unit(self, unit: bytes) -> bytes:
+        """ids of a unit; units made of others are put together each time and not kept."""
+        found = self.units.get(unit)
+        if found is not None:
+            return found
+        if b"\n" in unit:
+            before, _, after = unit.partition(b"\n")
+            if before and after and before[-1] not in _ASCII_SPACE and after[0] not in _ASCII_SPACE:
+                return self._unit(before) + self._unit(b"\n") + self._unit(after)
+        core = unit.rstrip(_CLOSING)
+        if core != unit and core.strip():
+            last = core[-1:]
+            if last.isalpha() or last >= b"\x80" and core.decode("utf-8")[-1].isalpha():
+                return self._unit(core) + self._unit(unit[len(core) :])
+        found = self.old.get(unit)
+        if found is None:
+            word = unit.decode("utf-8")
+            spaced = word[:1] == " "
+            found = self._direct(word[1:] if spaced else word, spaced)
+            if found is None:
+                found = self._whole(unit)
+        if len(unit) <= 64:
+            if len(self.units) >= MAX_UNITS:
+                self.old, self.units = self.units, {}
+            self.units[unit] = found
+        return found
 
     def encode(self, text: bytes) -> bytes:
         units = self._units(text)
         if units is None:
             return self._whole(text)
-        known = self.units
-        try:
-            return b"".join([known[u] for u in units])
-        except KeyError:
-            pass
-        fresh = {u for u in units if u not in known}
-        if len(fresh) > MAX_UNITS // 2:
-            return self._whole(text)
-        before = len(known)
-        self._learn(fresh)
-        if len(self.units) < before + len(fresh):  # the cache started anew
-            self._learn({u for u in units if u not in self.units})
-        return b"".join([self.units[u] for u in units])
+        out = list(map(self.units.get, units))
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    out[i] = self._unit(units[i])
+        return b"".join(out)
 
 
 @lru_cache(maxsize=4)
