@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.llm import best_fit_packing, bpe_codec, language_id, posting_lists, quality_rules, simhash, warc_archive, wavelet_store
+from lumenkg.llm import best_fit_packing, bpe_codec, compact_windows, language_id, posting_lists, quality_rules, simhash, warc_archive, wavelet_store
 from lumenkg.llm.workspace import read_table, scratch_path
 
 
@@ -128,6 +128,10 @@ def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posting_lists.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op4_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op6_quality_rules": op6_quality_rules,
@@ -137,6 +141,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op1_language_id": op1_language_id,
     "op8_posting_lists": op8_posting_lists,
+    "op4_compact_windows": op4_compact_windows,
 }
 
 ORACLES = {
