@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.llm import best_fit_packing, bpe_codec, compact_windows, language_id, posting_lists, quality_rules, simhash, warc_archive, wavelet_store
+from lumenkg.llm import best_fit_packing, bpe_codec, compact_windows, edit_token_counts, language_id, posting_lists, quality_rules, simhash, warc_archive, wavelet_store
 from lumenkg.llm.workspace import read_table, scratch_path
 
 
@@ -132,6 +132,21 @@ def op4_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
+def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after two edits: 40 characters in the middle give way to the text's
+    first 24, and the source is added at the end."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    n = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    step = lambda at, deleted, inserted: F.struct(at.alias("at"), deleted.alias("deleted"), inserted.alias("inserted"))
+    middle = step(F.floor(n / 2), F.lit(40).cast("long"), F.substring("text", 1, 24))
+    last = step(n + 24, F.lit(0).cast("long"), F.concat(F.lit(" "), F.coalesce("source", F.lit(""))))
+    p = edit_token_counts.P
+    docs = docs.withColumn(p + "edits", F.array(middle, last).cast(edit_token_counts.EDITS)).drop("source")
+    trees = edit_token_counts.build_trees(docs, drop_text=True).withColumn("n_tokens", F.col(p + "n_tokens"))
+    edited = edit_token_counts.apply_edits(trees)
+    return edited.select("doc_id", "n_tokens", F.col(p + "n_tokens").alias("n_tokens_edited"), F.col(p + "encoded").alias("n_chars_encoded"))
+
+
 QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op6_quality_rules": op6_quality_rules,
@@ -142,6 +157,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op8_posting_lists": op8_posting_lists,
     "op4_compact_windows": op4_compact_windows,
+    "op7_edit_token_counts": op7_edit_token_counts,
 }
 
 ORACLES = {
