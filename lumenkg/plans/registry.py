@@ -5,6 +5,448 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from lumenkg.functions import rules
+from lumenkg.functions import strings as s
+from lumenkg.operators import entities as en
+from lumenkg.operators import evidence as ev
+from lumenkg.operators import graph as gr
+from lumenkg.operators import lookup
+from lumenkg.operators import questions as qu
+from lumenkg.operators import triples as tr
+from lumenkg.operators.relational import top_per
+from lumenkg.plans.fixtures import view
+from lumenkg.plans.oracles import ORACLES
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _kept(spark: SparkSession, sf: str) -> DataFrame:
+    return en.kept_entities(view(spark, sf, "geo_raw"))
+
+
+def _clean(spark: SparkSession, sf: str) -> DataFrame:
+    raw = view(spark, sf, "kg_triples_raw")
+    return tr.sanitised(raw.withColumns({"head": s.trimmed(F.col("head")), "tail": s.trimmed(F.col("tail"))}))
+
+
+def _normal(spark: SparkSession, sf: str) -> DataFrame:
+    return tr.normalised(_clean(spark, sf), view(spark, sf, "kg_ent"))
+
+
+def _flat(triples: DataFrame) -> DataFrame:
+    nv = [F.col(f"normalized_value.{c}").alias(f"nv_{c}") for c in ("raw", "num", "kind")]
+    return triples.select("img_id", "ord", "head", "relation", "tail", "tail_type", *nv, "unit")
+
+
+def _resolved(spark: SparkSession, sf: str) -> DataFrame:
+    return gr.resolved_triples(view(spark, sf, "kg_ent"), _normal(spark, sf))
+
+
+def _by_region(spark: SparkSession, sf: str) -> DataFrame:
+    return gr.region_edges(view(spark, sf, "kg_ent"), gr.retrieve_edges(_resolved(spark, sf)))
+
+
+def _aliases(spark: SparkSession, sf: str) -> DataFrame:
+    return tr.valid_aliases(view(spark, sf, "alias_groups"), tr.alias_candidates(view(spark, sf, "kg_ent"), _clean(spark, sf)))
+
+
+def _questions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = view(spark, sf, "tool_rows")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "tool"))), lambda x: x["tool"])
+    return qu.classified(rows.groupBy("img_id").agg(listed.alias("tools"))).withColumn("day", F.split_part("img_id", F.lit("_"), F.lit(2)))
+
+
+def _numbered(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _questions(spark, sf).withColumns({"user": F.col("img_id"), "ord": F.col("img_id")}).withColumn("img_id", F.col("day"))
+    return qu.numbered(rows)
+
+
+@query
+def entities_kept(spark, sf):
+    return _kept(spark, sf).select("img_id", "ord", "id", "name", "etype", "bbox.*")
+
+
+@query
+def entity_location(spark, sf):
+    return en.located(_kept(spark, sf)).select("img_id", "id", "location")
+
+
+@query
+def entity_values(spark, sf):
+    tail = F.when(F.col("rx1") % 3 == 0, "kg").when(F.col("rx1") % 3 == 1, " GHz").otherwise("x")
+    name = F.concat("name", F.lit(" "), "rx1", tail, F.lit(" $"), "ry1", F.lit(".5"))
+    return en.with_values(view(spark, sf, "geo_raw").withColumn("name", name)).select("img_id", "ord", "value", "numbers")
+
+
+@query
+def entity_views(spark, sf):
+    return en.views(_kept(spark, sf))
+
+
+@query
+def bbox_areas(spark, sf):
+    return en.box_areas(_kept(spark, sf))
+
+
+@query
+def layout_relations(spark, sf):
+    return en.layout_relations(_kept(spark, sf))
+
+
+@query
+def direction_8way(spark, sf):
+    return en.compass_relations(_kept(spark, sf))
+
+
+@query
+def area_extremum(spark, sf):
+    return en.area_extremes(_kept(spark, sf))
+
+
+@query
+def spatial_triples(spark, sf):
+    return en.spatial_triples(_kept(spark, sf))
+
+
+@query
+def domain_guess(spark, sf):
+    return en.image_domains(_kept(spark, sf))
+
+
+@query
+def core_anchors(spark, sf):
+    return en.core_anchors(_kept(spark, sf)).select("img_id", "id", "name", "confidence")
+
+
+@query
+def expansion_seeds(spark, sf):
+    return en.expansion_seeds(_kept(spark, sf)).select("img_id", "id", "name", "rank")
+
+
+@query
+def tier1_brand_dense(spark, sf):
+    return en.brand_dense_top(en.expansion_seeds(_kept(spark, sf)), k=4).select("img_id", "id", "score", "place")
+
+
+@query
+def pairs_capped(spark, sf):
+    return en.capped_pairs(_kept(spark, sf)).select("img_id", "a_rank", "b_rank", "a_name", "b_name")
+
+
+@query
+def triples_sanitized(spark, sf):
+    return _flat(_clean(spark, sf))
+
+
+@query
+def triples_normalized(spark, sf):
+    return _flat(_normal(spark, sf))
+
+
+@query
+def alias_candidates(spark, sf):
+    return tr.alias_candidates(view(spark, sf, "kg_ent"), _clean(spark, sf))
+
+
+@query
+def triples_aliased(spark, sf):
+    return _flat(tr.aliased(_clean(spark, sf), _aliases(spark, sf)))
+
+
+@query
+def entities_after_alias(spark, sf):
+    return tr.entities_without_aliases(view(spark, sf, "kg_ent"), _aliases(spark, sf)).select("img_id", "ord", "name")
+
+
+_TRIPLE = ("img_id", "ord", "head", "relation", "tail")
+
+
+@query
+def expand_merge(spark, sf):
+    old = _normal(spark, sf).filter("ord % 10 in (1, 2, 3)").select(*_TRIPLE)
+    return tr.merged(old, _clean(spark, sf).filter("ord % 10 in (3, 5, 6)").select(*_TRIPLE))
+
+
+@query
+def cross_merge(spark, sf):
+    old = _normal(spark, sf).filter("ord % 10 in (1, 2, 3)").select(*_TRIPLE)
+    new = _clean(spark, sf).filter("ord % 10 in (3, 6, 7)").withColumn("relation", F.upper("relation")).select(*_TRIPLE)
+    return tr.merged(old, new, strip=True)
+
+
+@query
+def tail_topk(spark, sf):
+    return tr.tail_counts(_clean(spark, sf), view(spark, sf, "kg_ent")).select("img_id", "tail", "n", "rank")
+
+
+@query
+def tail_context(spark, sf):
+    clean = _clean(spark, sf)
+    return tr.tail_context(tr.tail_counts(clean), clean)
+
+
+@query
+def unconnected_pairs(spark, sf):
+    return tr.unconnected_pairs(view(spark, sf, "kg_ent"), _normal(spark, sf)).select("img_id", "a_name", "b_name")
+
+
+@query
+def spatial_fallback(spark, sf):
+    spatial = en.spatial_triples(_kept(spark, sf))
+    return tr.spatial_fallback(spatial, spatial.filter("(a_idx + b_idx) % 3 = 0"))
+
+
+@query
+def triples_by_head(spark, sf):
+    return tr.triples_by_head(_clean(spark, sf)).select("img_id", "head", F.size("items").cast("bigint").alias("n"), "place")
+
+
+@query
+def relation_profile(spark, sf):
+    return view(spark, sf, "rel_rows").select("event_id", rules.relation_profile(F.col("relation"), F.col("kind")).alias("p")).select("event_id", "p.*")
+
+
+@query
+def relation_texts(spark, sf):
+    rel, kind = s.slug(F.col("relation")), F.col("kind")
+    return view(spark, sf, "rel_rows").select(
+        "event_id", rules.natural_text(rel, kind).alias("natural_text"), rules.follow_clause(rel, kind).alias("follow_clause"),
+        rules.answer_prompt(kind).alias("answer_prompt"), rules.selection_phrase(rel, kind).alias("selection_phrase"), rules.question_value(rel, kind).alias("question_value"),
+    )
+
+
+@query
+def value_bucket(spark, sf):
+    return view(spark, sf, "rel_rows").select("event_id", rules.value_bucket(F.col("relation"), F.col("kind")).alias("bucket"))
+
+
+@query
+def answer_scores(spark, sf):
+    a, k = F.col("answer"), F.col("kind")
+    return view(spark, sf, "answer_rows").select("event_id", rules.answer_specificity(a, k).alias("specificity"), rules.answer_penalty(a, k).alias("penalty"))
+
+
+@query
+def graph_nodes(spark, sf):
+    return gr.nodes(view(spark, sf, "kg_ent"), _resolved(spark, sf))
+
+
+@query
+def graph_edges(spark, sf):
+    return gr.edges(view(spark, sf, "kg_ent"), gr.retrieve_edges(_resolved(spark, sf)))
+
+
+@query
+def graph_stats(spark, sf):
+    return gr.stats(graph_nodes(spark, sf), graph_edges(spark, sf))
+
+
+@query
+def retrieve_edges_ranked(spark, sf):
+    ranked = gr.ranked_edges(gr.retrieve_edges(_resolved(spark, sf)))
+    return ranked.select("img_id", "entity", "fact_key", "place", "askability", "lexicalizability")
+
+
+@query
+def comparable_pairs(spark, sf):
+    return gr.comparable_pairs(_by_region(spark, sf), "TIME").select("img_id", "a_region", "b_region", "a_fact_key", "b_fact_key", "score", "bucket")
+
+
+@query
+def comparable_quantities(spark, sf):
+    pairs = gr.value_differences(gr.comparable_pairs(_by_region(spark, sf), "QUANTITY"))
+    return pairs.select("img_id", "a_region", "b_region", "difference", "score")
+
+
+@query
+def rankable_groups(spark, sf):
+    return gr.rankable_groups(_by_region(spark, sf), "TIME").select("img_id", "bucket", "region", "fact_key", "n_regions")
+
+
+@query
+def shared_fact_strict(spark, sf):
+    return gr.shared_facts(gr.retrieve_edges(_resolved(spark, sf)))
+
+
+@query
+def shared_fact_by_value(spark, sf):
+    return gr.shared_facts(gr.retrieve_edges(_resolved(spark, sf)), by_value=True)
+
+
+@query
+def set_merge_compat(spark, sf):
+    rows = view(spark, sf, "rel_rows").select(F.floor(F.col("event_id") / 100).alias("img_id"), s.slug(F.col("relation")).alias("slug"))
+    return gr.mergeable_relations(rows).withColumnRenamed("img_id", "grp")
+
+
+@query
+def region_scores(spark, sf):
+    return gr.region_scores(view(spark, sf, "kg_ent"), gr.retrieve_edges(_resolved(spark, sf)))
+
+
+@query
+def k_hop_facts(spark, sf):
+    start = view(spark, sf, "kg_ent").select("img_id", F.lit("__full_image__").alias("key")).distinct()
+    return gr.k_hops(graph_edges(spark, sf), start, 3).select("img_id", "key", "hop")
+
+
+@query
+def graph_context_text(spark, sf):
+    named = view(spark, sf, "kg_ent").withColumn("bbox", F.struct("x1", "y1", "x2", "y2"))
+    about = named.select("img_id", F.concat(F.lit("picture "), "img_id").alias("description")).distinct()
+    return gr.context_text(named, _clean(spark, sf), about)
+
+
+@query
+def skip_domains(spark, sf):
+    return ev.readable(view(spark, sf, "page_rows")).select("page_id", "url")
+
+
+@query
+def url_netloc(spark, sf):
+    return view(spark, sf, "page_rows").select("page_id", s.url_site(F.col("url")).alias("site"), s.title_head(F.col("title")).alias("head"))
+
+
+@query
+def deep_read_urls(spark, sf):
+    rows = view(spark, sf, "page_rows")
+    pages = rows.select("page_id", "url", F.col("html").alias("content"))
+    found = top_per(ev.readable(rows), ["topic"], ["page_id"], 2, "nth").select("topic", "page_id", "nth")
+    read = found.join(pages, "page_id").filter(F.coalesce("content", F.lit("")) != "")
+    return read.select("topic", "page_id", "nth", F.substring("content", 1, 2000).alias("page_text"))
+
+
+@query
+def both_mentioned(spark, sf):
+    docs = view(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 40).alias("part"))
+    word = lambda k: F.split_part("text", F.lit(" "), F.lit(k))
+    names = view(spark, sf, "benchmark").select("item_id", word(3).alias("entity_a"), word(5).alias("entity_b"), (F.col("item_id") % 40).alias("part"))
+    return ev.both_mentioned(docs.join(names, "part")).select("doc_id", "item_id")
+
+
+@query
+def visit_queue(spark, sf):
+    kind = F.element_at(F.array(*map(F.lit, ("image", "web", "discovery", "lens"))), (F.col("page_id") % 4 + 1).cast("int"))
+    rows = view(spark, sf, "page_rows").select(F.col("topic").alias("img_id"), kind.alias("origin"), (F.col("page_id") % 4).alias("origin_rank"), F.col("page_id").alias("ord"), "url")
+    return ev.visit_queue(rows).select(F.col("img_id").alias("topic"), F.col("ord").alias("page_id"), "origin", "place")
+
+
+@query
+def resolution_merge(spark, sf):
+    rows = view(spark, sf, "page_rows").select(F.col("topic").alias("img_id"), F.lit("E1").alias("id"), F.col("page_id").alias("pos"), "title", F.col("html").alias("content"))
+    some = rows.select("img_id", "id").distinct()
+    merged = ev.merged_resolution(some, rows.select("img_id", "id", "pos", "title"), rows.filter("pos % 2 = 0"))
+    return merged.select(F.col("img_id").alias("topic"), "titles", "n_pages", "preview")
+
+
+@query
+def lens_flatten(spark, sf):
+    raw = view(spark, sf, "page_rows").select(F.col("topic").alias("key"), F.col("page_id").alias("pos"), "title", "url")
+    return ev.lens_titles(raw).select(F.col("key").alias("topic"), "title", "nth")
+
+
+@query
+def search_rows_flat(spark, sf):
+    p = F.col("page_id")
+    panel = F.when(p % 3 == 0, F.struct(F.concat(F.lit("panel "), p).alias("title"), F.lit("about").alias("description"), F.create_map(F.lit("k"), F.lit("v")).alias("attributes")))
+    box = F.when(p % 2 == 0, F.struct(F.array(F.lit("yes"), F.lit("no")).alias("answer")))
+    hit = F.struct(F.lit("t").alias("title"), F.col("url").alias("link"), F.lit("s").alias("snippet"))
+    body = F.to_json(F.struct(panel.alias("knowledgeGraph"), box.alias("answerBox"), F.array(hit).alias("organic")))
+    rows = ev.search_rows(view(spark, sf, "pages").select(p.alias("key"), body.alias("body")))
+    return rows.select(F.col("key").alias("page_id"), "pos", "kind", "url", "content")
+
+
+@query
+def props_json(spark, sf):
+    rows = view(spark, sf, "json_blobs").select("event_id", s.extract_json(F.col("raw")).alias("json"))
+    return rows.filter(F.col("json").isNotNull())
+
+
+@query
+def question_classify(spark, sf):
+    return _questions(spark, sf).select("img_id", F.size("tools").cast("bigint").alias("n_tools"), "category", "difficulty")
+
+
+@query
+def question_ids(spark, sf):
+    return _numbered(spark, sf).select(F.col("user").alias("img_id"), "day", "question_id")
+
+
+@query
+def final_records(spark, sf):
+    empty = F.lit(None).cast("string")
+    rows = _numbered(spark, sf).withColumns({"question": empty, "answer": empty, "reasoning": empty})
+    path = F.concat(F.lit("images/"), "img_id", F.lit(".jpg"))
+    return qu.final_records(rows, path).select("id", "image_id", "image_path", "category", "question_id")
+
+
+@query
+def question_stats(spark, sf):
+    return qu.question_stats(_questions(spark, sf).withColumn("img_id", F.col("day")))
+
+
+@query
+def image_metrics(spark, sf):
+    return qu.image_metrics(_questions(spark, sf).withColumn("img_id", F.col("day")))
+
+
+@query
+def question_cube(spark, sf):
+    return qu.breakdown(_questions(spark, sf))
+
+
+@query
+def run_summary(spark, sf):
+    return qu.run_summary(view(spark, sf, "run_rows"))
+
+
+def _requests(spark: SparkSession, sf: str) -> DataFrame:
+    key = s.cache_key("jina", url=F.col("url"), max_chars=F.lit(2000))
+    return view(spark, sf, "pages").select("page_id", F.lit("jina").alias("api"), key.alias("key"), F.col("url").alias("payload"))
+
+
+@query
+def cache_key(spark, sf):
+    return _requests(spark, sf).select("page_id", "key")
+
+
+@query
+def cache_misses(spark, sf):
+    asked = _requests(spark, sf)
+    stored = asked.filter("page_id % 2 = 0").select("api", "key", F.lit("ok").alias("status"))
+    return lookup.misses(asked, stored).select("key", "payload")
+
+
+@query
+def sampled_per_group(spark, sf):
+    rows = view(spark, sf, "pages").withColumn("topic", F.col("page_id") % 25)
+    return top_per(rows, ["topic"], ["url", "page_id"], 3).select("topic", "url")
+
+
+@query
+def pair_plan_queries(spark, sf):
+    pairs = en.spatial_triples(_kept(spark, sf)).withColumnsRenamed({"head": "a_name", "tail": "b_name"})
+    turn = (F.col("a_idx") + F.col("b_idx")) % 4
+    listed = F.when(turn == 1, F.array(F.concat(F.lit("first "), "a_name"), F.lit("  "), F.concat(F.lit("second "), "b_name"))).otherwise(F.array(F.lit(" ")))
+    old = pairs.select("img_id", F.col("b_name").alias("entity_a"), F.col("a_name").alias("entity_b"), F.lit(1).alias("ord"), F.lit(True).alias("skip"), F.array(F.lit("old")).alias("queries"))
+    new = pairs.select("img_id", F.col("a_name").alias("entity_a"), F.col("b_name").alias("entity_b"), F.lit(2).alias("ord"), (turn == 2).alias("skip"), listed.alias("queries"))
+    return ev.pair_queries(pairs, old.unionByName(new)).select("img_id", "a_name", "b_name", "pos", "query")
+
+
+@query
+def discovered_names(spark, sf):
+    raw = view(spark, sf, "geo_raw").withColumn("pos", F.col("ord"))
+    given = F.when(F.col("ord") % 3 == 0, F.concat(F.lit(" 《new "), "name", F.lit("》 "))).when(F.col("ord") % 3 == 1, F.col("name")).otherwise("x")
+    cleaned = raw.select("img_id", "pos", given.alias("name"))
+    return ev.discovered_names(raw.select("img_id", "pos"), cleaned, _kept(spark, sf)).select("img_id", "pos", "name", "id")
+
+
+__all__ = ["ORACLES", "QUERIES"]
