@@ -18,6 +18,8 @@ from functools import lru_cache
 
 #: Entries of each of a worker's two cache generations; a full one becomes the old one.
 MAX_UNITS = 600_000
+#: Entries kept of units that are made of others.
+MAX_JOINED = 400_000
 
 _SPACED = re.compile(rb"[\t-\r ] [\t-\r ]")
 #: UTF-8 forms of (or lead bytes shared by) the white space outside ASCII.
@@ -68,6 +70,7 @@ class UnitEncoder:
         self.model = self.tokenizer.model
         self.units: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.joined: dict[bytes, bytes] = {}
 
     def _special_strings(self) -> list[str]:
         return [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -96,7 +99,7 @@ class UnitEncoder:
         return array("I", [t.id for t in self.model.tokenize("\u0120" + word if spaced else word)]).tobytes()
 
     def _unit(self, unit: bytes) -> bytes:
-        """ids of a unit; units made of others are put together each time and not kept."""
+        """ids of a unit; units made of others are put together from theirs."""
         found = self.units.get(unit)
         if found is not None:
             return found
@@ -128,9 +131,18 @@ class UnitEncoder:
             return self._whole(text)
         out = list(map(self.units.get, units))
         if None in out:
+            joined = self.joined
             for i, found in enumerate(out):
                 if found is None:
-                    out[i] = self._unit(units[i])
+                    unit = units[i]
+                    found = joined.get(unit)
+                    if found is None:
+                        found = self._unit(unit)
+                        if unit not in self.units and len(unit) <= 64:
+                            if len(joined) >= MAX_JOINED:
+                                joined.clear()
+                            joined[unit] = found
+                    out[i] = found
         return b"".join(out)
 
 
