@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +21,34 @@ def _fallback_root() -> str:
     return tempfile.mkdtemp(prefix="spark-corpus-")
 
 
+#: Lists that new folder names are added to, innermost last.
+_collectors: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under ``spark.checkpoint.dir`` (a temporary folder only where that is unset)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or _fallback_root()
-    return f"{root.rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
+    if _collectors:
+        _collectors[-1].append(path)
+    return path
+
+
+@contextmanager
+def collected_paths() -> Iterator[list[str]]:
+    """The scratch folders handed out inside the block."""
+    _collectors.append([])
+    try:
+        yield _collectors[-1]
+    finally:
+        _collectors.pop()
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables; only those whose readers have all been written elsewhere."""
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
