@@ -6,35 +6,61 @@ returns a DataFrame. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenkg.llm import best_fit_packing, compact_windows, language_id, quality_rules, simhash
 from lumenkg.llm.queries import pack_digest
-from lumenkg.llm.workspace import materialise, read_table
+from lumenkg.llm.workspace import collected_paths, discard, read_table, scratch_path
+
+
+#: Scratch tables of the stage that ran last. Its result has been written and read again when the next one starts.
+_leftover: list[str] = []
+
+
+def _stage(work: Callable) -> Callable:
+    """Start a stage by deleting the scratch tables of the one before."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _leftover)
+        with collected_paths() as paths:
+            out = work(spark, docs, sf_dir)
+        _leftover[:] = paths
+        return out
+
+    return run_stage
 
 
+@_stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the host-level quality rules keep."""
     return quality_rules.keep_good(docs)
 
 
+@_stage
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; the network learns from the labels of its own input."""
     return language_id.keep_identified(docs)
 
 
+@_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near-duplicates."""
     return simhash.keep_one_of_each(docs)
 
 
+@_stage
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document holds."""
     out = compact_windows.drop_repeated_passages(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
+@_stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece with its place in the packed sequences."""
     return pack_digest(best_fit_packing.cut_pieces(docs))
@@ -54,7 +80,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, root = read_table(spark, sf_dir, "documents"), scratch_path(spark, "run")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = f"{root}/{name}"
+        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
     return docs
