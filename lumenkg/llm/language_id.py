@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenkg.llm.text import utf8_buffer
+from lumenkg.llm.tokenization import release_encoders
 
 P = "__li_"
 UND = "und"
@@ -234,6 +235,7 @@ def predict(docs: DataFrame, net: ByteConvNet | None, text_col: str = "text") ->
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
                 b = whole.slice(lo, 1024)

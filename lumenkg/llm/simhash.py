@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenkg.llm.components import connected_components
+from lumenkg.llm.tokenization import release_encoders
 from lumenkg.llm.workspace import materialise
 
 SMALL_GROUP = 16
@@ -71,6 +72,7 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", width: int = 3) -
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for b in batches:
             prints = np.array([fingerprint(t, width) for t in b.column(at).to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prints, pa.int64())], names=[*b.schema.names, P + "fp"])

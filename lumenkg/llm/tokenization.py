@@ -152,5 +152,10 @@ def unit_encoder(vocabulary: str, split: str) -> UnitEncoder:
     return UnitEncoder(vocabulary, split)
 
 
+def release_encoders() -> None:
+    """Give back this worker's cached ids; called where a task of another operator begins."""
+    unit_encoder.cache_clear()
+
+
 def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8")
