@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenkg.llm.tokenization import unit_encoder, utf8
-from lumenkg.llm.workspace import materialise
+from lumenkg.llm.workspace import bound_batches, materialise
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 PLAN = "length long, lo long, hi long, first_sequence long, per_sequence long, first_offset long"
@@ -106,6 +106,7 @@ def cut_pieces(
     text_col: str = "text",
 ) -> DataFrame:
     """The written table of pieces: ids, and with each its task (``part``) and rank among that task's pieces of its length (``nth``)."""
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return materialise(slim.mapInArrow(_piece_rows(vocabulary, end_id, capacity), PIECES), "pieces")
 

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from lumenkg.llm.text import utf8_buffer
 from lumenkg.llm.tokenization import release_encoders
+from lumenkg.llm.workspace import bound_batches
 
 P = "__li_"
 UND = "und"
@@ -227,6 +228,7 @@ def _predicted(net: ByteConvNet, column: pa.Array) -> tuple[list[str], np.ndarra
 
 def predict(docs: DataFrame, net: ByteConvNet | None, text_col: str = "text") -> DataFrame:
     """Add ``__li_lang`` and ``__li_score`` to every row."""
+    bound_batches(docs.sparkSession)
     marked = docs.withColumn(P + "letters", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     if net is None:
         return marked.withColumns({P + "lang": F.lit(UND), P + "score": F.lit(0.0)}).drop(P + "letters")

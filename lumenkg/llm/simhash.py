@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from lumenkg.llm.components import connected_components
 from lumenkg.llm.tokenization import release_encoders
-from lumenkg.llm.workspace import materialise
+from lumenkg.llm.workspace import bound_batches, materialise
 
 SMALL_GROUP = 16
 TASK_GROUP = 4096
@@ -68,6 +68,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 def with_fingerprints(docs: DataFrame, text_col: str = "text", width: int = 3) -> DataFrame:
     """Add ``__sh_fp`` (the fingerprint as a signed long) to every row."""
+    bound_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField(P + "fp", T.LongType())])
     at = docs.columns.index(text_col)
 

@@ -58,5 +58,13 @@ def materialise(df: DataFrame, label: str, compression: str = "zstd") -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let at most ``rows`` rows travel to a Python worker at once: whole texts of the default 10,000 rows take both sides' memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
