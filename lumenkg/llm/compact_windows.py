@@ -9,7 +9,9 @@ is a run of starts with one signature. Runs with equal signatures meet across
 texts. Each is linked to the first run of its variant (equal text between the
 least shingles), and the first of each variant to the group's first run. Links of two texts along one
 alignment merge into passage pairs, and each pair is verified on the shingles
-of both passages.
+of both passages. Runs with words in no passage found so far then meet the earlier
+runs of their signature that hold those words, so a first run that shares less
+than others do hides nothing.
 
 Groups of a common passage never meet whole: each task first links its own runs
 to its first run of a variant and only that one travels by signature.
@@ -150,11 +152,11 @@ def _text_pieces(column: pa.Array, options: WindowOptions) -> Iterator[tuple[np.
         at = end
 
 
-_RUNS = "key long, inner int, id long, first int, last int, rep_id long, rep_first int"
+_RUNS = "key long, inner int, id long, first int, last int, rep_id long, rep_first int, rep_last int, sig long"
 
 
 def _run_rows(options: WindowOptions):
-    kinds = pa.schema([("key", pa.int64()), ("inner", pa.int32()), ("id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("rep_id", pa.int64()), ("rep_first", pa.int32())])
+    kinds = pa.schema([("key", pa.int64()), ("inner", pa.int32()), ("id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("rep_id", pa.int64()), ("rep_first", pa.int32()), ("rep_last", pa.int32()), ("sig", pa.int64())])
 
     def settle(held: list) -> pa.RecordBatch:
         """Link runs to this task's first run of their signature and variant; links get a key of their own."""
@@ -171,6 +173,7 @@ def _run_rows(options: WindowOptions):
         columns = [
             pa.array(np.where(link, own, key.view(np.int64))[keep]), pa.array(inner[keep].view(np.int32)), pa.array(doc[keep]), pa.array(first[keep].astype(np.int32)), pa.array(last[keep].astype(np.int32)),
             pa.array(doc[leader][keep], mask=~link[keep]), pa.array(first[leader][keep].astype(np.int32), mask=~link[keep]),
+            pa.array(last[leader][keep].astype(np.int32), mask=~link[keep]), pa.array(key.view(np.int64)[keep], mask=~link[keep]),
         ]
         return pa.RecordBatch.from_arrays(columns, schema=kinds)
 
@@ -276,24 +279,23 @@ def _similarity_rows(options: WindowOptions):
     return run
 
 
-def _passage_pairs(texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """(id, rep_id, first, stop, rep_first, rep_stop): passages in words, merged along one alignment of two texts."""
+def _run_links(texts: DataFrame, options: WindowOptions) -> DataFrame:
+    """(sig, id, first, last, rep_id, rep_first, rep_last): the runs of a signature, each linked to an earlier one."""
     runs = texts.select("id", "text").mapInArrow(_run_rows(options), _RUNS)
     # a run links to the first of its variant, and the first of a variant to the first of all variants
-    run = F.when(F.col("rep_id").isNull(), F.struct("id", "first"))
+    run = F.when(F.col("rep_id").isNull(), F.struct("id", "first", "last"))
     led = runs.withColumns({"own": F.min(run).over(Window.partitionBy("key", "inner")), "all": F.min(run).over(Window.partitionBy("key"))})
     far = F.when((F.col("own.id") == F.col("id")) & (F.col("own.first") == F.col("first")), F.col("all")).otherwise(F.col("own"))
-    links = led.withColumn("lead", far).select(
-        "id", "first", "last", F.coalesce("rep_id", "lead.id").alias("rep_id"), F.coalesce("rep_first", "lead.first").alias("rep_first")
-    )
-    # the smaller id keeps its passage, whichever side the task linked from
-    swap = F.col("id") < F.col("rep_id")
-    links = links.filter("id <> rep_id").select(
-        F.greatest("id", "rep_id").alias("id"), F.least("id", "rep_id").alias("rep_id"),
-        F.when(swap, F.col("rep_first")).otherwise(F.col("first")).alias("first"),
-        F.when(swap, F.col("first")).otherwise(F.col("rep_first")).alias("rep_first"),
-        (F.col("last") - F.col("first") + options.min_words).alias("n"),
+    linked = led.withColumn("lead", far).select(
+        F.coalesce("sig", "key").alias("sig"), "id", "first", "last",
+        *[F.coalesce(f"rep_{c}", f"lead.{c}").alias(f"rep_{c}") for c in ("id", "first", "last")],
     )
+    return linked.filter("id <> rep_id or first <> rep_first")
+
+
+def _passage_pairs(links: DataFrame, options: WindowOptions) -> DataFrame:
+    """(id, rep_id, first, stop, rep_first, rep_stop): passages in words, merged along one alignment of two texts."""
+    links = links.filter("id <> rep_id").select("id", "rep_id", "first", "rep_first", (F.col("last") - F.col("first") + options.min_words).alias("n"))
     by = Window.partitionBy("id", "rep_id").orderBy("shift", "first")
     gap = (F.col("shift") - F.lag("shift").over(by) > 2 * options.width) | (F.col("first") - F.lag("first").over(by) > options.min_words)
     ordered = links.withColumn("shift", F.col("first") - F.col("rep_first")).withColumn("cut", F.coalesce(gap, F.lit(True)).cast("int"))
@@ -305,6 +307,116 @@ def _passage_pairs(texts: DataFrame, options: WindowOptions) -> DataFrame:
     )
 
 
+def _open_words(first: int, stop: int, cover: list[dict] | None) -> np.ndarray:
+    """Which words from ``first`` to ``stop`` lie in no span of ``cover``."""
+    out = np.ones(stop - first, bool)
+    for c in cover or []:
+        out[max(c["first"] - first, 0) : max(c["stop"] - first, 0)] = False
+    return out
+
+
+def _judge_rows(options: WindowOptions):
+    """(sig, id, first, last, open) of each run; it is open while some of its words are in no verified passage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for i, runs, cover in zip(*(b.column(k).to_pylist() for k in range(3))):
+                rows += [(r["sig"], i, r["first"], r["last"], bool(_open_words(r["first"], r["last"] + options.min_words, cover).any())) for r in runs]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)], names=["sig", "id", "first", "last", "open"])
+
+    return run
+
+
+def _open_rows(options: WindowOptions):
+    """(sig, id, first, words, open): the words around each run, and a flag for each in no verified passage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 64):
+                b = whole.slice(lo, 64)
+                data, offsets = utf8_buffer(b.column(1))
+                words, at = word_hashes(data, offsets)
+                words, rows = words.astype(np.uint32), []
+                for k, (i, runs, cover) in enumerate(zip(*(b.column(c).to_pylist() for c in (0, 2, 3)))):
+                    for r in runs:
+                        first = max(r["first"] - 2 * options.width, 0)
+                        stop = min(r["last"] + options.min_words + 2 * options.width, int(at[k + 1] - at[k]))
+                        spare = _open_words(first, stop, cover)
+                        spare[: r["first"] - first] = spare[r["last"] + options.min_words - first :] = False
+                        rows.append((r["sig"], i, first, words[at[k] + first : at[k] + stop].tobytes(), spare.tobytes()))
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(list(zip(*rows)) or [[]] * 5, kinds)], names=["sig", "id", "first", "words", "open"])
+
+    return run
+
+
+_FOUND = "id long, rep_id long, first int, stop int, rep_first int, rep_stop int, similarity double"
+
+
+def rematched(ids: np.ndarray, firsts: np.ndarray, words: list[np.ndarray], spare: list[np.ndarray], options: WindowOptions) -> list[tuple]:
+    """Passages of the runs of one signature group, ordered by id: each run with open words meets every run of an earlier
+    document that holds a shingle of them, until all its words are in a passage.
+
+    A partner must share shingles that lie at least a window apart, so runs that share a shorter line only are never compared.
+    """
+    shingles = [shingle_hashes(v.astype(np.uint64), options.width) for v in words]
+    value = np.concatenate(shingles)
+    owner = np.repeat(np.arange(len(ids)), [len(v) for v in shingles])
+    order = np.lexsort((owner, value))
+    value, owner, found = value[order], owner[order], []
+    for k in range(len(ids)):
+        earlier = int(np.searchsorted(ids, ids[k]))
+        if not earlier or not spare[k].any():
+            continue
+        low, high = np.searchsorted(value, shingles[k], side="left"), np.searchsorted(value, shingles[k], side="right")
+        reach = np.convolve(spare[k], np.ones(options.width, int))[options.width - 1 : len(spare[k])] > 0
+        near = np.unique(np.concatenate([np.zeros(0, np.int64), *(owner[a:b] for a, b in zip(low[reach], high[reach]))]))
+        near = near[near < earlier]
+        if not len(near):
+            continue
+        least, most = np.full(len(ids), len(reach)), np.full(len(ids), -1)
+        for p, (a, b) in enumerate(zip(low, high)):
+            least[owner[a:b]] = np.minimum(least[owner[a:b]], p)
+            most[owner[a:b]] = p
+        for j in near[most[near] - least[near] + 1 >= options.min_shingles]:
+            if not spare[k].any():
+                break
+            fresh = [m for m in shared_blocks(words[k].astype(np.uint64), words[j].astype(np.uint64), options) if spare[k][m[0] : m[1]].any()]
+            for a, b, c, d, s in fresh:
+                spare[k][a:b] = False
+                found.append((ids[k], ids[j], firsts[k] + a, firsts[k] + b, firsts[j] + c, firsts[j] + d, s))
+    return found
+
+
+def _rematch(options: WindowOptions):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("id", "ascending"), ("first", "ascending")])
+        words = [np.frombuffer(v, np.uint32) for v in group["words"].to_pylist()]
+        spare = [np.frombuffer(v, bool).copy() for v in group["open"].to_pylist()]
+        rows = rematched(group["id"].to_numpy(), group["first"].to_numpy(), words, spare, options)
+        kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64()]
+        names = ["id", "rep_id", "first", "stop", "rep_first", "rep_stop", "similarity"]
+        return pa.table([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 7, kinds)], names=names)
+
+    return run
+
+
+def _further_passages(links: DataFrame, found: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
+    """Passages of the runs that their one link left open, met with the other runs of their signature."""
+    ends = links.select("sig", "id", "first", "last").unionByName(links.select("sig", *[F.col(f"rep_{c}").alias(c) for c in ("id", "first", "last")]))
+    crowd = links.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig")  # two runs have met already
+    cover = found.groupBy("id").agg(F.collect_set(F.struct("first", "stop")).alias("cover"))
+    runs = lambda df: df.groupBy("id").agg(F.collect_set(F.struct("sig", "first", "last")).alias("runs"))
+    judged = runs(ends.join(crowd, "sig")).join(cover, "id", "left").select("id", "runs", "cover")
+    judged = materialise(judged.mapInArrow(_judge_rows(options), "sig long, id long, first int, last int, open boolean"), "judged")
+    again = judged.join(judged.filter("open").select("sig").distinct(), "sig")
+    spans = texts.select("id", "text").join(runs(again), "id").join(cover, "id", "left").select("id", "text", "runs", "cover")
+    spans = spans.mapInArrow(_open_rows(options), "sig long, id long, first int, words binary, open binary")
+    return spans.groupBy("sig").applyInArrow(_rematch(options), _FOUND).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
     """The passages that pairs share, trimmed to shared shingles and verified; each text is shuffled once."""
     named = materialise(pairs.withColumn("pair", F.xxhash64("id", "rep_id", "part")), "pairs")
@@ -325,7 +437,9 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, rep_id, first, stop, rep_first, rep_stop, similarity): verified passages of ``id`` that ``rep_id`` < ``id`` holds."""
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("id is not null")
-    return _verified(_passage_pairs(texts, options), texts, options)
+    links = materialise(_run_links(texts, options), "links")
+    found = materialise(_verified(_passage_pairs(links, options), texts, options), "passages")
+    return found.unionByName(_further_passages(links, found, texts, options))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: WindowOptions = WindowOptions()) -> DataFrame:

@@ -94,3 +94,21 @@ def test_long_texts_are_cut_into_overlapping_pieces(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = cw.repeated_passages(docs, options=cw.WindowOptions(segment=100)).collect()
     assert any((r["doc_id"], r["source_doc_id"], r["source_first_word"], r["source_stop_word"]) == (2, 1, 977, 1037) for r in found)
+
+
+def words_of(rng, n):
+    return ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+
+
+def test_passages_around_a_frequent_line_are_found(spark):
+    rng = random.Random(11)
+    line = words_of(rng, 45)
+    rows = [(i, " ".join(words_of(rng, 60) + line + words_of(rng, 60))) for i in range(40)]
+    want = set()
+    for i in range(60):
+        tail = words_of(rng, 5)
+        rows += [(100 + 2 * i + k, " ".join(words_of(rng, 60) + line + tail + words_of(rng, 60))) for k in (0, 1)]
+        want.add((101 + 2 * i, 100 + 2 * i))
+    found = cw.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["source_doc_id"]) for r in found} == want
+    assert all(r["similarity"] >= 0.8 and r["first_word"] <= 60 and r["stop_word"] >= 110 for r in found)
