@@ -125,7 +125,11 @@ def signature_runs(shingles: np.ndarray, bounds: np.ndarray, options: WindowOpti
             signature = mix(signature * np.uint64(0x9E3779B97F4A7C15) + shingles[place[at]])
             last = np.minimum(last, end[at])
             left, right = np.minimum(left, place[at]), np.maximum(right, place[at])
-        out.append((signature, starts, last, (sums[right + 1] - sums[left]).astype(np.uint32)))
+        inner = (sums[right + 1] - sums[left]).astype(np.uint32)
+        # a text that repeats itself has the same run again and again: one run
+        head = np.concatenate([[True], (signature[1:] != signature[:-1]) | (inner[1:] != inner[:-1]) | (starts[1:] != last[:-1] + 1)])
+        tail = np.concatenate([head[1:], [True]])
+        out.append((signature[head], starts[head], last[tail], inner[head]))
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -159,16 +163,17 @@ def _run_rows(options: WindowOptions):
     kinds = pa.schema([("key", pa.int64()), ("inner", pa.int32()), ("id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("rep_id", pa.int64()), ("rep_first", pa.int32()), ("rep_last", pa.int32()), ("sig", pa.int64())])
 
     def settle(held: list) -> pa.RecordBatch:
-        """Link runs to this task's first run of their signature and variant; links get a key of their own."""
+        """Link runs to this task's first run of their signature and variant; links get a key of their own.
+
+        Repeats within the first run's document stay unlinked, so they meet earlier documents as that run does.
+        """
         key, doc, first, last, inner = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((first, doc, inner, key))
         key, doc, first, last, inner = key[order], doc[order], first[order], last[order], inner[order]
         lead = np.concatenate([[True], (key[1:] != key[:-1]) | (inner[1:] != inner[:-1])])
         leader = np.flatnonzero(lead)[np.cumsum(lead) - 1]
         link = ~lead & (doc != doc[leader])
-        keep = lead | link
-        keep = np.flatnonzero(keep)
-        keep = keep[np.lexsort((first[keep], doc[keep]))]  # neighbours share their id, which shuffles smaller
+        keep = np.lexsort((first, doc))  # neighbours share their id, which shuffles smaller
         own = mix(doc.view(np.uint64) ^ mix(first.astype(np.uint64) + np.uint64(1)) ^ key).view(np.int64)
         columns = [
             pa.array(np.where(link, own, key.view(np.int64))[keep]), pa.array(inner[keep].view(np.int32)), pa.array(doc[keep]), pa.array(first[keep].astype(np.int32)), pa.array(last[keep].astype(np.int32)),
@@ -282,10 +287,10 @@ def _similarity_rows(options: WindowOptions):
 def _run_links(texts: DataFrame, options: WindowOptions) -> DataFrame:
     """(sig, id, first, last, rep_id, rep_first, rep_last): the runs of a signature, each linked to an earlier one."""
     runs = texts.select("id", "text").mapInArrow(_run_rows(options), _RUNS)
-    # a run links to the first of its variant, and the first of a variant to the first of all variants
+    # a run links to the first of its variant, or to the first of all variants where that is of its own document
     run = F.when(F.col("rep_id").isNull(), F.struct("id", "first", "last"))
     led = runs.withColumns({"own": F.min(run).over(Window.partitionBy("key", "inner")), "all": F.min(run).over(Window.partitionBy("key"))})
-    far = F.when((F.col("own.id") == F.col("id")) & (F.col("own.first") == F.col("first")), F.col("all")).otherwise(F.col("own"))
+    far = F.when(F.col("own.id") == F.col("id"), F.col("all")).otherwise(F.col("own"))
     linked = led.withColumn("lead", far).select(
         F.coalesce("sig", "key").alias("sig"), "id", "first", "last",
         *[F.coalesce(f"rep_{c}", f"lead.{c}").alias(f"rep_{c}") for c in ("id", "first", "last")],

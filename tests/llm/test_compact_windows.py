@@ -112,3 +112,17 @@ def test_passages_around_a_frequent_line_are_found(spark):
     found = cw.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["source_doc_id"]) for r in found} == want
     assert all(r["similarity"] >= 0.8 and r["first_word"] <= 60 and r["stop_word"] >= 110 for r in found)
+
+
+def test_repeats_within_a_document_meet_earlier_documents(spark):
+    rng = random.Random(12)
+    passage = words_of(rng, 60)
+    first = [(1, " ".join(words_of(rng, 40) + passage + words_of(rng, 40)))]
+    again = [(2, " ".join(words_of(rng, 70) + passage + words_of(rng, 70) + passage + words_of(rng, 30)))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(first + again, 2), "doc_id long, text string")  # two tasks
+    found = cw.repeated_passages(docs).collect()
+    assert {(r["doc_id"], r["source_doc_id"]) for r in found} == {(2, 1)}
+    cut = {w for r in found for w in range(r["first_word"], r["stop_word"])}
+    assert cut >= {*range(70, 130), *range(200, 260)}
+    left = " ".join(r["text"] for r in cw.drop_repeated_passages(docs).collect())
+    assert left.count(" ".join(passage)) == 1
