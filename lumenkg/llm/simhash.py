@@ -153,6 +153,14 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _with_components(marked: DataFrame, id_col: str) -> DataFrame:
+    return _with_parts(marked, id_col).drop(P + "part")
+
+
+def _with_parts(marked: DataFrame, id_col: str) -> DataFrame:
+    """``marked`` with ``__sh_part``, the smallest fingerprint of the component, and ``__sh_component``, its smallest id.
+
+    Ids may be null or used twice, so only the part tells components apart.
+    """
     classes = materialise(marked.groupBy(F.col(P + "fp").alias("fp")).agg(F.min(id_col).alias("least")), "classes")
     edges = materialise(link_fingerprints(classes.select("fp")), "links")
     parts = connected_components(edges)
@@ -160,7 +168,7 @@ def _with_components(marked: DataFrame, id_col: str) -> DataFrame:
         "fp", "least", F.coalesce("component", "fp").alias("part")
     )
     names = placed.groupBy("part").agg(F.min("least").alias(P + "component"))
-    lookup = placed.join(names, "part").select(F.col("fp").alias(P + "key"), P + "component")
+    lookup = placed.join(names, "part").select(F.col("fp").alias(P + "key"), F.col("part").alias(P + "part"), P + "component")
     return marked.join(lookup, F.col(P + "fp") == F.col(P + "key"), "left").drop(P + "key")
 
 
@@ -169,7 +177,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     row = F.monotonically_increasing_id().alias(P + "row")
     marked = materialise(with_fingerprints(docs, text_col).select("*", row), "prints")
     slim = marked.select(P + "row", id_col, P + "fp")
-    classed = _with_components(slim, id_col)
+    classed = _with_parts(slim, id_col)
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(P + "row").alias("row")))
-    kept = classed.groupBy(P + "component").agg(first.alias("first")).select(F.col("first.row").alias(P + "row"))
+    kept = classed.groupBy(P + "part").agg(first.alias("first")).select(F.col("first.row").alias(P + "row"))
     return marked.join(kept, P + "row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -73,3 +73,10 @@ def test_classes_and_keepers(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
     assert simhash.near_duplicate_classes(docs.limit(0)).count() == 0
     assert simhash.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_components_of_null_or_equal_ids_stay_apart(spark):
+    texts = ["one two three four", "alpha beta gamma delta", "red green blue black", "north south east west"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3])]
+    kept = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(0, texts[0]), (0, texts[1]), (7, texts[2]), (7, texts[3])])
