@@ -51,7 +51,7 @@ class WindowOptions:
 
     min_words: int = 50
     width: int = 5
-    bands: int = 3
+    bands: int = 8
     rows: int = 2
     similarity: float = 0.8
     segment: int = 1 << 17
@@ -224,9 +224,8 @@ def _span_rows(options: WindowOptions):
 def shared_blocks(a: np.ndarray, b: np.ndarray, options: WindowOptions) -> list[tuple[int, int, int, int, float]]:
     """(start, stop, start in b, stop in b, similarity) of the passages of at least ``min_words`` words that two runs of words share.
 
-    Exact runs of shared shingles along one alignment are joined to the run before while they lie within two shingle
-    widths and the Jaccard similarity of the shingles of both sides stays up; so an exact passage is found whatever
-    surrounds it.
+    Exact runs of shared shingles are joined as far as the Jaccard similarity of all shingles of both sides stays up,
+    however long the gap between two of them; so an exact passage is found whatever surrounds it. Passages may overlap.
     """
     w = options.width
     x, y = shingle_hashes(a, w), shingle_hashes(b, w)
@@ -253,16 +252,27 @@ def shared_blocks(a: np.ndarray, b: np.ndarray, options: WindowOptions) -> list[
         both = len(np.intersect1d(left, right, assume_unique=True))
         return both / (len(left) + len(right) - both)
 
-    found, open_ = [], runs[0]
-    for run in runs[1:]:
-        joined = (open_[0], run[1], open_[2], run[3])
-        close = run[0] - open_[1] <= 2 * w and 0 < run[2] - open_[3] <= 2 * w
-        if close and similarity(joined) >= options.similarity:
-            open_ = joined
-        else:
-            found.append(open_)
-            open_ = run
-    found.append(open_)
+    found, done = [], -1
+    x0, x1, y0, y1 = (np.array(c) for c in zip(*runs))
+    held = np.cumsum(x1 - x0 + 1)
+    for i in range(len(runs)):
+        # the farthest run that keeps the similarity up, by the number of shared places first
+        both = held[i:] - held[i] + x1[i] - x0[i] + 1
+        places = (x1[i:] - x0[i] + 1) + (y1[i:] - y0[i] + 1) - both
+        ahead = (both >= options.similarity * places) & (y0[i:] > y1[i])
+        ends = i + np.flatnonzero(ahead)
+        far = i
+        for j in ends[ends > done][::-1]:
+            if similarity((x0[i], x1[j], y0[i], y1[j])) >= options.similarity:
+                far = int(j)
+                break
+        while far + 1 < len(runs) and x0[far + 1] - x1[far] <= 2 * w and 0 < y0[far + 1] - y1[far] <= 2 * w:
+            if similarity((x0[i], x1[far + 1], y0[i], y1[far + 1])) < options.similarity:
+                break
+            far += 1
+        if far > done:
+            found.append((int(x0[i]), int(x1[far]), int(y0[i]), int(y1[far])))
+            done = far
     return [(i, j + w, k, m + w, similarity((i, j, k, m))) for i, j, k, m in found if j - i + w >= options.min_words]
 
 
@@ -305,7 +315,7 @@ def _passage_pairs(links: DataFrame, options: WindowOptions) -> DataFrame:
     gap = (F.col("shift") - F.lag("shift").over(by) > 2 * options.width) | (F.col("first") - F.lag("first").over(by) > options.min_words)
     ordered = links.withColumn("shift", F.col("first") - F.col("rep_first")).withColumn("cut", F.coalesce(gap, F.lit(True)).cast("int"))
     ordered = ordered.withColumn("part", F.sum("cut").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    margin = 2 * options.width
+    margin = 2 * options.min_words  # an insertion shifts what follows it to another part: each part reads past it
     return ordered.groupBy("id", "rep_id", "part").agg(
         F.greatest(F.min("first") - margin, F.lit(0)).alias("first"), (F.max(F.col("first") + F.col("n")) + margin).alias("stop"),
         F.greatest(F.min("rep_first") - margin, F.lit(0)).alias("rep_first"), (F.max(F.col("rep_first") + F.col("n")) + margin).alias("rep_stop"),
@@ -346,8 +356,8 @@ def _open_rows(options: WindowOptions):
                 words, rows = words.astype(np.uint32), []
                 for k, (i, runs, cover) in enumerate(zip(*(b.column(c).to_pylist() for c in (0, 2, 3)))):
                     for r in runs:
-                        first = max(r["first"] - 2 * options.width, 0)
-                        stop = min(r["last"] + options.min_words + 2 * options.width, int(at[k + 1] - at[k]))
+                        first = max(r["first"] - options.min_words, 0)
+                        stop = min(r["last"] + 2 * options.min_words, int(at[k + 1] - at[k]))
                         spare = _open_words(first, stop, cover)
                         spare[: r["first"] - first] = spare[r["last"] + options.min_words - first :] = False
                         rows.append((r["sig"], i, first, words[at[k] + first : at[k] + stop].tobytes(), spare.tobytes()))

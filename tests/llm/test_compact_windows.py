@@ -126,3 +126,29 @@ def test_repeats_within_a_document_meet_earlier_documents(spark):
     assert cut >= {*range(70, 130), *range(200, 260)}
     left = " ".join(r["text"] for r in cw.drop_repeated_passages(docs).collect())
     assert left.count(" ".join(passage)) == 1
+
+
+def test_near_passages_of_one_window_are_found(spark):
+    rng, rows = random.Random(13), []
+    for i in range(400):
+        passage = words_of(rng, rng.randint(50, 60))
+        edited = list(passage)
+        edited[rng.randint(6, len(passage) - 7)] = "edited"
+        rows += [(2 * i + k, words_of(rng, 50) + p + words_of(rng, 50)) for k, p in enumerate((passage, edited))]
+    near = set()
+    for (_, a), (k, b) in zip(rows[::2], rows[1::2]):  # brute force
+        hashes = [cw.word_hashes(*cw.utf8_buffer(cw.pa.array([" ".join(x)])))[0] for x in (b, a)]
+        near |= {(k, k - 1)} if cw.shared_blocks(*hashes, OPTIONS) else set()
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in rows], "doc_id long, text string")
+    found = {(r["doc_id"], r["source_doc_id"]) for r in cw.repeated_passages(docs).collect()}
+    print("recall", len(found & near), "of", len(near))
+    assert len(near) > 390 and found <= near and len(found) >= 0.995 * len(near)
+
+
+def test_an_insertion_splits_no_passage(spark):
+    rng = random.Random(14)
+    left, right, inserted = words_of(rng, 45), words_of(rng, 45), words_of(rng, 12)
+    rows = [(1, " ".join(words_of(rng, 80) + left + right + words_of(rng, 80))), (2, " ".join(words_of(rng, 30) + left + inserted + right))]
+    found = cw.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["source_doc_id"], r["first_word"], r["stop_word"]) for r in found} == {(2, 1, 30, 132)}
+    assert all(abs(r["similarity"] - 82 / 102) < 1e-9 for r in found)
