@@ -3,26 +3,32 @@
 A text is a sequence of five-word shingles. For a hash function, all
 subsequences of at least ``min_shingles`` shingles with the same min-hash form
 compact windows (l, c, r): the nodes of the Cartesian tree over the hashes,
-split at the least hash c. Within a text, the windows of the hash functions of
-one band are joined as intervals of subsequence starts; each piece of that join
-is a run of starts with one signature. Runs with equal signatures meet across
-texts. Each is linked to the first run of its variant (equal text between the
-least shingles), and the first of each variant to the group's first run. Links of two texts along one
-alignment merge into passage pairs, and each pair is verified on the shingles
-of both passages. Runs with words in no passage found so far then meet the earlier
-runs of their signature that hold those words, so a first run that shares less
-than others do hides nothing.
-
-Groups of a common passage never meet whole: each task first links its own runs
-to its first run of a variant and only that one travels by signature.
+split at the least hash c. Texts whose windows have the same least shingle meet
+by equality on it. They are searched in two ways:
+
+* Equal passages. The windows of the first hash function that meet another text
+  stand for runs of window starts; every start of such a run is joined on a hash
+  of all its shingles with the earliest start that has the same. Two texts that
+  share ``min_words`` words share the least shingle of them, so no equal passage
+  is missed, whatever surrounds it and however frequent its lines are.
+* Near passages. The windows of all hash functions whose least shingle lies in
+  no passage yet are linked to the first text of their least shingle, and to the
+  first of those with the same words on one side of it. Links of two texts along
+  one alignment are joined as intervals, and each joined interval is verified on
+  the shingles of both texts. A pair of windows at the similarity 0.8 shares the
+  least shingle of one of four hash functions with probability 0.998.
+
+Groups of a common shingle never meet whole: each task first links its own
+members to its first one and hands on that one only, so a group has a row for
+each of a task's flushes, and a text is the first for a flush's texts at most.
 
 Texts that are whole copies of an earlier one come out as one passage.
 
 Defined results: null, blank and short texts (under ``min_words`` words) have
-no passages; an id names a document, so repeated rows are no copies of each
-other, and all of them lose the passages that an earlier document holds; rows
-with a null id have no passages; an empty table gives an empty result; other
-columns are ignored by ``repeated_passages`` and kept by
+no passages; A-Z count as a-z; an id names a document, so repeated rows are no
+copies of each other, and all of them lose the passages that an earlier document
+holds; rows with a null id have no passages; an empty table gives an empty
+result; other columns are ignored by ``repeated_passages`` and kept by
 ``drop_repeated_passages``.
 """
 
@@ -47,92 +53,94 @@ P = "__cw_"
 
 @dataclass(frozen=True)
 class WindowOptions:
-    """``bands`` signatures of ``rows`` min-hashes each over windows of ``min_words`` words cut into ``width``-word shingles."""
+    """Windows of ``min_words`` words cut into ``width``-word shingles under ``functions`` hash functions; ``side`` is how
+    many shingles on one side of the least one tell its variants apart."""
 
     min_words: int = 50
     width: int = 5
-    bands: int = 8
-    rows: int = 2
+    functions: int = 4
+    side: int = 12
     similarity: float = 0.8
     segment: int = 1 << 17
-    flush: int = 1 << 18
+    flush: int = 1 << 19
 
     @property
     def min_shingles(self) -> int:
         return self.min_words - self.width + 1
 
 
+def _least_places(packed: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarray:
+    """Places that are the least of some ``least`` neighbours within one text, from minima over power-of-two spans."""
+    span = 1
+    now = packed
+    while 2 * span <= least:
+        now = np.minimum(now[: len(now) - span], now[span:])
+        span *= 2
+    if span < least:
+        now = np.minimum(now[: len(now) - (least - span)], now[least - span :])
+    inside = np.zeros(len(now), bool)
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        inside[a : max(b - least + 1, a)] = True
+    return np.unique(now[inside] & np.uint64((1 << int(len(packed)).bit_length()) - 1)).astype(np.int64)
+
+
 def compact_windows(values: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r) of every compact window of at least ``least`` places, over texts at ``bounds`` of one array.
 
-    All Cartesian trees grow together, level by level: each open interval is
-    split at its least value (ties at the first place), found in a table of
-    minima over power-of-two spans.
+    A node of the Cartesian tree holds ``least`` places only if it is the least
+    of so many neighbours, and so do all nodes above it. The tree over these
+    places alone therefore has the windows' bounds; all trees grow together,
+    level by level (ties at the first place).
     """
     n = len(values)
-    lo, hi = bounds[:-1].astype(np.int64), bounds[1:].astype(np.int64) - 1
-    keep = hi - lo + 1 >= least
-    lo, hi = lo[keep], hi[keep]
-    if not len(lo):
+    bounds = np.asarray(bounds, np.int64)
+    if n < least:
+        return (np.zeros(0, np.int64),) * 3
+    bits = np.uint64(n.bit_length())
+    packed = (values >> bits) << bits | np.arange(n, dtype=np.uint64)
+    places = _least_places(packed, bounds, least)
+    if not len(places):
         return (np.zeros(0, np.int64),) * 3
-    bits = max(1, int(n).bit_length())
-    tables = [(values >> np.uint64(bits)) << np.uint64(bits) | np.arange(n, dtype=np.uint64)]
-    for k in range(int(hi.max() if len(hi) else 0).bit_length()):
-        span = 1 << k
-        if 2 * span > int((hi - lo).max()) + 1:
-            break
-        t = tables[-1]
-        tables.append(np.minimum(t[: n - 2 * span + 1], t[span : n - span + 1]))
+    cuts = np.searchsorted(places, bounds)
+    begin, end = np.repeat(bounds[:-1], np.diff(cuts)), np.repeat(bounds[1:], np.diff(cuts))
+    lo, hi = cuts[:-1], cuts[1:] - 1
+    lo, hi = lo[hi >= lo], hi[hi >= lo]
+    tables = [((packed[places] >> bits) << bits) | np.arange(len(places), dtype=np.uint64)]
+    for k in range(int((hi - lo).max() + 1).bit_length() - 1):
+        span, t = 1 << k, tables[-1]
+        tables.append(np.minimum(t[: len(t) - span], t[span:]))
     found = []
-    place = np.uint64((1 << bits) - 1)
     while len(lo):
         level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
         best = np.empty(len(lo), dtype=np.uint64)
         for k in np.unique(level):
-            m = level == k
-            t = tables[k]
+            m, t = level == k, tables[k]
             best[m] = np.minimum(t[lo[m]], t[hi[m] - (1 << int(k)) + 1])
-        c = (best & place).astype(np.int64)
+        c = (best & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
         found.append((lo, c, hi))
         lo, hi = np.concatenate([lo, c + 1]), np.concatenate([c - 1, hi])
-        keep = hi - lo + 1 >= least
+        keep = hi >= lo
         lo, hi = lo[keep], hi[keep]
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def signature_runs(shingles: np.ndarray, bounds: np.ndarray, options: WindowOptions) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, first start, last start, inner) of the runs of window starts that share all min-hashes of a band;
-    ``inner`` is a hash of all shingles between the least ones, so it tells variants of a passage apart."""
-    t, out, number = options.min_shingles, [], 0
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles))])
-    for band in range(options.bands):
-        cuts, held = [], []
-        for _ in range(options.rows):
-            number += 1
-            values = mix(shingles ^ mix(np.uint64([number]))[0])
-            left, c, right = compact_windows(values, bounds, t)
-            first = np.maximum(left, c - t + 1)
-            order = np.argsort(first, kind="stable")
-            cuts.append(first[order])
-            held.append((np.minimum(c, right - t + 1)[order], c[order]))
-        if not len(cuts[0]):
-            continue
-        starts = np.unique(np.concatenate(cuts))
-        signature, last = np.full(len(starts), np.uint64(band + 1)), np.full(len(starts), np.iinfo(np.int64).max)
-        left, right = last.copy(), np.zeros(len(starts), np.int64)
-        for cut, (end, place) in zip(cuts, held):
-            at = np.searchsorted(cut, starts, side="right") - 1
-            signature = mix(signature * np.uint64(0x9E3779B97F4A7C15) + shingles[place[at]])
-            last = np.minimum(last, end[at])
-            left, right = np.minimum(left, place[at]), np.maximum(right, place[at])
-        inner = (sums[right + 1] - sums[left]).astype(np.uint32)
-        # a text that repeats itself has the same run again and again: one run
-        head = np.concatenate([[True], (signature[1:] != signature[:-1]) | (inner[1:] != inner[:-1]) | (starts[1:] != last[:-1] + 1)])
-        tail = np.concatenate([head[1:], [True]])
-        out.append((signature[head], starts[head], last[tail], inner[head]))
-    if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-    return tuple(np.concatenate(x) for x in zip(*out))
+    lo, c, hi = (np.concatenate(x) for x in zip(*found))
+    before, after = places[np.maximum(lo - 1, 0)] + 1, places[np.minimum(hi + 1, len(places) - 1)] - 1
+    left = np.where((lo > 0) & (before > begin[c]), before, begin[c])
+    right = np.where((hi + 1 < len(places)) & (after < end[c] - 1), after, end[c] - 1)
+    return left, places[c], right
+
+
+def least_shingles(shingles: np.ndarray, bounds: np.ndarray, options: WindowOptions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, first start, last start): places of the least shingles of all windows under all hash functions; for those of
+    the first function the run of starts whose window has its least shingle there, for others an empty run."""
+    t, places, runs = options.min_shingles, [], None
+    for number in range(1, options.functions + 1):
+        left, c, right = compact_windows(mix(shingles ^ mix(np.uint64([number]))[0]), bounds, t)
+        runs = runs or (c, np.maximum(left, c - t + 1), np.minimum(c, right - t + 1))
+        places.append(c)
+    every = np.unique(np.concatenate(places))
+    first, last = np.zeros(len(every), np.int64), np.full(len(every), -1)
+    at = np.searchsorted(every, runs[0])
+    first[at], last[at] = runs[1], runs[2]
+    return every, first, last
 
 
 def _text_pieces(column: pa.Array, options: WindowOptions) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -156,31 +164,40 @@ def _text_pieces(column: pa.Array, options: WindowOptions) -> Iterator[tuple[np.
         at = end
 
 
-_RUNS = "key long, inner int, id long, first int, last int, rep_id long, rep_first int, rep_last int, sig long"
+def _firsts(keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, leader, link): rows sorted by key, document and place; the position of the first of each key; and whether a
+    row links to it. Rows of the first's own document stay unlinked, so they meet earlier documents as it does."""
+    order = np.lexsort((place, doc, *keys))
+    lead = np.ones(len(order), bool)
+    lead[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    leader = np.flatnonzero(lead)[np.cumsum(lead) - 1]
+    return order, leader, doc[order] != doc[order][leader]
+
+
+def _salts(link: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """0 for rows that still look for their first; linked rows get a number of their own, which spreads them."""
+    return np.where(link, (mix(doc.view(np.uint64) + mix(place.astype(np.uint64))) >> np.uint64(33)).astype(np.int32) | 1, 0).astype(np.int32)
+
+
+_RUNS = "key long, salt int, id long, c int, first int, last int, many boolean, rep_id long, rep_c int"
 
 
 def _run_rows(options: WindowOptions):
-    kinds = pa.schema([("key", pa.int64()), ("inner", pa.int32()), ("id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("rep_id", pa.int64()), ("rep_first", pa.int32()), ("rep_last", pa.int32()), ("sig", pa.int64())])
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
+    names = ["key", "salt", "id", "c", "first", "last", "many", "rep_id", "rep_c"]
 
     def settle(held: list) -> pa.RecordBatch:
-        """Link runs to this task's first run of their signature and variant; links get a key of their own.
-
-        Repeats within the first run's document stay unlinked, so they meet earlier documents as that run does.
-        """
-        key, doc, first, last, inner = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((first, doc, inner, key))
-        key, doc, first, last, inner = key[order], doc[order], first[order], last[order], inner[order]
-        lead = np.concatenate([[True], (key[1:] != key[:-1]) | (inner[1:] != inner[:-1])])
-        leader = np.flatnonzero(lead)[np.cumsum(lead) - 1]
-        link = ~lead & (doc != doc[leader])
-        keep = np.lexsort((first, doc))  # neighbours share their id, which shuffles smaller
-        own = mix(doc.view(np.uint64) ^ mix(first.astype(np.uint64) + np.uint64(1)) ^ key).view(np.int64)
-        columns = [
-            pa.array(np.where(link, own, key.view(np.int64))[keep]), pa.array(inner[keep].view(np.int32)), pa.array(doc[keep]), pa.array(first[keep].astype(np.int32)), pa.array(last[keep].astype(np.int32)),
-            pa.array(doc[leader][keep], mask=~link[keep]), pa.array(first[leader][keep].astype(np.int32), mask=~link[keep]),
-            pa.array(last[leader][keep].astype(np.int32), mask=~link[keep]), pa.array(key.view(np.int64)[keep], mask=~link[keep]),
-        ]
-        return pa.RecordBatch.from_arrays(columns, schema=kinds)
+        """Link the least shingles of a flush to the first of their kind."""
+        key, doc, c, first, last = (np.concatenate(x) for x in zip(*held))
+        order, leader, link = _firsts([key], doc, c)
+        key, doc, c, first, last = key[order], doc[order], c[order], first[order], last[order]
+        met = np.zeros(len(key), bool)
+        met[leader[link]] = True
+        many = met[leader]
+        keep = np.lexsort((c, doc))  # neighbours share their id, which shuffles smaller
+        values = [key.view(np.int64), _salts(link, doc, c), doc, c, first, last, many, doc[leader], c[leader]]
+        columns = [pa.array(v[keep], k, mask=~link[keep] if i > 6 else None) for i, (v, k) in enumerate(zip(values, kinds))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_encoders()
@@ -190,11 +207,12 @@ def _run_rows(options: WindowOptions):
                 b = whole.slice(lo, 512)
                 ids = b.column(0).to_numpy(zero_copy_only=False)
                 for shingles, bounds, texts, words in _text_pieces(b.column(1), options):
-                    key, first, last, inner = signature_runs(shingles, bounds, options)
-                    piece = np.searchsorted(bounds, first, side="right") - 1
+                    c, first, last = least_shingles(shingles, bounds, options)
+                    piece = np.searchsorted(bounds, c, side="right") - 1
                     shift = words[piece] - bounds[piece]
-                    held.append((key, ids[texts[piece]], first + shift, last + shift, inner))
-                    n += len(key)
+                    empty = last < first
+                    held.append((shingles[c], ids[texts[piece]], *[x.astype(np.int32) for x in (c + shift, np.where(empty, 0, first + shift), np.where(empty, -1, last + shift))]))
+                    n += len(c)
                     if n >= options.flush:
                         yield settle(held)
                         held, n = [], 0
@@ -204,19 +222,148 @@ def _run_rows(options: WindowOptions):
     return run
 
 
+def _met_runs(texts: DataFrame, options: WindowOptions) -> DataFrame:
+    """(key, id, c, first, last, rep_id, rep_c): least shingles that several texts hold, each with an earlier text's if there is one."""
+    runs = texts.select("id", "text").mapInArrow(_run_rows(options), _RUNS)
+    group = Window.partitionBy("key", "salt")
+    led = runs.withColumns({"lead": F.min(F.struct("id", "c")).over(group), "top": F.max("id").over(group)})
+    earlier = F.when(F.col("rep_id").isNotNull(), F.struct(F.col("rep_id").alias("id"), F.col("rep_c").alias("c"))).when(F.col("lead.id") < F.col("id"), F.col("lead"))
+    led = led.filter(F.col("rep_id").isNotNull() | F.col("many") | (F.col("lead.id") < F.col("top"))).withColumn("rep", earlier)
+    return led.select("key", "id", "c", "first", "last", F.col("rep.id").alias("rep_id"), F.col("rep.c").alias("rep_c"))
+
+
+def _grouped_numbers(column: pa.Array, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(row of each element, the elements' fields) of a column of lists of structs of numbers."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    owner, flat = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False)), column.flatten()
+    return owner, [flat.field(n).to_numpy(zero_copy_only=False) for n in names]
+
+
+_STARTS = "kind int, key long, check int, salt int, id long, start int, n int, rep_id long, rep_start int"
+_WINDOW, _LEFT, _RIGHT = 0, 1, 2
+
+
+def _start_rows(options: WindowOptions):
+    """Window starts by a hash of the whole window, and least shingles by a hash of the shingles on either side.
+
+    Starts that link to the flush's first come out as islands of ``n`` neighbours.
+    """
+    t, names = options.min_shingles, ["kind", "key", "check", "salt", "id", "start", "n", "rep_id", "rep_start"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+
+    def hashed(sums: list[np.ndarray], shingles: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        total, other = (s[at + n] - s[at] for s in sums)
+        ends = mix(shingles[at]) + (shingles[at + n - 1] << np.uint64(1))
+        return mix(total + ends), mix(other ^ ends).astype(np.uint32)
+
+    def settle(held: list) -> pa.RecordBatch:
+        kind, key, check, doc, start = (np.concatenate(x) for x in zip(*held))
+        order, leader, link = _firsts([check, key, kind], doc, start)
+        kind, key, check, doc, start = kind[order], key[order], check[order], doc[order], start[order]
+        rep, rep_start = doc[leader], start[leader]
+        by = np.lexsort((start, start - rep_start, rep, doc, kind, link))
+        kind, key, check, doc, start, rep, rep_start, link = (x[by] for x in (kind, key, check, doc, start, rep, rep_start, link))
+        head = np.ones(len(by), bool)
+        head[1:] = ~(link[1:] & link[:-1] & (kind[1:] == _WINDOW) & (kind[:-1] == _WINDOW) & (doc[1:] == doc[:-1]) & (rep[1:] == rep[:-1]) & (start[1:] == start[:-1] + 1) & (rep_start[1:] == rep_start[:-1] + 1))
+        n = np.diff(np.append(np.flatnonzero(head), len(by)))
+        kind, key, check, doc, start, rep, rep_start, link = (x[head] for x in (kind, key, check, doc, start, rep, rep_start, link))
+        values = [kind, key.view(np.int64), check.view(np.int32), _salts(link, doc, start), doc, start, n, rep, rep_start]
+        columns = [pa.array(v.astype(k.to_pandas_dtype(), copy=False), k, mask=~link if i > 6 else None) for i, (v, k) in enumerate(zip(values, kinds))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 128):
+                b = whole.slice(lo, 128)
+                ids = b.column(0).to_numpy()
+                words, at = word_hashes(*utf8_buffer(b.column(1)))
+                shingles = shingle_hashes(words, options.width)
+                ends = np.maximum(at[1:] - options.width + 1, at[:-1])  # behind each text's last shingle
+                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(x))]) for x in (shingles, shingles ^ np.uint64(0x5851F42D4C957F2D))]
+                owner, (c, first, last) = _grouped_numbers(b.column(2), ["c", "first", "last"])
+                found = []
+                sizes = np.maximum(last.astype(np.int64) - first + 1, 0)
+                starts = np.repeat(at[owner] + first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                found.append((_WINDOW, np.unique(starts), 0, t))
+                places, side = np.unique(at[owner] + c), options.side
+                mine = np.searchsorted(at, places, side="right") - 1
+                found += [(_LEFT, places[places - side >= at[mine]], -side, side + 1), (_RIGHT, places[places + side < ends[mine]], 0, side + 1)]
+                for kind, place, back, size in found:
+                    key, check = hashed(sums, shingles, place + back, size)
+                    own = np.searchsorted(at, place, side="right") - 1
+                    held.append((np.full(len(place), kind, np.int32), key, check, ids[own], (place - at[own]).astype(np.int32)))
+                    n += len(place)
+                if n >= options.flush:
+                    yield settle(held)
+                    held, n = [], 0
+        if n:
+            yield settle(held)
+
+    return run
+
+
+def _start_links(runs: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
+    """(kind, id, start, n, rep_id, rep_start): starts and least shingles linked to the earliest text that holds the same."""
+    asked = runs.groupBy("id").agg(F.collect_list(F.struct("c", "first", "last")).alias("runs"))
+    starts = texts.join(asked, "id").select("id", "text", "runs").mapInArrow(_start_rows(options), _STARTS)
+    lead = F.min(F.struct("id", "start")).over(Window.partitionBy("key", "check", "kind", "salt"))
+    rep = F.when(F.col("rep_id").isNotNull(), F.struct(F.col("rep_id").alias("id"), F.col("rep_start").alias("start"))).otherwise(F.col("lead"))
+    linked = starts.withColumn("lead", lead).withColumn("rep", rep).filter(F.col("rep.id") < F.col("id"))
+    return linked.select("kind", "id", "start", "n", F.col("rep.id").alias("rep_id"), F.col("rep.start").alias("rep_start"))
+
+
+def _equal_passages(links: DataFrame, options: WindowOptions) -> DataFrame:
+    """Links of neighbouring starts along one alignment, put together."""
+    by = Window.partitionBy("id", "rep_id", "shift").orderBy("start")
+    rows = links.filter(F.col("kind") == _WINDOW).withColumn("shift", F.col("start") - F.col("rep_start"))
+    before = F.max(F.col("start") + F.col("n")).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("cut", F.coalesce(F.col("start") > before, F.lit(True)).cast("int")).withColumn("part", F.sum("cut").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    first, stop = F.min("start"), F.max(F.col("start") + F.col("n")) - 1 + options.min_words
+    found = rows.groupBy("id", "rep_id", "shift", "part").agg(first.alias("first"), stop.alias("stop"))
+    return found.select(
+        "id", "rep_id", "first", F.col("stop").cast("int").alias("stop"), (F.col("first") - F.col("shift")).alias("rep_first"),
+        (F.col("stop") - F.col("shift")).cast("int").alias("rep_stop"), F.lit(1.0).alias("similarity"),
+    )
+
+
+def _open_links(links: DataFrame, found: DataFrame, options: WindowOptions) -> DataFrame:
+    """Links whose least shingle lies in no passage found so far."""
+    spans = found.select("id", F.col("first").alias("c"), "stop", F.lit(None).cast("long").alias("rep_id"), F.lit(None).cast("int").alias("rep_c"))
+    both = links.select("id", "c", F.lit(None).cast("int").alias("stop"), "rep_id", "rep_c").unionByName(spans)
+    reach = F.max("stop").over(Window.partitionBy("id").orderBy("c").rangeBetween(Window.unboundedPreceding, 0))
+    marked = both.withColumn("reach", reach).filter(F.col("rep_id").isNotNull())
+    return marked.filter(F.col("reach").isNull() | (F.col("reach") < F.col("c") + options.width)).select("id", "c", "rep_id", "rep_c")
+
+
+def _passage_pairs(links: DataFrame, options: WindowOptions, grid: int = 32) -> DataFrame:
+    """(id, rep_id, part, first, stop, rep_first, rep_stop): stretches of words around links, joined along one alignment of
+    two texts; bounds are multiples of ``grid``, so that several pairs ask for the same stretch of a text."""
+    by = Window.partitionBy("id", "rep_id").orderBy("shift", "c")
+    gap = (F.col("shift") - F.lag("shift").over(by) > 2 * options.width) | (F.col("c") - F.lag("c").over(by) > 2 * options.min_words)
+    ordered = links.distinct().withColumn("shift", F.col("c") - F.col("rep_c")).withColumn("cut", F.coalesce(gap, F.lit(True)).cast("int"))
+    ordered = ordered.withColumn("part", F.sum("cut").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    reach = 3 * options.min_words  # a window, and an insertion, to either side
+    down = lambda c: F.greatest((F.floor((F.min(c) - reach) / grid) * grid).cast("int"), F.lit(0))
+    up = lambda c: (F.ceil((F.max(c) + options.width + reach) / grid) * grid).cast("int")
+    return ordered.groupBy("id", "rep_id", "part").agg(
+        down("c").alias("first"), up("c").alias("stop"), down("rep_c").alias("rep_first"), up("rep_c").alias("rep_stop")
+    )
+
+
 def _span_rows(options: WindowOptions):
-    """(pair, side, words): 32-bit hashes of the words of each requested span of a text."""
+    """(id, first, stop, words): 32-bit hashes of the words of each requested span; a text is hashed once for all its spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                b = whole.slice(lo, 256)
-                data, offsets = utf8_buffer(b.column(0))
-                words, first = word_hashes(data, offsets)
-                pair, side, start, stop = (b.column(i).to_numpy() for i in range(1, 5))
+            for lo in range(0, whole.num_rows, 64):
+                b = whole.slice(lo, 64)
+                words, at = word_hashes(*utf8_buffer(b.column(1)))
                 words = words.astype(np.uint32)
-                spans = [words[f + x : min(f + y, end)].tobytes() for f, end, x, y in zip(first, first[1:], start, stop)]
-                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(side), pa.array(spans, pa.binary())], names=["pair", "side", "words"])
+                owner, (first, stop) = _grouped_numbers(b.column(2), ["first", "stop"])
+                spans = [words[f + x : min(f + y, end)].tobytes() for f, end, x, y in zip(at[:-1][owner], at[1:][owner], first, stop)]
+                columns = [b.column(0).take(pa.array(owner)), pa.array(first, pa.int32()), pa.array(stop, pa.int32()), pa.array(spans, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "first", "stop", "words"])
 
     return run
 
@@ -276,185 +423,47 @@ def shared_blocks(a: np.ndarray, b: np.ndarray, options: WindowOptions) -> list[
     return [(i, j + w, k, m + w, similarity((i, j, k, m))) for i, j, k, m in found if j - i + w >= options.min_words]
 
 
-_BLOCKS = "pair long, a_first int, a_stop int, b_first int, b_stop int, similarity double"
+_FOUND = "id long, rep_id long, first int, stop int, rep_first int, rep_stop int, similarity double"
 
 
 def _similarity_rows(options: WindowOptions):
-    kinds = [pa.int64(), *[pa.int32()] * 4, pa.float64()]
-    names = ["pair", "a_first", "a_stop", "b_first", "b_stop", "similarity"]
+    names = ["id", "rep_id", "first", "stop", "rep_first", "rep_stop", "similarity"]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for pair, *sides in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                left, right = (np.frombuffer(v.as_py() or b"", np.uint32).astype(np.uint64) for v in sides)
-                rows += [(pair, *found) for found in shared_blocks(left, right, options)]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 6, kinds)], names=names)
+            for i, j, x, y, *sides in zip(*(b.column(k).to_pylist() for k in range(4)), b.column(4), b.column(5)):
+                left, right = (np.frombuffer(v.as_buffer() or b"", np.uint32).astype(np.uint64) for v in sides)
+                rows += [(i, j, x + a, x + c, y + d, y + e, s) for a, c, d, e, s in shared_blocks(left, right, options)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 7, kinds)], names=names)
 
     return run
 
 
-def _run_links(texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """(sig, id, first, last, rep_id, rep_first, rep_last): the runs of a signature, each linked to an earlier one."""
-    runs = texts.select("id", "text").mapInArrow(_run_rows(options), _RUNS)
-    # a run links to the first of its variant, or to the first of all variants where that is of its own document
-    run = F.when(F.col("rep_id").isNull(), F.struct("id", "first", "last"))
-    led = runs.withColumns({"own": F.min(run).over(Window.partitionBy("key", "inner")), "all": F.min(run).over(Window.partitionBy("key"))})
-    far = F.when(F.col("own.id") == F.col("id"), F.col("all")).otherwise(F.col("own"))
-    linked = led.withColumn("lead", far).select(
-        F.coalesce("sig", "key").alias("sig"), "id", "first", "last",
-        *[F.coalesce(f"rep_{c}", f"lead.{c}").alias(f"rep_{c}") for c in ("id", "first", "last")],
-    )
-    return linked.filter("id <> rep_id or first <> rep_first")
-
-
-def _passage_pairs(links: DataFrame, options: WindowOptions) -> DataFrame:
-    """(id, rep_id, first, stop, rep_first, rep_stop): passages in words, merged along one alignment of two texts."""
-    links = links.filter("id <> rep_id").select("id", "rep_id", "first", "rep_first", (F.col("last") - F.col("first") + options.min_words).alias("n"))
-    by = Window.partitionBy("id", "rep_id").orderBy("shift", "first")
-    gap = (F.col("shift") - F.lag("shift").over(by) > 2 * options.width) | (F.col("first") - F.lag("first").over(by) > options.min_words)
-    ordered = links.withColumn("shift", F.col("first") - F.col("rep_first")).withColumn("cut", F.coalesce(gap, F.lit(True)).cast("int"))
-    ordered = ordered.withColumn("part", F.sum("cut").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    margin = 2 * options.min_words  # an insertion shifts what follows it to another part: each part reads past it
-    return ordered.groupBy("id", "rep_id", "part").agg(
-        F.greatest(F.min("first") - margin, F.lit(0)).alias("first"), (F.max(F.col("first") + F.col("n")) + margin).alias("stop"),
-        F.greatest(F.min("rep_first") - margin, F.lit(0)).alias("rep_first"), (F.max(F.col("rep_first") + F.col("n")) + margin).alias("rep_stop"),
-    )
-
-
-def _open_words(first: int, stop: int, cover: list[dict] | None) -> np.ndarray:
-    """Which words from ``first`` to ``stop`` lie in no span of ``cover``."""
-    out = np.ones(stop - first, bool)
-    for c in cover or []:
-        out[max(c["first"] - first, 0) : max(c["stop"] - first, 0)] = False
-    return out
-
-
-def _judge_rows(options: WindowOptions):
-    """(sig, id, first, last, open) of each run; it is open while some of its words are in no verified passage."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for i, runs, cover in zip(*(b.column(k).to_pylist() for k in range(3))):
-                rows += [(r["sig"], i, r["first"], r["last"], bool(_open_words(r["first"], r["last"] + options.min_words, cover).any())) for r in runs]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)], names=["sig", "id", "first", "last", "open"])
-
-    return run
-
-
-def _open_rows(options: WindowOptions):
-    """(sig, id, first, words, open): the words around each run, and a flag for each in no verified passage."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 64):
-                b = whole.slice(lo, 64)
-                data, offsets = utf8_buffer(b.column(1))
-                words, at = word_hashes(data, offsets)
-                words, rows = words.astype(np.uint32), []
-                for k, (i, runs, cover) in enumerate(zip(*(b.column(c).to_pylist() for c in (0, 2, 3)))):
-                    for r in runs:
-                        first = max(r["first"] - options.min_words, 0)
-                        stop = min(r["last"] + 2 * options.min_words, int(at[k + 1] - at[k]))
-                        spare = _open_words(first, stop, cover)
-                        spare[: r["first"] - first] = spare[r["last"] + options.min_words - first :] = False
-                        rows.append((r["sig"], i, first, words[at[k] + first : at[k] + stop].tobytes(), spare.tobytes()))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(list(zip(*rows)) or [[]] * 5, kinds)], names=["sig", "id", "first", "words", "open"])
-
-    return run
-
-
-_FOUND = "id long, rep_id long, first int, stop int, rep_first int, rep_stop int, similarity double"
-
-
-def rematched(ids: np.ndarray, firsts: np.ndarray, words: list[np.ndarray], spare: list[np.ndarray], options: WindowOptions) -> list[tuple]:
-    """Passages of the runs of one signature group, ordered by id: each run with open words meets every run of an earlier
-    document that holds a shingle of them, until all its words are in a passage.
-
-    A partner must share shingles that lie at least a window apart, so runs that share a shorter line only are never compared.
-    """
-    shingles = [shingle_hashes(v.astype(np.uint64), options.width) for v in words]
-    value = np.concatenate(shingles)
-    owner = np.repeat(np.arange(len(ids)), [len(v) for v in shingles])
-    order = np.lexsort((owner, value))
-    value, owner, found = value[order], owner[order], []
-    for k in range(len(ids)):
-        earlier = int(np.searchsorted(ids, ids[k]))
-        if not earlier or not spare[k].any():
-            continue
-        low, high = np.searchsorted(value, shingles[k], side="left"), np.searchsorted(value, shingles[k], side="right")
-        reach = np.convolve(spare[k], np.ones(options.width, int))[options.width - 1 : len(spare[k])] > 0
-        near = np.unique(np.concatenate([np.zeros(0, np.int64), *(owner[a:b] for a, b in zip(low[reach], high[reach]))]))
-        near = near[near < earlier]
-        if not len(near):
-            continue
-        least, most = np.full(len(ids), len(reach)), np.full(len(ids), -1)
-        for p, (a, b) in enumerate(zip(low, high)):
-            least[owner[a:b]] = np.minimum(least[owner[a:b]], p)
-            most[owner[a:b]] = p
-        for j in near[most[near] - least[near] + 1 >= options.min_shingles]:
-            if not spare[k].any():
-                break
-            fresh = [m for m in shared_blocks(words[k].astype(np.uint64), words[j].astype(np.uint64), options) if spare[k][m[0] : m[1]].any()]
-            for a, b, c, d, s in fresh:
-                spare[k][a:b] = False
-                found.append((ids[k], ids[j], firsts[k] + a, firsts[k] + b, firsts[j] + c, firsts[j] + d, s))
-    return found
-
-
-def _rematch(options: WindowOptions):
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("id", "ascending"), ("first", "ascending")])
-        words = [np.frombuffer(v, np.uint32) for v in group["words"].to_pylist()]
-        spare = [np.frombuffer(v, bool).copy() for v in group["open"].to_pylist()]
-        rows = rematched(group["id"].to_numpy(), group["first"].to_numpy(), words, spare, options)
-        kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64()]
-        names = ["id", "rep_id", "first", "stop", "rep_first", "rep_stop", "similarity"]
-        return pa.table([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 7, kinds)], names=names)
-
-    return run
-
-
-def _further_passages(links: DataFrame, found: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """Passages of the runs that their one link left open, met with the other runs of their signature."""
-    ends = links.select("sig", "id", "first", "last").unionByName(links.select("sig", *[F.col(f"rep_{c}").alias(c) for c in ("id", "first", "last")]))
-    crowd = links.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig")  # two runs have met already
-    cover = found.groupBy("id").agg(F.collect_set(F.struct("first", "stop")).alias("cover"))
-    runs = lambda df: df.groupBy("id").agg(F.collect_set(F.struct("sig", "first", "last")).alias("runs"))
-    judged = runs(ends.join(crowd, "sig")).join(cover, "id", "left").select("id", "runs", "cover")
-    judged = materialise(judged.mapInArrow(_judge_rows(options), "sig long, id long, first int, last int, open boolean"), "judged")
-    again = judged.join(judged.filter("open").select("sig").distinct(), "sig")
-    spans = texts.select("id", "text").join(runs(again), "id").join(cover, "id", "left").select("id", "text", "runs", "cover")
-    spans = spans.mapInArrow(_open_rows(options), "sig long, id long, first int, words binary, open binary")
-    return spans.groupBy("sig").applyInArrow(_rematch(options), _FOUND).distinct()
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """The passages that pairs share, trimmed to shared shingles and verified; each text is shuffled once."""
-    named = materialise(pairs.withColumn("pair", F.xxhash64("id", "rep_id", "part")), "pairs")
-    asked = named.select("id", "pair", F.lit(0).alias("side"), "first", "stop").unionByName(
-        named.select(F.col("rep_id").alias("id"), "pair", F.lit(1).alias("side"), F.col("rep_first").alias("first"), F.col("rep_stop").alias("stop"))
-    )
-    spans = texts.select("id", "text").join(asked, "id").select("text", "pair", "side", "first", "stop")
-    spans = spans.mapInArrow(_span_rows(options), "pair long, side int, words binary")
-    one = lambda k: F.max(F.when(F.col("side") == k, F.col("words"))).alias(f"w{k}")
-    told = spans.groupBy("pair").agg(one(0), one(1)).mapInArrow(_similarity_rows(options), _BLOCKS)
-    return named.join(told, "pair").select(
-        "id", "rep_id", (F.col("first") + F.col("a_first")).alias("first"), (F.col("first") + F.col("a_stop")).alias("stop"),
-        (F.col("rep_first") + F.col("b_first")).alias("rep_first"), (F.col("rep_first") + F.col("b_stop")).alias("rep_stop"), "similarity",
-    )
+    """The passages that pairs share, trimmed to shared shingles and verified; each text is shuffled and hashed once."""
+    pairs = materialise(pairs, "pairs")
+    asked = pairs.select("id", "first", "stop").unionByName(pairs.select(F.col("rep_id").alias("id"), F.col("rep_first").alias("first"), F.col("rep_stop").alias("stop")))
+    asked = asked.groupBy("id").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
+    spans = texts.join(asked, "id").select("id", "text", "spans").mapInArrow(_span_rows(options), "id long, first int, stop int, words binary")
+    spans = materialise(spans.dropDuplicates(["id", "first", "stop"]), "spans")
+    theirs = spans.select(F.col("id").alias("rep_id"), F.col("first").alias("rep_first"), F.col("stop").alias("rep_stop"), F.col("words").alias("rep_words"))
+    both = pairs.join(spans, ["id", "first", "stop"]).join(theirs, ["rep_id", "rep_first", "rep_stop"])
+    return both.select("id", "rep_id", "first", "rep_first", "words", "rep_words").mapInArrow(_similarity_rows(options), _FOUND)
 
 
 def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: WindowOptions = WindowOptions()) -> DataFrame:
     """(id, rep_id, first, stop, rep_first, rep_stop, similarity): verified passages of ``id`` that ``rep_id`` < ``id`` holds."""
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("id is not null")
-    links = materialise(_run_links(texts, options), "links")
-    found = materialise(_verified(_passage_pairs(links, options), texts, options), "passages")
-    return found.unionByName(_further_passages(links, found, texts, options))
+    runs = materialise(_met_runs(texts, options), "runs")
+    links = materialise(_start_links(runs, texts, options), "links")
+    equal = materialise(_equal_passages(links, options), "equal")
+    near = runs.filter("rep_id is not null").select("id", "c", "rep_id", "rep_c")
+    near = near.unionByName(links.filter(F.col("kind") != _WINDOW).select("id", F.col("start").alias("c"), "rep_id", F.col("rep_start").alias("rep_c")))
+    found = _verified(_passage_pairs(_open_links(near, equal, options), options), texts, options)
+    return materialise(equal.unionByName(found), "passages")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: WindowOptions = WindowOptions()) -> DataFrame:

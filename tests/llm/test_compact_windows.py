@@ -18,27 +18,20 @@ def test_windows_cover_every_subsequence_once():
         assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_runs_join_all_hash_functions_of_a_band():
+def test_least_shingles_are_those_of_all_windows():
     rng = np.random.default_rng(1)
     shingles = cw.mix(rng.integers(0, 1 << 62, 300).astype(np.uint64))
-    o = cw.WindowOptions(min_words=24, bands=2, rows=3)
+    shingles[40:60] = shingles[10:30]  # ties
+    o = cw.WindowOptions(min_words=24, functions=3)
     t, bounds = o.min_shingles, np.array([0, 130, 140, 300])
-    signature, first, last, _ = cw.signature_runs(shingles, bounds, o)
-    for band in range(2):
-        hashes = [cw.mix(shingles ^ cw.mix(np.uint64([band * 3 + j + 1]))[0]) for j in range(3)]
-        want = {}
-        for x, y in zip(bounds, bounds[1:]):
-            for s in range(x, y - t + 1):
-                want[s] = tuple(s + int(np.argmin(h[s : s + t] >> np.uint64(9))) for h in hashes)
-        runs = [(a, b, k) for k, a, b in zip(signature, first, last)][band::1]
-        cover = {}
-        for k, a, b in zip(signature, first, last):
-            for s in range(a, b + 1):
-                cover.setdefault(s, []).append(k)
-        assert all(len(cover[s]) == 2 for s in want) and cover.keys() == want.keys() and runs
-        for s in want:
-            if s + 1 in want and want[s] == want[s + 1]:
-                assert cover[s][band] == cover[s + 1][band]
+    hashes = [cw.mix(shingles ^ cw.mix(np.uint64([k]))[0]) >> np.uint64(9) for k in (1, 2, 3)]
+    starts = [s for x, y in zip(bounds, bounds[1:]) for s in range(x, y - t + 1)]
+    least = [[s + int(np.argmin(h[s : s + t])) for s in starts] for h in hashes]
+    place, first, last = cw.least_shingles(shingles, bounds, o)
+    assert set(place) == {c for row in least for c in row} and len(set(place)) == len(place)
+    want = dict(zip(starts, least[0]))
+    got = {s: int(c) for c, a, b in zip(place, first, last) for s in range(a, b + 1)}
+    assert got == want
 
 
 def corpus():
