@@ -179,24 +179,39 @@ def _salts(link: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.where(link, (mix(doc.view(np.uint64) + mix(place.astype(np.uint64))) >> np.uint64(33)).astype(np.int32) | 1, 0).astype(np.int32)
 
 
-_RUNS = "key long, salt int, id long, c int, first int, last int, many boolean, rep_id long, rep_c int"
+_ALONE, _MANY, _LINKED, _SAME = 0, 1, 2, 3
+_RUNS = "key long, salt int, id long, at long, stretch long, kind int, rep_id long, rep_c int"
 
 
 def _run_rows(options: WindowOptions):
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
-    names = ["key", "salt", "id", "c", "first", "last", "many", "rep_id", "rep_c"]
+    """The least shingles of every text with a hash of their run of windows (``stretch``), settled flush by flush.
+
+    ``at`` holds the place (upper half), how far before it the run starts, and the run's length. ``kind`` tells whether a
+    row is the first of its shingle in the flush (alone, or one of many), linked to the first, or has all the run's
+    shingles in common with the text it is linked to.
+    """
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    names = ["key", "salt", "id", "at", "stretch", "kind", "rep_id", "rep_c"]
+    t = options.min_shingles
 
     def settle(held: list) -> pa.RecordBatch:
-        """Link the least shingles of a flush to the first of their kind."""
-        key, doc, c, first, last = (np.concatenate(x) for x in zip(*held))
+        key, doc, c, run, stretch = (np.concatenate(x) for x in zip(*held))
         order, leader, link = _firsts([key], doc, c)
-        key, doc, c, first, last = key[order], doc[order], c[order], first[order], last[order]
+        key, doc, c, run, stretch = (x[order] for x in (key, doc, c, run, stretch))
         met = np.zeros(len(key), bool)
         met[leader[link]] = True
-        many = met[leader]
+        by = np.lexsort((np.arange(len(key)), stretch, key))
+        head = np.ones(len(by), bool)
+        head[1:] = (key[by][1:] != key[by][:-1]) | (stretch[by][1:] != stretch[by][:-1])
+        own = np.empty(len(by), np.int64)
+        own[by] = by[np.flatnonzero(head)[np.cumsum(head) - 1]]
+        same = (stretch != 0) & (doc != doc[own])
+        rep = np.where(same, own, leader)
+        kind = np.where(same, _SAME, np.where(link, _LINKED, np.where(met[leader], _MANY, _ALONE)))
         keep = np.lexsort((c, doc))  # neighbours share their id, which shuffles smaller
-        values = [key.view(np.int64), _salts(link, doc, c), doc, c, first, last, many, doc[leader], c[leader]]
-        columns = [pa.array(v[keep], k, mask=~link[keep] if i > 6 else None) for i, (v, k) in enumerate(zip(values, kinds))]
+        values = [key.view(np.int64), _salts(link, doc, c), doc, c << np.int64(32) | run, stretch.view(np.int64), kind.astype(np.int32), doc[rep], c[rep].astype(np.int32)]
+        gaps = {4: stretch == 0, 6: ~link, 7: ~link}
+        columns = [pa.array(v[keep], k, mask=gaps[i][keep] if i in gaps else None) for i, (v, k) in enumerate(zip(values, kinds))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,9 +224,12 @@ def _run_rows(options: WindowOptions):
                 for shingles, bounds, texts, words in _text_pieces(b.column(1), options):
                     c, first, last = least_shingles(shingles, bounds, options)
                     piece = np.searchsorted(bounds, c, side="right") - 1
-                    shift = words[piece] - bounds[piece]
-                    empty = last < first
-                    held.append((shingles[c], ids[texts[piece]], *[x.astype(np.int32) for x in (c + shift, np.where(empty, 0, first + shift), np.where(empty, -1, last + shift))]))
+                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles))])
+                    size = np.maximum(last - first + 1, 0)
+                    end = np.where(size > 0, last + t, first + 1)
+                    stretch = mix(sums[end] - sums[first] + mix(shingles[first]) + (shingles[end - 1] << np.uint64(1))) | np.uint64(1)
+                    back = np.where(size > 0, c - first, 0)
+                    held.append((shingles[c], ids[texts[piece]], c + words[piece] - bounds[piece], back << 16 | size, np.where(size > 0, stretch, np.uint64(0))))
                     n += len(c)
                     if n >= options.flush:
                         yield settle(held)
@@ -223,13 +241,29 @@ def _run_rows(options: WindowOptions):
 
 
 def _met_runs(texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """(key, id, c, first, last, rep_id, rep_c): least shingles that several texts hold, each with an earlier text's if there is one."""
+    """(key, id, c, first, n, stretch, same, rep_id, rep_c): least shingles that several texts hold, each with an earlier
+    text's if there is one; ``first`` and ``n`` give the run of windows of the first hash function, else ``n`` is 0."""
     runs = texts.select("id", "text").mapInArrow(_run_rows(options), _RUNS)
     group = Window.partitionBy("key", "salt")
-    led = runs.withColumns({"lead": F.min(F.struct("id", "c")).over(group), "top": F.max("id").over(group)})
-    earlier = F.when(F.col("rep_id").isNotNull(), F.struct(F.col("rep_id").alias("id"), F.col("rep_c").alias("c"))).when(F.col("lead.id") < F.col("id"), F.col("lead"))
-    led = led.filter(F.col("rep_id").isNotNull() | F.col("many") | (F.col("lead.id") < F.col("top"))).withColumn("rep", earlier)
-    return led.select("key", "id", "c", "first", "last", F.col("rep.id").alias("rep_id"), F.col("rep.c").alias("rep_c"))
+    led = runs.withColumns({"lead": F.min(F.struct("id", "at")).over(group), "top": F.max("id").over(group)})
+    led = led.filter((F.col("kind") > _ALONE) | (F.col("lead.id") < F.col("top")))
+    c = F.shiftright("at", 32).cast("int")
+    first = c - F.shiftright("at", 16).bitwiseAND(F.lit(0xFFFF)).cast("int")
+    far = (F.col("kind") < _LINKED) & (F.col("lead.id") < F.col("id"))
+    return led.select(
+        "key", "id", c.alias("c"), first.alias("first"), F.col("at").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("n"), "stretch", (F.col("kind") == _SAME).alias("same"),
+        F.coalesce("rep_id", F.when(far, F.col("lead.id"))).alias("rep_id"), F.coalesce("rep_c", F.when(far, F.shiftright("lead.at", 32).cast("int"))).alias("rep_c"),
+    )
+
+
+def _told_runs(runs: DataFrame) -> DataFrame:
+    """``runs`` with ``from_id`` and ``from_start``: the earliest text that holds all the run's windows, and where."""
+    lead = F.min(F.struct("id", "first")).over(Window.partitionBy("key", "stretch"))
+    own = F.when(F.col("lead.id") < F.col("id"), F.col("lead"))
+    plain = runs.filter("n > 0 and not same").withColumn("lead", lead).withColumn("from", own).drop("lead")
+    near = F.struct(F.col("rep_id").alias("id"), (F.col("rep_c") - F.col("c") + F.col("first")).alias("first"))
+    rest = runs.filter("n = 0 or same").withColumn("from", F.when(F.col("same"), near))
+    return plain.unionByName(rest).select("*", F.col("from.id").alias("from_id"), F.col("from.first").alias("from_start")).drop("from")
 
 
 def _grouped_numbers(column: pa.Array, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -281,12 +315,11 @@ def _start_rows(options: WindowOptions):
                 shingles = shingle_hashes(words, options.width)
                 ends = np.maximum(at[1:] - options.width + 1, at[:-1])  # behind each text's last shingle
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(x))]) for x in (shingles, shingles ^ np.uint64(0x5851F42D4C957F2D))]
-                owner, (c, first, last) = _grouped_numbers(b.column(2), ["c", "first", "last"])
-                found = []
-                sizes = np.maximum(last.astype(np.int64) - first + 1, 0)
+                owner, (c, first, sizes) = _grouped_numbers(b.column(2), ["c", "first", "n"])
+                found, sizes, sided = [], sizes.astype(np.int64), c >= 0
                 starts = np.repeat(at[owner] + first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
                 found.append((_WINDOW, np.unique(starts), 0, t))
-                places, side = np.unique(at[owner] + c), options.side
+                places, side = np.unique((at[owner] + c)[sided]), options.side
                 mine = np.searchsorted(at, places, side="right") - 1
                 found += [(_LEFT, places[places - side >= at[mine]], -side, side + 1), (_RIGHT, places[places + side < ends[mine]], 0, side + 1)]
                 for kind, place, back, size in found:
@@ -303,9 +336,16 @@ def _start_rows(options: WindowOptions):
     return run
 
 
-def _start_links(runs: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """(kind, id, start, n, rep_id, rep_start): starts and least shingles linked to the earliest text that holds the same."""
-    asked = runs.groupBy("id").agg(F.collect_list(F.struct("c", "first", "last")).alias("runs"))
+def _start_links(runs: DataFrame, opened: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
+    """(kind, id, start, n, rep_id, rep_start): starts and least shingles linked to the earliest text that holds the same.
+
+    Starts come from the runs that no earlier text holds as a whole (the first of equal runs stands for the others), least
+    shingles from ``opened``.
+    """
+    none = F.lit(-1)
+    asked = runs.filter("n > 0 and from_id is null").select("id", none.alias("c"), "first", "n")
+    asked = asked.unionByName(opened.select("id", "c", none.alias("first"), F.lit(0).alias("n")))
+    asked = asked.groupBy("id").agg(F.collect_list(F.struct("c", "first", "n")).alias("runs"))
     starts = texts.join(asked, "id").select("id", "text", "runs").mapInArrow(_start_rows(options), _STARTS)
     lead = F.min(F.struct("id", "start")).over(Window.partitionBy("key", "check", "kind", "salt"))
     rep = F.when(F.col("rep_id").isNotNull(), F.struct(F.col("rep_id").alias("id"), F.col("rep_start").alias("start"))).otherwise(F.col("lead"))
@@ -314,9 +354,9 @@ def _start_links(runs: DataFrame, texts: DataFrame, options: WindowOptions) -> D
 
 
 def _equal_passages(links: DataFrame, options: WindowOptions) -> DataFrame:
-    """Links of neighbouring starts along one alignment, put together."""
+    """Links (id, start, n, rep_id, rep_start) of ``n`` neighbouring starts along one alignment, put together."""
     by = Window.partitionBy("id", "rep_id", "shift").orderBy("start")
-    rows = links.filter(F.col("kind") == _WINDOW).withColumn("shift", F.col("start") - F.col("rep_start"))
+    rows = links.withColumn("shift", F.col("start") - F.col("rep_start"))
     before = F.max(F.col("start") + F.col("n")).over(by.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("cut", F.coalesce(F.col("start") > before, F.lit(True)).cast("int")).withColumn("part", F.sum("cut").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     first, stop = F.min("start"), F.max(F.col("start") + F.col("n")) - 1 + options.min_words
@@ -327,12 +367,13 @@ def _equal_passages(links: DataFrame, options: WindowOptions) -> DataFrame:
     )
 
 
-def _open_links(links: DataFrame, found: DataFrame, options: WindowOptions) -> DataFrame:
-    """Links whose least shingle lies in no passage found so far."""
-    spans = found.select("id", F.col("first").alias("c"), "stop", F.lit(None).cast("long").alias("rep_id"), F.lit(None).cast("int").alias("rep_c"))
-    both = links.select("id", "c", F.lit(None).cast("int").alias("stop"), "rep_id", "rep_c").unionByName(spans)
+def _open(rows: DataFrame, found: DataFrame, options: WindowOptions) -> DataFrame:
+    """The rows (id, c, rep_id, rep_c) whose least shingle lies in no passage of ``found(id, first, stop)``."""
+    none = lambda kind: F.lit(None).cast(kind)
+    spans = found.select("id", F.col("first").alias("c"), "stop", none("long").alias("rep_id"), none("int").alias("rep_c"))
+    both = rows.select("id", "c", none("int").alias("stop"), "rep_id", "rep_c").unionByName(spans)
     reach = F.max("stop").over(Window.partitionBy("id").orderBy("c").rangeBetween(Window.unboundedPreceding, 0))
-    marked = both.withColumn("reach", reach).filter(F.col("rep_id").isNotNull())
+    marked = both.withColumn("reach", reach).filter(F.col("stop").isNull())
     return marked.filter(F.col("reach").isNull() | (F.col("reach") < F.col("c") + options.width)).select("id", "c", "rep_id", "rep_c")
 
 
@@ -457,12 +498,14 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, rep_id, first, stop, rep_first, rep_stop, similarity): verified passages of ``id`` that ``rep_id`` < ``id`` holds."""
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("id is not null")
-    runs = materialise(_met_runs(texts, options), "runs")
-    links = materialise(_start_links(runs, texts, options), "links")
-    equal = materialise(_equal_passages(links, options), "equal")
-    near = runs.filter("rep_id is not null").select("id", "c", "rep_id", "rep_c")
+    runs = materialise(_told_runs(materialise(_met_runs(texts, options), "met")), "runs")
+    whole = runs.filter("from_id is not null").select("id", F.col("first").alias("start"), "n", F.col("from_id").alias("rep_id"), F.col("from_start").alias("rep_start"))
+    opened = materialise(_open(runs, _equal_passages(whole, options), options), "open")
+    links = materialise(_start_links(runs, opened, texts, options), "links")
+    equal = materialise(_equal_passages(whole.unionByName(links.filter(F.col("kind") == _WINDOW).drop("kind")), options), "equal")
+    near = opened.filter("rep_id is not null")
     near = near.unionByName(links.filter(F.col("kind") != _WINDOW).select("id", F.col("start").alias("c"), "rep_id", F.col("rep_start").alias("rep_c")))
-    found = _verified(_passage_pairs(_open_links(near, equal, options), options), texts, options)
+    found = _verified(_passage_pairs(_open(near, equal, options), options), texts, options)
     return materialise(equal.unionByName(found), "passages")
 
 
