@@ -81,7 +81,9 @@ def _least_places(packed: np.ndarray, bounds: np.ndarray, least: int) -> np.ndar
     inside = np.zeros(len(now), bool)
     for a, b in zip(bounds[:-1], bounds[1:]):
         inside[a : max(b - least + 1, a)] = True
-    return np.unique(now[inside] & np.uint64((1 << int(len(packed)).bit_length()) - 1)).astype(np.int64)
+    now = now[inside]
+    now = now[np.concatenate([np.ones(min(len(now), 1), bool), now[1:] != now[:-1]])]  # neighbours mostly share their least
+    return np.unique(now & np.uint64((1 << len(packed).bit_length()) - 1)).astype(np.int64)
 
 
 def compact_windows(values: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,43 +91,29 @@ def compact_windows(values: np.ndarray, bounds: np.ndarray, least: int) -> tuple
 
     A node of the Cartesian tree holds ``least`` places only if it is the least
     of so many neighbours, and so do all nodes above it. The tree over these
-    places alone therefore has the windows' bounds; all trees grow together,
-    level by level (ties at the first place).
+    places alone therefore has the windows' bounds (ties at the first place). A
+    stack holds its rightmost path; a node ends where a smaller one comes.
     """
     n = len(values)
-    bounds = np.asarray(bounds, np.int64)
     if n < least:
         return (np.zeros(0, np.int64),) * 3
     bits = np.uint64(n.bit_length())
     packed = (values >> bits) << bits | np.arange(n, dtype=np.uint64)
     places = _least_places(packed, bounds, least)
-    if not len(places):
-        return (np.zeros(0, np.int64),) * 3
-    cuts = np.searchsorted(places, bounds)
-    begin, end = np.repeat(bounds[:-1], np.diff(cuts)), np.repeat(bounds[1:], np.diff(cuts))
-    lo, hi = cuts[:-1], cuts[1:] - 1
-    lo, hi = lo[hi >= lo], hi[hi >= lo]
-    tables = [((packed[places] >> bits) << bits) | np.arange(len(places), dtype=np.uint64)]
-    for k in range(int((hi - lo).max() + 1).bit_length() - 1):
-        span, t = 1 << k, tables[-1]
-        tables.append(np.minimum(t[: len(t) - span], t[span:]))
-    found = []
-    while len(lo):
-        level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
-        best = np.empty(len(lo), dtype=np.uint64)
-        for k in np.unique(level):
-            m, t = level == k, tables[k]
-            best[m] = np.minimum(t[lo[m]], t[hi[m] - (1 << int(k)) + 1])
-        c = (best & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
-        found.append((lo, c, hi))
-        lo, hi = np.concatenate([lo, c + 1]), np.concatenate([c - 1, hi])
-        keep = hi >= lo
-        lo, hi = lo[keep], hi[keep]
-    lo, c, hi = (np.concatenate(x) for x in zip(*found))
-    before, after = places[np.maximum(lo - 1, 0)] + 1, places[np.minimum(hi + 1, len(places) - 1)] - 1
-    left = np.where((lo > 0) & (before > begin[c]), before, begin[c])
-    right = np.where((hi + 1 < len(places)) & (after < end[c] - 1), after, end[c] - 1)
-    return left, places[c], right
+    cuts = np.searchsorted(places, bounds).tolist()
+    value, place = packed[places].tolist(), places.tolist()
+    left, right = [0] * len(place), [0] * len(place)
+    for a, b, begin, end in zip(cuts, cuts[1:], bounds[:-1].tolist(), bounds[1:].tolist()):
+        path: list[int] = []
+        for i in range(a, b):
+            v = value[i]
+            while path and value[path[-1]] > v:
+                right[path.pop()] = place[i] - 1
+            left[i] = place[path[-1]] + 1 if path else begin
+            path.append(i)
+        for i in path:
+            right[i] = end - 1
+    return np.array(left, np.int64), places, np.array(right, np.int64)
 
 
 def least_shingles(shingles: np.ndarray, bounds: np.ndarray, options: WindowOptions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -420,10 +408,11 @@ def shared_blocks(a: np.ndarray, b: np.ndarray, options: WindowOptions) -> list[
     if not len(x) or not len(y):
         return []
     order = np.argsort(y, kind="stable")
-    low, high = np.searchsorted(y[order], x, side="left"), np.searchsorted(y[order], x, side="right")
-    hits = np.flatnonzero(high > low)
-    if not len(hits):
+    low = np.searchsorted(y[order], x, side="left")
+    hits = np.flatnonzero(y[order][np.minimum(low, len(y) - 1)] == x)
+    if not len(hits) or hits[-1] - hits[0] + w < options.min_words:
         return []
+    high = np.searchsorted(y[order], x, side="right")
     # of several equal shingles in b take the one nearest to the alignment of the unique ones
     unique = hits[high[hits] - low[hits] == 1]
     usual = int(np.median(order[low[unique]] - unique)) if len(unique) else 0

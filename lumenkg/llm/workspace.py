@@ -51,10 +51,27 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting that holds inside the block only."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def write_table(df: DataFrame, path: str, compression: str = "zstd", **options: str) -> None:
+    """Write ``df`` as Parquet; the shuffle files of the write go as soon as it has ended."""
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.options(compression=compression, **options).parquet(path)
+
+
 def materialise(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to a scratch table and return the table, so that later plans start from it."""
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", compression).parquet(path)
+    write_table(df, path, compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
