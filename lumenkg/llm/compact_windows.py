@@ -46,7 +46,7 @@ from pyspark.sql import types as T
 
 from lumenkg.llm.text import mix, shingle_hashes, utf8_buffer, word_hashes
 from lumenkg.llm.tokenization import release_encoders
-from lumenkg.llm.workspace import bound_batches, materialise
+from lumenkg.llm.workspace import bound_batches, collected_paths, discard, materialise
 
 P = "__cw_"
 
@@ -472,8 +472,8 @@ def _similarity_rows(options: WindowOptions):
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """The passages that pairs share, trimmed to shared shingles and verified; each text is shuffled and hashed once."""
-    pairs = materialise(pairs, "pairs")
+    """The passages that the written ``pairs`` share, trimmed to shared shingles and verified; each text is shuffled and
+    hashed once."""
     asked = pairs.select("id", "first", "stop").unionByName(pairs.select(F.col("rep_id").alias("id"), F.col("rep_first").alias("first"), F.col("rep_stop").alias("stop")))
     asked = asked.groupBy("id").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
     spans = texts.join(asked, "id").select("id", "text", "spans").mapInArrow(_span_rows(options), "id long, first int, stop int, words binary")
@@ -487,15 +487,20 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, rep_id, first, stop, rep_first, rep_stop, similarity): verified passages of ``id`` that ``rep_id`` < ``id`` holds."""
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("id is not null")
-    runs = materialise(_told_runs(materialise(_met_runs(texts, options), "met")), "runs")
-    whole = runs.filter("from_id is not null").select("id", F.col("first").alias("start"), "n", F.col("from_id").alias("rep_id"), F.col("from_start").alias("rep_start"))
-    opened = materialise(_open(runs, _equal_passages(whole, options), options), "open")
-    links = materialise(_start_links(runs, opened, texts, options), "links")
+    with collected_paths() as used:
+        met = materialise(_met_runs(texts, options), "met")
+    with collected_paths() as spent:
+        runs = materialise(_told_runs(met), "runs")
+        discard(docs.sparkSession, used)
+        whole = runs.filter("from_id is not null").select("id", F.col("first").alias("start"), "n", F.col("from_id").alias("rep_id"), F.col("from_start").alias("rep_start"))
+        opened = materialise(_open(runs, _equal_passages(whole, options), options), "open")
+        links = materialise(_start_links(runs, opened, texts, options), "links")
     equal = materialise(_equal_passages(whole.unionByName(links.filter(F.col("kind") == _WINDOW).drop("kind")), options), "equal")
     near = opened.filter("rep_id is not null")
     near = near.unionByName(links.filter(F.col("kind") != _WINDOW).select("id", F.col("start").alias("c"), "rep_id", F.col("rep_start").alias("rep_c")))
-    found = _verified(_passage_pairs(_open(near, equal, options), options), texts, options)
-    return materialise(equal.unionByName(found), "passages")
+    pairs = materialise(_passage_pairs(_open(near, equal, options), options), "pairs")
+    discard(docs.sparkSession, spent)
+    return materialise(equal.unionByName(_verified(pairs, texts, options)), "passages")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: WindowOptions = WindowOptions()) -> DataFrame:

@@ -145,3 +145,39 @@ def test_an_insertion_splits_no_passage(spark):
     found = cw.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["source_doc_id"], r["first_word"], r["stop_word"]) for r in found} == {(2, 1, 30, 132)}
     assert all(abs(r["similarity"] - 82 / 102) < 1e-9 for r in found)
+
+
+def words_of_table(spark, size):
+    pdf = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text").toPandas().sort_values("doc_id")
+    words, at = cw.word_hashes(*cw.utf8_buffer(cw.pa.array(pdf["text"].tolist())))
+    return {int(k): words[a:b].astype(np.uint32).astype(np.uint64) for k, a, b in zip(pdf["doc_id"], at, at[1:])}
+
+
+def test_every_equal_passage_of_a_table_is_found(spark):
+    words = words_of_table(spark, "sf0.01")
+    cover = {k: [] for k in words}
+    for r in cw.repeated_passages(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect():
+        cover[r["doc_id"]].append((r["first_word"], r["stop_word"]))
+    seen, late = set(), 0
+    for k, w in words.items():
+        own = [w[s : s + 50].tobytes() for s in range(len(w) - 49)]
+        for s, window in enumerate(own):
+            if window in seen:
+                late += 1
+                assert any(a <= s and s + 50 <= b for a, b in cover[k]), (k, s)
+        seen.update(own)
+    assert late > 20_000
+
+
+def test_near_passages_of_a_table_against_all_pairs(spark):
+    words, found = words_of_table(spark, "sf0.001"), {}
+    for r in cw.repeated_passages(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect():
+        found.setdefault(r["doc_id"], set()).update(range(r["first_word"], r["stop_word"]))
+    want, ids = {}, list(words)
+    for i, k in enumerate(ids):
+        for j in ids[:i]:
+            for first, stop, *_ in cw.shared_blocks(words[k], words[j], OPTIONS):
+                want.setdefault(k, set()).update(range(first, stop))
+    total, held = sum(map(len, want.values())), sum(len(v & found.get(k, set())) for k, v in want.items())
+    print("words in passages of all pairs", total, "of which found", held)
+    assert total > 5_000 and held >= 0.99 * total and set(found) == set(want)
