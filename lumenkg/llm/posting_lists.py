@@ -2,20 +2,29 @@
 
 Vectors get one more component so that the largest inner product is the
 nearest point. A bounded sample is split into balanced clusters; each vector
-joins the lists of its nearest centroids, boundary vectors several of them.
+joins the list of its nearest centroid, boundary vectors several lists.
 Centroids are searched through an in-memory neighbour graph. A query visits
 the lists whose centroid distance is within a ratio of the nearest one's, and
-is scored against their vectors in double precision. Some lists share a shelf,
-which hands on each query's best once; long shelves are cut into blocks, and so
-are the queries that visit them, so no task holds a whole one.
+is scored against their vectors in double precision. The ratio is fitted on the
+sample: the least one with which ``target`` of the nearest neighbours within the
+sample lie in visited lists. So clustered vectors are pruned hard, and vectors
+without structure as far as the target allows.
+
+The lists of a shelf are scored in one task, which hands on each query's best
+once; long shelves are cut into blocks, and so are the queries that visit them,
+so no task holds a whole one. Lists grow in number with the vectors; beyond
+``max_lists`` they grow in length, and only the time of a search with them.
 
 Equal vectors form one class that is indexed and searched once; a class needs
 no more of its members than a query returns neighbours plus itself.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, rows with a null id, and vectors of other than the most frequent
-dimension take no part; repeated rows count once; ties go to the smaller id;
-an empty table gives an empty result; other columns are ignored.
+dimension take no part; repeated rows count once; an id with several vectors is
+searched and found by each of them, an answer names an id once with its best
+score, and one that names it by several vectors is shorter by as many; ties go
+to the smaller id; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -33,19 +42,21 @@ from lumenkg.llm.workspace import materialise
 
 @dataclass(frozen=True)
 class IndexOptions:
-    """``sample`` vectors at most reach the driver; lists number ``rows / list_size``, ``max_lists`` at most."""
+    """``sample`` vectors at most reach the driver; lists number ``rows / list_size``, ``max_lists`` at most;
+    ``probe_ratio`` takes the place of the fitted ratio."""
 
-    sample: int = 16384
-    list_size: int = 512
-    shelf: int = 16
-    max_lists: int = 4096
+    sample: int = 65536
+    list_size: int = 32
+    shelf: int = 256
+    max_lists: int = 8192
     degree: int = 16
     beam: int = 32
-    max_copies: int = 4
+    max_copies: int = 2
     copy_ratio: float = 1.03
-    min_probes: int = 4
-    probe_ratio: float = 1.15
-    block: int = 8192
+    target: float = 0.95
+    probe_ratio: float | None = None
+    trials: int = 256
+    block: int = 16384
     seed: int = 5
 
 
@@ -105,6 +116,31 @@ class CentroidGraph:
             ids[~np.isfinite(dist)] = -1
         return ids, np.maximum(dist, 0)
 
+    def within(self, x: np.ndarray, ratio: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of the centroids at most ``ratio`` times as far as the nearest one found, reached over links from such."""
+        c, norms, own = len(self.centroids), (self.centroids**2).sum(axis=1), (x**2).sum(axis=1)
+        start, near = self.search(x, beam)
+        bound = ratio * ratio * np.maximum(near[:, 0], 1e-12)
+        first = (start >= 0) & (near <= bound[:, None])
+        first[:, 0] = True
+        row, at = np.nonzero(first)
+        seen = np.zeros((len(x), c), bool)
+        fresh = (row, start[row, at])
+        seen[fresh] = True
+        found = [fresh]
+        while len(fresh[0]):
+            row, node = np.repeat(fresh[0], self.links.shape[1]), self.links[fresh[1]].ravel()
+            ok = node >= 0
+            pair = np.unique(row[ok] * c + node[ok])
+            row, node = pair // c, pair % c
+            new = ~seen[row, node]
+            row, node = row[new], node[new]
+            seen[row, node] = True
+            close = own[row] + norms[node] - 2 * np.einsum("ij,ij->i", x[row], self.centroids[node]) <= bound[row]
+            fresh = row[close], node[close]
+            found.append(fresh)
+        return np.concatenate([r for r, _ in found]), np.concatenate([n for _, n in found])
+
 
 def _halves(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """A balanced cut in two: two-means directions, then the median of the difference of distances."""
@@ -163,74 +199,142 @@ def _augmented(x: np.ndarray, top: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(top * top - (x**2).sum(axis=1), 0))[:, None]], axis=1)
 
 
-def _list_rows(graph, dim: int, top: float, options: IndexOptions, query: bool):
-    """(class_id, v, list): the lists a vector is stored in, or the lists a query visits."""
+def _copies(g: CentroidGraph, x: np.ndarray, options: IndexOptions) -> tuple[np.ndarray, np.ndarray]:
+    """(lists, kept): near lists of stored vectors, and in which of them they are kept."""
+    ids, d = g.search(x, options.beam)
+    d, keep = np.sqrt(d), np.zeros(ids.shape, dtype=bool)
+    keep[:, 0] = True
+    for j in range(1, min(2 * options.max_copies, ids.shape[1])):
+        near = (ids[:, j] >= 0) & (d[:, j] <= options.copy_ratio * d[:, 0]) & (keep.sum(axis=1) < options.max_copies)
+        for i in range(j):  # a list close to one already chosen adds little
+            gap = np.linalg.norm(g.centroids[ids[:, j]] - g.centroids[ids[:, i]], axis=1)
+            near &= ~(keep[:, i] & (gap < d[:, j] * 0.5))
+        keep[:, j] = near
+    return ids, keep
+
+
+def _asking(x: np.ndarray, top: float) -> np.ndarray:
+    """Queries as points: scaled to the longest vector, with nothing in the added component."""
+    return np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True) * top, np.zeros((len(x), 1))], axis=1)
+
+
+def fit_ratio(g: CentroidGraph, sample: np.ndarray, top: float, k: int, options: IndexOptions) -> float:
+    """The least distance ratio with which ``target`` of the ``k`` nearest within the sample lie in visited lists."""
+    rng = np.random.default_rng(options.seed)
+    chosen = rng.choice(len(sample), min(options.trials, len(sample)), replace=False)
+    raw = sample[:, :-1]
+    asked = raw[chosen]
+    score = asked @ raw.T
+    score[np.arange(len(chosen)), chosen] = -np.inf
+    near = np.argsort(-score, axis=1, kind="stable")[:, : min(k, max(len(sample) - 1, 1))]
+    hit = np.unique(near)
+    lists, keep = _copies(g, sample[hit], options)
+    x = _asking(asked, top)
+    d = np.sqrt(np.maximum((x**2).sum(axis=1)[:, None] + (g.centroids**2).sum(axis=1) - 2 * x @ g.centroids.T, 0))
+    least = np.maximum(d.min(axis=1), 1e-6)
+    at = np.searchsorted(hit, near)
+    reach = np.where(keep[at], d[np.arange(len(x))[:, None, None], lists[at]], np.inf).min(axis=2)
+    return float(np.quantile(reach / least[:, None], options.target))
+
+
+def _shelved(ids: pa.Array, vectors: pa.Array, row: np.ndarray, lists: np.ndarray, shelf: int) -> pa.RecordBatch:
+    """(class_id, v, shelf, lists): one row per vector and shelf."""
+    order = np.lexsort((lists, row))
+    row, lists = row[order], lists[order]
+    head = np.ones(len(row), bool)
+    head[1:] = (row[1:] != row[:-1]) | (lists[1:] // shelf != lists[:-1] // shelf)
+    first = np.flatnonzero(head)
+    groups = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(lists, pa.int32()))
+    take = pa.array(row[first])
+    return pa.RecordBatch.from_arrays([ids.take(take), vectors.take(take), pa.array(lists[first] // shelf, pa.int32()), groups], names=["class_id", "v", "shelf", "lists"])
+
+
+def _list_rows(graph, dim: int, top: float, options: IndexOptions, ratio: float | None = None, sizes: np.ndarray | None = None, least: int = 0):
+    """The lists a vector is stored in, or those a query visits if a ratio is given: all within it, and the nearest ones
+    until they hold ``least`` vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = graph.value
+        step = max(16, min(512, (1 << 20) // len(g.centroids)))
         for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                b = whole.slice(lo, 512)
+            for lo in range(0, whole.num_rows, step):
+                b = whole.slice(lo, step)
                 x = _matrix(b.column(1), dim)
-                if query:
-                    x = x / np.linalg.norm(x, axis=1, keepdims=True) * top
-                    ids, d = g.search(np.concatenate([x, np.zeros((len(x), 1))], axis=1), len(g.centroids), 1.05 * options.probe_ratio)
-                    d = np.sqrt(d)
-                    keep = (ids >= 0) & (d <= options.probe_ratio * d[:, :1])
-                    keep[:, : options.min_probes] = ids[:, : options.min_probes] >= 0
+                if ratio is None:
+                    ids, keep = _copies(g, _augmented(x, top), options)
+                    row, at = np.nonzero(keep)
+                    lists = ids[row, at]
                 else:
-                    ids, d = g.search(_augmented(x, top), options.beam)
-                    d, keep = np.sqrt(d), np.zeros(ids.shape, dtype=bool)
-                    keep[:, 0] = True
-                    for j in range(1, min(2 * options.max_copies, ids.shape[1])):
-                        near = (ids[:, j] >= 0) & (d[:, j] <= options.copy_ratio * d[:, 0]) & (keep.sum(axis=1) < options.max_copies)
-                        for i in range(j):  # a list close to one already chosen adds little
-                            gap = np.linalg.norm(g.centroids[ids[:, j]] - g.centroids[ids[:, i]], axis=1)
-                            near &= ~(keep[:, i] & (gap < d[:, j] * 0.5))
-                        keep[:, j] = near
-                r, at = np.nonzero(keep)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), b.column(1).take(pa.array(r)), pa.array(ids[r, at], pa.int32())], names=["class_id", "v", "list"])
+                    x = _asking(x, top)
+                    row, lists = g.within(x, ratio, options.beam)
+                    near, _ = g.search(x, options.beam)
+                    held = np.where(near >= 0, sizes[near], 0)
+                    at = np.nonzero((near >= 0) & (np.cumsum(held, axis=1) - held < least))
+                    pair = np.unique(np.concatenate([row, at[0]]) * len(sizes) + np.concatenate([lists, near[at]]))
+                    row, lists = pair // len(sizes), pair % len(sizes)
+                yield _shelved(b.column(0), b.column(1), row, lists, options.shelf)
 
     return run
 
 
+def _members(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list) of each element of a column of lists."""
+    column = column.combine_chunks()
+    return np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False)), column.flatten().to_numpy()
+
+
 def _score_block(dim: int, k: int):
-    """Best ``k`` of each query over the lists of one shelf block; a query meets only the lists it visits."""
+    """Best ``k`` of each query over the lists of one shelf block; a query is scored against the lists it visits only."""
 
     def run(key, queries: pa.Table, postings: pa.Table) -> pa.Table:
         kinds = pa.schema([("q", pa.int64()), ("class_id", pa.int64()), ("score", pa.float64())])
         if not queries.num_rows or not postings.num_rows:
             return kinds.empty_table()
+        postings = postings.sort_by("class_id")
         q, p = _matrix(queries["v"].combine_chunks(), dim), _matrix(postings["v"].combine_chunks(), dim)
         qid, pid = queries["class_id"].to_numpy(), postings["class_id"].to_numpy()
-        qlist, plist = queries["list"].to_numpy(), postings["list"].to_numpy()
+        (qrow, qlist), (prow, plist) = _members(queries["lists"]), _members(postings["lists"])
+        order = np.argsort(plist, kind="stable")
+        prow, plist = prow[order], plist[order]
         found = []
-        for one in np.unique(plist):
-            stored, asking = np.flatnonzero(plist == one), np.flatnonzero(qlist == one)
-            stored = stored[np.argsort(pid[stored], kind="stable")]
-            for at in range(0, len(asking), 256):
-                a = asking[at : at + 256]
-                best = stored[np.argsort(-(q[a] @ p[stored].T), axis=1, kind="stable")[:, :k]]
-                exact = np.einsum("ijk,ik->ij", p[best], q[a])
-                found.append((np.repeat(qid[a], best.shape[1]), pid[best].ravel(), exact.ravel()))
-        if not found:
-            return kinds.empty_table()
+        for at in range(0, len(q), 256):
+            mine = (qrow >= at) & (qrow < at + 256)
+            rows, lists = qrow[mine] - at, qlist[mine]
+            n = min(256, len(q) - at)
+            scores = np.full((n, len(p)), -np.inf)
+            by = np.argsort(lists, kind="stable")
+            rows, lists = rows[by], lists[by]
+            for one in np.unique(lists):
+                a = rows[np.searchsorted(lists, one) : np.searchsorted(lists, one, side="right")]
+                stored = prow[np.searchsorted(plist, one) : np.searchsorted(plist, one, side="right")]
+                if len(stored):
+                    scores[a[:, None], stored[None, :]] = q[at + a] @ p[stored].T
+            some = min(k + 4, len(p))
+            best = np.argpartition(-scores, some - 1, axis=1)[:, :some]
+            exact = np.einsum("ijk,ik->ij", p[best], q[at : at + n])
+            exact[~np.isfinite(np.take_along_axis(scores, best, axis=1))] = -np.inf
+            found.append((np.repeat(qid[at : at + n], some), pid[best].ravel(), exact.ravel()))
         ask, hit, score = (np.concatenate(c) for c in zip(*found))
         order = np.lexsort((hit, -score, ask))
         ask, hit, score = ask[order], hit[order], score[order]
-        again = np.concatenate([[False], (ask[1:] == ask[:-1]) & (hit[1:] == hit[:-1])])  # a copy in two lists
-        ask, hit, score = ask[~again], hit[~again], score[~again]
         place = np.arange(len(ask)) - np.searchsorted(ask, ask)
-        keep = place < k
+        keep = (place < k) & np.isfinite(score)
         return pa.table([ask[keep], hit[keep], score[keep]], schema=kinds)
 
     return run
 
 
-def search(
+def _cuts(postings: DataFrame, visits: DataFrame, options: IndexOptions) -> DataFrame:
+    """(shelf, np, nq): blocks of each shelf and of its queries, ``max_lists / shelf`` rows at most."""
+    parts = lambda df, name: df.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / options.block).cast("int").alias(name))
+    return F.broadcast(parts(postings, "np").join(parts(visits, "nq"), "shelf"))
+
+
+def index_tables(
     vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", options: IndexOptions = IndexOptions()
-) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of every row where ``is_query`` (a condition on ``vec_id``)."""
+) -> tuple[int, DataFrame, DataFrame, DataFrame] | None:
+    """(dimension, members(vec_id, class_id, least), postings, visits): the lists each class is stored in, and those each
+    class of a query visits; None if no vector takes part."""
     spark = vectors.sparkSession
     v = F.col("v")
     sound = F.col("vec_id").isNotNull() & v.isNotNull() & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
@@ -239,41 +343,55 @@ def search(
     sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)).alias("top"))
     found = sizes.orderBy(F.desc("n"), "dim").first()
     if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return None
     dim, top = found["dim"], float(np.sqrt(found["top"]))
     rows = rows.filter(F.size("v") == dim)
-    classes = materialise(rows.groupBy("v").agg(F.min("vec_id").alias("class_id")), "vectors")
-    members = materialise(rows.join(classes, "v").select("vec_id", "class_id").distinct(), "members")
+    classes = rows.groupBy("v").agg(F.min("vec_id").alias("least"))
+    classes = materialise(classes.withColumn("class_id", F.monotonically_increasing_id()), "vectors")
+    members = materialise(rows.join(classes, "v").select("vec_id", "class_id", "least").distinct(), "members")
     n = classes.count()
     n_lists = min(max(n // options.list_size, 1), options.max_lists)
-    picked = classes.orderBy(F.xxhash64("class_id"), "class_id").limit(options.sample).select("v").collect()
+    picked = classes.orderBy(F.xxhash64("v"), "v").limit(options.sample).select("v").collect()
     sample = _augmented(np.array([r["v"] for r in picked], dtype=np.float64), top)
-    graph = spark.sparkContext.broadcast(build_graph(sample, n_lists, options))
+    built = build_graph(sample, n_lists, options)
+    ratio = options.probe_ratio or fit_ratio(built, sample, top, k, options)
+    graph = spark.sparkContext.broadcast(built)
 
-    rows_of = "class_id long, v array<double>, list int"
+    rows_of = "class_id long, v array<double>, shelf int, lists array<int>"
     both = classes.select("class_id", "v")
-    postings = materialise(both.mapInArrow(_list_rows(graph, dim, top, options, False), rows_of), "postings")
-    asked_ids = members.filter(is_query)
-    asked = both.join(asked_ids.select("class_id").distinct(), "class_id")
-    visits = materialise(asked.mapInArrow(_list_rows(graph, dim, top, options, True), rows_of), "visits")
+    postings = materialise(both.mapInArrow(_list_rows(graph, dim, top, options), rows_of), "postings")
+    sizes = np.zeros(len(built.centroids), np.int64)
+    for r in postings.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # at most ``max_lists`` rows
+        sizes[r["list"]] = r["n"]
+    asked = both.join(members.filter(is_query).select("class_id").distinct(), "class_id")
+    visiting = _list_rows(graph, dim, top, options, ratio, sizes, 2 * options.max_copies * (k + 1))
+    return dim, members, postings, materialise(asked.mapInArrow(visiting, rows_of), "visits")
 
-    shelf = F.floor(F.col("list") / options.shelf).cast("int")
-    postings, visits = postings.withColumn("shelf", shelf), visits.withColumn("shelf", shelf)
-    parts = lambda df, name: df.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / options.block).cast("int").alias(name))
-    cuts = F.broadcast(parts(postings, "np").join(parts(visits, "nq"), "shelf"))  # ``max_lists / shelf`` rows at most
+
+def search(
+    vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", options: IndexOptions = IndexOptions()
+) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of every row where ``is_query`` (a condition on ``vec_id``)."""
+    tables = index_tables(vectors, is_query, k, id_col, vector_col, options)
+    if tables is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dim, members, postings, visits = tables
+    asked_ids = members.filter(is_query)
+    cuts = _cuts(postings, visits, options)
     block = lambda c: F.pmod(F.xxhash64("class_id"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = visits.join(cuts, "shelf").select("shelf", "list", "class_id", "v", block("nq").alias("qb"), every("np").alias("pb"))
-    right = postings.join(cuts, "shelf").select("shelf", "list", "class_id", "v", every("nq").alias("qb"), block("np").alias("pb"))
+    left = visits.join(cuts, "shelf").select("shelf", "lists", "class_id", "v", block("nq").alias("qb"), every("np").alias("pb"))
+    right = postings.join(cuts, "shelf").select("shelf", "lists", "class_id", "v", every("nq").alias("qb"), block("np").alias("pb"))
     key = ["shelf", "qb", "pb"]
     scored = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_score_block(dim, k + 1), "q long, class_id long, score double")
-    scored = scored.groupBy("q", "class_id").agg(F.max("score").alias("score"))
+    scored = scored.groupBy("q", "class_id").agg(F.max("score").alias("score"))  # a copy in two lists
+    scored = scored.join(members.select("class_id", "least").distinct(), "class_id")
     nearest = lambda c: Window.partitionBy("q").orderBy(F.desc("score"), c)
-    best = scored.withColumn("r", F.row_number().over(nearest("class_id"))).filter(F.col("r") <= k + 1)
-    shown = members.withColumn("r", F.row_number().over(Window.partitionBy("class_id").orderBy("vec_id"))).filter(F.col("r") <= k + 1).drop("r")
-    spread = best.drop("r").join(shown, "class_id")
+    best = scored.withColumn("r", F.row_number().over(nearest("least"))).filter(F.col("r") <= k + 1)
+    shown = members.withColumn("r", F.row_number().over(Window.partitionBy("class_id").orderBy("vec_id"))).filter(F.col("r") <= k + 1).select("vec_id", "class_id")
+    spread = best.select("q", "class_id", "score").join(shown, "class_id")
     spread = spread.withColumn("r", F.row_number().over(nearest("vec_id"))).filter(F.col("r") <= k + 1)
-    answers = asked_ids.select(F.col("vec_id").alias("query_id"), F.col("class_id").alias("q")).join(spread.select("q", "vec_id", "score", "r"), "q")
-    answers = answers.filter("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("r"))
+    answers = asked_ids.select(F.col("vec_id").alias("query_id"), F.col("class_id").alias("q")).join(spread.select("q", "vec_id", "score"), "q")
+    answers = answers.filter("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return answers.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
