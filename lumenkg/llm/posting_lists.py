@@ -45,7 +45,7 @@ class IndexOptions:
     """``sample`` vectors at most reach the driver; lists number ``rows / list_size``, ``max_lists`` at most;
     ``probe_ratio`` takes the place of the fitted ratio."""
 
-    sample: int = 65536
+    sample: int = 32768
     list_size: int = 32
     shelf: int = 256
     max_lists: int = 8192
@@ -53,7 +53,7 @@ class IndexOptions:
     beam: int = 32
     max_copies: int = 2
     copy_ratio: float = 1.03
-    target: float = 0.95
+    target: float = 0.93
     probe_ratio: float | None = None
     trials: int = 256
     block: int = 16384
@@ -171,7 +171,7 @@ def build_graph(sample: np.ndarray, n_lists: int, options: IndexOptions) -> Cent
     centroids = np.unique(np.array([sample[g].mean(axis=0) for g in groups]), axis=0)
     for _ in range(3):
         near = np.concatenate([
-            ((centroids**2).sum(axis=1) - 2 * sample[at : at + 2048] @ centroids.T).argmin(axis=1) for at in range(0, len(sample), 2048)
+            ((centroids**2).sum(axis=1) - 2 * sample[at : at + 512] @ centroids.T).argmin(axis=1) for at in range(0, len(sample), 512)
         ])
         sums = np.zeros_like(centroids)
         np.add.at(sums, near, sample)
@@ -224,9 +224,11 @@ def fit_ratio(g: CentroidGraph, sample: np.ndarray, top: float, k: int, options:
     chosen = rng.choice(len(sample), min(options.trials, len(sample)), replace=False)
     raw = sample[:, :-1]
     asked = raw[chosen]
-    score = asked @ raw.T
-    score[np.arange(len(chosen)), chosen] = -np.inf
-    near = np.argsort(-score, axis=1, kind="stable")[:, : min(k, max(len(sample) - 1, 1))]
+    near = np.zeros((len(chosen), min(k, max(len(sample) - 1, 1))), np.int64)
+    for at in range(0, len(chosen), 32):
+        score = asked[at : at + 32] @ raw.T
+        score[np.arange(len(score)), chosen[at : at + 32]] = -np.inf
+        near[at : at + 32] = np.argpartition(score, -near.shape[1], axis=1)[:, -near.shape[1] :]
     hit = np.unique(near)
     lists, keep = _copies(g, sample[hit], options)
     x = _asking(asked, top)
@@ -351,8 +353,8 @@ def index_tables(
     members = materialise(rows.join(classes, "v").select("vec_id", "class_id", "least").distinct(), "members")
     n = classes.count()
     n_lists = min(max(n // options.list_size, 1), options.max_lists)
-    picked = classes.orderBy(F.xxhash64("v"), "v").limit(options.sample).select("v").collect()
-    sample = _augmented(np.array([r["v"] for r in picked], dtype=np.float64), top)
+    picked = classes.orderBy(F.xxhash64("v"), "v").limit(options.sample).select("v").toArrow()
+    sample = _augmented(_matrix(picked["v"].combine_chunks(), dim), top)
     built = build_graph(sample, n_lists, options)
     ratio = options.probe_ratio or fit_ratio(built, sample, top, k, options)
     graph = spark.sparkContext.broadcast(built)
