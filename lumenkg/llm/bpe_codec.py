@@ -9,7 +9,8 @@ come from a public tokenizer file whose path is a parameter.
 Defined results: null and empty texts have no ids and decode to an empty text;
 special tokens in a text become their ids, as in the tokenizers library; a text
 of one enormous piece takes n log n steps; repeated rows give equal rows; an
-empty table an empty table; other columns pass through untouched.
+empty table an empty table; other columns pass through untouched (added columns
+start with ``__bp_``).
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lumenkg.llm.tokenization import _SPACED, _WIDE_SPACE, byte_letters, utf8, vocabulary_path
+from lumenkg.llm.workspace import bound_batches
 
 #: Fixed value: the piece pattern of byte-level vocabularies of this family.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 MAX_CACHED = 500_000
+P = "__bp_"
 _DEAD = -1
 
 
@@ -136,6 +139,7 @@ def codec(vocabulary: str) -> BpeCodec:
 
 
 def _mapped(df: DataFrame, source: str, target: str, kind, arrow_kind, vocabulary: str, drop: bool, apply) -> DataFrame:
+    bound_batches(df.sparkSession)
     fields = [f for f in df.schema.fields if not (drop and f.name == source)]
     schema, names = T.StructType([*fields, T.StructField(target, kind)]), [f.name for f in fields]
     at, kept = df.columns.index(source), [i for i, c in enumerate(df.columns) if not (drop and c == source)]
@@ -152,14 +156,14 @@ def _mapped(df: DataFrame, source: str, target: str, kind, arrow_kind, vocabular
 
 
 def encode_texts(
-    df: DataFrame, vocabulary: str = "byte_bpe_50k.json", text_col: str = "text", ids_col: str = "ids", drop_text: bool = False
+    df: DataFrame, vocabulary: str = "byte_bpe_50k.json", text_col: str = "text", ids_col: str = P + "ids", drop_text: bool = False
 ) -> DataFrame:
     """Add ``ids_col``: the ids of every whole text as little-endian unsigned 32-bit integers."""
     return _mapped(df, text_col, ids_col, T.BinaryType(), pa.binary(), vocabulary, drop_text, lambda tool, text: tool.encode(utf8(text)))
 
 
 def decode_ids(
-    df: DataFrame, vocabulary: str = "byte_bpe_50k.json", ids_col: str = "ids", text_col: str = "decoded", drop_ids: bool = False
+    df: DataFrame, vocabulary: str = "byte_bpe_50k.json", ids_col: str = P + "ids", text_col: str = P + "decoded", drop_ids: bool = False
 ) -> DataFrame:
     """Add ``text_col``: the text of every row's ids."""
     return _mapped(df, ids_col, text_col, T.StringType(), pa.string(), vocabulary, drop_ids, lambda tool, ids: tool.decode(ids or b""))

@@ -1,8 +1,9 @@
 """Edit-aware token counts.
 
 A document's text is kept as leaves that end at places where the tokenizer
-always cuts (a space between two printable ASCII characters), with two segment
-trees over them: token counts and lengths. An edit finds its leaves in the
+always cuts (a space between two letters, digits or printable ASCII characters
+of any script, or behind East Asian punctuation and before a letter), with two
+segment trees over them: token counts and lengths. An edit finds its leaves in the
 length tree, re-encodes the leaves it touches (more of them while their bounds
 are no longer certain cuts), and updates sums on the paths to the root. The
 root holds the count of the whole text.
@@ -28,10 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenkg.llm.tokenization import unit_encoder, utf8
+from lumenkg.llm.workspace import bound_batches
 
 P = "__et_"
 LEAF = 256
-_CUT = re.compile("(?<=[!-~]) (?=[!-~])")
+#: Punctuation of scripts without spaces; it never joins the letter behind it.
+_STOPS = "、。，！？；：」』）】》"
+_CUT = re.compile(rf"(?<=[!-~\w]) (?=[!-~\w])|(?<=[{_STOPS}])(?=[^\W_])")
+#: A leaf that grew beyond so many times ``LEAF`` is cut again, with the trees built anew.
+GROWN = 8
 EDITS = T.ArrayType(T.StructType([T.StructField("at", T.LongType()), T.StructField("deleted", T.LongType()), T.StructField("inserted", T.StringType())]))
 
 
@@ -47,6 +53,13 @@ def cut_leaves(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
+def certain(before: str, after: str) -> bool:
+    """Does the tokenizer always cut between two texts that stand side by side?"""
+    if after[0] == " ":
+        return len(after) > 1 and all("!" <= c <= "~" or c.isalnum() for c in (before[-1], after[1]))
+    return before[-1] in _STOPS and after[0].isalnum()
+
+
 class SumTree:
     """Sums over a fixed number of leaves; node k has children 2k and 2k + 1, the root is node 1."""
 
@@ -105,16 +118,18 @@ class TokenTree:
         lo, off = self.lengths.find(at) if at < size else (len(self.leaves) - 1, len(self.leaves[-1]))
         hi, stop = self.lengths.find(end) if end < size else (len(self.leaves) - 1, len(self.leaves[-1]))
         new = self.leaves[lo][:off] + inserted + self.leaves[hi][stop:]
-        while lo and not (len(new) > 1 and new[0] == " " and "!" <= new[1] <= "~" and self._ends_sure(lo)):
+        while lo and not (len(new) > 1 and self._ends_sure(lo, new)):
             lo -= 1
             new = self.leaves[lo] + new
-        while hi + 1 < len(self.leaves) and not (new and "!" <= new[-1] <= "~" and self._starts_sure(hi)):
+        while hi + 1 < len(self.leaves) and not (new and self._starts_sure(hi, new)):
             hi += 1
             new += self.leaves[hi]
         pieces = cut_leaves(new)
         fresh = [self.count(x) for x in pieces]
         self.encoded += len(new)
         room = hi + 1 - lo
+        if len(pieces) > room and sum(map(len, pieces[room - 1 :])) <= GROWN * LEAF:
+            pieces, fresh = [*pieces[: room - 1], "".join(pieces[room - 1 :])], [*fresh[: room - 1], sum(fresh[room - 1 :])]
         if len(pieces) <= room:
             for k in range(room):
                 piece, n = (pieces[k], fresh[k]) if k < len(pieces) else ("", 0)
@@ -128,19 +143,16 @@ class TokenTree:
         self.leaves, counts = [x for x, _ in kept], [n for _, n in kept]
         self.tokens, self.lengths = SumTree(counts), SumTree([len(x) for x in self.leaves])
 
-    def _ends_sure(self, lo: int) -> bool:
-        """Does the last text before leaf ``lo`` end in a printable ASCII character?"""
+    def _ends_sure(self, lo: int, new: str) -> bool:
+        """Is the bound between ``new`` and the last text before leaf ``lo`` a certain cut?"""
         while lo and not self.leaves[lo - 1]:
             lo -= 1
-        return not lo or "!" <= self.leaves[lo - 1][-1] <= "~"
+        return not lo or certain(self.leaves[lo - 1], new)
 
-    def _starts_sure(self, hi: int) -> bool:
+    def _starts_sure(self, hi: int, new: str) -> bool:
         while hi + 1 < len(self.leaves) and not self.leaves[hi + 1]:
             hi += 1
-        if hi + 1 == len(self.leaves):
-            return True
-        after = self.leaves[hi + 1]
-        return len(after) > 1 and after[0] == " " and "!" <= after[1] <= "~"
+        return hi + 1 == len(self.leaves) or certain(new, self.leaves[hi + 1])
 
 
 def _counter(vocabulary: str):
@@ -163,6 +175,7 @@ def _row(tree: TokenTree) -> tuple:
 
 def build_trees(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text_col: str = "text", drop_text: bool = False) -> DataFrame:
     """Add the trees of every text and ``__et_n_tokens``, the count at their root."""
+    bound_batches(docs.sparkSession)
     fields = [f for f in docs.schema.fields if not (drop_text and f.name == text_col)]
     kept, at = [docs.columns.index(f.name) for f in fields], docs.columns.index(text_col)
     schema = T.StructType([*fields, *_STATE])

@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,11 +53,10 @@ SYMBOL = _symbols()
 
 @dataclass(frozen=True)
 class TrainingBounds:
-    """The sample that training may see: texts per language, windows per text, languages."""
+    """The sample that training may see: texts per language, and windows per text; every language is learned."""
 
     texts_per_language: int = 400
     windows_per_text: int = 6
-    languages: int = 64
     window: int = 256
     filters: int = 8
     epochs: int = 6
@@ -183,22 +182,17 @@ def _sample_rows(window: int, per_text: int):
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bounds: TrainingBounds = TrainingBounds()) -> ByteConvNet | None:
     """Train on rows of ``labelled`` with a text and a language.
 
-    Counts per language set a threshold on a hash of the id, so that about
-    ``texts_per_language`` texts of each of the ``languages`` most frequent
-    languages reach the driver, as a few windows each.
+    The ``texts_per_language`` texts of each language with the least hash of
+    their id reach the driver, as a few windows each (rows of one hash in order
+    of their text's hash).
     """
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(bounds.seed)).alias("key")
     )
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(bounds.languages).collect()}
-    if not counts:
-        return None
-    languages = sorted(counts)
-    share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, bounds.texts_per_language / counts[k])))])
-    place = F.pmod("key", F.lit(1 << 20)) / F.lit(float(1 << 20))
-    picked = rows.filter(place < F.coalesce(share[F.col("lang")], F.lit(0.0)))
-    limit = 2 * bounds.texts_per_language * bounds.languages * bounds.windows_per_text
-    got = picked.mapInArrow(_sample_rows(bounds.window, bounds.windows_per_text), "lang string, key long, nth int, bytes binary").limit(limit).collect()
+    best = Window.partitionBy("lang").orderBy("key", F.xxhash64("text"))
+    picked = rows.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= bounds.texts_per_language).drop("nth")
+    got = picked.mapInArrow(_sample_rows(bounds.window, bounds.windows_per_text), "lang string, key long, nth int, bytes binary").collect()
+    languages = sorted({r["lang"] for r in got})
     got = sorted(got, key=lambda r: (r["key"], r["nth"], r["lang"], r["bytes"]))
     if not got:
         return None

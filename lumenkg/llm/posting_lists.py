@@ -45,10 +45,10 @@ class IndexOptions:
     """``sample`` vectors at most reach the driver; lists number ``rows / list_size``, ``max_lists`` at most;
     ``probe_ratio`` takes the place of the fitted ratio."""
 
-    sample: int = 32768
+    sample: int = 16384
     list_size: int = 32
     shelf: int = 256
-    max_lists: int = 8192
+    max_lists: int = 4096
     degree: int = 16
     beam: int = 32
     max_copies: int = 2

@@ -176,6 +176,11 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", lim
     return judge_metrics(with_metrics(docs, text_col), host_col, limits)
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with their own columns."""
-    return judge(docs, **options).filter(P + "kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", limits: RuleLimits = RuleLimits()) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their own columns; only rows that fail a soft rule are shuffled."""
+    judged = materialise(with_metrics(docs, text_col).withColumns(_failures(limits)), "quality")
+    hosts = host_verdicts(judged.drop(text_col) if text_col != host_col else judged, host_col, limits).filter(~F.col(P + "host_rejected")).select(P + "host")
+    own, sound = [F.col(f"`{c}`") for c in docs.columns], judged.filter(~F.col(P + "base_failed"))
+    good = sound.filter(~F.col(P + "soft_failed")).select(*own)
+    spared = sound.filter(P + "soft_failed").join(hosts, F.col(host_col).eqNullSafe(F.col(P + "host")), "left_semi").select(*own)
+    return good.unionByName(spared)

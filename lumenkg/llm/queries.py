@@ -90,9 +90,9 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_codec.decode_ids(bpe_codec.encode_texts(docs, drop_text=True))
     return coded.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.octet_length(bpe_codec.P + "ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(bpe_codec.P + "ids", 256).alias("ids_sha256"),
+        F.sha2(F.col(bpe_codec.P + "decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -27,11 +27,17 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD_END = "\r\n\r\n"
 
 
+def _uri(url: Column) -> Column:
+    """A target that fits a header line; line ends and percent signs before hex digits keep their place as escapes."""
+    escaped = F.regexp_replace(url, "%(?=0[AD])", "%25")
+    return F.replace(F.replace(escaped, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
 def _records(pages: DataFrame, id_col: str, url_col: str, body_col: str) -> DataFrame:
     payload = F.encode(F.coalesce(F.col(body_col), F.lit("")), "UTF-8")
     return pages.select(
         F.col(id_col).alias("page_id"),
-        F.translate(F.coalesce(F.col(url_col), F.lit("")), "\r\n", "").alias("url"),
+        _uri(F.coalesce(F.col(url_col), F.lit(""))).alias("url"),
         payload.alias("payload"),
     ).withColumns({"address": F.sha2("payload", 256), "sha1": F.sha1("payload"), "n_bytes": F.length("payload").cast("long")})
 
@@ -102,18 +108,25 @@ def read_payloads(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, root: str) -> DataFrame:
-    """Every record with its exact bytes (``record``) and the full payload it stands for (``payload``)."""
-    joined = read_headers(spark, root).join(read_payloads(spark, root), "address")
+    """Every record with its exact bytes (``record``) and the full payload it stands for (``payload``).
+
+    A header whose digest isn't that of its payload, or whose block has another length than the header says, raises.
+    """
+    kept = read_payloads(spark, root).withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.length("payload").cast("long")})
+    joined = read_headers(spark, root).join(kept, "address")
     block = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return joined.withColumn("record", F.concat("header", block, F.encode(F.lit(RECORD_END), "UTF-8")))
+    sound = (F.col("header_digest") == F.col("payload_digest")) & (F.col("block_bytes") == F.length("block"))
+    record = F.concat("header", "block", F.encode(F.lit(RECORD_END), "UTF-8"))
+    damage = F.raise_error(F.concat(F.lit("damaged record of payload "), F.col("address"))).cast("binary")
+    return joined.withColumn("block", block).withColumn("record", F.when(sound, record).otherwise(damage)).drop("block")
 
 
 def read_index(spark: SparkSession, root: str) -> DataFrame:
-    """Like ``read_records`` but with length and digest of each payload, taken from the stored bytes once per payload."""
-    facts = read_payloads(spark, root).select(
-        "address", F.length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest")
-    )
-    joined = read_headers(spark, root).join(facts, "address")
-    return joined.filter(F.col("header_digest") == F.col("payload_digest")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    """Page, payload and kind of every record, told from the rebuilt record: its header and the digest of what follows it.
+
+    A record whose own bytes don't match its header raises; a revisit's payload is that of its response.
+    """
+    rows = read_records(spark, root)
+    body = F.substr(F.col("record"), F.length("header") + 1, F.length("record") - F.length("header") - len(RECORD_END))
+    whole = F.when(F.col("record_type") == "revisit", F.col("payload")).otherwise(body)
+    return rows.select("page_id", F.length(whole).cast("long").alias("payload_bytes"), F.sha1(whole).alias("payload_digest"), "record_type", "refers_to")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenkg.llm.tokenization import unit_encoder, utf8
+from lumenkg.llm.workspace import bound_batches, write_table
 
 _MAGIC = b"WMTX"
 _HEAD = struct.Struct("<4sIQQI")
@@ -161,7 +162,7 @@ def _shard_rows(vocabulary: str, end_id: int, shard_tokens: int):
         from pyspark import TaskContext
 
         part, encoder = TaskContext.get().partitionId(), unit_encoder(vocabulary, "words")
-        end, held, docs, lengths, seq = np.array([end_id], "<u4").tobytes(), [], [], [], 0
+        end, held, docs, lengths, seq, total = np.array([end_id], "<u4").tobytes(), [], [], [], 0, 0
 
         def flush():
             ids = np.frombuffer(b"".join(held), "<u4")
@@ -176,9 +177,10 @@ def _shard_rows(vocabulary: str, end_id: int, shard_tokens: int):
                 held.append(ids)
                 docs.append(doc.as_py())
                 lengths.append(len(ids) // 4)
-                if sum(lengths[-1:]) >= shard_tokens or len(docs) % 64 == 0 and sum(lengths) >= shard_tokens:
+                total += lengths[-1]
+                if total >= shard_tokens:
                     yield flush()
-                    held, docs, lengths, seq = [], [], [], seq + 1
+                    held, docs, lengths, seq, total = [], [], [], seq + 1, 0
         if docs:
             yield flush()
 
@@ -195,6 +197,7 @@ def write_shards(
     text_col: str = "text",
 ) -> None:
     """Encode, order by id and write the shards; each task writes its own range of ids."""
+    bound_batches(docs.sparkSession)
     tie = F.xxhash64("text")
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -202,7 +205,7 @@ def write_shards(
         .sortWithinPartitions("doc_id", tie)
     )
     shards = ordered.mapInArrow(_shard_rows(vocabulary, end_id, shard_tokens), "part int, seq int, n_docs long, n_tokens long, file binary")
-    shards.write.option("compression", "none").option("parquet.block.size", str(32 << 20)).parquet(root)
+    write_table(shards, root, "none", **{"parquet.block.size": str(32 << 20)})
 
 
 def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

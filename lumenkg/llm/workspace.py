@@ -26,8 +26,13 @@ _collectors: list[list[str]] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir`` (a temporary folder only where that is unset)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _fallback_root()
+    """A new folder name under ``spark.checkpoint.dir``; a temporary folder where that is unset and all runs on one machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _fallback_root()
     path = f"{root.rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
     if _collectors:
         _collectors[-1].append(path)
@@ -75,12 +80,16 @@ def materialise(df: DataFrame, label: str, compression: str = "zstd") -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let at most ``rows`` rows travel to a Python worker at once: whole texts of the default 10,000 rows take both sides' memory."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > rows:
-        spark.conf.set(name, str(rows))
+def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 64 << 20) -> None:
+    """Let at most ``rows`` rows and about ``size`` bytes travel to a Python worker at once: whole texts of the default
+    10,000 rows take both sides' memory.
+
+    Results are lazy and take the setting when they run, so it is lowered for the session and stays; it is never raised.
+    """
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = int(str(spark.conf.get(name)).rstrip("bB"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

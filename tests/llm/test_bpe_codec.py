@@ -39,9 +39,9 @@ def test_encoders_equal_the_library_on_any_text(t):
 
 
 def test_tables_round_trip(spark, tmp_path):
-    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)] + [(3, "\n", "x")], "doc_id long, text string, ids2 string")
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)] + [(3, "\n", "x")], "doc_id long, text string, ids string")
     out = decode_ids(encode_texts(docs)).collect()
-    assert all(r["decoded"] == (r["text"] or "") and r["ids2"] == "x" for r in out) and len(out) == len(TEXTS) + 1
+    assert all(r["__bp_decoded"] == (r["text"] or "") and r["ids"] == "x" for r in out) and len(out) == len(TEXTS) + 1
     assert encode_texts(docs.limit(0)).count() == 0
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     for r in queries.op9_bpe_codec(spark, str(tmp_path)).collect():

@@ -56,3 +56,35 @@ def test_edits_from_a_table(spark):
         want = "none" + (r["text"] or "") if r["doc_id"] == 4 else r["text"] or ""
         assert "".join(r["__et_leaves"]) == want and r["__et_n_tokens"] == n_ids(want)
     assert et.apply_edits(et.attach_edits(et.build_trees(docs.limit(0)), edits)).count() == 0
+
+
+def test_edits_in_scripts_beyond_latin():
+    russian = "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 520
+    chinese = "天地玄黄，宇宙洪荒。日月盈昃，辰宿列张。寒来暑往，秋收冬藏。闰余成岁，律吕调阳。" * 760
+    for text, inserted in ((russian, "новое слово"), (chinese, "新的词，")):
+        assert len(text) >= 30_000 and "".join(et.cut_leaves(text)) == text and len(et.cut_leaves(text)) > 50
+        tree = et.TokenTree.build(text, n_ids)
+        nodes = tree.tokens.node
+        for at in (15_000, 7, 29_990):
+            tree.encoded = 0
+            tree.edit(at, 3, inserted)
+            text = text[:at] + inserted + text[at + 3 :]
+            assert tree.encoded < 2_000 and tree.text == text and tree.total == n_ids(text)
+        assert tree.tokens.node is nodes, "sums were updated on their paths"
+
+
+def test_random_edits_in_all_scripts_keep_the_count(monkeypatch):
+    monkeypatch.setattr(et, "LEAF", 6)
+    rng = random.Random(9)
+    atoms = ["слово", " ", "天", "。", "，", "'s", "「", "」", " é", "²", "١٢", "a", ".", "\n", "́", "ไทย", "　", " 'll", "’", "！", "x_"]
+    part = lambda n: "".join(rng.choice(atoms) for _ in range(n))
+    for _ in range(150):
+        text = part(rng.randrange(0, 60))
+        tree = et.TokenTree.build(text, n_ids)
+        assert tree.total == n_ids(text)
+        for _ in range(8):
+            at, deleted, inserted = rng.randrange(len(text) + 3), rng.choice([0, 1, 2, 20]), part(rng.choice([0, 1, 3, 20]))
+            tree.edit(at, deleted, inserted)
+            at = min(at, len(text))
+            text = text[:at] + inserted + text[at + deleted :]
+            assert tree.text == text and tree.total == n_ids(text)
