@@ -2,11 +2,18 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame. All but the last return the columns of ``documents``.
+
+Defined results, in every stage: columns beyond those of ``documents`` pass
+through (the last stage ignores them); an empty table gives an empty result. A
+null or blank text fails the quality rules. A null id is kept by the first
+three stages, has no passages in the fourth, and is packed as null. Rows that
+repeat are judged each for itself, one of them stays in the third stage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,53 +21,60 @@ from pyspark.sql import functions as F
 
 from lumenkg.llm import best_fit_packing, compact_windows, language_id, quality_rules, simhash
 from lumenkg.llm.queries import pack_digest
-from lumenkg.llm.workspace import collected_paths, discard, read_table, scratch_path
+from lumenkg.llm.workspace import collected_paths, discard, read_table, scratch_path, write_table
+
+
+#: Scratch tables of the last call of each stage, by its place in a run. A run has its own; stages called one by one share one.
+_held: ContextVar[dict[int, list[str]]] = ContextVar("held", default={})
 
 
-#: Scratch tables of the stage that ran last. Its result has been written and read again when the next one starts.
-_leftover: list[str] = []
+def _stage(place: int) -> Callable:
+    """A stage deletes the scratch tables of the last call of the stage before it, whose result it reads.
 
+    Calls of the same stage, or of the first, delete nothing.
+    """
 
-def _stage(work: Callable) -> Callable:
-    """Start a stage by deleting the scratch tables of the one before."""
+    def wrap(work: Callable) -> Callable:
+        @wraps(work)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            held = _held.get()
+            discard(spark, held.pop(place - 1, []))
+            with collected_paths() as paths:
+                out = work(spark, docs, sf_dir)
+            held[place] = paths
+            return out
 
-    @wraps(work)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        discard(spark, _leftover)
-        with collected_paths() as paths:
-            out = work(spark, docs, sf_dir)
-        _leftover[:] = paths
-        return out
+        return run_stage
 
-    return run_stage
+    return wrap
 
 
-@_stage
+@_stage(0)
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the host-level quality rules keep."""
     return quality_rules.keep_good(docs)
 
 
-@_stage
+@_stage(1)
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; the network learns from the labels of its own input."""
     return language_id.keep_identified(docs)
 
 
-@_stage
+@_stage(2)
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near-duplicates."""
     return simhash.keep_one_of_each(docs)
 
 
-@_stage
+@_stage(3)
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document holds."""
     out = compact_windows.drop_repeated_passages(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
-@_stage
+@_stage(4)
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece with its place in the packed sequences."""
     return pack_digest(best_fit_packing.cut_pieces(docs))
@@ -79,10 +93,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table."""
-    docs, root = read_table(spark, sf_dir, "documents"), scratch_path(spark, "run")
-    for name, stage in STAGES:
-        path = f"{root}/{name}"
-        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
-        docs = spark.read.parquet(path)
+    """All stages over the whole ``documents`` table; only the last one's table stays."""
+    docs, root, kept = read_table(spark, sf_dir, "documents"), scratch_path(spark, "run"), None
+    own = _held.set({})
+    try:
+        for name, stage in STAGES:
+            path = f"{root}/{name}"
+            write_table(stage(spark, docs, sf_dir), path)
+            docs = spark.read.parquet(path)
+            if kept:
+                discard(spark, [kept])
+            kept = path
+        discard(spark, _held.get().pop(len(STAGES) - 1, []))
+    finally:
+        _held.reset(own)
     return docs
