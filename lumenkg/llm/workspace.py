@@ -87,8 +87,8 @@ def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 64 << 20) -
     Results are lazy and take the setting when they run, so it is lowered for the session and stays; it is never raised.
     """
     for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        now = int(str(spark.conf.get(name)).rstrip("bB"))
-        if now <= 0 or now > most:
+        now = str(spark.conf.get(name)).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(name, str(most))
 
 
