@@ -11,12 +11,11 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lumenkg.functions.strings import relation_tokens, slug
+from lumenkg.functions.strings import relation_tokens, slug, trimmed
 
 # --- fixed values -------------------------------------------------------------------------------------------------
 BAD_ANSWERS = ("true", "false", "yes", "no", "none", "n/a", "unknown", "various", "multiple")
 LOW_VALUE_RELATIONS = ("related_to", "associated_with", "connected_to", "located_left_of", "located_right_of", "located_above", "located_below")
-BANNED_TERMS = ("对应的", "所对应的", "实体", "对象", "相关信息", "组织或机构是什么")
 STRONG_RELATIONS = (
     "founded_by", "founder", "ceo", "music_by", "book_and_lyrics_by", "features_songs_by", "director", "author", "writer", "lyrics",
     "headquartered_in", "performed_at", "premiered_at", "opened_at", "incorporated_as", "originally_named", "born_in", "born_on",
@@ -134,6 +133,7 @@ CODE_TOOLS = ("code_interpreter", "point", "insertimage", "draw2dpath", "detectb
 SEARCH_TOOLS = ("web_search", "image_search", "visit", "crop", "ocr")
 GENERIC_OBJECTS = ("car", "person", "building", "tree", "sign", "door", "window", "wall", "floor", "sky")
 PICTURED_TYPES = ("person", "landmark", "product")
+SEARCHED_TYPES = ("brand", "product", "landmark", "person")
 SKIPPED_SITES = ("youtube.com", "facebook.com", "instagram.com", "twitter.com", "tiktok.com", "basketball-reference.com", "forbes.com")
 # ------------------------------------------------------------------------------------------------------------------
 
@@ -254,6 +254,7 @@ def selection_phrase(rel: Column, kind: Column) -> Column:
 
 def answer_specificity(answer: Column, kind: Column) -> Column:
     """-1 for blanks; longer answers, people and organisations score more, generic places and organisations less."""
+    answer = trimmed(answer)
     low = F.lower(answer)
     score = (
         F.when(F.length(answer) >= 6, 0.3).otherwise(0.0)
@@ -265,6 +266,7 @@ def answer_specificity(answer: Column, kind: Column) -> Column:
 
 
 def answer_penalty(answer: Column, kind: Column) -> Column:
+    answer = trimmed(answer)
     low = F.lower(answer)
     generic = ((kind == "LOCATION") & low.isin(*PENALTY_PLACES)) | ((kind == "ORG") & low.isin(*GENERIC_ORGS)) | ((kind == "PERSON") & low.isin(*PENALTY_PERSONS))
     score = F.when(low.isin(*BAD_ANSWERS), 2.0).otherwise(0.0) + F.when(generic, 0.8).otherwise(0.0)
@@ -277,11 +279,6 @@ def set_merge_bucket(rel: Column) -> Column:
     return _first([(low.isin(*words), F.lit(k)) for k, words in enumerate(SET_MERGE_BUCKETS)], F.lit(None).cast("int"))
 
 
-def set_merge_compatible(a: Column, b: Column) -> Column:
-    same = set_merge_bucket(a) == set_merge_bucket(b)
-    return (F.lower(a) == F.lower(b)) | F.coalesce(same, F.lit(False))
-
-
 def domain_of(names: Column) -> Column:
     """Domain guessed from all names of an image joined by spaces; substrings count."""
     low = F.lower(names)
@@ -313,7 +310,7 @@ def visual_descriptor(kind: Column, slugs: Column, location: Column) -> Column:
 
 
 def question_category(tools: Column) -> Column:
-    names = F.transform(tools, lambda t: F.lower(F.trim(t)))
+    names = F.transform(tools, lambda t: F.lower(trimmed(t)))
     code = F.arrays_overlap(names, F.array(*map(F.lit, CODE_TOOLS)))
     search = F.arrays_overlap(names, F.array(*map(F.lit, SEARCH_TOOLS)))
     return F.when(code & search, "hybrid").when(code, "code").otherwise("retrieval")

@@ -14,8 +14,8 @@ from lumenkg.operators.relational import first_wins, pairs_of, top_per
 def kept_entities(raw: DataFrame, max_share: float = 0.8) -> DataFrame:
     """Detections(img_id, ord, name, etype, w, h, rx1..ry2) with pixel boxes: names of two characters or more, first of
     each name, boxes of at most ``max_share`` of the image, numbered E1.. in order."""
-    named = raw.filter(F.length(trimmed(F.col("name"))) > 0)
-    unique = first_wins(named, ["img_id", name_key(F.col("name"))], ["ord"]).filter(F.length("name") >= 2)
+    named = raw.withColumn("name", trimmed(F.col("name"))).filter(F.length("name") >= 2)
+    unique = first_wins(named, ["img_id", name_key(F.col("name"))], ["ord"])
     boxed = unique.withColumn("bbox", g.pixel_box(*[F.col(c) for c in ("rx1", "ry1", "rx2", "ry2", "w", "h")]))
     kept = boxed.filter(g.area_share(F.col("bbox"), F.col("w"), F.col("h")) <= max_share)
     idx = F.row_number().over(Window.partitionBy("img_id").orderBy("ord"))
@@ -115,7 +115,35 @@ def brand_dense_top(seeds: DataFrame, k: int = 12) -> DataFrame:
 
 
 def capped_pairs(scored: DataFrame, k: int = 5) -> DataFrame:
-    """The first ``k`` pairs of an image in order of (pictured type, confidence)."""
-    order = [F.desc(F.col("etype").isin(*rules.PICTURED_TYPES).cast("int")), F.desc("confidence"), "idx"]
+    """The first ``k`` pairs of an image in order of (searched type, confidence)."""
+    order = [F.desc(F.col("etype").isin(*rules.SEARCHED_TYPES).cast("int")), F.desc("confidence"), "idx"]
     few = top_per(scored, ["img_id"], order, k + 1, "rank")  # k pairs in order need no more than k + 1 entities
     return top_per(pairs_of(few, "img_id", "rank", ["name"]), ["img_id"], ["a_rank", "b_rank"], k)
+
+
+def promoted(seeds: DataFrame) -> DataFrame:
+    """Seeds that get the full search budget: found by the detection itself (or without a source), or of high confidence."""
+    return seeds.filter(F.coalesce("source", F.lit("")).isin("vlm_only", "") | (F.coalesce("level", F.lit("")) == "high"))
+
+
+def search_routes(kept: DataFrame) -> DataFrame:
+    """(img_id, id, name, route): pictured types are searched by image, all others on the web."""
+    named = kept.withColumn("name", trimmed(F.col("name"))).filter(F.length("name") >= 2)
+    return named.select("img_id", "id", "name", F.when(F.col("etype").isin(*rules.PICTURED_TYPES), "image").otherwise("web").alias("route"))
+
+
+def reverse_search_views(kept: DataFrame) -> DataFrame:
+    """The view each pictured entity is searched by: padded by a fifth, else tight."""
+    wanted = F.array(F.lit("pad20"), F.lit("tight"))
+    some = views(kept.filter(F.col("etype").isin(*rules.PICTURED_TYPES))).withColumn("choice", F.array_position(wanted, F.col("view"))).filter("choice > 0")
+    return first_wins(some, ["img_id", "id"], ["choice"]).drop("choice")
+
+
+def job_totals(entities: DataFrame, triples: DataFrame, searches: DataFrame) -> DataFrame:
+    """One row: images, entities, triples and search requests of a run."""
+    zero = lambda *names: [F.lit(0).cast("bigint").alias(n) for n in names]
+    count = F.count(F.lit(1))
+    parts = entities.agg(count.alias("entities"), F.count_distinct("img_id").alias("images")).select("images", "entities", *zero("triples", "searches"))
+    parts = parts.unionByName(triples.agg(count.alias("triples")).select("triples", *zero("images", "entities", "searches")))
+    parts = parts.unionByName(searches.agg(count.alias("searches")).select("searches", *zero("images", "entities", "triples")))
+    return parts.agg(*[F.sum(c).alias(c) for c in ("images", "entities", "triples", "searches")])

@@ -56,6 +56,35 @@ def both_mentioned(evidence: DataFrame, a: str = "entity_a", b: str = "entity_b"
     return evidence.filter(low.contains(F.lower(a)) & low.contains(F.lower(b)))
 
 
+def mentions(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """(doc_id, item_id) of documents whose text holds both ``entity_a`` and ``entity_b`` of ``names(item_id, ...)``, without
+    regard to case, for names of one word.
+
+    A text holds a word if one of its words does, so the distinct words are cut into pieces of the names' lengths, of
+    which there are few, and meet the names by equality; no document meets a name it doesn't hold.
+    """
+    sides = names.select("item_id", F.explode(F.array(F.struct(F.lit("a").alias("side"), F.lower("entity_a").alias("name")), F.struct(F.lit("b").alias("side"), F.lower("entity_b").alias("name")))).alias("x"))
+    wanted = sides.select("item_id", "x.*").filter("name <> ''")
+    lengths = sorted(r["n"] for r in wanted.select(F.length("name").alias("n")).distinct().collect())
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), " +"))).alias("word"))
+    sized = words.select("word").distinct().select("word", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")).alias("n"))
+    cut = sized.filter(F.length("word") >= F.col("n")).withColumn("at", F.explode(F.sequence(F.lit(1), F.length("word") - F.col("n") + 1)))
+    held = cut.select("word", F.substr("word", F.col("at"), F.col("n")).alias("name")).join(wanted.select("name").distinct(), "name").distinct()
+    found = words.join(held, "word").select("doc_id", "name").distinct()
+    one = lambda side: found.join(wanted.filter(F.col("side") == side), "name").select("doc_id", "item_id")
+    return one("a").join(one("b"), ["doc_id", "item_id"])
+
+
+IMAGES = "struct<images array<struct<title string, imageUrl string, link string, source string>>>"
+
+
+def image_rows(responses: DataFrame, k: int = 5) -> DataFrame:
+    """``responses(key, body)`` of an image search as rows (key, pos, title, image_url, source_url, source_domain), ``k`` each."""
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    rows = responses.withColumn("r", F.from_json("body", IMAGES)).select("key", F.posexplode(F.slice("r.images", 1, k)).alias("pos", "x"))
+    return rows.select("key", "pos", blank(F.col("x.title")).alias("title"), blank(F.col("x.imageUrl")).alias("image_url"), blank(F.col("x.link")).alias("source_url"), blank(F.col("x.source")).alias("source_domain"))
+
+
 def lens_titles(raw: DataFrame, k: int = 20) -> DataFrame:
     """First ``k`` titles of three characters or more of ``raw(key, pos, title, url)``, without regard to case."""
     long = raw.filter(F.length(trimmed(F.col("title"))) >= 3)
@@ -79,22 +108,27 @@ def discovered_names(titles: DataFrame, cleaned: DataFrame, entities: DataFrame)
     return one.withColumn("id", F.concat(F.lit("DE"), place)).drop("key")
 
 
-def visit_queue(candidates: DataFrame, caps: dict[str, int] | None = None, total: int = 30) -> DataFrame:
-    """URLs to read from ``candidates(img_id, origin, origin_rank, ord, url)``: so many of each origin, ``total`` of an image."""
+def visit_queue(candidates: DataFrame, caps: dict[str, int] | None = None, total: int = 30, per_entity: int = 2) -> DataFrame:
+    """URLs to read from ``candidates(img_id, origin, origin_rank, id, ord, url)``: of image and web searches the first
+    ``per_entity`` of each entity, so many of each origin, ``total`` of an image."""
     caps = caps or {"image": 20, "web": 30, "discovery": 5, "lens": 8}
     limit = F.create_map(*[x for k, v in caps.items() for x in (F.lit(k), F.lit(v))])
+    own = F.row_number().over(Window.partitionBy("img_id", "origin", "id").orderBy("ord"))
+    candidates = candidates.withColumn("own", own).filter((F.col("own") <= per_entity) | ~F.col("origin").isin("image", "web")).drop("own")
     by = Window.partitionBy("img_id", "origin").orderBy("ord")
     few = candidates.withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= limit[F.col("origin")])
     return top_per(few, ["img_id"], ["origin_rank", "nth"], total, "place")
 
 
 def merged_resolution(entities: DataFrame, rows: DataFrame, pages: DataFrame, max_titles: int = 5) -> DataFrame:
-    """Each entity with its titles, sources and page previews; entities without any stay."""
+    """Each entity with its titles and, in order, its pages (url, title, preview); entities without any stay."""
     some = top_per(rows.filter(F.coalesce(F.col("title"), F.lit("")) != ""), ["img_id", "id"], ["pos"], max_titles, "nth")
     titles = some.groupBy("img_id", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "title"))), lambda x: x["title"]).alias("titles"))
-    seen = pages.groupBy("img_id", "id").agg(F.count(F.lit(1)).alias("n_pages"), F.min(F.substring("content", 1, 200)).alias("preview"))
+    seen = pages.groupBy("img_id", "id").agg(F.array_sort(F.collect_list(F.struct("pos", "url", "title", F.substring("content", 1, 200).alias("preview")))).alias("pages"))
+    seen = seen.withColumn("pages", F.transform("pages", lambda p: F.struct(p["url"].alias("url"), p["title"].alias("title"), p["preview"].alias("preview"))))
     out = entities.join(titles, ["img_id", "id"], "left").join(seen, ["img_id", "id"], "left")
-    return out.withColumns({"titles": F.coalesce("titles", F.array().cast("array<string>")), "n_pages": F.coalesce("n_pages", F.lit(0).cast("bigint"))})
+    none = F.array().cast("array<struct<url:string,title:string,preview:string>>")
+    return out.withColumns({"titles": F.coalesce("titles", F.array().cast("array<string>")), "pages": F.coalesce("pages", none)})
 
 
 def pair_queries(pairs: DataFrame, plans: DataFrame) -> DataFrame:

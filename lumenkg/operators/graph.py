@@ -127,7 +127,7 @@ def shared_facts(retrieved: DataFrame, by_value: bool = False) -> DataFrame:
 
 
 def mergeable_relations(retrieved: DataFrame) -> DataFrame:
-    """Pairs of relations of an image that mean the same; synonyms meet by bucket, equal ones by name."""
+    """Pairs of different relations of an image that mean the same, which is those of one bucket; equal ones are one row."""
     some = retrieved.select("img_id", "slug").distinct().withColumn("bucket", rules.set_merge_bucket(F.col("slug")))
     some = some.filter(F.col("bucket").isNotNull())
     a, b = some.withColumnRenamed("slug", "a_slug"), some.withColumnRenamed("slug", "b_slug")
@@ -179,7 +179,3 @@ def context_text(entities: DataFrame, triples: DataFrame, descriptions: DataFram
     space = F.when(F.col("n_e") >= 2, F.concat(F.lit("\n【空间细节】\n"), "details"))
     about = F.concat(F.lit("\n图片描述: "), F.substring(F.coalesce("description", F.lit("")), 1, 300))
     return both.select("img_id", F.concat_ws("\n", F.lit("【图中实体】"), "names", head_t, "facts", space, about).alias("context"))
-
-
-def top_edges(retrieved: DataFrame, k: int) -> DataFrame:
-    return top_per(retrieved, ["img_id", "entity"], [F.desc("askability"), "ord"], k, "place")

@@ -39,6 +39,7 @@ def normalised(triples: DataFrame, entities: DataFrame) -> DataFrame:
 def valid_aliases(groups: DataFrame, candidates: DataFrame) -> DataFrame:
     """(img_id, alias, canonical): both names are candidates and differ; the last group that names an alias decides."""
     names = candidates.select("img_id", "name").distinct()
+    groups = groups.withColumns({c: trimmed(F.col(c)) for c in ("alias", "canonical")}).filter("alias <> '' and canonical <> ''")
     known = groups.filter(F.col("alias") != F.col("canonical"))
     known = known.join(names.withColumnRenamed("name", "alias"), ["img_id", "alias"], "left_semi")
     known = known.join(names.withColumnRenamed("name", "canonical"), ["img_id", "canonical"], "left_semi")
@@ -46,12 +47,13 @@ def valid_aliases(groups: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def aliased(triples: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Heads and tails replaced once by their canonical name; self loops and repeats go."""
-    out = triples
+    """Trimmed heads and tails replaced once by their canonical name; blank ends, self loops and repeats go."""
+    out = triples.withColumns({c: trimmed(F.col(c)) for c in ("head", "tail")})
     for end in ("head", "tail"):
         side = aliases.select("img_id", F.col("alias").alias(end), F.col("canonical").alias(f"_{end}"))
         out = out.join(side, ["img_id", end], "left").withColumn(end, F.coalesce(f"_{end}", end)).drop(f"_{end}")
-    return first_wins(out.filter(F.lower("head") != F.lower("tail")), _lower_key(), ["ord"])
+    sound = (F.col("head") != "") & (F.col("tail") != "") & (F.lower("head") != F.lower("tail"))
+    return first_wins(out.filter(sound), _lower_key(), ["ord"])
 
 
 def entities_without_aliases(entities: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -130,3 +132,19 @@ def triples_by_head(triples: DataFrame) -> DataFrame:
     grouped = triples.groupBy("img_id", "head").agg(F.min("ord").alias("first_ord"), F.array_sort(F.collect_list(step)).alias("items"))
     place = F.row_number().over(Window.partitionBy("img_id").orderBy("first_ord"))
     return grouped.withColumn("place", place)
+
+
+def tail_queries(tails: DataFrame) -> DataFrame:
+    """(img_id, tail, pos, query, origin) of ``tails(img_id, tail, rewritten, skip)``: the exact name, then the model's query
+    unless it is the same but for case; skipped and blank ones go."""
+    live = tails.filter(~F.coalesce("skip", F.lit(False))).withColumn("name", trimmed(F.coalesce("tail", F.lit(""))))
+    row = lambda q, origin: F.struct(q.alias("query"), F.lit(origin).alias("origin"))
+    both = F.array(row(F.col("name"), "text_exact"), row(F.coalesce("rewritten", F.lit("")), "text_rewrite"))
+    fresh = F.filter(both, lambda x: (x["query"] != "") & ((x["origin"] == "text_exact") | (F.lower(x["query"]) != F.lower("name"))))
+    return live.select("img_id", "tail", F.posexplode(fresh).alias("pos", "x")).select("img_id", "tail", "pos", "x.*")
+
+
+def known_names_text(triples: DataFrame) -> DataFrame:
+    """(img_id, names): all distinct heads and tails of an image in order, as one text."""
+    ends = triples.select("img_id", F.explode(F.array("head", "tail")).alias("name"))
+    return ends.groupBy("img_id").agg(F.array_join(F.array_sort(F.collect_set("name")), ", ").alias("names"))

@@ -21,7 +21,7 @@ RELATIONS = (
 VIEWS = {
     "geo_raw": f"""
 select {IMG.format("p_partkey")} as img_id, cast(p_partkey % 8 as int) as ord,
-  case when p_partkey%5=0 then upper(p_name) else p_name end as name, {_TYPE.format("p_partkey")} as etype,
+  case when p_partkey%5=0 then upper(p_name) when p_partkey%7=3 then concat('  ', p_name, ' ') when p_partkey%31=4 then ' x ' else p_name end as name, {_TYPE.format("p_partkey")} as etype,
   1000+40*cast(floor(p_partkey/8) as bigint)%400 as w, 800+30*cast(floor(p_partkey/8) as bigint)%210 as h,
   case when p_partkey%97=0 then 0 else (p_partkey*37)%700 end as rx1, case when p_partkey%97=0 then 0 else (p_partkey*53)%700 end as ry1,
   case when p_partkey%97=0 then 1000 else (p_partkey*37)%700+20+(p_partkey*17)%280 end as rx2,
@@ -50,7 +50,7 @@ union all select img_id, c_custkey*10+5, case when c_custkey%4=0 then concat(c_n
 union all select img_id, c_custkey*10+6, n_name, 'located_in', r_name, 'LOCATION', null, null from c
 union all select img_id, c_custkey*10+7, c_name, 'related_to', next_name, 'bogus', null, null from c where c_custkey%3=0 and next_name is not null""",
     "alias_groups": """
-select img_id, c_custkey*10 as group_ord, c_name as canonical, concat(c_name, ' Corp') as alias from {kg_cust} where c_custkey%4=0
+select img_id, c_custkey*10 as group_ord, concat(c_name, ' ') as canonical, concat(' ', c_name, ' Corp') as alias from {kg_cust} where c_custkey%4=0
 union all select img_id, c_custkey*10+1, c_name, lower(c_name) from {kg_cust} where c_custkey%8=1
 union all select img_id, c_custkey*10+2, next_name, c_name from {kg_cust} where floor(c_custkey/8)%10=0 and c_custkey%8<2 and next_name is not null""",
     "kg_cust": f"""
@@ -61,7 +61,7 @@ select concat(cast(user_id as string), '_', cast(cast(ts as date) as string)) as
 from {events}""",
     "page_rows": """
 select page_id, case when page_id%11=0 then concat('http://www.facebook.com/', cast(page_id as string)) else url end as url,
-  regexp_extract(html, '<title>([^<]*)</title>', 1) as title, html, cast(page_id%40 as int) as topic
+  regexp_extract(html, '<title>([^<]*)</title>', 1) as title, html, cast(floor(page_id/40) as int) as topic
 from {pages}""",
     "json_blobs": """
 select event_id, case cast(event_id%5 as int) when 0 then props when 1 then concat('```json', chr(10), props, chr(10), '```')
@@ -71,7 +71,7 @@ from {events}""",
     + ", ".join(f"({k}, '{r}')" for k, r in enumerate(RELATIONS))
     + f") r(k, relation) on event_id % {len(RELATIONS)} = k join (values (0,'TIME'),(1,'QUANTITY'),(2,'LOCATION'),(3,'PERSON'),(4,'ORG'),(5,'OTHER')) t(j, kind) on floor(event_id / {len(RELATIONS)}) % 6 = j",
     "answer_rows": """
-select event_id, kind, case cast(event_id%9 as int) when 0 then '' when 1 then 'USA' when 2 then 'Company' when 3 then 'founder' when 4 then 'unknown' when 5 then 'New York City' when 6 then 'Europe'
+select event_id, kind, case cast(event_id%9 as int) when 0 then '  ' when 1 then ' USA ' when 2 then 'Company  ' when 3 then 'founder' when 4 then 'unknown' when 5 then 'New York City' when 6 then 'Europe'
   else relation end as answer from {rel_rows}""",
     "run_rows": """
 select o_orderkey as img_id, case when o_orderstatus = 'F' then 'step1_error' else 'ok' end as status, o_orderkey % 10 as n_questions,

@@ -84,8 +84,8 @@ p4 as (select *, greatest(0::double, least(2::double, 0.7::double + greatest(0::
 
 
 KEPT = ctes("geo_raw") + """,
-g1 as (select *, row_number() over (partition by img_id, lower(trim(name)) order by ord) as rn from geo_raw where length(trim(name)) > 0),
-g2 as (select *, greatest(0, cast(trunc(rx1/1000::double*w) as bigint)) as x1, greatest(0, cast(trunc(ry1/1000::double*h) as bigint)) as y1 from g1 where rn = 1 and length(name) >= 2),
+g1 as (select *, row_number() over (partition by img_id, lower(name) order by ord) as rn from (select * replace (trim(name) as name) from geo_raw) where length(name) >= 2),
+g2 as (select *, greatest(0, cast(trunc(rx1/1000::double*w) as bigint)) as x1, greatest(0, cast(trunc(ry1/1000::double*h) as bigint)) as y1 from g1 where rn = 1),
 g3 as (select *, least(w, greatest(x1+1, cast(trunc(rx2/1000::double*w) as bigint))) as x2, least(h, greatest(y1+1, cast(trunc(ry2/1000::double*h) as bigint))) as y2 from g2),
 k0 as (select *, (x2-x1)*(y2-y1) as area, (x2-x1)*(y2-y1)/(w*h)::double as share, (x1+x2)/2::double as cx, (y1+y2)/2::double as cy from g3 where (x2-x1)*(y2-y1)/(w*h)::double <= 0.8),
 kept as (select *, row_number() over (partition by img_id order by ord) as idx from k0),
@@ -111,7 +111,7 @@ norm as (select * exclude (rn) from (select *, row_number() over (partition by i
 ALIAS = CLEAN + "," + ctes("alias_groups").replace("kg_cust as", "kg_cust as", 1) + """,
 cand as (select distinct img_id, name from (select img_id, name from kg_ent union all select img_id, head from tri union all select img_id, tail from tri)
   where length(name) between 2 and 80 and not regexp_full_match(translate(name, ',.% ', ''), '[0-9]+')),
-ali as (select img_id, alias, canonical from (select g.*, row_number() over (partition by g.img_id, alias order by group_ord desc, canonical desc) as rn from alias_groups g
+ali as (select img_id, alias, canonical from (select g.*, row_number() over (partition by g.img_id, alias order by group_ord desc, canonical desc) as rn from (select * replace (trim(alias) as alias, trim(canonical) as canonical) from alias_groups) g
   join cand a on g.img_id = a.img_id and g.alias = a.name join cand c on g.img_id = c.img_id and g.canonical = c.name where alias <> canonical) where rn = 1)"""
 TRI_COLS = "img_id, ord, head, relation, tail, tail_type, nv_raw, nv_num, nv_kind, unit"
 GRAPH = NORMAL + f""",
@@ -145,7 +145,7 @@ ORACLES = {
 from (select *, case when cx/w < 0.2 then '最左侧' when cx/w < 0.4 then '偏左' when cx/w > 0.8 then '最右侧' when cx/w > 0.6 then '偏右' else '' end as a,
   case when cy/h < 0.2 then '顶部' when cy/h < 0.4 then '上方' when cy/h > 0.8 then '底部' when cy/h > 0.6 then '下方' else '' end as d from kid)""",
     "entity_values": f"""with {ctes("geo_raw")}, n as (select img_id, ord, concat(name, ' ', rx1, case when rx1 % 3 = 0 then 'kg' when rx1 % 3 = 1 then ' GHz' else 'x' end, ' $', ry1, '.5') as name from geo_raw)
-select img_id, ord, nullif(trim(regexp_extract(name, '(?i)[$¥]\\s?\\d+(?:[.,]\\d+)*|\\d+(?:[.,]\\d+)*\\s?(?:kg|g|cm|mm|inch|in|hz|mhz|ghz|gb|tb|w|kw|v|mah)\\b', 0)), '') as value,
+select img_id, ord, nullif(trim(regexp_extract(name, '(?i)([$¥]\\s*\\d+(?:[.,]\\d+)?)|(\\d+(?:[.,]\\d+)?\\s*(?:kg|g|cm|mm|inch|in|hz|mhz|ghz|gb|tb|w|kw|v|mah))', 0)), '') as value,
   list_transform(regexp_extract_all(name, '\\b(\\d{{1,4}})\\b', 1), lambda x: cast(x as int)) as numbers from n""",
     "entity_views": f"""with {KEPT}, b as (select *, x2-x1 as bw, y2-y1 as bh, (x1+x2)//2 as mx, (y1+y2)//2 as my from kid)
 select img_id, id, 'tight' as view, x1, y1, x2, y2 from b
@@ -172,7 +172,7 @@ select img_id, id, name, confidence from c where cn = 1 union all select img_id,
   area * case when etype in ('person','landmark','product') then 1.5::double else 1::double end * confidence as score from seeds),
 o as (select *, row_number() over (partition by img_id order by score desc, idx) as place from m)
 select img_id, id, score, place from o where not (n > 4 or (n >= 4 and dense > 0.7)) or place <= 4""",
-    "pairs_capped": f"""with {KEPT}, k2 as (select *, row_number() over (partition by img_id order by case when etype in ('person','landmark','product') then 1 else 0 end desc, confidence desc, idx) as rk from kid),
+    "pairs_capped": f"""with {KEPT}, k2 as (select *, row_number() over (partition by img_id order by case when etype in ('person','landmark','product','brand') then 1 else 0 end desc, confidence desc, idx) as rk from kid),
 p as (select a.img_id, a.rk as a_rank, b.rk as b_rank, a.name as a_name, b.name as b_name, row_number() over (partition by a.img_id order by a.rk, b.rk) as n from k2 a join k2 b on a.img_id = b.img_id and a.rk < b.rk)
 select img_id, a_rank, b_rank, a_name, b_name from p where n <= 5""",
     "triples_sanitized": f"with {CLEAN} select {TRI_COLS} from tri",
@@ -180,15 +180,15 @@ select img_id, a_rank, b_rank, a_name, b_name from p where n <= 5""",
     "alias_candidates": f"with {ALIAS} select img_id, name from cand",
     "triples_aliased": f"""with {ALIAS}, a1 as (select t.* replace (coalesce(a.canonical, t.head) as head, coalesce(b.canonical, t.tail) as tail) from tri t
   left join ali a on t.img_id = a.img_id and t.head = a.alias left join ali b on t.img_id = b.img_id and t.tail = b.alias)
-select {TRI_COLS} from (select *, row_number() over (partition by img_id, lower(head), lower(relation), lower(tail) order by ord) as rn from a1 where lower(head) <> lower(tail)) where rn = 1""",
+select {TRI_COLS} from (select *, row_number() over (partition by img_id, lower(head), lower(relation), lower(tail) order by ord) as rn from a1 where head <> '' and tail <> '' and lower(head) <> lower(tail)) where rn = 1""",
     "entities_after_alias": f"with {ALIAS} select e.img_id, e.ord, e.name from kg_ent e where not exists (select 1 from ali a where a.img_id = e.img_id and a.alias = e.name)",
-    "expand_merge": f"""with {NORMAL}, fresh as (select *, row_number() over (partition by img_id, lower(head), lower(relation), lower(tail) order by ord) as rn from tri where ord % 10 in (3, 5, 6)),
-old as (select * from norm where ord % 10 in (1, 2, 3))
+    "expand_merge": f"""with {NORMAL}, fresh as (select *, row_number() over (partition by img_id, lower(head), lower(relation), lower(tail) order by ord) as rn from tri where ord % 10 >= 3),
+old as (select * from norm where ord % 10 <= 4)
 select img_id, ord, head, relation, tail from old union all
 select img_id, ord + 1000000, head, relation, tail from fresh f where rn = 1 and not exists (select 1 from old o where o.img_id = f.img_id and lower(o.head) = lower(f.head) and lower(o.relation) = lower(f.relation) and lower(o.tail) = lower(f.tail))""",
-    "cross_merge": f"""with {NORMAL}, f0 as (select img_id, ord, trim(head) as head, trim(upper(relation)) as relation, trim(tail) as tail from tri where ord % 10 in (3, 6, 7)),
+    "cross_merge": f"""with {NORMAL}, f0 as (select img_id, ord, trim(head) as head, trim(upper(relation)) as relation, trim(tail) as tail from tri where ord % 10 >= 3),
 fresh as (select *, row_number() over (partition by img_id, lower(head), lower(relation), lower(tail) order by ord) as rn from f0 where head <> '' and tail <> '' and lower(head) <> lower(tail)),
-old as (select * from norm where ord % 10 in (1, 2, 3))
+old as (select * from norm where ord % 10 <= 4)
 select img_id, ord, head, relation, tail from old union all
 select img_id, ord + 1000000, head, relation, tail from fresh f where rn = 1 and not exists (select 1 from old o where o.img_id = f.img_id and lower(o.head) = lower(f.head) and lower(o.relation) = lower(f.relation) and lower(o.tail) = lower(f.tail))""",
     "tail_topk": f"""with {CLEAN}, c as (select img_id, tail, count(*) as n, min(ord) as first_ord from tri t where length(tail) >= 3 and not exists (select 1 from kg_ent k where k.img_id = t.img_id and lower(k.name) = lower(t.tail)) group by img_id, tail)
@@ -216,7 +216,7 @@ select event_id, {natural("slug", "kind")} as natural_text, {follow("slug", "kin
     "answer_scores": f"""with {ctes("answer_rows")} select event_id, case when answer = '' then -1::double else case when length(answer) >= 6 then 0.3::double else 0 end + case when kind in ('PERSON','ORG') then 0.5::double when kind = 'LOCATION' then 0.2::double else 0 end
   - case when kind = 'LOCATION' and lower(answer) in {in_list(r.GENERIC_PLACES)} then 0.4::double else 0 end - case when kind = 'ORG' and lower(answer) in {in_list(r.GENERIC_ORGS)} then 0.6::double else 0 end end as specificity,
   case when answer = '' then 2::double else case when lower(answer) in {in_list(r.BAD_ANSWERS)} then 2::double else 0 end + case when (kind = 'LOCATION' and lower(answer) in {in_list(r.PENALTY_PLACES)})
-  or (kind = 'ORG' and lower(answer) in {in_list(r.GENERIC_ORGS)}) or (kind = 'PERSON' and lower(answer) in {in_list(r.PENALTY_PERSONS)}) then 0.8::double else 0 end end as penalty from answer_rows""",
+  or (kind = 'ORG' and lower(answer) in {in_list(r.GENERIC_ORGS)}) or (kind = 'PERSON' and lower(answer) in {in_list(r.PENALTY_PERSONS)}) then 0.8::double else 0 end end as penalty from (select * replace (trim(answer) as answer) from answer_rows)""",
     "graph_nodes": f"""with {GRAPH} select distinct * from (select img_id, '__full_image__' as key, 'full_image' as ntype from own union all select img_id, region, 'region' from own union all select img_id, entity, 'entity' from own
   union all select img_id, ent, 'entity' from rs union all select img_id, fact_key, 'fact' from rs)""",
     "graph_edges": f"""with {GRAPH} select distinct * from (select img_id, '__full_image__' as src, region as dst, 'observe' as etype from own union all select img_id, region, entity, 'resolve' from own union all select img_id, entity, fact_key, 'retrieve' from re)""",
@@ -256,13 +256,14 @@ select e.img_id, concat('【图中实体】', chr(10), names, chr(10), chr(10),
     "deep_read_urls": f"""with {ctes("page_rows")}, f as (select *, row_number() over (partition by topic order by page_id) as nth from page_rows where url <> '' and not {any_of("url", r.SKIPPED_SITES)})
 select topic, page_id, nth, substring(html, 1, 2000) as page_text from f where nth <= 2 and coalesce(html, '') <> ''""",
     "both_mentioned": """with n as (select item_id, split_part(text, ' ', 3) as entity_a, split_part(text, ' ', 5) as entity_b from benchmark)
-select d.doc_id, n.item_id from documents d join n on d.doc_id % 40 = n.item_id % 40 where contains(lower(d.text), lower(entity_a)) and contains(lower(d.text), lower(entity_b))""",
-    "visit_queue": f"""with {ctes("page_rows")}, c as (select topic, page_id, url, case cast(page_id % 4 as int) when 0 then 'image' when 1 then 'web' when 2 then 'discovery' else 'lens' end as origin, page_id % 4 as origin_rank from page_rows),
-f as (select *, row_number() over (partition by topic, origin order by page_id) as nth from c), g as (select *, row_number() over (partition by topic order by origin_rank, nth) as place from f
+select d.doc_id, n.item_id from documents d, n where entity_a <> '' and entity_b <> '' and contains(lower(d.text), lower(entity_a)) and contains(lower(d.text), lower(entity_b))""",
+    "visit_queue": f"""with {ctes("page_rows")}, c as (select topic, page_id, url, case cast(page_id % 4 as int) when 0 then 'image' when 1 then 'web' when 2 then 'discovery' else 'lens' end as origin, page_id % 4 as origin_rank, page_id % 5 as ent from page_rows),
+b as (select *, row_number() over (partition by topic, origin, ent order by page_id) as own from c),
+f as (select *, row_number() over (partition by topic, origin order by page_id) as nth from b where own <= 2 or origin not in ('image', 'web')), g as (select *, row_number() over (partition by topic order by origin_rank, nth) as place from f
   where nth <= case origin when 'image' then 20 when 'web' then 30 when 'discovery' then 5 else 8 end) select topic, page_id, origin, place from g where place <= 30""",
     "resolution_merge": f"""with {ctes("page_rows")}, e as (select distinct topic from page_rows), t0 as (select *, row_number() over (partition by topic order by page_id) as nth from page_rows where title <> ''),
-t as (select topic, list(title order by nth) as titles from t0 where nth <= 5 group by topic), p as (select topic, count(*) as n_pages, min(substring(html, 1, 200)) as preview from page_rows where page_id % 2 = 0 group by topic)
-select e.topic, coalesce(titles, []) as titles, coalesce(n_pages, 0) as n_pages, preview from e left join t using (topic) left join p using (topic)""",
+t as (select topic, list(title order by nth) as titles from t0 where nth <= 5 group by topic), p as (select topic, count(*) as n_pages, string_agg(concat_ws(' | ', url, title, substring(html, 1, 200)), chr(10) order by page_id) as pages from page_rows where page_id % 2 = 0 group by topic)
+select e.topic, coalesce(titles, []) as titles, coalesce(n_pages, 0) as n_pages, coalesce(pages, '') as pages from e left join t using (topic) left join p using (topic)""",
     "lens_flatten": f"""with {ctes("page_rows")}, t as (select topic, title, page_id, row_number() over (partition by topic, lower(trim(title)) order by page_id) as rn from page_rows where length(trim(title)) >= 3)
 select topic, title, nth from (select *, row_number() over (partition by topic order by page_id) as nth from t where rn = 1) where nth <= 20""",
     "search_rows_flat": """with s as (select page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) as title from pages)
@@ -281,11 +282,23 @@ union all select page_id, (case when page_id % 3 = 0 then 1 else 0 end) + (case
   avg(step1_sec) filter (status='ok') as mean_step1, avg(step2_sec) filter (status='ok') as mean_step2 from run_rows""",
     "cache_key": """select page_id, substring(sha256(concat('{"_t": "jina", "max_chars": 2000, "url": "', url, '"}')), 1, 16) as key from pages""",
     "cache_misses": """select distinct substring(sha256(concat('{"_t": "jina", "max_chars": 2000, "url": "', url, '"}')), 1, 16) as key, url as payload from pages where page_id % 2 = 1 and url not in (select url from pages where page_id % 2 = 0)""",
-    "sampled_per_group": "select topic, url from (select page_id % 25 as topic, url, row_number() over (partition by page_id % 25 order by url, page_id) as rn from pages) where rn <= 3",
+    "sampled_per_group": "select topic, url from (select cast(floor(page_id / 25) as bigint) as topic, url, row_number() over (partition by floor(page_id / 25) order by url, page_id) as rn from pages) where rn <= 3",
     "pair_plan_queries": f"""with {PAIRS}, pl as (select *, (a_idx + b_idx) % 4 as m from pr) select img_id, a_name, b_name, u.pos as pos, u.query as query from pl, lateral (
   select 0 as pos, case when m = 1 then concat('first ', a_name) else concat(a_name, ' ', b_name) end as query where m <> 2 union all select 1, concat('second ', b_name) where m = 1) u""",
     "discovered_names": f"""with {KEPT}, f as (select img_id, ord as pos, case when ord % 3 = 0 then concat(' 《new ', name, '》 ') when ord % 3 = 1 then name else 'x' end as given from geo_raw),
 c as (select img_id, pos, trim(trim(given), '《》"''') as name from f), d as (select *, row_number() over (partition by img_id, lower(name) order by pos) as rn from c where length(name) between 2 and 60
   and not exists (select 1 from kid k where k.img_id = c.img_id and lower(trim(k.name)) = lower(c.name)))
 select img_id, pos, name, concat('DE', row_number() over (partition by img_id order by pos)) as id from d where rn = 1""",
+    "promoted_seeds": f"""with {SEEDS} select img_id, id, name from seeds where (case cast(idx % 3 as int) when 0 then 'proposal' when 1 then 'vlm_only' else '' end) in ('vlm_only', '') or lower(level) = 'high'""",
+    "search_routes": f"with {KEPT} select img_id, id, name, case when etype in ('person', 'landmark', 'product') then 'image' else 'web' end as route from kid",
+    "reverse_search_views": f"""with {KEPT} select img_id, id, 'pad20' as view, greatest(0, x1-cast(trunc((x2-x1)*0.2::double) as bigint)) as x1, greatest(0, y1-cast(trunc((y2-y1)*0.2::double) as bigint)) as y1,
+  least(w, x2+cast(trunc((x2-x1)*0.2::double) as bigint)) as x2, least(h, y2+cast(trunc((y2-y1)*0.2::double) as bigint)) as y2 from kid where etype in ('person', 'landmark', 'product')""",
+    "image_search_rows": """select page_id, 0 as pos, concat('picture ', page_id) as title, coalesce(url, '') as image_url, case when page_id % 2 = 0 then url else '' end as source_url, 'site' as source_domain from pages
+union all select page_id, 1, '', '', 'second', '' from pages where page_id % 3 = 0""",
+    "tail_queries": f"""with {ctes("kg_triples_raw")}, t as (select img_id, ord, trim(tail) as name, tail, case cast(ord % 4 as int) when 0 then upper(tail) when 1 then concat(tail, ' history') when 2 then '' else 'other' end as rewritten from kg_triples_raw where ord % 7 <> 0)
+select img_id, ord, tail, 0 as pos, name as query, 'text_exact' as origin from t where name <> '' union all
+select img_id, ord, tail, case when name <> '' then 1 else 0 end, rewritten, 'text_rewrite' from t where rewritten <> '' and lower(rewritten) <> lower(name)""",
+    "known_names_text": f"""with {CLEAN}, e as (select distinct img_id, name from (select img_id, head as name from tri union all select img_id, tail from tri) where name is not null)
+select img_id, string_agg(name, ', ' order by name) as names from e group by img_id""",
+    "job_totals": f"with {ctes('geo_raw', 'kg_triples_raw')} select (select count(*) from geo_raw) as entities, (select count(distinct img_id) from geo_raw) as images, (select count(*) from kg_triples_raw) as triples, (select count(*) from pages) as searches",
 }

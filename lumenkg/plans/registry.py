@@ -171,14 +171,14 @@ _TRIPLE = ("img_id", "ord", "head", "relation", "tail")
 
 @query
 def expand_merge(spark, sf):
-    old = _normal(spark, sf).filter("ord % 10 in (1, 2, 3)").select(*_TRIPLE)
-    return tr.merged(old, _clean(spark, sf).filter("ord % 10 in (3, 5, 6)").select(*_TRIPLE))
+    old = _normal(spark, sf).filter("ord % 10 <= 4").select(*_TRIPLE)
+    return tr.merged(old, _clean(spark, sf).filter("ord % 10 >= 3").select(*_TRIPLE))
 
 
 @query
 def cross_merge(spark, sf):
-    old = _normal(spark, sf).filter("ord % 10 in (1, 2, 3)").select(*_TRIPLE)
-    new = _clean(spark, sf).filter("ord % 10 in (3, 6, 7)").withColumn("relation", F.upper("relation")).select(*_TRIPLE)
+    old = _normal(spark, sf).filter("ord % 10 <= 4").select(*_TRIPLE)
+    new = _clean(spark, sf).filter("ord % 10 >= 3").withColumn("relation", F.upper("relation")).select(*_TRIPLE)
     return tr.merged(old, new, strip=True)
 
 
@@ -326,25 +326,25 @@ def deep_read_urls(spark, sf):
 
 @query
 def both_mentioned(spark, sf):
-    docs = view(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 40).alias("part"))
     word = lambda k: F.split_part("text", F.lit(" "), F.lit(k))
-    names = view(spark, sf, "benchmark").select("item_id", word(3).alias("entity_a"), word(5).alias("entity_b"), (F.col("item_id") % 40).alias("part"))
-    return ev.both_mentioned(docs.join(names, "part")).select("doc_id", "item_id")
+    names = view(spark, sf, "benchmark").select("item_id", word(3).alias("entity_a"), word(5).alias("entity_b"))
+    return ev.mentions(view(spark, sf, "documents").select("doc_id", "text"), names)
 
 
 @query
 def visit_queue(spark, sf):
     kind = F.element_at(F.array(*map(F.lit, ("image", "web", "discovery", "lens"))), (F.col("page_id") % 4 + 1).cast("int"))
-    rows = view(spark, sf, "page_rows").select(F.col("topic").alias("img_id"), kind.alias("origin"), (F.col("page_id") % 4).alias("origin_rank"), F.col("page_id").alias("ord"), "url")
+    rows = view(spark, sf, "page_rows").select(F.col("topic").alias("img_id"), kind.alias("origin"), (F.col("page_id") % 4).alias("origin_rank"), (F.col("page_id") % 5).alias("id"), F.col("page_id").alias("ord"), "url")
     return ev.visit_queue(rows).select(F.col("img_id").alias("topic"), F.col("ord").alias("page_id"), "origin", "place")
 
 
 @query
 def resolution_merge(spark, sf):
-    rows = view(spark, sf, "page_rows").select(F.col("topic").alias("img_id"), F.lit("E1").alias("id"), F.col("page_id").alias("pos"), "title", F.col("html").alias("content"))
+    rows = view(spark, sf, "page_rows").select(F.col("topic").alias("img_id"), F.lit("E1").alias("id"), F.col("page_id").alias("pos"), "url", "title", F.col("html").alias("content"))
     some = rows.select("img_id", "id").distinct()
     merged = ev.merged_resolution(some, rows.select("img_id", "id", "pos", "title"), rows.filter("pos % 2 = 0"))
-    return merged.select(F.col("img_id").alias("topic"), "titles", "n_pages", "preview")
+    text = F.array_join(F.transform("pages", lambda p: F.concat_ws(" | ", p["url"], p["title"], p["preview"])), "\n")
+    return merged.select(F.col("img_id").alias("topic"), "titles", F.size("pages").cast("bigint").alias("n_pages"), text.alias("pages"))
 
 
 @query
@@ -427,7 +427,7 @@ def cache_misses(spark, sf):
 
 @query
 def sampled_per_group(spark, sf):
-    rows = view(spark, sf, "pages").withColumn("topic", F.col("page_id") % 25)
+    rows = view(spark, sf, "pages").withColumn("topic", F.floor(F.col("page_id") / 25))
     return top_per(rows, ["topic"], ["url", "page_id"], 3).select("topic", "url")
 
 
@@ -449,4 +449,49 @@ def discovered_names(spark, sf):
     return ev.discovered_names(raw.select("img_id", "pos"), cleaned, _kept(spark, sf)).select("img_id", "pos", "name", "id")
 
 
+@query
+def promoted_seeds(spark, sf):
+    source = F.when(F.col("idx") % 3 == 0, "proposal").when(F.col("idx") % 3 == 1, "vlm_only").otherwise("")
+    seeds = en.expansion_seeds(_kept(spark, sf)).withColumns({"source": source, "level": F.lower("level")})
+    return en.promoted(seeds).select("img_id", "id", "name")
+
+
+@query
+def search_routes(spark, sf):
+    return en.search_routes(_kept(spark, sf))
+
+
+@query
+def reverse_search_views(spark, sf):
+    return en.reverse_search_views(_kept(spark, sf))
+
+
+@query
+def image_search_rows(spark, sf):
+    p, none = F.col("page_id"), F.lit(None).cast("string")
+    hit = lambda title, image, link, source: F.struct(title.alias("title"), image.alias("imageUrl"), link.alias("link"), source.alias("source"))
+    first = hit(F.concat(F.lit("picture "), p), F.col("url"), F.when(p % 2 == 0, F.col("url")), F.lit("site"))
+    images = F.when(p % 3 == 0, F.array(first, hit(none, none, F.lit("second"), none))).otherwise(F.array(first))
+    rows = ev.image_rows(view(spark, sf, "pages").select(p.alias("key"), F.to_json(F.struct(images.alias("images"))).alias("body")))
+    return rows.withColumnRenamed("key", "page_id")
+
+
+@query
+def tail_queries(spark, sf):
+    turn = F.col("ord") % 4
+    text = F.when(turn == 0, F.upper("tail")).when(turn == 1, F.concat("tail", F.lit(" history"))).when(turn == 2, "").otherwise("other")
+    raw = view(spark, sf, "kg_triples_raw").select(F.struct("img_id", "ord").alias("img_id"), "tail", text.alias("rewritten"), (F.col("ord") % 7 == 0).alias("skip"))
+    return tr.tail_queries(raw).select("img_id.*", "tail", "pos", "query", "origin")
+
+
+@query
+def known_names_text(spark, sf):
+    return tr.known_names_text(_clean(spark, sf))
+
+
+@query
+def job_totals(spark, sf):
+    return en.job_totals(view(spark, sf, "geo_raw"), view(spark, sf, "kg_triples_raw"), view(spark, sf, "pages"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
