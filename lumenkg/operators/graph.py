@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenkg.functions import rules
@@ -40,7 +40,7 @@ def resolved_triples(entities: DataFrame, triples: DataFrame) -> DataFrame:
 
 def retrieve_edges(resolved: DataFrame) -> DataFrame:
     """Edges entity -> fact worth asking about; of repeats the last one's attributes hold, at the place of the first."""
-    good = resolved.filter(~F.col("slug").isin(*rules.LOW_VALUE_RELATIONS) & (F.col("profile.askability") > 0))
+    good = resolved.filter(_askable())
     last = F.row_number().over(Window.partitionBy("img_id", "entity", "fact_key").orderBy(F.desc("ord")))
     first_ord = F.min("ord").over(Window.partitionBy("img_id", "entity", "fact_key"))
     one = good.withColumns({"_last": last, "first_ord": first_ord}).filter("_last = 1")
@@ -70,13 +70,23 @@ def edges(entities: DataFrame, retrieved: DataFrame) -> DataFrame:
     return observe.unionByName(resolve).unionByName(retrieve).distinct()
 
 
-def stats(node: DataFrame, edge: DataFrame) -> DataFrame:
-    """Node and edge counts of every image; kinds that don't occur count 0."""
-    count = lambda c, v: F.count_if(F.col(c) == v)
-    n = node.groupBy("img_id").agg(*[count("ntype", k).alias(f"n_{k}") for k in ("full_image", "region", "entity", "fact")])
-    e = edge.groupBy("img_id").agg(*[count("etype", k).alias(f"e_{k}") for k in ("observe", "resolve", "retrieve")])
-    zero = F.lit(0).cast("bigint")
-    return n.join(e, "img_id", "left").withColumns({f"e_{k}": F.coalesce(f"e_{k}", zero) for k in ("observe", "resolve", "retrieve")})
+def _askable() -> Column:
+    return ~F.col("slug").isin(*rules.LOW_VALUE_RELATIONS) & (F.col("profile.askability") > 0)
+
+
+def stats(entities: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Node and edge counts of every image; kinds that don't occur count 0.
+
+    Each triple is read once: it gives its entity, its fact and, if it is worth asking about, the edge between them.
+    """
+    item = lambda kind, *key: F.struct(F.lit(kind).alias("kind"), F.array(*key).alias("key"))
+    whole = F.lit("__full_image__")
+    own = [item("n_full_image", whole), item("n_region", "region"), item("n_entity", "entity"), item("e_observe", "region"), item("e_resolve", "region", "entity")]
+    told = [item("n_entity", "entity"), item("n_fact", "fact_key"), F.when(_askable(), item("e_retrieve", "entity", "fact_key"))]
+    rows = regions(entities).select("img_id", F.explode(F.array(*own)).alias("x")).unionByName(resolved.select("img_id", F.explode(F.array(*told)).alias("x")))
+    kinds = ("n_full_image", "n_region", "n_entity", "n_fact", "e_observe", "e_resolve", "e_retrieve")
+    one = rows.filter(F.col("x").isNotNull()).select("img_id", "x.kind", "x.key").distinct()
+    return one.groupBy("img_id").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
 
 
 def ranked_edges(retrieved: DataFrame) -> DataFrame:

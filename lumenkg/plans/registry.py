@@ -246,7 +246,7 @@ def graph_edges(spark, sf):
 
 @query
 def graph_stats(spark, sf):
-    return gr.stats(graph_nodes(spark, sf), graph_edges(spark, sf))
+    return gr.stats(view(spark, sf, "kg_ent"), _resolved(spark, sf))
 
 
 @query
