@@ -69,8 +69,19 @@ class WindowOptions:
         return self.min_words - self.width + 1
 
 
+def _placed(values: np.ndarray) -> np.ndarray:
+    """Values with their place in the lowest bits, so that the first of equal ones is the least."""
+    bits = np.uint64(len(values).bit_length())
+    return (values >> bits) << bits | np.arange(len(values), dtype=np.uint64)
+
+
 def _least_places(packed: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarray:
-    """Places that are the least of some ``least`` neighbours within one text, from minima over power-of-two spans."""
+    """Places that are the least of some ``least`` neighbours within one text, from minima over power-of-two spans.
+
+    These are the nodes of the Cartesian trees that hold ``least`` places or more.
+    """
+    if len(packed) < least:
+        return np.zeros(0, np.int64)
     span = 1
     now = packed
     while 2 * span <= least:
@@ -97,8 +108,7 @@ def compact_windows(values: np.ndarray, bounds: np.ndarray, least: int) -> tuple
     n = len(values)
     if n < least:
         return (np.zeros(0, np.int64),) * 3
-    bits = np.uint64(n.bit_length())
-    packed = (values >> bits) << bits | np.arange(n, dtype=np.uint64)
+    packed = _placed(values)
     places = _least_places(packed, bounds, least)
     cuts = np.searchsorted(places, bounds).tolist()
     value, place = packed[places].tolist(), places.tolist()
@@ -119,15 +129,14 @@ def compact_windows(values: np.ndarray, bounds: np.ndarray, least: int) -> tuple
 def least_shingles(shingles: np.ndarray, bounds: np.ndarray, options: WindowOptions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, first start, last start): places of the least shingles of all windows under all hash functions; for those of
     the first function the run of starts whose window has its least shingle there, for others an empty run."""
-    t, places, runs = options.min_shingles, [], None
-    for number in range(1, options.functions + 1):
-        left, c, right = compact_windows(mix(shingles ^ mix(np.uint64([number]))[0]), bounds, t)
-        runs = runs or (c, np.maximum(left, c - t + 1), np.minimum(c, right - t + 1))
-        places.append(c)
-    every = np.unique(np.concatenate(places))
+    t = options.min_shingles
+    hashes = lambda number: mix(shingles ^ mix(np.uint64([number]))[0])
+    left, c, right = compact_windows(hashes(1), bounds, t)
+    others = [_least_places(_placed(hashes(k)), bounds, t) for k in range(2, options.functions + 1)]  # nodes without bounds
+    every = np.unique(np.concatenate([c, *others]))
     first, last = np.zeros(len(every), np.int64), np.full(len(every), -1)
-    at = np.searchsorted(every, runs[0])
-    first[at], last[at] = runs[1], runs[2]
+    at = np.searchsorted(every, c)
+    first[at], last[at] = np.maximum(left, c - t + 1), np.minimum(c, right - t + 1)
     return every, first, last
 
 
@@ -188,10 +197,11 @@ def _run_rows(options: WindowOptions):
         key, doc, c, run, stretch = (x[order] for x in (key, doc, c, run, stretch))
         met = np.zeros(len(key), bool)
         met[leader[link]] = True
-        by = np.lexsort((np.arange(len(key)), stretch, key))
+        own = np.arange(len(key))
+        some = np.flatnonzero(met[leader])  # rows of shingles that several texts of the flush hold
+        by = some[np.lexsort((some, stretch[some], key[some]))]
         head = np.ones(len(by), bool)
         head[1:] = (key[by][1:] != key[by][:-1]) | (stretch[by][1:] != stretch[by][:-1])
-        own = np.empty(len(by), np.int64)
         own[by] = by[np.flatnonzero(head)[np.cumsum(head) - 1]]
         same = (stretch != 0) & (doc != doc[own])
         rep = np.where(same, own, leader)
@@ -424,10 +434,14 @@ def shared_blocks(a: np.ndarray, b: np.ndarray, options: WindowOptions) -> list[
     breaks = np.flatnonzero((np.diff(hits) != 1) | (np.diff(there) != 1)) + 1
     runs = [(int(h[0]), int(h[-1]), int(t[0]), int(t[-1])) for h, t in zip(np.split(hits, breaks), np.split(there, breaks))]
 
+    number = np.unique(np.concatenate([x, y]), return_inverse=True)[1]
+    in_x, in_y, n_kinds = number[: len(x)], number[len(x) :], int(number.max()) + 1
+
     def similarity(run: tuple[int, int, int, int]) -> float:
-        left, right = np.unique(x[run[0] : run[1] + 1]), np.unique(y[run[2] : run[3] + 1])
-        both = len(np.intersect1d(left, right, assume_unique=True))
-        return both / (len(left) + len(right) - both)
+        left, right = np.zeros(n_kinds, bool), np.zeros(n_kinds, bool)
+        left[in_x[run[0] : run[1] + 1]] = True
+        right[in_y[run[2] : run[3] + 1]] = True
+        return np.count_nonzero(left & right) / np.count_nonzero(left | right)
 
     found, done = [], -1
     x0, x1, y0, y1 = (np.array(c) for c in zip(*runs))
@@ -453,6 +467,40 @@ def shared_blocks(a: np.ndarray, b: np.ndarray, options: WindowOptions) -> list[
     return [(i, j + w, k, m + w, similarity((i, j, k, m))) for i, j, k, m in found if j - i + w >= options.min_words]
 
 
+def _flat_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(words, bounds) of a column of packed 32-bit word hashes; null is no word."""
+    column = column.fill_null(b"").cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data.view(np.uint32).astype(np.uint64), (offsets - offsets[0]) // 4
+
+
+def _could_share(left: np.ndarray, la: np.ndarray, right: np.ndarray, ra: np.ndarray, options: WindowOptions) -> np.ndarray:
+    """Which pairs of word runs have shared shingles as far apart as a passage is long; the others share no passage.
+
+    All pairs are looked up at once, each with its number mixed into its shingles.
+    """
+    w, n = options.width, len(la) - 1
+
+    def keyed(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        place = np.arange(max(len(words) - w + 1, 0))
+        pair = np.searchsorted(at, place, side="right") - 1
+        inside = place + w <= at[np.minimum(pair + 1, n)]
+        shingles = shingle_hashes(words, w)[inside]
+        return shingles ^ mix(pair[inside].astype(np.uint64) + np.uint64(1)), pair[inside], place[inside]
+
+    (x, pair, place), (y, _, _) = keyed(left, la), keyed(right, ra)
+    if not len(x) or not len(y):
+        return np.zeros(n, bool)
+    y = np.sort(y)
+    hit = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+    pair, place = pair[hit], place[hit]
+    first, last = np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
+    np.minimum.at(first, pair, place)
+    np.maximum.at(last, pair, place)
+    return (last >= 0) & (last - first + w >= options.min_words)
+
+
 _FOUND = "id long, rep_id long, first int, stop int, rep_first int, rep_stop int, similarity double"
 
 
@@ -461,12 +509,16 @@ def _similarity_rows(options: WindowOptions):
     kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for i, j, x, y, *sides in zip(*(b.column(k).to_pylist() for k in range(4)), b.column(4), b.column(5)):
-                left, right = (np.frombuffer(v.as_buffer() or b"", np.uint32).astype(np.uint64) for v in sides)
-                rows += [(i, j, x + a, x + c, y + d, y + e, s) for a, c, d, e, s in shared_blocks(left, right, options)]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 7, kinds)], names=names)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                b, rows = whole.slice(lo, 256), []
+                (left, la), (right, ra) = _flat_words(b.column(4)), _flat_words(b.column(5))
+                near = np.flatnonzero(_could_share(left, la, right, ra, options)).tolist()
+                heads = b.select([0, 1, 2, 3]).take(pa.array(near, pa.int64())).to_pydict().values()
+                for k, i, j, x, y in zip(near, *heads):
+                    blocks = shared_blocks(left[la[k] : la[k + 1]], right[ra[k] : ra[k + 1]], options)
+                    rows += [(i, j, x + a, x + c, y + d, y + e, s) for a, c, d, e, s in blocks]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 7, kinds)], names=names)
 
     return run
 
