@@ -189,9 +189,12 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(bounds.seed)).alias("key")
     )
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row per language
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # as many as the network has outputs
+    if not counts:
+        return None
+    n = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v))])[F.col("lang")]
     place = F.pmod("key", F.lit(1 << 20)) / F.lit(float(1 << 20))
-    few = rows.join(counts, "lang").filter(place * F.col("n") < 2 * bounds.texts_per_language + 20)  # about twice the texts, before they are ranked
+    few = rows.filter(place * n < 2 * bounds.texts_per_language + 20)  # about twice the texts, before they are ranked
     best = Window.partitionBy("lang").orderBy(place, "key", F.xxhash64("text"))
     picked = few.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= bounds.texts_per_language).select("text", "lang", "key")
     got = picked.mapInArrow(_sample_rows(bounds.window, bounds.windows_per_text), "lang string, key long, nth int, bytes binary").collect()
