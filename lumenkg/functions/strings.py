@@ -91,7 +91,7 @@ def cache_key(api: str, **params: Column) -> Column:
     parts = [F.concat(F.lit('"_t": '), _json_text(F.lit(api)))]
     for name in sorted(params):
         value = params[name]
-        text = value.cast("string") if isinstance(value, Column) and name.startswith("max_") else _json_text(value)
+        text = value.cast("string") if name == "n" or name.startswith("max_") else _json_text(value)
         parts.append(F.concat(F.lit(f'"{name}": '), text))
     return F.left(F.sha2(F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}")), 256), F.lit(16))
 

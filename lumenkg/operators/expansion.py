@@ -22,14 +22,15 @@ def expand(
     save: Callable[[DataFrame, str], DataFrame],
     rounds: int = 2,
     target: int = 30,
+    searched: DataFrame | None = None,
 ) -> DataFrame:
     """Search the most frequent new tails of active images and merge what ``discover(tails, round)`` finds.
 
     ``save`` writes a table where all executors can read it and returns it, so
     that every round starts from stored rows. The first round leaves out tails
-    that are entities of the image, every round those searched before.
+    that are entities of the image, every round those searched before, the names
+    of ``searched(img_id, name)`` included.
     """
-    searched = None
     for k in range(rounds):
         live = triples.join(active_images(triples, target), "img_id", "left_semi")
         known = entities.select("img_id", "name") if k == 0 else None

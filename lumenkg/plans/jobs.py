@@ -1,9 +1,10 @@
 """The two jobs end to end, on stored responses: images to entity documents, documents to question files.
 
-    python -m lumenkg.plans.jobs enrich --images TABLE --responses TABLE --target DIR [--limit N]
+    python -m lumenkg.plans.jobs enrich --images TABLE --responses TABLE --target DIR [--limit N] [--hold]
     python -m lumenkg.plans.jobs questions --documents DIR --responses TABLE --target DIR
 
-Stages keep their own results, so a second run takes only images that have none yet.
+Stages keep their own results, so a second run takes only images that have none yet. Requests without a response are
+written to ``work/requests``; with ``--hold`` their images wait for a run that finds the responses.
 """
 
 from __future__ import annotations
@@ -14,29 +15,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.functions.strings import extract_json
+from lumenkg.operators import chains as ch
 from lumenkg.operators import entities as en
 from lumenkg.operators import graph as gr
 from lumenkg.operators import questions as qu
 from lumenkg.operators import triples as tr
+from lumenkg.operators.expansion import expand
 from lumenkg.sources import files, sinks
 
 DETECTION = "struct<image_description string, entities array<struct<name string, type string, bbox array<double>>>>"
-TRIPLES = "struct<triples array<struct<head string, relation string, tail string, tail_type string, normalized_value string, unit string, fact string, source_snippet string>>>"
 GROUPS = "struct<groups array<struct<canonical string, aliases array<string>>>>"
 Save = Callable[[DataFrame, str], DataFrame]
 
 
-def _answers(images: DataFrame, responses: DataFrame, api: str, schema: str) -> DataFrame:
-    """(img_id, r): the parsed answers of one kind; images without a usable one are left out."""
-    some = responses.filter((F.col("api") == api) & (F.col("status") == "ok")).select(F.col("key").alias("img_id"), "body")
-    parsed = images.select("img_id").join(some, "img_id").select("img_id", F.from_json(extract_json(F.col("body")), schema).alias("r"))
-    return parsed.filter(F.col("r").isNotNull())
-
-
-def detections(images: DataFrame, responses: DataFrame) -> DataFrame:
-    """Raw detections of ``images(img_id, width, height)``; boxes must have four numbers."""
-    rows = _answers(images, responses, "detect", DETECTION).select("img_id", F.posexplode("r.entities").alias("ord", "e"))
+def detections(images: DataFrame, answers: DataFrame) -> DataFrame:
+    """Raw detections of ``images(img_id, width, height)`` from parsed answers; boxes must have four numbers."""
+    rows = answers.select("img_id", F.posexplode("r.entities").alias("ord", "e"))
     rows = rows.join(images.select("img_id", F.col("width").alias("w"), F.col("height").alias("h")), "img_id").filter(F.size("e.bbox") == 4)
     box = {c: F.col("e.bbox")[k] for k, c in enumerate(("rx1", "ry1", "rx2", "ry2"))}
     name, kind = F.coalesce("e.name", F.lit("")), F.coalesce("e.type", F.lit("other"))
@@ -45,33 +39,53 @@ def detections(images: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities: int = 3) -> dict[str, DataFrame]:
-    """Entities, triples and documents of every image with at least ``least_entities`` entities.
+    """Entities, triples, documents and requests of every image with at least ``least_entities`` entities.
 
-    Entities are detected, boxed, numbered and located; triples cleaned, normalised and aliased; pairs of anchors that no
-    triple joins get a spatial one.
+    Entities are detected, boxed, numbered, located and resolved by searches; main, cross-entity and expansion triples are
+    merged, normalised and aliased; pairs of anchors that no triple joins get a spatial one. A request without a stored
+    response gives nothing; ``requests`` holds those to call, ``waiting`` their images.
     """
-    kept = save(en.with_values(en.located(en.enough_entities(en.kept_entities(detections(images, responses)), least_entities))), "entities")
-    answers = _answers(images, responses, "triples", TRIPLES).select("img_id", F.posexplode("r.triples").alias("ord", "t")).select("img_id", "ord", "t.*")
-    clean = save(tr.sanitised(answers.join(kept.select("img_id").distinct(), "img_id", "left_semi")), "triples_clean")
-    normal = tr.normalised(clean, kept)
-    groups = _answers(images, responses, "aliases", GROUPS).select("img_id", F.posexplode("r.groups").alias("group_ord", "g"))
+    asked = ch.Asked(responses)
+    path = F.col("path") if "path" in images.columns else F.lit(None).cast("string")
+    answers = save(asked.answers(images.select("img_id", path.alias("payload")), "detect", DETECTION), "detections")
+    kept = save(en.with_values(en.located(en.enough_entities(en.kept_entities(detections(images, answers)), least_entities))), "entities")
+    about = answers.select("img_id", F.col("r.image_description").alias("description"))
+    known, discovered = ch.resolution(kept, asked, save)
+
+    scored = save(en.expansion_seeds(known.withColumn("source", F.lit(""))), "seeds")
+    tier1 = save(en.brand_dense_top(en.promoted(scored)), "tier1")
+    stubs = discovered.select("img_id", "id", "name", (F.lit(1 << 20) + F.col("pos")).alias("ord"), F.lit("other").alias("etype"), F.lit("image_reverse_discovery").alias("source"))
+    seeds = scored.unionByName(stubs, allowMissingColumns=True)
+    main = asked.answers(save(ch.main_evidence(seeds), "evidence"), "triples", ch.TRIPLES)
+    clean = save(ch.found_triples(main).withColumn("source", F.lit(None).cast("string")), "triples_clean")
+    merged = [save(tr.merged(clean, ch.cross_entity(tier1, about, asked, save), strip=True), "triples_merged")]
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        stored = save(df, f"expansion/{label}")
+        if label.startswith("triples-"):
+            merged.append(stored)
+        return stored
+
+    names = seeds.select("img_id", "name")
+    grown = expand(merged[0], kept, ch.tail_search(asked, save, kept, lambda: merged[-1]), keep, searched=names)
+    normal = save(tr.normalised(grown, kept), "triples_normal")
+    candidates = save(tr.alias_candidates(kept, normal), "alias_candidates")
+    listed = candidates.groupBy("img_id").agg(F.array_join(F.array_sort(F.collect_set("name")), "\n").alias("payload"))
+    groups = asked.answers(listed, "aliases", GROUPS).select("img_id", F.posexplode("r.groups").alias("group_ord", "g"))
     groups = groups.select("img_id", "group_ord", F.col("g.canonical").alias("canonical"), F.explode("g.aliases").alias("alias"))
-    aliases = save(tr.valid_aliases(groups, tr.alias_candidates(kept, clean)), "aliases")
-    merged = tr.aliased(normal, aliases)
+    aliases = save(tr.valid_aliases(groups, candidates), "aliases")
+    aliased = tr.aliased(normal, aliases)
     anchors = save(en.core_anchors(kept), "anchors")  # named as before the aliases, like the graph and the spatial triples
-    spatial = tr.spatial_fallback(en.spatial_triples(anchors), merged)
-    spatial = spatial.select("img_id", (F.lit(10_000_000) + F.col("a_idx") * 10_000 + F.col("b_idx")).alias("ord"), "head", "relation", "tail", "source")
+    spatial = tr.spatial_fallback(en.spatial_triples(anchors), aliased)
+    place = F.lit(1 << 50) + F.col("a_idx").cast("long") * (1 << 20) + F.col("b_idx")  # behind all others
     plain = {"tail_type": F.lit("OTHER"), "unit": F.lit(""), "normalized_value": F.struct(F.lit("").alias("raw"), F.lit(None).cast("double").alias("num"), F.lit("empty").alias("kind"))}
-    triples = save(merged.withColumn("ord", F.col("ord").cast("long")).unionByName(spatial.withColumns(plain).withColumn("ord", F.col("ord").cast("long")), allowMissingColumns=True), "triples")
-    left = save(tr.entities_without_aliases(kept, aliases), "entities_final")
-    about = _answers(images, responses, "detect", DETECTION).select("img_id", F.col("r.image_description").alias("description"))
-    heads = about.join(en.image_domains(kept), "img_id")
-    return {"entities": left, "anchors": anchors, "triples": triples, "documents": sinks.entity_documents(heads, left, triples)}
-
-
-def graph_texts(anchors: DataFrame, triples: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """The text a question model gets for every image."""
-    return gr.context_text(anchors, triples, descriptions)
+    spatial = spatial.select("img_id", place.alias("ord"), "head", "relation", "tail", "source").withColumns(plain)
+    triples = save(aliased.unionByName(spatial, allowMissingColumns=True), "triples")
+    left = save(tr.entities_without_aliases(known, aliases), "entities_final")
+    asked.answers(save(gr.context_text(anchors, triples, about).withColumnRenamed("context", "payload"), "question_evidence"), "questions", "array<string>")
+    heads = about.join(en.image_domains(kept), "img_id").join(images.select("img_id", path.alias("img_path")), "img_id")
+    documents = sinks.entity_documents(heads, left, triples, anchors, kept)
+    return {"entities": left, "anchors": anchors, "triples": triples, "documents": documents, "requests": asked.missing(), "waiting": asked.waiting()}
 
 
 def question_records(responses: DataFrame, paths: DataFrame) -> DataFrame:
@@ -81,32 +95,48 @@ def question_records(responses: DataFrame, paths: DataFrame) -> DataFrame:
     return qu.final_records(rows, F.col("path"))
 
 
+def finished(spark: SparkSession, root: str) -> DataFrame | None:
+    """(img_id) of the documents stored under ``root``, null before the first run."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema("img_id string").json(root) if there else None
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("job", choices=("enrich", "questions"))
     for name in ("images", "responses", "documents", "target"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--limit", type=int, default=0)
+    parser.add_argument("--hold", action="store_true", help="leave images for a later run whose requests weren't all called")
     given = parser.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
     responses = spark.read.parquet(given.responses)
     if given.job == "questions":
-        paths = spark.read.json(given.documents).select("img_id", F.lit(None).cast("string").alias("path"))
-        sinks.write_questions(question_records(responses, paths), given.target)
+        paths = spark.read.schema("img_id string, img_path string").json(given.documents).select("img_id", F.col("img_path").alias("path"))
+        records, root = question_records(responses, paths), f"{given.target}/by_image"
+        done = finished(spark, root)
+        asked = records if done is None else records.join(done.withColumnRenamed("img_id", "image_id").distinct(), "image_id", "left_anti")
+        sinks.write_documents(sinks.question_documents(asked), root)
+        sinks.write_questions(records, given.target)
         return
     images = spark.read.parquet(given.images)
-    done = f"{given.target}/documents"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(done)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        images = files.unfinished(images, spark.read.json(done))
+    done = finished(spark, f"{given.target}/documents")
+    if done is not None:
+        images = files.unfinished(images, done)
     if given.limit > 0:
         images = images.orderBy("img_id").limit(given.limit)
+    if images.isEmpty():
+        return
 
     def save(df: DataFrame, label: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{given.target}/work/{label}")
         return spark.read.parquet(f"{given.target}/work/{label}")
 
-    sinks.write_documents(enrich(images, responses, save)["documents"], done)
+    out = enrich(images, responses, save)
+    save(out["requests"], "requests")
+    documents = out["documents"].join(out["waiting"], "img_id", "left_anti") if given.hold else out["documents"]
+    sinks.write_documents(documents, f"{given.target}/documents")
 
 
 if __name__ == "__main__":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenkg.operators import entities as en
 from lumenkg.operators.questions import CATEGORIES, question_stats
 
 
@@ -14,10 +15,22 @@ def write_documents(documents: DataFrame, root: str, buckets: int = 64) -> None:
     documents.select("*", bucket).write.mode("append").partitionBy("bucket").json(root)
 
 
-def entity_documents(images: DataFrame, entities: DataFrame, triples: DataFrame) -> DataFrame:
-    """One nested row per image with its entities and triples in order."""
-    listed = lambda df, name: df.groupBy("img_id").agg(F.array_sort(F.collect_list(F.struct("ord", *[c for c in df.columns if c not in ("img_id", "ord")]))).alias(name))
-    return images.join(listed(entities, "entities"), "img_id", "left").join(listed(triples, "triples"), "img_id", "left")
+def entity_documents(images: DataFrame, entities: DataFrame, triples: DataFrame, anchors: DataFrame, kept: DataFrame) -> DataFrame:
+    """One nested row per image: its entities, anchors (``high_conf``) and triples in order, and how its boxes lie."""
+    listed = lambda df, name, ord_="ord": df.groupBy("img_id").agg(F.array_sort(F.collect_list(F.struct(ord_, *[c for c in df.columns if c not in ("img_id", ord_)]))).alias(name))
+    areas = listed(en.box_areas(kept).join(kept.select("img_id", "id", "idx"), ["img_id", "id"]), "areas", "idx")
+    layout = listed(en.layout_relations(kept), "layout", "a_id")
+    boxes = areas.join(layout, "img_id", "left").join(en.area_extremes(kept), "img_id").select("img_id", F.struct("areas", "layout", "largest", "smallest").alias("local_artifacts"))
+    out = images
+    for part in (listed(entities, "entities"), listed(anchors.select("img_id", "rank", "id", "name", "etype", "bbox", "location", "confidence"), "high_conf", "rank"), listed(triples, "triples"), boxes):
+        out = out.join(part, "img_id", "left")
+    return out
+
+
+def question_documents(records: DataFrame) -> DataFrame:
+    """One nested row per image with its path and questions."""
+    parts = F.array_sort(F.collect_list(F.struct("question_id", "category", "question", "answer", "tools", "reasoning"))).alias("questions")
+    return records.groupBy(F.col("image_id").alias("img_id"), F.col("image_path").alias("img_path")).agg(parts)
 
 
 def write_questions(records: DataFrame, root: str) -> None:
