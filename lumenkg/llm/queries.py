@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenkg.llm import best_fit_packing, bpe_codec, compact_windows, edit_token_counts, language_id, posting_lists, quality_rules, simhash, warc_archive, wavelet_store
+from lumenkg.llm import best_fit_packing, bpe_codec, compact_windows, edit_token_counts, exact_dedup, language_id, merkle, posting_lists, quality_rules, simhash, spelling, warc_archive, wavelet_store
 from lumenkg.llm.workspace import read_table, scratch_path
 
 
@@ -147,6 +147,127 @@ def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited.select("doc_id", "n_tokens", F.col(p + "n_tokens").alias("n_tokens_edited"), F.col(p + "encoded").alias("n_chars_encoded"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), drop_one_in=199)
+
+
+#: crc32 of a string in DuckDB, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), 2 * i::int + 1, 2))::bigint)),
+    lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda y, k: case when y & 1 = 1 then xor(y >> 1, 3988292384) else y >> 1 end)))"""
+
+OP11_SQL = f"""
+with recursive d as (
+  select row_number() over () as rid, coalesce(doc_id::varchar, '') as doc, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents
+), r as (
+  select rid, doc, unnest(regexp_extract_all(text, '[a-zÀ-ÿ]+')) as run from d
+), c as (
+  select doc, run, count(*) as n from r where length(run) >= 6 group by all
+), h as (
+  select run, n, {_CRC32.format("(doc || ':' || run)")} as h from c
+), t as (
+  select n, case when h % 199 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word from h
+), v as (
+  select word, sum(n)::bigint as n from t where length(word) >= 6 group by word having sum(n) >= 5
+), cuts as (
+  select word, n, unnest(range(1, length(word) + 1))::int as i from v
+), masked as (
+  select word, n, length(word) as k, i, left(word, i - 1) || '*' || substr(word, i + 1) as m, left(word, i - 1) || substr(word, i + 1) as less from cuts
+), pairs as (
+  select a.word as a, b.word as b, b.n as bn from masked a join masked b on a.k = b.k and a.i = b.i and a.m = b.m and a.word <> b.word
+  union select v.word, m.word, m.n from v join masked m on m.less = v.word
+  union select m.word, v.word, v.n from v join masked m on m.less = v.word
+), near as (
+  select a, count(*) as n_near, max(bn) as most from pairs group by a
+), best as (
+  select p.a, min(b) as b from pairs p join near on near.a = p.a and p.bn = near.most group by p.a
+), told as (
+  select v.word, v.n, coalesce(n_near, 0) as n_near, case when most >= 5 * v.n then b end as form, case when most >= 5 * v.n then most end as form_n
+  from v left join near on near.a = v.word left join best on best.a = v.word
+), chain as (
+  select word, word as root from told
+  union all select chain.word, told.form from chain join told on told.word = chain.root where told.form is not null
+)
+select told.word, form, root, n, n_near, form_n from told join (
+  select chain.word, chain.root from chain join told on told.word = chain.root where told.form is null
+) using (word)
+"""
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.duplicate_classes(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("least_id").alias("keep_id"), F.col("rows").alias("group_size"),
+        (F.col("row") == F.col("least_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+OP12_SQL = r"""
+with d as (
+  select doc_id, row_number() over (order by doc_id nulls last) as row, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents
+)
+select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, row = min(row) over w as kept, text_sha256
+from d window w as (partition by text_sha256)
+"""
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows is checked with a changed text: its capital letters A-Z are small."""
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = merkle.leaf_digest([small if c == "text" else F.col(c) for c in fields])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.unhex(changed))
+    manifest = merkle.build(docs, fields, "lang", "doc_id", {"tampered": tampered})
+    rows = merkle.proofs(manifest)
+    own = F.coalesce(F.lower(F.hex("tampered")), F.col("leaf"))
+    rows = rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"), merkle.folded(own, F.col("path")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_FIELD = "coalesce(strlen({0}::varchar) || ':' || {0}, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
+OP13_SQL = f"""
+with recursive d as (
+  select *, row_number() over (partition by lang order by doc_id nulls first) - 1 as k, count(*) over (partition by lang) as m,
+    {_LEAF.replace("{0}::varchar) || ':' || {0}", "text::varchar) || ':' || text")} as leaf,
+    {_LEAF.replace("{0}::varchar) || ':' || {0}", "small::varchar) || ':' || small")} as changed
+  from (select *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as small from documents)
+), low as (
+  select 0 as level, coalesce('=' || lang, '') as grp, k, m, leaf as h from d
+  union all
+  select level + 1, grp, k // 8, (max(m) + 7) // 8, sha256(string_agg(h, '' order by k)) from low where m > 1 group by level, grp, k // 8
+), tops as (
+  select grp, h as subroot, level as depth, row_number() over (order by grp) - 1 as k, count(*) over () as m from low where m = 1
+), high as (
+  select 0 as level, k, m, subroot as h from tops
+  union all
+  select level + 1, k // 8, (max(m) + 7) // 8, sha256(string_agg(h, '' order by k)) from high where m > 1 group by level, k // 8
+), whole as (
+  select h as root from high where m = 1
+), sides as (
+  select level, grp, k, string_agg(h, '') over (w rows between unbounded preceding and 1 preceding) as l, string_agg(h, '') over (w rows between 1 following and unbounded following) as r
+  from low where m > 1 window w as (partition by level, grp, k // 8 order by k)
+), high_sides as (
+  select level, k, string_agg(h, '') over (w rows between unbounded preceding and 1 preceding) as l, string_agg(h, '') over (w rows between 1 following and unbounded following) as r
+  from high where m > 1 window w as (partition by level, k // 8 order by k)
+), steps as (
+  select grp, level, k, coalesce(l, '') as l, coalesce(r, '') as r, false as top from sides
+  union all select tops.grp, tops.depth + s.level, s.k, coalesce(l, ''), coalesce(r, ''), true from tops join high_sides s on s.k = tops.k // (8 ** s.level)::bigint
+), fold as (
+  select doc_id, coalesce('=' || lang, '') as grp, k, leaf, 0 as level, '' as proof,
+    case when {_CRC32.format("doc_id::varchar")} % 3 = 0 then changed else leaf end as h from d
+  union all
+  select f.doc_id, f.grp, f.k, f.leaf, f.level + 1, f.proof || s.l || s.r, sha256(s.l || f.h || s.r)
+  from fold f join steps s on s.grp = f.grp and s.level = f.level and (s.top or s.k = f.k // (8 ** f.level)::bigint)
+), done as (
+  select doc_id, grp, leaf, proof, h, level, max(level) over (partition by grp) as last from fold
+)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, h as folded_root, h = root as verified
+from done join tops using (grp), whole where level = last
+"""
+
+
 QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op6_quality_rules": op6_quality_rules,
@@ -158,9 +279,15 @@ QUERIES = {
     "op8_posting_lists": op8_posting_lists,
     "op4_compact_windows": op4_compact_windows,
     "op7_edit_token_counts": op7_edit_token_counts,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
     "op3_warc_archive": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_exact_dedup": OP12_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
