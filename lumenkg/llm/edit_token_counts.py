@@ -1,9 +1,10 @@
 """Edit-aware token counts.
 
 A document's text is kept as leaves that end at places where the tokenizer
-always cuts (a space between two letters, digits or printable ASCII characters
-of any script, or behind East Asian punctuation and before a letter), with two
-segment trees over them: token counts and lengths. An edit finds its leaves in the
+always cuts (a space or line end between two letters, digits or printable ASCII
+characters of any script, behind East Asian punctuation and before a letter, or
+between two letters beyond ASCII whose bytes stand side by side in no token of
+the vocabulary), with two segment trees over them: token counts and lengths. An edit finds its leaves in the
 length tree, re-encodes the leaves it touches (more of them while their bounds
 are no longer certain cuts), and updates sums on the paths to the root. The
 root holds the count of the whole text.
@@ -14,7 +15,8 @@ its end.
 
 Defined results: null text is empty; null or empty edits change nothing; a null
 ``inserted`` inserts nothing and null numbers are 0; repeated rows are counted
-each for itself; an empty table gives an empty result; other columns pass
+each for itself; very long texts have as many leaves as they need, but a run
+without any certain cut (ASCII letters without white space) is one leaf, however long; an empty table gives an empty result; other columns pass
 through untouched (added columns start with ``__et_``).
 """
 
@@ -28,36 +30,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenkg.llm.tokenization import unit_encoder, utf8
+from lumenkg.llm.tokenization import inner_pairs, unit_encoder, utf8
 from lumenkg.llm.workspace import bound_batches
 
 P = "__et_"
 LEAF = 256
 #: Punctuation of scripts without spaces; it never joins the letter behind it.
 _STOPS = "、。，！？；：」』）】》"
-_CUT = re.compile(rf"(?<=[!-~\w]) (?=[!-~\w])|(?<=[{_STOPS}])(?=[^\W_])")
+_CUT = re.compile(rf"(?<=[!-~\w])[ \n](?=[!-~\w])|(?<=[{_STOPS}])(?=[^\W_])|(?<=[^\W\d_\x00-\x7f])(?=[^\W\d_\x00-\x7f])")
+Pairs = frozenset[tuple[int, int]] | None
 #: A leaf that grew beyond so many times ``LEAF`` is cut again, with the trees built anew.
 GROWN = 8
 EDITS = T.ArrayType(T.StructType([T.StructField("at", T.LongType()), T.StructField("deleted", T.LongType()), T.StructField("inserted", T.StringType())]))
 
 
-def cut_leaves(text: str) -> list[str]:
-    """Pieces of about ``LEAF`` characters whose token counts add up to the text's."""
+def _apart(left: str, right: str, pairs: Pairs) -> bool:
+    """Are these letters beyond ASCII whose bytes stand side by side in no token?"""
+    return pairs is not None and min(left, right) > "\x7f" and left.isalpha() and right.isalpha() and (left.encode()[-1], right.encode()[0]) not in pairs
+
+
+def _cut_after(text: str, at: int, pairs: Pairs) -> int | None:
+    """The first certain cut from ``at`` on."""
+    for m in _CUT.finditer(text, at):
+        k = m.start()
+        if text[k] in " \n" or text[k - 1] in _STOPS or _apart(text[k - 1], text[k], pairs):
+            return k
+    return None
+
+
+def cut_leaves(text: str, pairs: Pairs = None) -> list[str]:
+    """Pieces of about ``LEAF`` characters whose token counts add up to the text's; ``pairs`` are the bytes that stand
+    side by side in tokens, without them letters are never parted."""
     out, at = [], 0
     while len(text) - at > 2 * LEAF:
-        m = _CUT.search(text, at + LEAF)
-        if m is None:
+        cut = _cut_after(text, at + LEAF, pairs)
+        if cut is None:
             break
-        out.append(text[at : m.start()])
-        at = m.start()
+        out.append(text[at:cut])
+        at = cut
     return [*out, text[at:]]
 
 
-def certain(before: str, after: str) -> bool:
+def certain(before: str, after: str, pairs: Pairs = None) -> bool:
     """Does the tokenizer always cut between two texts that stand side by side?"""
-    if after[0] == " ":
+    if after[0] in " \n":
         return len(after) > 1 and all("!" <= c <= "~" or c.isalnum() for c in (before[-1], after[1]))
-    return before[-1] in _STOPS and after[0].isalnum()
+    return before[-1] in _STOPS and after[0].isalnum() or _apart(before[-1], after[0], pairs)
 
 
 class SumTree:
@@ -93,15 +111,15 @@ class SumTree:
 
 
 class TokenTree:
-    """Leaves of one text with their two sum trees; ``count`` gives the tokens of a string."""
+    """Leaves of one text with their two sum trees; ``count`` gives the tokens of a string, ``pairs`` goes to ``cut_leaves``."""
 
-    def __init__(self, leaves: list[str], tokens: SumTree, lengths: SumTree, count):
-        self.leaves, self.tokens, self.lengths, self.count, self.encoded = leaves, tokens, lengths, count, 0
+    def __init__(self, leaves: list[str], tokens: SumTree, lengths: SumTree, count, pairs: Pairs = None):
+        self.leaves, self.tokens, self.lengths, self.count, self.pairs, self.encoded = leaves, tokens, lengths, count, pairs, 0
 
     @classmethod
-    def build(cls, text: str, count) -> TokenTree:
-        leaves = cut_leaves(text)
-        return cls(leaves, SumTree([count(x) for x in leaves]), SumTree([len(x) for x in leaves]), count)
+    def build(cls, text: str, count, pairs: Pairs = None) -> TokenTree:
+        leaves = cut_leaves(text, pairs)
+        return cls(leaves, SumTree([count(x) for x in leaves]), SumTree([len(x) for x in leaves]), count, pairs)
 
     @property
     def total(self) -> int:
@@ -124,7 +142,7 @@ class TokenTree:
         while hi + 1 < len(self.leaves) and not (new and self._starts_sure(hi, new)):
             hi += 1
             new += self.leaves[hi]
-        pieces = cut_leaves(new)
+        pieces = cut_leaves(new, self.pairs)
         fresh = [self.count(x) for x in pieces]
         self.encoded += len(new)
         room = hi + 1 - lo
@@ -147,12 +165,12 @@ class TokenTree:
         """Is the bound between ``new`` and the last text before leaf ``lo`` a certain cut?"""
         while lo and not self.leaves[lo - 1]:
             lo -= 1
-        return not lo or certain(self.leaves[lo - 1], new)
+        return not lo or certain(self.leaves[lo - 1], new, self.pairs)
 
     def _starts_sure(self, hi: int, new: str) -> bool:
         while hi + 1 < len(self.leaves) and not self.leaves[hi + 1]:
             hi += 1
-        return hi + 1 == len(self.leaves) or certain(new, self.leaves[hi + 1])
+        return hi + 1 == len(self.leaves) or certain(new, self.leaves[hi + 1], self.pairs)
 
 
 def _counter(vocabulary: str):
@@ -181,11 +199,11 @@ def build_trees(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text_col
     schema = T.StructType([*fields, *_STATE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(vocabulary)
+        count, pairs = _counter(vocabulary), inner_pairs(vocabulary)
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 b = whole.slice(lo, 256)
-                rows = [_row(TokenTree.build(t or "", count)) for t in b.column(at).to_pylist()]
+                rows = [_row(TokenTree.build(t or "", count, pairs)) for t in b.column(at).to_pylist()]
                 state = [pa.array(list(c), k) for c, k in zip(zip(*rows), _ARROW)]
                 yield pa.RecordBatch.from_arrays([*[b.column(i) for i in kept], *state], names=schema.names)
 
@@ -208,12 +226,12 @@ def apply_edits(trees: DataFrame, edits_col: str = P + "edits", vocabulary: str
     kept, places, at = [trees.columns.index(f.name) for f in fields], [trees.columns.index(c) for c in state[:3]], trees.columns.index(edits_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(vocabulary)
+        count, pairs = _counter(vocabulary), inner_pairs(vocabulary)
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 b, rows = whole.slice(lo, 256), []
                 for leaves, tokens, lengths, edits in zip(*[b.column(i).to_pylist() for i in (*places, at)]):
-                    tree = TokenTree(leaves, SumTree.of_nodes(tokens), SumTree.of_nodes(lengths), count)
+                    tree = TokenTree(leaves, SumTree.of_nodes(tokens), SumTree.of_nodes(lengths), count, pairs)
                     for e in edits or ():
                         if e is not None:
                             tree.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "")

@@ -183,20 +183,20 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Train on rows of ``labelled`` with a text and a language.
 
     The ``texts_per_language`` texts of each language with the least hash of
-    their id reach the driver, as a few windows each (rows of one hash in order
-    of their text's hash).
+    their id and text reach the driver, as a few windows each. So ids may be
+    null or shared: they decide nothing alone. The hash of the last text that is
+    taken is found first, on hashes only; then texts up to it are read.
     """
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(bounds.seed)).alias("key")
+        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(bounds.seed)).alias("key")
     )
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # as many as the network has outputs
-    if not counts:
+    best = Window.partitionBy("lang").orderBy("key")  # tasks hand on no more than that many rows of a language
+    first = lambda df: df.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= bounds.texts_per_language)
+    last = {r["lang"]: r["key"] for r in first(rows.select("lang", "key")).groupBy("lang").agg(F.max("key").alias("key")).collect()}  # a row per output of the network
+    if not last:
         return None
-    n = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v))])[F.col("lang")]
-    place = F.pmod("key", F.lit(1 << 20)) / F.lit(float(1 << 20))
-    few = rows.filter(place * n < 2 * bounds.texts_per_language + 20)  # about twice the texts, before they are ranked
-    best = Window.partitionBy("lang").orderBy(place, "key", F.xxhash64("text"))
-    picked = few.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= bounds.texts_per_language).select("text", "lang", "key")
+    bound = F.create_map(*[x for k, v in last.items() for x in (F.lit(k), F.lit(v))])[F.col("lang")]
+    picked = first(rows.filter(F.col("key") <= bound)).select("text", "lang", "key")
     got = picked.mapInArrow(_sample_rows(bounds.window, bounds.windows_per_text), "lang string, key long, nth int, bytes binary").collect()
     languages = sorted({r["lang"] for r in got})
     got = sorted(got, key=lambda r: (r["key"], r["nth"], r["lang"], r["bytes"]))

@@ -26,7 +26,8 @@ _SPACED = re.compile(rb"[\t-\r ] [\t-\r ]")
 _WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
-_ASCII_SPACE = b" \t\n\r\x0b\x0c"
+#: A line end between characters other than white space, where the library always cuts on both sides.
+_LINE_END = re.compile(rb"(?<=[^ \t-\r])\n(?=[^ \t-\r])")
 #: Punctuation that is a piece of its own after a letter, in vocabularies of both kinds.
 _CLOSING = b".,;:!?*#$%&"
 
@@ -104,9 +105,9 @@ class UnitEncoder:
         if found is not None:
             return found
         if b"\n" in unit:
-            before, _, after = unit.partition(b"\n")
-            if before and after and before[-1] not in _ASCII_SPACE and after[0] not in _ASCII_SPACE:
-                return self._unit(before) + self._unit(b"\n") + self._unit(after)
+            lines = _LINE_END.split(unit)
+            if len(lines) > 1:
+                return self._unit(b"\n").join(map(self._unit, lines))
         core = unit.rstrip(_CLOSING)
         if core != unit and core.strip():
             last = core[-1:]
@@ -157,5 +158,16 @@ def release_encoders() -> None:
     unit_encoder.cache_clear()
 
 
+@lru_cache(maxsize=4)
+def inner_pairs(vocabulary: str) -> frozenset[tuple[int, int]]:
+    """Pairs of neighbouring bytes inside any token: a merge never joins others, so between two letters whose bytes make
+    no such pair the tokens of a text are those of its two parts."""
+    from tokenizers import Tokenizer
+
+    byte_of = byte_letters()
+    tokens = [[byte_of.get(c, -1) for c in t] for t in Tokenizer.from_file(vocabulary_path(vocabulary)).get_vocab(with_added_tokens=False)]
+    return frozenset(p for t in tokens for p in zip(t, t[1:]))
+
+
 def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8")

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ def _fallback_root() -> str:
     return tempfile.mkdtemp(prefix="spark-corpus-")
 
 
-#: Lists that new folder names are added to, innermost last.
-_collectors: list[list[str]] = []
+#: Lists that new folder names are added to, innermost last; each thread has its own.
+_collectors: ContextVar[tuple[list[str], ...]] = ContextVar("collectors", default=())
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -34,19 +35,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = _fallback_root()
     path = f"{root.rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
-    if _collectors:
-        _collectors[-1].append(path)
+    if _collectors.get():
+        _collectors.get()[-1].append(path)
     return path
 
 
 @contextmanager
 def collected_paths() -> Iterator[list[str]]:
     """The scratch folders handed out inside the block."""
-    _collectors.append([])
+    paths: list[str] = []
+    before = _collectors.set((*_collectors.get(), paths))
     try:
-        yield _collectors[-1]
+        yield paths
     finally:
-        _collectors.pop()
+        _collectors.reset(before)
 
 
 def discard(spark: SparkSession, paths: list[str]) -> None:

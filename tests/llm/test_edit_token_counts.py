@@ -5,6 +5,7 @@ from tokenizers import Tokenizer
 
 from lumenkg.llm import edit_token_counts as et
 from lumenkg.llm import queries
+from lumenkg.llm.tokenization import inner_pairs
 
 BYTE = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 n_ids = lambda t: len(BYTE.encode(t or "", add_special_tokens=False).ids)
@@ -88,3 +89,26 @@ def test_random_edits_in_all_scripts_keep_the_count(monkeypatch):
             at = min(at, len(text))
             text = text[:at] + inserted + text[at + deleted :]
             assert tree.text == text and tree.total == n_ids(text)
+
+
+def test_text_without_punctuation_is_cut_by_the_vocabulary(monkeypatch):
+    pairs = inner_pairs("byte_bpe_50k.json")
+    rng = random.Random(3)
+    for alphabet in ("天地玄黄宇宙洪荒日月盈昃辰宿列张", "กขคงจฉชซ", "сложныеслова"):
+        text = "".join(rng.choice(alphabet) for _ in range(20_000))
+        tree = et.TokenTree.build(text, n_ids, pairs)
+        assert tree.total == n_ids(text)
+        if alphabet[0] == "天":
+            tree.edit(9_000, 3, "新词")
+            assert tree.encoded < 2_000 and tree.total == n_ids(tree.text)
+    monkeypatch.setattr(et, "LEAF", 3)
+    atoms = ["天", "地", "玄", "カ", "タ", "ー", "ไ", "ท", "é", "ñ", "ъ", "a", " ", "\n", "1", "。"]
+    for _ in range(150):
+        text = "".join(rng.choice(atoms) for _ in range(rng.randrange(60)))
+        tree = et.TokenTree.build(text, n_ids, pairs)
+        assert tree.total == n_ids(text)
+        for _ in range(5):
+            at, deleted, inserted = rng.randrange(len(text) + 1), rng.choice([0, 1, 5]), "".join(rng.choice(atoms) for _ in range(rng.choice([0, 1, 4])))
+            tree.edit(at, deleted, inserted)
+            text = text[:at] + inserted + text[at + deleted :]
+            assert tree.text == text and tree.total == n_ids(text)

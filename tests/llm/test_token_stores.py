@@ -6,7 +6,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from lumenkg.llm import best_fit_packing, queries, wavelet_store
+from lumenkg.llm import best_fit_packing, edit_token_counts, queries, wavelet_store
+from lumenkg.llm.tokenization import unit_encoder
 
 WORD = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 BYTE = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -95,3 +96,21 @@ def test_packing(spark, tmp_path):
     assert len(whole) == len(sequences) and all(len(r["ids"]) <= 8192 for r in whole)
     empty = best_fit_packing.cut_pieces(docs.limit(0))
     assert best_fit_packing.place_pieces(empty).count() == 0
+
+
+LINES = ["word", "12,34,x", "été", "3"]
+
+
+def test_texts_of_many_lines_without_a_space(spark, tmp_path):
+    rng = random.Random(8)
+    texts = ["\n".join(rng.choice(LINES) for _ in range(100_000)), "\n".join(["word", "", " x", "a"] * 800), "\n" * 5000 + "a\n" * 5000, "a\n\nb\nc\n" * 900]
+    for text in texts:
+        assert np.frombuffer(unit_encoder("byte_bpe_50k.json", "spaced").encode(text.encode()), "<u4").tolist() == BYTE.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    pieces = best_fit_packing.cut_pieces(docs).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in pieces} == {i: len(BYTE.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["n_tokens"] for r in queries.op7_edit_token_counts(spark, str(tmp_path)).collect()}
+    assert got == {i: len(BYTE.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    tree = edit_token_counts.TokenTree.build(texts[0], lambda t: len(BYTE.encode(t, add_special_tokens=False).ids))
+    assert len(tree.leaves) > 1000

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,32 @@ def test_a_damaged_header_raises(spark, tmp_path):
     spark.read.parquet(root + "/payloads").write.parquet(str(tmp_path / "b/payloads"))
     with pytest.raises(Exception, match="damaged record"):
         warc_archive.read_index(spark, str(tmp_path / "b")).collect()
+
+
+def test_languages_of_rows_that_share_their_id_are_learned(spark):
+    german = [(9, f"der hund und die katze {i} gehen " * 3, "de") for i in range(300)]
+    english = [(i, f"the cat and the dog {i} are here " * 3, "en") for i in range(300)]
+    schema = "doc_id long, text string, lang string"
+    bounds = language_id.TrainingBounds(texts_per_language=20, epochs=2)
+    for rows in (german + english, [(None, t, k) for _, t, k in german + english], [(9, "der hund und die katze", "de")] * 300 + english):
+        net = language_id.fit(spark.createDataFrame(rows, schema), bounds=bounds)
+        assert net.languages == ["de", "en"]
+
+
+def test_results_that_wait_keep_their_tables(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, text + f" {i}" * 2, "en", "s") for i in range(4)], "doc_id long, text string, lang string, source string")
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    a, b = stages[0](spark, docs, ""), stages[0](spark, docs, "")
+    first = workspace.materialise(a, "a")
+    stages[1](spark, first, "")
+    assert b.count() == 4
+
+    def chain(_):
+        done = docs
+        for stage in stages[:3]:
+            done = workspace.materialise(stage(spark, done, ""), "chain")
+        return done.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        assert len(set(pool.map(chain, range(2)))) == 1
