@@ -24,24 +24,29 @@ from lumenkg.llm.queries import pack_digest
 from lumenkg.llm.workspace import collected_paths, discard, read_table, scratch_path, write_table
 
 
-#: Scratch tables of the last call of each stage, by its place in a run. A run has its own; stages called one by one share one.
-_held: ContextVar[dict[int, list[str]]] = ContextVar("held", default={})
+#: Scratch tables of the calls of each stage whose result no later stage has read, by place in a run. A run has its own;
+#: stages called one by one share their thread's.
+_held: ContextVar[dict[int, list[list[str]]] | None] = ContextVar("held", default=None)
 
 
 def _stage(place: int) -> Callable:
-    """A stage deletes the scratch tables of the last call of the stage before it, whose result it reads.
+    """A stage reads the stored result of the stage before it, whose scratch tables then go.
 
-    Calls of the same stage, or of the first, delete nothing.
+    That holds where one result of that stage waits to be read. Where several do, a call can't tell which of them it reads,
+    so all keep their tables until the run ends, or the checkpoint folder is cleaned.
     """
 
     def wrap(work: Callable) -> Callable:
         @wraps(work)
         def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            if _held.get() is None:
+                _held.set({})
             held = _held.get()
-            discard(spark, held.pop(place - 1, []))
+            if len(held.get(place - 1, [])) == 1:
+                discard(spark, held.pop(place - 1)[0])
             with collected_paths() as paths:
                 out = work(spark, docs, sf_dir)
-            held[place] = paths
+            held.setdefault(place, []).append(paths)
             return out
 
         return run_stage
@@ -104,7 +109,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             if kept:
                 discard(spark, [kept])
             kept = path
-        discard(spark, _held.get().pop(len(STAGES) - 1, []))
+        for paths in _held.get().pop(len(STAGES) - 1, []):
+            discard(spark, paths)
     finally:
         _held.reset(own)
     return docs
