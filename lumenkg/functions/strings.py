@@ -123,10 +123,14 @@ def braced(raw: Column) -> Column:
 
 
 def extract_json(raw: Column) -> Column:
-    """JSON text of a model's answer: the fenced body, else the first braced block; null if it doesn't parse."""
+    """JSON text of a model's answer: the fenced body if that parses, else the first braced block; null if neither does.
+
+    A fence without a line end gives null.
+    """
     text = trimmed(raw)
-    candidate = F.when(text.startswith("```"), without_fence(raw)).otherwise(braced(text))
-    return F.when(F.try_parse_json(candidate).isNotNull(), candidate)
+    fence = text.startswith("```")
+    parsed = lambda c: F.when(F.try_parse_json(c).isNotNull(), c)
+    return F.when(~fence, parsed(braced(text))).when(text.contains("\n"), F.coalesce(parsed(without_fence(raw)), parsed(braced(text))))
 
 
 def extract_json_array(raw: Column) -> Column:

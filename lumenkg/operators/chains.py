@@ -34,6 +34,7 @@ class Asked:
     def __init__(self, responses: DataFrame):
         self.responses = responses
         self.requests: list[DataFrame] = []
+        self.searches: list[DataFrame] = []
 
     def bodies(self, rows: DataFrame, api: str, key: Column, payload: Column) -> DataFrame:
         """``rows(img_id, ...)`` with the ``body`` of their response; rows without a usable one go."""
@@ -49,6 +50,19 @@ class Asked:
     def all_requests(self) -> DataFrame:
         return reduce(DataFrame.unionByName, self.requests)
 
+    def note(self, stage: str, queries: DataFrame, results: DataFrame, reads: DataFrame) -> None:
+        """Keep the searches of a stage: ``queries(img_id, place, query, provenance)`` with their results and pages."""
+        hit = F.struct("pos", "kind", "title", "url", F.coalesce("snippet", "content").alias("snippet"))
+        page = F.struct("pos", "title", "url", "page_text")
+        listed = lambda df, x, name: df.groupBy("img_id", "place").agg(F.array_sort(F.collect_list(x)).alias(name))
+        both = queries.select("img_id", "place", "query", "provenance").join(listed(results, hit, "results"), ["img_id", "place"], "left")
+        self.searches.append(both.join(listed(reads, page, "pages"), ["img_id", "place"], "left").withColumn("stage", F.lit(f"{len(self.searches)}-{stage}")))
+
+    def search_results(self) -> DataFrame:
+        """(img_id, search_results): all kept searches of an image, stage by stage."""
+        one = F.struct("stage", "place", "query", "provenance", "results", "pages")
+        return reduce(DataFrame.unionByName, self.searches).groupBy("img_id").agg(F.array_sort(F.collect_list(one)).alias("search_results"))
+
     def missing(self) -> DataFrame:
         """One row (api, key, payload) per request without a usable response."""
         return misses(self.all_requests(), self.responses)
@@ -113,12 +127,38 @@ def with_lines(entities: DataFrame, evidence: DataFrame) -> DataFrame:
     return both.select("img_id", F.concat("lines", F.lit("\n"), "payload").alias("payload"))
 
 
-def resolution(kept: DataFrame, asked: Asked, save: Save) -> tuple[DataFrame, DataFrame]:
+#: Provenance of a view's names, least length of a description that is searched, and text limits.
+SEEN, DESCRIBED, LEAST_DESCRIPTION, DESCRIPTION_CHARS, DESCRIBED_NAME_CHARS = "lens_reverse", "vlm_describe_workaround", 10, 100, 50
+
+
+def described_views(views: DataFrame, kept: DataFrame, asked: Asked, save: Save) -> tuple[DataFrame, DataFrame]:
+    """The second route of ``views(img_id, id, crop)`` that no view search answered: a model describes the view, and an
+    image search for the description names it.
+
+    Gives (img_id, id, visual_desc, candidates) and (img_id, id, nth, name, url): up to three titles of an entity, and the
+    first two results as new names, unless they are its own or too short.
+    """
+    told = asked.bodies(views, "describe", F.col("crop"), F.col("crop")).select("img_id", "id", trimmed(F.col("body")).alias("visual_desc"))
+    told = save(told, "described")
+    searched = told.filter(F.length("visual_desc") > LEAST_DESCRIPTION).withColumn("q", F.substring("visual_desc", 1, DESCRIPTION_CHARS))
+    found = asked.bodies(searched, "serper_img", cache_key("serper_img", q=F.col("q"), n=F.lit(3)), F.col("q"))
+    rows = save(ev.image_rows(found.select(F.struct("img_id", "id").alias("key"), "body"), 3).select("key.*", "pos", "title", F.col("source_url").alias("url")), "described_results")
+    titles = rows.groupBy("img_id", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "title"))), lambda x: x["title"]).alias("candidates"))
+    own = kept.select("img_id", "id", F.lower("name").alias("own"))
+    named = rows.filter("pos < 2").filter(F.length("title") > 3).join(own, ["img_id", "id"]).filter(F.lower("title") != F.col("own"))
+    name = title_head(F.col("title"), DESCRIBED_NAME_CHARS)
+    return told.join(titles, ["img_id", "id"], "left"), named.select("img_id", "id", F.col("pos").alias("nth"), name.alias("name"), "url")
+
+
+def resolution(kept: DataFrame, asked: Asked, save: Save, view_search: bool | None = None, faithful: bool = False) -> tuple[DataFrame, DataFrame]:
     """Entities with the titles, snippets, lens titles and pages that searches give, and the new names that they hold.
 
     Pictured entities are searched by image and by their view, others on the web; pages of both are read as ``visit_queue``
-    says, and a model cleans the titles of the views.
+    says, and a model cleans the titles of the views. Without ``view_search`` a model describes the views instead; None
+    means: views are searched if any response of such a search is stored.
     """
+    if view_search is None:
+        view_search = not asked.responses.filter("api = 'serper_lens'").isEmpty()
     routes, idx = en.search_routes(kept), kept.select("img_id", "id", "idx")
     key = F.struct("img_id", "id").alias("key")
     ask = lambda route, api: asked.bodies(routes.filter(F.col("route") == route), api, cache_key(api, q=F.col("name"), n=F.lit(5)), F.col("name")).select(key, "body")
@@ -126,7 +166,9 @@ def resolution(kept: DataFrame, asked: Asked, save: Save) -> tuple[DataFrame, Da
     web = save(ev.search_rows(ask("web", "serper_web")).select("key.*", "pos", "kind", "title", "url", F.coalesce("snippet", "content").alias("snippet")), "web")
 
     views = en.reverse_search_views(kept).select("img_id", "id", F.concat_ws("/", "img_id", "id", "view").alias("crop"))
-    lens = asked.bodies(views, "serper_lens", F.col("crop"), F.col("crop")).select("img_id", "id", F.from_json("body", LENS).alias("r"))
+    seen, described = (views, views.limit(0)) if view_search else (views.limit(0), views)
+    lens = asked.bodies(seen, "serper_lens", F.col("crop"), F.col("crop")).select("img_id", "id", F.from_json("body", LENS).alias("r"))
+    told, named = described_views(described, kept, asked, save)
     lens = save(lens.filter(F.col("r").isNotNull()), "lens")
     raw = lens.select(key, F.posexplode(F.slice("r.organic", 1, 20)).alias("pos", "x")).select("key", "pos", trimmed(F.col("x.title")).alias("title"), F.coalesce(F.nullif("x.link", F.lit("")), "x.source").alias("url"))
     titles = ev.lens_titles(raw).select("key.*", "nth", "title")
@@ -134,7 +176,8 @@ def resolution(kept: DataFrame, asked: Asked, save: Save) -> tuple[DataFrame, Da
 
     panel = lens.select("img_id", "id", F.lit(99).alias("nth"), F.substring(trimmed(F.col("r.knowledgeGraph.title")), 1, 60).alias("name"))
     heads = titles.filter("nth <= 5").select("img_id", "id", "nth", title_head(F.col("title")).alias("name"), F.lower("title").alias("low"))
-    fresh = heads.unionByName(panel.withColumn("low", F.lower("name"))).filter("name <> ''").join(kept.select("img_id", "id", "idx", F.lower("name").alias("own")), ["img_id", "id"])
+    shown = named.select("img_id", "id", "nth", "name").withColumn("low", F.lower("name"))
+    fresh = heads.unionByName(panel.withColumn("low", F.lower("name"))).unionByName(shown).filter("name <> ''").join(kept.select("img_id", "id", "idx", F.lower("name").alias("own")), ["img_id", "id"])
     place = F.row_number().over(Window.partitionBy("img_id").orderBy("idx", "nth")) - 1
     fresh = save(fresh.filter("low <> own").select("img_id", F.col("id").alias("source_entity_id"), place.alias("pos"), "name"), "found_names")
     listed = fresh.groupBy("img_id").agg(joined_text(F.concat((F.col("pos") + 1).cast("string"), F.lit(". "), "name"), F.col("pos"), "\n").alias("payload"))
@@ -142,17 +185,19 @@ def resolution(kept: DataFrame, asked: Asked, save: Save) -> tuple[DataFrame, Da
     discovered = save(ev.discovered_names(fresh.drop("name"), clean.filter("name is not null"), kept), "discoveries")
 
     origin = lambda rows, name, rank: rows.join(idx, ["img_id", "id"]).select("img_id", F.lit(name).alias("origin"), F.lit(rank).alias("origin_rank"), "id", F.struct("idx", "pos").alias("ord"), "url", "title")
-    queue = origin(pictures, "image", 0).unionByName(origin(web.filter("kind = 'result'"), "web", 1)).unionByName(origin(pages, "lens", 3))
-    queue = save(ev.visit_queue(queue.filter("url <> ''")), "visits")
+    found = named.select("img_id", "id", F.col("nth").alias("pos"), "url", F.col("name").alias("title"))
+    queue = origin(pictures, "image", 0).unionByName(origin(web.filter("kind = 'result'"), "web", 1)).unionByName(origin(found, "discovery", 2)).unionByName(origin(pages, "lens", 3))
+    queue = save(ev.visit_queue(queue.filter("url <> ''"), faithful=faithful), "visits")
     read = queue.join(page_bodies(asked, queue), "url").filter("content <> ''").select("img_id", "id", F.col("place").alias("pos"), "url", "title", "content")
 
     snippets = top_per(web.filter("snippet <> ''"), ["img_id", "id"], ["pos"], 5, "nth").groupBy("img_id", "id").agg(F.array_sort(F.collect_list(F.struct("nth", "title", "snippet", "url"))).alias("snippets"))
-    seen = titles.groupBy("img_id", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "title"))), lambda x: x["title"]).alias("lens_titles"))
+    titled = titles.groupBy("img_id", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "title"))), lambda x: x["title"]).alias("lens_titles"))
     counts = lens.select("img_id", "id", F.coalesce(F.size("r.organic"), F.lit(0)).alias("lens_matches"), F.col("r.knowledgeGraph.title").alias("lens_panel"))
     merged = ev.merged_resolution(kept, pictures, read)
-    for extra in (snippets, seen, counts):
+    for extra in (snippets, titled, counts, told):
         merged = merged.join(extra, ["img_id", "id"], "left")
-    return save(merged, "resolved"), discovered
+    provenance = F.when(F.col("lens_matches").isNotNull(), SEEN).when(F.col("visual_desc").isNotNull(), DESCRIBED)
+    return save(merged.withColumn("view_provenance", provenance), "resolved"), discovered
 
 
 def main_evidence(seeds: DataFrame) -> DataFrame:
@@ -185,7 +230,8 @@ def cross_entity(tier1: DataFrame, descriptions: DataFrame, asked: Asked, save:
     text = joined_text(F.concat_ws(" ", "snippet", "title"), F.col("pos"), " ").alias("text")
     names = queries.select("img_id", "place", F.col("a_name").alias("entity_a"), F.col("b_name").alias("entity_b"))
     both = ev.both_mentioned(results.groupBy("img_id", "place").agg(text).join(names, ["img_id", "place"]))
-    reads = deep_read(asked, results.join(both.select("img_id", "place"), ["img_id", "place"], "left_semi"), 2)
+    reads = save(deep_read(asked, results.join(both.select("img_id", "place"), ["img_id", "place"], "left_semi"), 2), "pair_reads")
+    asked.note("cross_entity", queries.withColumn("provenance", F.lit("cross_entity")), results, reads)
     head = F.concat(F.lit("\n### "), "a_name", F.lit(" ↔ "), "b_name", F.lit('\n搜索词: "'), "query", F.lit('"\n'))
     evidence = save(evidence_text(queries.select("img_id", "place", head.alias("text")), results, reads, 1500), "pair_evidence")
     return found_triples(asked.answers(with_lines(tier1, evidence), "cross_triples", TRIPLES)).withColumn("source", F.lit("cross_entity"))
@@ -207,7 +253,9 @@ def tail_search(asked: Asked, save: Save, entities: DataFrame, triples: Callable
         queries = save(tr.tail_queries(planned).select("img_id.*", "tail", "pos", "query", "origin").withColumn("place", place), f"tail_queries-{k}")
         results = save(searched(asked, queries), f"tail_results-{k}")
         head = F.concat(F.lit("\n### "), "tail", F.lit('\n搜索词: "'), "query", F.lit('" (provenance: '), "origin", F.lit(")\n"))
-        evidence = save(evidence_text(queries.select("img_id", "place", head.alias("text")), results, deep_read(asked, results, 5), 1000), f"tail_evidence-{k}")
+        reads = save(deep_read(asked, results, 5), f"tail_reads-{k}")
+        asked.note(f"expansion_{k + 1}", queries.withColumnRenamed("origin", "provenance"), results, reads)
+        evidence = save(evidence_text(queries.select("img_id", "place", head.alias("text")), results, reads, 1000), f"tail_evidence-{k}")
         known = evidence.join(tr.known_names_text(now), "img_id").select("img_id", F.concat("payload", F.lit("\n"), "names").alias("payload"))
         few = top_per(entities, ["img_id"], ["ord"], 8)
         return found_triples(asked.answers(with_lines(few, known), f"expand_triples_{k + 1}", TRIPLES)).withColumn("source", F.lit(None).cast("string"))

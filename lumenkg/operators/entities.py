@@ -96,11 +96,15 @@ def core_anchors(scored: DataFrame, fallback: int = 5) -> DataFrame:
     return unique.unionByName(top_per(without, ["img_id"], ["idx"], fallback))
 
 
-def expansion_seeds(scored: DataFrame) -> DataFrame:
-    """First of each name by confidence, without generic objects."""
+def expansion_seeds(scored: DataFrame, fallback: int = 5) -> DataFrame:
+    """First of each name by confidence, without generic objects; images of generic objects alone give their first
+    ``fallback`` entities."""
     generic = (F.col("etype") == "object") & name_key(F.col("name")).isin(*rules.GENERIC_OBJECTS)
-    rank = F.row_number().over(Window.partitionBy("img_id").orderBy(F.desc("confidence"), "idx"))
-    return first_wins(scored.withColumn("rank", rank).filter(~generic), ["img_id", name_key(F.col("name"))], ["rank"])
+    w = Window.partitionBy("img_id")
+    ranked = scored.withColumns({"rank": F.row_number().over(w.orderBy(F.desc("confidence"), "idx")), "_generic": generic})
+    ranked = ranked.withColumns({"_none": F.min(F.col("_generic").cast("int")).over(w) == 1, "_place": F.row_number().over(w.orderBy("idx"))})
+    unique = first_wins(ranked.filter(~F.col("_generic")), ["img_id", name_key(F.col("name"))], ["rank"])
+    return unique.unionByName(ranked.filter(F.col("_none") & (F.col("_place") <= fallback))).drop("_generic", "_none", "_place")
 
 
 def brand_dense_top(seeds: DataFrame, k: int = 12) -> DataFrame:

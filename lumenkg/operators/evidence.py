@@ -108,16 +108,33 @@ def discovered_names(titles: DataFrame, cleaned: DataFrame, entities: DataFrame)
     return one.withColumn("id", F.concat(F.lit("DE"), place)).drop("key")
 
 
-def visit_queue(candidates: DataFrame, caps: dict[str, int] | None = None, total: int = 30, per_entity: int = 2) -> DataFrame:
+def visit_queue(candidates: DataFrame, caps: dict[str, int] | None = None, total: int = 30, per_entity: int = 2, faithful: bool = False) -> DataFrame:
     """URLs to read from ``candidates(img_id, origin, origin_rank, id, ord, url)``: of image and web searches the first
-    ``per_entity`` of each entity, so many of each origin, ``total`` of an image."""
+    ``per_entity`` of each entity, so many of each origin, ``total`` of an image.
+
+    ``faithful`` takes caps as the original does: once an image has 20 (image searches) or ``total`` URLs, each further
+    entity still adds its first; discoveries and reverse searches come on top.
+    """
     caps = caps or {"image": 20, "web": 30, "discovery": 5, "lens": 8}
     limit = F.create_map(*[x for k, v in caps.items() for x in (F.lit(k), F.lit(v))])
+    searched = F.col("origin").isin("image", "web")
     own = F.row_number().over(Window.partitionBy("img_id", "origin", "id").orderBy("ord"))
-    candidates = candidates.withColumn("own", own).filter((F.col("own") <= per_entity) | ~F.col("origin").isin("image", "web")).drop("own")
+    candidates = candidates.withColumn("own", own).filter((F.col("own") <= per_entity) | ~searched)
     by = Window.partitionBy("img_id", "origin").orderBy("ord")
-    few = candidates.withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= limit[F.col("origin")])
-    return top_per(few, ["img_id"], ["origin_rank", "nth"], total, "place")
+    if not faithful:
+        few = candidates.withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= limit[F.col("origin")])
+        return top_per(few.drop("own"), ["img_id"], ["origin_rank", "nth"], total, "place")
+    # entities come in the order of their first URL; those before one count with all their rows, so the first past a cap
+    # is told exactly, and behind it every entity adds one
+    start = F.min("ord").over(Window.partitionBy("img_id", "origin", "id"))
+    rows = candidates.withColumn("_start", start).withColumn("_before", F.count(F.lit(1)).over(Window.partitionBy("img_id", "origin").orderBy("_start").rangeBetween(Window.unboundedPreceding, Window.currentRow)) - F.count(F.lit(1)).over(Window.partitionBy("img_id", "origin", "id")))
+    pictures = rows.filter("origin = 'image'").filter((F.col("own") == 1) | (F.col("_before") + F.col("own") <= F.lit(caps["image"])))
+    held = pictures.groupBy("img_id").agg(F.count(F.lit(1)).alias("_held"))
+    web = rows.filter("origin = 'web'").join(held, "img_id", "left")
+    web = web.filter((F.col("own") == 1) | (F.coalesce("_held", F.lit(0)) + F.col("_before") + F.col("own") <= F.lit(total))).drop("_held")
+    rest = rows.filter(~searched).withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= limit[F.col("origin")]).drop("nth")
+    few = pictures.unionByName(web).unionByName(rest).drop("_start", "_before", "own").withColumn("nth", F.row_number().over(by))
+    return few.withColumn("place", F.row_number().over(Window.partitionBy("img_id").orderBy("origin_rank", "nth")))
 
 
 def merged_resolution(entities: DataFrame, rows: DataFrame, pages: DataFrame, max_titles: int = 5) -> DataFrame:

@@ -41,5 +41,5 @@ def expand(
             break
         names = tails.select("img_id", F.col("tail").alias("name"))
         searched = names if searched is None else searched.unionByName(names)
-        triples = save(merged(triples, discover(tails, k), shift=1_000_000 * (k + 1)), f"triples-{k}")
+        triples = save(merged(triples, discover(tails, k)), f"triples-{k}")
     return triples

@@ -102,14 +102,27 @@ def region_edges(entities: DataFrame, retrieved: DataFrame) -> DataFrame:
 
 
 def comparable_pairs(by_region: DataFrame, kind: str) -> DataFrame:
-    """Pairs of edges of two regions, of one tail type and compatible relations."""
-    some = by_region.filter(F.col("tail_type") == kind)
-    columns = ["region", "region_ord", "fact_key", "relation", "normalized_value", "place"]
-    a = some.select("img_id", *[F.col(c).alias(f"a_{c}") for c in columns])
-    b = some.select("img_id", *[F.col(c).alias(f"b_{c}") for c in columns])
-    pairs = a.join(b, "img_id").filter("a_region_ord < b_region_ord")
-    verdict = rules.relations_compatible(F.col("a_relation"), F.col("b_relation"), F.lit(kind))
-    return pairs.withColumn("v", verdict).filter(F.col("v.ok") & (F.col("v.score") > 0)).withColumns({"score": F.col("v.score"), "bucket": F.col("v.label")}).drop("v")
+    """Pairs of edges of two regions, of one tail type and compatible relations.
+
+    Relations are compatible if they are equal, of one bucket, or share a word, the first of these that holds; so edges meet
+    on each of the three, and a pair counts only where it meets on its first.
+    """
+    some = by_region.filter((F.col("tail_type") == kind) & (F.col("relation") != ""))
+    bucket = rules.value_bucket(F.col("relation"), F.lit(kind))
+    some = some.withColumns({"bucket": F.when(~bucket.endswith("other"), bucket), "words": F.array_sort(rules.relation_tokens(F.col("relation")))})
+    key = lambda rank, c: F.struct(F.lit(rank).alias("rank"), c.alias("value"))
+    keys = F.concat(F.array(key(1, F.col("relation")), key(2, F.col("bucket"))), F.transform("words", lambda w: key(3, w)))
+    keyed = some.withColumn("key", F.explode(F.filter(keys, lambda k: k["value"].isNotNull())))
+    columns = ["region", "region_ord", "fact_key", "relation", "normalized_value", "place", "bucket", "words"]
+    side = lambda s: keyed.select("img_id", "key.rank", "key.value", *[F.col(c).alias(f"{s}_{c}") for c in columns])
+    pairs = side("a").join(side("b"), ["img_id", "rank", "value"]).filter("a_region_ord < b_region_ord")
+    other = F.col("a_relation") != F.col("b_relation")
+    apart = F.coalesce(F.col("a_bucket") != F.col("b_bucket"), F.lit(True))
+    first_word = F.get(F.array_intersect("a_words", "b_words"), F.lit(0))
+    here = F.when(F.col("rank") == 1, True).when(F.col("rank") == 2, other).otherwise(other & apart & (F.col("value") == first_word))
+    score = F.when(F.col("rank") == 1, 1.0).when(F.col("rank") == 2, 0.6).otherwise(0.3)
+    label = F.when(F.col("rank") == 1, F.col("a_relation")).otherwise(F.lit("time_attribute" if kind == "TIME" else "quantity_attribute"))
+    return pairs.filter(here).withColumns({"score": score, "bucket": label}).drop("rank", "value", "a_bucket", "b_bucket", "a_words", "b_words")
 
 
 def value_differences(pairs: DataFrame) -> DataFrame:

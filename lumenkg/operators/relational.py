@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,3 +36,14 @@ def joined_text(text: Column, order: Column, separator: str) -> Column:
     """Aggregate: texts in order, put together with a separator."""
     listed = F.array_sort(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
     return F.array_join(F.transform(listed, lambda x: x["t"]), separator)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` stored in the session's checkpoint folder, so that later plans start from its rows.
+
+    A local session without one gets a temporary folder; on a cluster Spark asks for ``spark.checkpoint.dir``.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None and context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoints-"))
+    return df.checkpoint()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +48,25 @@ def valid_aliases(groups: DataFrame, candidates: DataFrame) -> DataFrame:
     return known.groupBy("img_id", "alias").agg(F.max_by("canonical", F.struct("group_ord", "canonical")).alias("canonical"))
 
 
+def closed_aliases(aliases: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``aliases(img_id, alias, canonical)`` with chains followed to their end: A to B and B to C gives A to C.
+
+    Names that lead into a cycle go to the least name of it in code-point order, which itself is no alias any more. Each round
+    doubles the reach of all names at once, so an image with n aliases takes log2(n) rounds; ``cut`` stores a round's rows.
+    """
+    most = aliases.groupBy("img_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    # ``seen`` is the least name met on the way; within a cycle, a way longer than it meets them all
+    reach = aliases.select("img_id", "alias", F.col("canonical").alias("end"), F.col("canonical").alias("seen"))
+    for _ in range(max(most, 1).bit_length()):
+        reach = cut(reach)
+        ahead = reach.select("img_id", F.col("alias").alias("end"), F.col("end").alias("_end"), F.col("seen").alias("_seen"))
+        reach = reach.join(ahead, ["img_id", "end"], "left").select("img_id", "alias", F.coalesce("_end", "end").alias("end"), F.least("seen", "_seen").alias("seen"))
+    reach = cut(reach)
+    turning = reach.select("img_id", F.col("alias").alias("end"), F.col("seen").alias("_least"))  # ends that are aliases lie in a cycle
+    told = reach.join(turning, ["img_id", "end"], "left").select("img_id", "alias", F.coalesce("_least", "end").alias("canonical"))
+    return told.filter("alias <> canonical")
+
+
 def aliased(triples: DataFrame, aliases: DataFrame) -> DataFrame:
     """Trimmed heads and tails replaced once by their canonical name; blank ends, self loops and repeats go."""
     out = triples.withColumns({c: trimmed(F.col(c)) for c in ("head", "tail")})
@@ -68,8 +89,9 @@ def alias_candidates(entities: DataFrame, triples: DataFrame) -> DataFrame:
     return names.filter(F.length("name").between(2, 80) & ~digits.rlike("^[0-9]+$"))
 
 
-def merged(existing: DataFrame, new: DataFrame, strip: bool = False, shift: int = 1_000_000) -> DataFrame:
-    """``existing`` plus the new triples whose key it doesn't hold, the first of each; new ones come after.
+def merged(existing: DataFrame, new: DataFrame, strip: bool = False) -> DataFrame:
+    """``existing`` plus the new triples whose key it doesn't hold, the first of each, in their order behind the last
+    existing one of their image; so no order number is used twice in an image.
 
     ``strip`` compares trimmed names and drops blank ends and self loops first.
     """
@@ -80,7 +102,10 @@ def merged(existing: DataFrame, new: DataFrame, strip: bool = False, shift: int
     fresh = first_wins(new, _lower_key(), ["ord"])
     fresh = fresh.withColumns({f"_{c}": F.lower(c) for c in ("head", "relation", "tail")})
     fresh = fresh.join(lower(existing), ["img_id", "_head", "_relation", "_tail"], "left_anti").select(*new.columns)
-    return existing.unionByName(fresh.withColumn("ord", F.col("ord") + shift), allowMissingColumns=True)
+    last = existing.groupBy("img_id").agg((F.max("ord") + 1).alias("_last"))
+    nth = F.row_number().over(Window.partitionBy("img_id").orderBy("ord", F.lower("head"), F.lower("relation"), F.lower("tail"))) - 1
+    placed = fresh.withColumn("_nth", nth).join(last, "img_id", "left").withColumn("ord", F.coalesce("_last", F.lit(0)).cast("long") + F.col("_nth"))
+    return existing.unionByName(placed.select(*new.columns), allowMissingColumns=True)
 
 
 def tail_counts(triples: DataFrame, known_names: DataFrame | None = None, k: int = 6) -> DataFrame:

@@ -1,26 +1,34 @@
-"""The two jobs end to end, on stored responses: images to entity documents, documents to question files.
+"""The jobs end to end, on stored responses: images to entity documents, documents to question files.
 
-    python -m lumenkg.plans.jobs enrich --images TABLE --responses TABLE --target DIR [--limit N] [--hold]
+    python -m lumenkg.plans.jobs enrich --images TABLE --responses TABLE --target DIR [--limit N] [--hold] [--tries N] [--view-search yes|no]
     python -m lumenkg.plans.jobs questions --documents DIR --responses TABLE --target DIR
-
-Stages keep their own results, so a second run takes only images that have none yet. Requests without a response are
-written to ``work/requests``; with ``--hold`` their images wait for a run that finds the responses.
+    python -m lumenkg.plans.jobs batch --source DIR[,DIR] --responses TABLE --target DIR [--limit N]
+    python -m lumenkg.plans.jobs bench --source DIR --responses TABLE --target DIR
+    python -m lumenkg.plans.jobs compact --documents DIR
+
+``batch`` takes the images of the first folder that has any through both jobs; ``bench`` takes three of each folder, anew.
+Every run adds to the ledger of outcomes (``TARGET/ledger``), and takes only images that it doesn't settle: done, with too
+little to go on, or failed ``--tries`` times. Requests without a response are written to ``work/requests``; with ``--hold``
+their images wait for a run that finds the responses.
 """
 
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lumenkg.operators import chains as ch
 from lumenkg.operators import entities as en
 from lumenkg.operators import graph as gr
+from lumenkg.operators import outcomes as oc
 from lumenkg.operators import questions as qu
 from lumenkg.operators import triples as tr
 from lumenkg.operators.expansion import expand
+from lumenkg.operators.lookup import TRACED
 from lumenkg.sources import files, sinks
 
 DETECTION = "struct<image_description string, entities array<struct<name string, type string, bbox array<double>>>>"
@@ -38,8 +46,8 @@ def detections(images: DataFrame, answers: DataFrame) -> DataFrame:
     return rows.drop("e")
 
 
-def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities: int = 3) -> dict[str, DataFrame]:
-    """Entities, triples, documents and requests of every image with at least ``least_entities`` entities.
+def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities: int = 3, view_search: bool | None = None) -> dict[str, DataFrame]:
+    """Entities, triples, documents, requests and outcomes of every image with at least ``least_entities`` entities.
 
     Entities are detected, boxed, numbered, located and resolved by searches; main, cross-entity and expansion triples are
     merged, normalised and aliased; pairs of anchors that no triple joins get a spatial one. A request without a stored
@@ -48,9 +56,10 @@ def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities:
     asked = ch.Asked(responses)
     path = F.col("path") if "path" in images.columns else F.lit(None).cast("string")
     answers = save(asked.answers(images.select("img_id", path.alias("payload")), "detect", DETECTION), "detections")
-    kept = save(en.with_values(en.located(en.enough_entities(en.kept_entities(detections(images, answers)), least_entities))), "entities")
+    detected = save(en.kept_entities(detections(images, answers)), "detected")
+    kept = save(en.with_values(en.located(en.enough_entities(detected, least_entities))), "entities")
     about = answers.select("img_id", F.col("r.image_description").alias("description"))
-    known, discovered = ch.resolution(kept, asked, save)
+    known, discovered = ch.resolution(kept, asked, save, view_search)
 
     scored = save(en.expansion_seeds(known.withColumn("source", F.lit(""))), "seeds")
     tier1 = save(en.brand_dense_top(en.promoted(scored)), "tier1")
@@ -84,59 +93,136 @@ def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities:
     left = save(tr.entities_without_aliases(known, aliases), "entities_final")
     asked.answers(save(gr.context_text(anchors, triples, about).withColumnRenamed("context", "payload"), "question_evidence"), "questions", "array<string>")
     heads = about.join(en.image_domains(kept), "img_id").join(images.select("img_id", path.alias("img_path")), "img_id")
-    documents = sinks.entity_documents(heads, left, triples, anchors, kept)
-    return {"entities": left, "anchors": anchors, "triples": triples, "documents": documents, "requests": asked.missing(), "waiting": asked.waiting()}
+    documents = sinks.entity_documents(heads, left, triples, anchors, kept).join(save(asked.search_results(), "search_results"), "img_id", "left")
+    return {
+        "entities": left, "anchors": anchors, "triples": triples, "documents": documents, "requests": asked.missing(), "waiting": asked.waiting(),
+        "answers": answers, "detected": detected, "kept": kept,
+    }
 
 
-def question_records(responses: DataFrame, paths: DataFrame) -> DataFrame:
-    """Final records from answers of the question model and ``paths(img_id, path)``."""
+def parsed_records(responses: DataFrame, paths: DataFrame) -> DataFrame:
+    """Numbered questions with the path of their image, of the images of ``paths(img_id, path)``."""
     raw = responses.filter("api = 'questions' and status = 'ok'").select(F.col("key").alias("img_id"), F.col("body").alias("raw"))
-    rows = qu.numbered(qu.classified(qu.parsed_questions(raw))).join(paths, "img_id", "left")
-    return qu.final_records(rows, F.col("path"))
+    return qu.numbered(qu.classified(qu.parsed_questions(raw.join(paths.select("img_id"), "img_id", "left_semi")))).join(paths, "img_id")
 
 
-def finished(spark: SparkSession, root: str) -> DataFrame | None:
-    """(img_id) of the documents stored under ``root``, null before the first run."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema("img_id string").json(root) if there else None
+def question_records(responses: DataFrame, paths: DataFrame) -> DataFrame:
+    """Final records from answers of the question model."""
+    return qu.final_records(parsed_records(responses, paths), F.col("path"))
+
+
+class Run:
+    """One run of the jobs on a target folder: its ledger, its number and its stored responses."""
+
+    def __init__(self, spark: SparkSession, responses: str, target: str, tries: int = 3):
+        self.spark, self.target, self.tries, self.counts = spark, target, tries, {}
+        self.responses = spark.read.schema(TRACED).parquet(responses)
+        self.number = 1 + (self.ledger().agg(F.max("run")).first()[0] or 0)
+
+    def ledger(self) -> DataFrame:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.target}/ledger")
+        if path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.read.schema(oc.LEDGER).parquet(f"{self.target}/ledger")
+        return self.spark.createDataFrame([], oc.LEDGER)
+
+    def add(self, outcomes: DataFrame, began: float) -> None:
+        """Add outcomes to the ledger, counted in the same pass; an image's seconds are its share of the time since ``began``."""
+        seen = Observation()
+        rows = outcomes.observe(seen, F.count(F.lit(1)).alias("images"), F.count_if(F.col("status") == "ok").alias("ok"))
+        rows = self.save(rows, "outcomes")
+        took = (time.time() - began) / max(seen.get["images"], 1)
+        rows.withColumns({"run": F.lit(self.number).cast("long"), "seconds": F.lit(round(took, 3))}).write.mode("append").parquet(f"{self.target}/ledger")
+        self.counts |= {f"{k}_{rows.first()['stage']}": v for k, v in seen.get.items()} if seen.get["images"] else {}
+
+    def save(self, df: DataFrame, label: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.target}/work/{label}")
+        return self.spark.read.parquet(f"{self.target}/work/{label}")
+
+    def enrich(self, images: DataFrame, limit: int = 0, hold: bool = False, view_search: bool | None = None) -> None:
+        """Documents of the images that the ledger doesn't settle, and their outcomes."""
+        began = time.time()
+        images = oc.unfinished(images, self.ledger(), "enrich", self.tries)
+        if limit > 0:
+            images = images.orderBy("img_id").limit(limit)
+        images = self.save(images, "images")
+        if images.isEmpty():
+            return
+        out = enrich(images, self.responses, self.save, view_search=view_search)
+        self.save(out["requests"], "requests")
+        waiting = self.save(out["waiting"], "waiting") if hold else None
+        documents = out["documents"].join(waiting, "img_id", "left_anti") if hold else out["documents"]
+        sinks.write_documents(documents, f"{self.target}/documents", self.number)
+        done = sinks.latest_documents(self.spark, f"{self.target}/documents").join(images.select("img_id"), "img_id", "left_semi")
+        self.add(oc.enrich_outcomes(images, self.responses, out["answers"], out["detected"], out["kept"], done, waiting), began)
+
+    def questions(self, documents: str) -> None:
+        """Questions of the documents that the ledger doesn't settle, their outcomes, and the final files of all questions."""
+        began = time.time()
+        stored = sinks.latest_documents(self.spark, documents, "img_id string, img_path string")
+        if stored is None:
+            return
+        todo = self.save(oc.unfinished(stored, self.ledger(), "questions", self.tries), "todo")
+        made = self.save(parsed_records(self.responses, todo.select("img_id", F.col("img_path").alias("path"))), "questions")
+        sinks.write_documents(sinks.question_documents(qu.final_records(made, F.col("path"))), f"{self.target}/by_image", self.number)
+        self.add(oc.question_outcomes(todo, self.responses, made), began)
+        every = sinks.latest_documents(self.spark, f"{self.target}/by_image", sinks.QUESTION_DOCUMENT)
+        sinks.write_questions(sinks.records_of(every), self.target)
+
+    def results(self, images: DataFrame) -> DataFrame:
+        """A row per image of ``images(img_id, path)``: folder, outcome, counts and, where all went well, its questions."""
+        told = images.select("img_id", files.folder(F.col("path")).alias("folder"), F.col("path").alias("img_path")).join(oc.image_results(self.ledger()), "img_id", "left")
+        told = told.withColumn("status", F.coalesce("status", F.lit("step1_waiting")))
+        asked = sinks.latest_documents(self.spark, f"{self.target}/by_image", sinks.QUESTION_DOCUMENT)
+        return told if asked is None else told.join(asked.select("img_id", "questions"), "img_id", "left")
+
+
+def sized(spark: SparkSession, paths: DataFrame, root: str) -> DataFrame:
+    """``paths(img_id, path)`` under ``root`` with width and height; images that Spark doesn't decode stay without."""
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    sizes = files.image_sizes(spark, root).select(bare(F.col("path")).alias("_at"), "width", "height")
+    return paths.withColumn("_at", bare(F.col("path"))).join(sizes, "_at", "left").drop("_at")
+
+
+def batch(spark: SparkSession, paths: DataFrame, root: str, responses: str, target: str, tries: int = 3, view_search: bool | None = None) -> Run:
+    """Both jobs over the images of ``paths`` under ``root``, and ``TARGET/summary``."""
+    began, run = time.time(), Run(spark, responses, target, tries)
+    images = run.save(sized(spark, paths, root), "sized")
+    # two images of one name are one document: the first path stands for both
+    one = images.groupBy("img_id").agg(F.min_by(F.struct("path", "width", "height"), "path").alias("x")).select("img_id", "x.*")
+    run.enrich(one, view_search=view_search)
+    run.questions(f"{target}/documents")
+    sinks.write_summary(run.results(images.select("img_id", "path")), f"{target}/summary", time.time() - began)
+    return run
 
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=("enrich", "questions"))
-    for name in ("images", "responses", "documents", "target"):
+    parser.add_argument("job", choices=("enrich", "questions", "batch", "bench", "compact"))
+    for name in ("images", "responses", "documents", "target", "source"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--limit", type=int, default=0)
+    parser.add_argument("--tries", type=int, default=3)
+    parser.add_argument("--per-folder", type=int, default=3)
+    parser.add_argument("--view-search", choices=("yes", "no"))
     parser.add_argument("--hold", action="store_true", help="leave images for a later run whose requests weren't all called")
     given = parser.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
-    responses = spark.read.parquet(given.responses)
-    if given.job == "questions":
-        paths = spark.read.schema("img_id string, img_path string").json(given.documents).select("img_id", F.col("img_path").alias("path"))
-        records, root = question_records(responses, paths), f"{given.target}/by_image"
-        done = finished(spark, root)
-        asked = records if done is None else records.join(done.withColumnRenamed("img_id", "image_id").distinct(), "image_id", "left_anti")
-        sinks.write_documents(sinks.question_documents(asked), root)
-        sinks.write_questions(records, given.target)
-        return
-    images = spark.read.parquet(given.images)
-    done = finished(spark, f"{given.target}/documents")
-    if done is not None:
-        images = files.unfinished(images, done)
-    if given.limit > 0:
-        images = images.orderBy("img_id").limit(given.limit)
-    if images.isEmpty():
-        return
-
-    def save(df: DataFrame, label: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{given.target}/work/{label}")
-        return spark.read.parquet(f"{given.target}/work/{label}")
-
-    out = enrich(images, responses, save)
-    save(out["requests"], "requests")
-    documents = out["documents"].join(out["waiting"], "img_id", "left_anti") if given.hold else out["documents"]
-    sinks.write_documents(documents, f"{given.target}/documents")
+    searched = {"yes": True, "no": False}.get(given.view_search)
+    roots = (given.source or "").split(",")
+    if given.job == "compact":
+        sinks.compact_documents(spark, given.documents)
+    elif given.job == "questions":
+        Run(spark, given.responses, given.target, given.tries).questions(given.documents)
+    elif given.job == "enrich":
+        Run(spark, given.responses, given.target, given.tries).enrich(spark.read.parquet(given.images), given.limit, given.hold, searched)
+    elif given.job == "batch":
+        found = files.first_image_paths(spark, roots, given.limit)
+        if found is None:
+            raise SystemExit(f"no images in {given.source}")
+        batch(spark, *found, given.responses, given.target, given.tries, searched)
+    else:  # earlier results don't count, so each run has a folder of its own
+        target = f"{given.target}/bench-{int(time.time())}"
+        batch(spark, files.sampled_image_paths(spark, given.source, given.per_folder).select("img_id", "path"), given.source, given.responses, target, given.tries, searched)
 
 
 if __name__ == "__main__":

@@ -28,6 +28,18 @@ def image_paths(spark: SparkSession, root: str, recursive: bool = True, limit: i
     return paths.limit(limit) if limit > 0 else paths
 
 
+def first_image_paths(spark: SparkSession, roots: list[str], limit: int = 0) -> tuple[DataFrame, str] | None:
+    """Image paths of the first of ``roots`` that exists and holds images, and that root; None if none does."""
+    for root in filter(None, roots):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            continue
+        found = image_paths(spark, root, limit=limit)
+        if not found.isEmpty():
+            return found, root
+    return None
+
+
 def sampled_image_paths(spark: SparkSession, root: str, k: int = 3) -> DataFrame:
     """The first ``k`` image paths of each folder."""
     return top_per(image_paths(spark, root).withColumn("folder", folder(F.col("path"))), ["folder"], ["path"], k)

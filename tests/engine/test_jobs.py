@@ -7,6 +7,7 @@ import json
 
 from lumenkg.operators.lookup import RESPONSE
 from lumenkg.plans import jobs
+from lumenkg.sources import sinks
 
 BOX = lambda k: [100 * k, 100, 100 * k + 60, 200 + k]
 DETECTED = {"image_description": "a street", "entities": [{"name": n, "type": "brand", "bbox": BOX(k)} for k, n in enumerate(("Acme", "Acme Corp", "Globex", "Pizza Hut"))] + [{"name": "bad", "type": "x", "bbox": [1]}]}
@@ -93,11 +94,11 @@ def test_jobs(spark, tmp_path):
     spark.createDataFrame([(k, 1000, 800) for k in ("a", "b", "broken", "failed")], "img_id string, width int, height int").write.parquet(images)
     run = ["enrich", "--images", images, "--responses", stored, "--target", target]
     jobs.main([*run, "--limit", "1"])
-    assert [r["img_id"] for r in spark.read.json(target + "/documents").collect()] == ["a"]
+    assert [r["img_id"] for r in sinks.latest_documents(spark, target + "/documents").collect()] == ["a"]
     jobs.main(run)
     jobs.main(run)
-    docs = {r["img_id"]: r for r in spark.read.json(target + "/documents").collect()}
-    assert docs.keys() == {"a", "b"} and spark.read.json(target + "/documents").count() == 2
+    docs = {r["img_id"]: r for r in sinks.latest_documents(spark, target + "/documents").collect()}
+    assert docs.keys() == {"a", "b"} and sinks.latest_documents(spark, target + "/documents").count() == 2
     doc = docs["b"]
     assert doc["description"] == "a street" and doc["domain"] == "food"
     assert [e["name"] for e in doc["entities"]] == ["Acme Corp", "Globex", "Pizza Hut"]
