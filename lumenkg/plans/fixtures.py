@@ -73,6 +73,19 @@ from {events}""",
     "answer_rows": """
 select event_id, kind, case cast(event_id%9 as int) when 0 then '  ' when 1 then ' USA ' when 2 then 'Company  ' when 3 then 'founder' when 4 then 'unknown' when 5 then 'New York City' when 6 then 'Europe'
   else relation end as answer from {rel_rows}""",
+    "geo_wide": """
+select concat('wide_', cast(cast(floor(p/40) as bigint) as string)) as img_id, cast(p%40 as int) as ord, name, etype, w, h, rx1, ry1, rx2, ry2, confidence, level
+from (select *, cast(substring(img_id, 5) as bigint)*8 + ord as p from {geo_raw}) g""",
+    "alias_links": f"""
+select img_id, alias, canonical from (
+  select {IMG.format("c_custkey")} as img_id, c_name as alias, case when c_custkey%8=5 and floor(c_custkey/8)%3=0 then lag(c_name, 3) over (partition by floor(c_custkey/8) order by c_custkey)
+    when c_custkey%8=3 and floor(c_custkey/8)%5=1 then cast(null as string) else lead(c_name) over (partition by floor(c_custkey/8) order by c_custkey) end as canonical
+  from {{customer}}) l where canonical is not null""",
+    "tries": """
+select concat('img_', cast(o_custkey as string)) as img_id, case when o_orderkey%3=0 then 'questions' else 'enrich' end as stage, cast(o_orderkey as bigint) as run,
+  case when o_orderstatus='P' then 'skip' when o_orderkey%5=0 then 'ok' when o_orderkey%7=0 then 'waiting' else 'error' end as status, concat('why ', cast(o_orderkey%4 as string)) as reason,
+  cast(o_orderkey%9 as bigint) as n_entities, cast(o_orderkey%30 as bigint) as n_triples, cast(o_orderkey%10 as bigint) as n_questions, floor(o_totalprice)/1000 as seconds
+from {orders}""",
     "run_rows": """
 select o_orderkey as img_id, case when o_orderstatus = 'F' then 'step1_error' else 'ok' end as status, o_orderkey % 10 as n_questions,
   floor(o_totalprice)/100 as step1_sec, floor(o_totalprice)/1000 as step2_sec from {orders}""",
@@ -81,10 +94,29 @@ select o_orderkey as img_id, case when o_orderstatus = 'F' then 'step1_error' el
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def _triples_in_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kg_triples_raw`` without its union: the branches are structs of one row, so the joins below them run once."""
+    sql = VIEWS["kg_triples_raw"]
+    rows, *branches = re.split(r"\n\)\n|\nunion all ", sql)
+    parts = []
+    for branch in branches:
+        items, _, rest = branch.removeprefix("select ").partition(" from c")
+        names = ("img_id", "ord", "head", "relation", "tail", "tail_type", "normalized_value", "unit")
+        values = [re.sub(r" as (img_id|ord|head|relation|tail|tail_type|normalized_value|unit)$", "", x.strip()) for x in re.split(r",\s*(?![^()]*\))", items)]
+        one = "struct(" + ", ".join(f"cast({v} as {'bigint' if n == 'ord' else 'string'}) as {n}" for n, v in zip(names, values, strict=True)) + ")"
+        test = rest.strip().removeprefix("where ")
+        parts.append(f"case when {test} then {one} end" if test else one)
+    used = set(re.findall(r"\{(\w+)\}", rows))
+    wide = spark.sql(f"{rows}\n) select filter(array({', '.join(parts)}), x -> x is not null) as items from c", **{t: view(spark, sf_dir, t) for t in used})
+    return wide.selectExpr("inline(items)")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a derived view of them."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name == "kg_triples_raw":
+        return _triples_in_one_scan(spark, sf_dir)
     sql = VIEWS[name]
     used = set(re.findall(r"\{(\w+)\}", sql))
     return spark.sql(sql, **{t: view(spark, sf_dir, t) for t in used})

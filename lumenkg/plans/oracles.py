@@ -95,7 +95,10 @@ pr as (select a.img_id, a.id as a_id, b.id as b_id, a.idx as a_idx, b.idx as b_i
 SEEDS = KEPT + f""",
 s0 as (select *, row_number() over (partition by img_id order by confidence desc, idx) as rank from kid),
 s1 as (select * from s0 where not (etype = 'object' and lower(trim(name)) in {in_list(r.GENERIC_OBJECTS)})),
-seeds as (select * exclude (sn) from (select *, row_number() over (partition by img_id, lower(trim(name)) order by rank) as sn from s1) where sn = 1)"""
+seeds as (select * exclude (sn) from (select *, row_number() over (partition by img_id, lower(trim(name)) order by rank) as sn from s1) where sn = 1
+  union all select * exclude (sn) from (select *, row_number() over (partition by img_id order by idx) as sn from s0 where img_id not in (select img_id from s1)) where sn <= 5)"""
+WIDE = (ctes("geo_wide") + SEEDS[len(ctes("geo_raw")):]).replace("(trim(name) as name) from geo_raw)", "(trim(name) as name) from geo_wide)")
+GENERIC = SEEDS.replace("(select * replace (trim(name) as name) from geo_raw)", "(select * replace (trim(name) as name) from (select * replace (case when cast(substring(img_id, 5) as bigint) % 3 = 0 then ['car', 'Tree', ' sky ', 'Wall', 'door', 'sign', 'floor', 'person'][ord + 1] else name end as name, case when cast(substring(img_id, 5) as bigint) % 3 = 0 then 'object' else etype end as etype) from geo_raw))")
 CLEAN = ctes("kg_ent", "kg_triples_raw") + """,
 tri as (select img_id, ord, trim(head) as head, relation, trim(tail) as tail, case when upper(trim(tail_type)) in ('TIME','QUANTITY','LOCATION','PERSON','ORG','OTHER') then upper(trim(tail_type)) else 'OTHER' end as tail_type,
   coalesce(trim(normalized_value), '') as nv_raw, coalesce(trim(unit), '') as unit,
@@ -167,11 +170,11 @@ select img_id, a_id, b_id, concat(b_name, '的', case when turn < 22.5 or turn >
 c as (select *, row_number() over (partition by img_id, lower(trim(name)) order by rank) as cn from s0 where confidence >= 0.8 or lower(level) = 'high'),
 f as (select *, row_number() over (partition by img_id order by idx) as fn from s0 where img_id not in (select img_id from c))
 select img_id, id, name, confidence from c where cn = 1 union all select img_id, id, name, confidence from f where fn <= 5""",
-    "expansion_seeds": f"with {SEEDS} select img_id, id, name, rank from seeds",
-    "tier1_brand_dense": f"""with {SEEDS}, m as (select *, count(*) over (partition by img_id) as n, avg(case when etype in ('brand','text') then 1.0 else 0.0 end) over (partition by img_id) as dense,
-  area * case when etype in ('person','landmark','product') then 1.5::double else 1::double end * confidence as score from seeds),
+    "expansion_seeds": f"with {GENERIC} select img_id, id, name, rank from seeds",
+    "tier1_brand_dense": f"""with {WIDE}, m as (select *, count(*) over (partition by img_id) as n, avg(case when etype in ('brand','text') then 1.0 else 0.0 end) over (partition by img_id) as dense,
+  area * case when etype in ('person','landmark','product') then 1.5::double else 1::double end * confidence as score from seeds where (case cast(idx % 3 as int) when 0 then 'proposal' when 1 then 'vlm_only' else '' end) in ('vlm_only', '') or lower(level) = 'high'),
 o as (select *, row_number() over (partition by img_id order by score desc, idx) as place from m)
-select img_id, id, score, place from o where not (n > 4 or (n >= 4 and dense > 0.7)) or place <= 4""",
+select img_id, id, score, place from o where not (n > 12 or (n >= 12 and dense > 0.7)) or place <= 12""",
     "pairs_capped": f"""with {KEPT}, k2 as (select *, row_number() over (partition by img_id order by case when etype in ('person','landmark','product','brand') then 1 else 0 end desc, confidence desc, idx) as rk from kid),
 p as (select a.img_id, a.rk as a_rank, b.rk as b_rank, a.name as a_name, b.name as b_name, row_number() over (partition by a.img_id order by a.rk, b.rk) as n from k2 a join k2 b on a.img_id = b.img_id and a.rk < b.rk)
 select img_id, a_rank, b_rank, a_name, b_name from p where n <= 5""",
@@ -185,12 +188,14 @@ select {TRI_COLS} from (select *, row_number() over (partition by img_id, lower(
     "expand_merge": f"""with {NORMAL}, fresh as (select *, row_number() over (partition by img_id, lower(head), lower(relation), lower(tail) order by ord) as rn from tri where ord % 10 >= 3),
 old as (select * from norm where ord % 10 <= 4)
 select img_id, ord, head, relation, tail from old union all
-select img_id, ord + 1000000, head, relation, tail from fresh f where rn = 1 and not exists (select 1 from old o where o.img_id = f.img_id and lower(o.head) = lower(f.head) and lower(o.relation) = lower(f.relation) and lower(o.tail) = lower(f.tail))""",
+select f.img_id, coalesce(m.last, 0) + row_number() over (partition by f.img_id order by ord) - 1, head, relation, tail from fresh f left join (select img_id, max(ord) + 1 as last from old group by img_id) m on f.img_id = m.img_id
+where rn = 1 and not exists (select 1 from old o where o.img_id = f.img_id and lower(o.head) = lower(f.head) and lower(o.relation) = lower(f.relation) and lower(o.tail) = lower(f.tail))""",
     "cross_merge": f"""with {NORMAL}, f0 as (select img_id, ord, trim(head) as head, trim(upper(relation)) as relation, trim(tail) as tail from tri where ord % 10 >= 3),
 fresh as (select *, row_number() over (partition by img_id, lower(head), lower(relation), lower(tail) order by ord) as rn from f0 where head <> '' and tail <> '' and lower(head) <> lower(tail)),
 old as (select * from norm where ord % 10 <= 4)
 select img_id, ord, head, relation, tail from old union all
-select img_id, ord + 1000000, head, relation, tail from fresh f where rn = 1 and not exists (select 1 from old o where o.img_id = f.img_id and lower(o.head) = lower(f.head) and lower(o.relation) = lower(f.relation) and lower(o.tail) = lower(f.tail))""",
+select f.img_id, coalesce(m.last, 0) + row_number() over (partition by f.img_id order by ord) - 1, head, relation, tail from fresh f left join (select img_id, max(ord) + 1 as last from old group by img_id) m on f.img_id = m.img_id
+where rn = 1 and not exists (select 1 from old o where o.img_id = f.img_id and lower(o.head) = lower(f.head) and lower(o.relation) = lower(f.relation) and lower(o.tail) = lower(f.tail))""",
     "tail_topk": f"""with {CLEAN}, c as (select img_id, tail, count(*) as n, min(ord) as first_ord from tri t where length(tail) >= 3 and not exists (select 1 from kg_ent k where k.img_id = t.img_id and lower(k.name) = lower(t.tail)) group by img_id, tail)
 select img_id, tail, n, rank from (select *, row_number() over (partition by img_id order by n desc, first_ord) as rank from c) where rank <= 6""",
     "tail_context": f"""with {CLEAN}, c as (select img_id, tail, count(*) as n, min(ord) as first_ord from tri where length(tail) >= 3 group by img_id, tail),
@@ -262,7 +267,7 @@ b as (select *, row_number() over (partition by topic, origin, ent order by page
 f as (select *, row_number() over (partition by topic, origin order by page_id) as nth from b where own <= 2 or origin not in ('image', 'web')), g as (select *, row_number() over (partition by topic order by origin_rank, nth) as place from f
   where nth <= case origin when 'image' then 20 when 'web' then 30 when 'discovery' then 5 else 8 end) select topic, page_id, origin, place from g where place <= 30""",
     "resolution_merge": f"""with {ctes("page_rows")}, e as (select distinct topic from page_rows), t0 as (select *, row_number() over (partition by topic order by page_id) as nth from page_rows where title <> ''),
-t as (select topic, list(title order by nth) as titles from t0 where nth <= 5 group by topic), p as (select topic, count(*) as n_pages, string_agg(concat_ws(' | ', url, title, substring(html, 1, 200)), chr(10) order by page_id) as pages from page_rows where page_id % 2 = 0 group by topic)
+t as (select topic, list(title order by nth) as titles from t0 where nth <= 5 group by topic), p as (select topic, count(*) as n_pages, string_agg(concat_ws(' | ', url, title, substring(html, 1, 200)), chr(10) order by page_id) as pages from page_rows group by topic)
 select e.topic, coalesce(titles, []) as titles, coalesce(n_pages, 0) as n_pages, coalesce(pages, '') as pages from e left join t using (topic) left join p using (topic)""",
     "lens_flatten": f"""with {ctes("page_rows")}, t as (select topic, title, page_id, row_number() over (partition by topic, lower(trim(title)) order by page_id) as rn from page_rows where length(trim(title)) >= 3)
 select topic, title, nth from (select *, row_number() over (partition by topic order by page_id) as nth from t where rn = 1) where nth <= 20""",
@@ -301,4 +306,46 @@ select img_id, ord, tail, case when name <> '' then 1 else 0 end, rewritten, 'te
     "known_names_text": f"""with {CLEAN}, e as (select distinct img_id, name from (select img_id, head as name from tri union all select img_id, tail from tri) where name is not null)
 select img_id, string_agg(name, ', ' order by name) as names from e group by img_id""",
     "job_totals": f"with {ctes('geo_raw', 'kg_triples_raw')} select (select count(*) from geo_raw) as entities, (select count(distinct img_id) from geo_raw) as images, (select count(*) from kg_triples_raw) as triples, (select count(*) from pages) as searches",
+    "visit_queue_faithful": f"""with {ctes("page_rows")}, c as (select topic, page_id, url, case when page_id % 10 < 4 then 'image' when page_id % 10 < 8 then 'web' when page_id % 10 = 8 then 'discovery' else 'lens' end as origin,
+  case when page_id % 10 < 4 then 0 when page_id % 10 < 8 then 1 when page_id % 10 = 8 then 2 else 3 end as origin_rank, page_id % 4 as part, floor(page_id % 200 / 12) as ent from (select * replace (cast(floor(page_id/200) as bigint) as topic) from page_rows)),
+b as (select *, row_number() over (partition by topic, origin, ent order by page_id) as own from c), k as (select * from b where own <= 2 or origin_rank > 1),
+e as (select topic, origin, ent, count(*) as n, min(page_id) as start from k group by all), s as (select *, sum(n) over (partition by topic, origin order by start) - n as before from e),
+j as (select k.*, s.before from k join s on k.topic = s.topic and k.origin = s.origin and k.ent = s.ent),
+i as (select * from j where origin = 'image' and (own = 1 or before + own <= 20)), h as (select topic, count(*) as held from i group by topic),
+w as (select j.* from j left join h on j.topic = h.topic where origin = 'web' and (own = 1 or coalesce(held, 0) + before + own <= 30)),
+x as (select * exclude (nth) from (select *, row_number() over (partition by topic, origin order by page_id) as nth from j where origin_rank > 1) where nth <= case origin when 'discovery' then 5 else 8 end),
+f as (select *, row_number() over (partition by topic, origin order by page_id) as nth from (select * from i union all select * from w union all select * from x))
+select topic, page_id, origin, row_number() over (partition by topic order by origin_rank, nth) as place from f""",
+    "aliases_closed": f"""with recursive {ctes("alias_links")}, way as (
+  select img_id, alias, canonical as name, 1 as step from alias_links union all
+  select w.img_id, w.alias, l.canonical, step + 1 from way w join alias_links l on l.img_id = w.img_id and l.alias = w.name where step < 24)
+select * from (select img_id, alias, coalesce(max(name) filter (not exists (select 1 from alias_links l where l.img_id = way.img_id and l.alias = way.name)), min(name) filter (step > 9)) as canonical from way group by img_id, alias) where alias <> canonical""",
+    "enrich_outcomes": f"""with {KEPT}, i as (select distinct img_id, cast(substring(img_id, 5) as bigint) as k from geo_raw), n as (select img_id, count(*) as n from kid group by img_id)
+select i.img_id, 'enrich' as stage, case when k % 13 = 4 then 'error' when k % 7 = 0 then 'waiting' when k % 7 = 1 or k % 11 = 5 then 'error' when coalesce(n, 0) < 7 then 'skip' when k % 7 = 2 then 'waiting' else 'ok' end as status,
+  case when k % 13 = 4 then 'unreadable image' when k % 7 = 0 then 'not called' when k % 7 = 1 then 'detect: TimeoutError' when k % 11 = 5 then 'detect: json_parse_failed' when coalesce(n, 0) < 7 then 'too few entities'
+    when k % 7 = 2 then 'requests not called' else '' end as reason, case when k % 13 = 4 or k % 7 < 2 or k % 11 = 5 then null when coalesce(n, 0) < 7 then coalesce(n, 0) when k % 7 = 2 then null else n end as n_entities
+from i left join n using (img_id)""",
+    "unfinished_images": f"""with {ctes("tries")}, s as (select img_id, max(case when status in ('ok', 'skip') then 1 else 0 end) as done, count(*) filter (status = 'error') as failed from tries where stage = 'enrich' group by img_id)
+select concat('img_', c_custkey) as img_id from customer where concat('img_', c_custkey) not in (select img_id from s where done = 1 or failed >= 3)""",
+    "image_results": f"""with {ctes("tries")}, l as (select * from (select *, row_number() over (partition by img_id, stage order by run desc) as rn from tries) where rn = 1), a as (select * from l where stage = 'enrich'), b as (select * from l where stage = 'questions')
+select coalesce(a.img_id, b.img_id) as img_id, case when a.status <> 'ok' then concat('step1_', a.status) when b.status is null then 'step2_waiting' when b.status <> 'ok' then concat('step2_', b.status) else 'ok' end as status,
+  case when a.status <> 'ok' then concat('step1: ', a.reason) when b.status <> 'ok' then concat('step2: ', b.reason) end as error, a.n_entities, a.n_triples, b.n_questions, a.seconds as step1_sec, b.seconds as step2_sec
+from a full join b on a.img_id = b.img_id""",
+    "outcome_counts": f"""with {ctes("tries")} select stage, status, reason, count(*) as images from (select *, row_number() over (partition by img_id, stage order by run desc) as rn from tries) where rn = 1 group by all""",
+    "bench_summary": """select count(*) as total_images, count(*) filter (o_orderstatus <> 'F') as success, count(*) filter (o_orderstatus = 'F') as failed, count(distinct o_orderpriority) as folders,
+  cast(coalesce(sum(o_orderkey % 10) filter (o_orderstatus <> 'F'), 0) as bigint) as total_questions from orders""",
+    "bench_rows": """select folder, o_orderkey as img_id, status, row_number() over (order by folder, o_orderkey) as place from (select o_orderpriority as folder, o_orderkey, case when o_orderstatus = 'F' then 'step1_error' else 'ok' end as status,
+  row_number() over (partition by o_orderpriority, o_custkey order by o_orderkey) as rn from orders) where rn <= 3""",
+    "attempt_trace": """select event_id, cast(attempt as int) as attempt, case when attempt < 1 + event_id % 3 then case when event_id % 2 = 0 then 'json_parse_failed' else 'call_error' end else 'ok' end as status,
+  case when attempt < 1 + event_id % 3 and event_id % 2 = 1 then concat('E', attempt) end as error from events, lateral (select unnest(range(1, 2 + event_id % 3)) as attempt)""",
+    "good_images": """select * from (select l_orderkey * 10 + l_linenumber as img_id, l_partkey % 6 as a, l_suppkey % 6 as b, l_linenumber % 6 as c, cast(l_quantity as bigint) % 6 as d from lineitem) where a + b + c + d >= 14 and a >= 3 and b >= 3 and c >= 3 and d >= 3""",
+    "bounded_sizes": f"""with {ctes("geo_raw")} select img_id, ord, cast(trunc(case when greatest(w, h) * 3 > 2048 then w * 3 * 2048 / (greatest(w, h) * 3)::double else w * 3 end) as bigint) as width,
+  cast(trunc(case when greatest(w, h) * 3 > 2048 then h * 3 * 2048 / (greatest(w, h) * 3)::double else h * 3 end) as bigint) as height from geo_raw""",
+    "parsed_questions": """select event_id as img_id, pos as ord, case when pos = 0 then concat('What of ', event_id, '?') else 'And?' end as question, case when pos = 0 then event_type end as answer
+from events, lateral (select unnest([0, 2]) as pos) where not (event_id % 4 = 3) and not (event_id % 4 = 1 and pos = 2)""",
+    "images_with_enough": f"with {KEPT}, n as (select img_id, count(*) as n from kid group by img_id) select img_id, id, name from kid join n using (img_id) where n >= 7",
+    "entity_lines": f"""with {KEPT}, t as (select *, case when cast(idx % 3 as int) = 0 then ' [图搜验证: one, two] [来源页: see]' when cast(idx % 3 as int) = 1 then ' [图搜验证: one]' else '' end as more from kid)
+select img_id, string_agg(concat('- ', id, ': ', name, ' (类型=', etype, ', 位置=here)', more), chr(10) order by ord) as lines from t group by img_id""",
+    "answered_triples": f"with {CLEAN} select img_id, row_number() over (partition by img_id order by ord) - 1 as ord, head, relation, tail, tail_type, nv_raw, unit from tri where cast(substring(img_id, 5) as bigint) % 4 < 3",
+    "detected_boxes": f"with {ctes('geo_raw')} select img_id, ord, name, etype, rx1, ry1, rx2, ry2 from geo_raw where ord % 5 <> 2",
 }

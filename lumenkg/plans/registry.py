@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenkg.functions import rules
 from lumenkg.functions import strings as s
+from lumenkg.operators import chains as ch
 from lumenkg.operators import entities as en
 from lumenkg.operators import evidence as ev
 from lumenkg.operators import graph as gr
 from lumenkg.operators import lookup
+from lumenkg.operators import outcomes as oc
 from lumenkg.operators import questions as qu
 from lumenkg.operators import triples as tr
-from lumenkg.operators.relational import top_per
+from lumenkg.operators.relational import cut, top_per
+from lumenkg.plans import jobs
 from lumenkg.plans.fixtures import view
 from lumenkg.plans.oracles import ORACLES
+from lumenkg.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,12 +132,25 @@ def core_anchors(spark, sf):
 
 @query
 def expansion_seeds(spark, sf):
-    return en.expansion_seeds(_kept(spark, sf)).select("img_id", "id", "name", "rank")
+    """Every third image holds generic objects alone."""
+    raw = view(spark, sf, "geo_raw")
+    plain = F.array(*map(F.lit, ("car", "Tree", " sky ", "Wall", "door", "sign", "floor", "person")))[F.col("ord")]
+    generic = F.substring("img_id", 5, 9).cast("long") % 3 == 0
+    raw = raw.withColumns({"name": F.when(generic, plain).otherwise(F.col("name")), "etype": F.when(generic, "object").otherwise(F.col("etype"))})
+    return en.expansion_seeds(en.kept_entities(raw)).select("img_id", "id", "name", "rank")
+
+
+def _marked(seeds: DataFrame) -> DataFrame:
+    """Seeds with a source and a level, as the gate of the search budget reads them."""
+    source = F.when(F.col("idx") % 3 == 0, "proposal").when(F.col("idx") % 3 == 1, "vlm_only").otherwise("")
+    return seeds.withColumns({"source": source, "level": F.lower("level")})
 
 
 @query
 def tier1_brand_dense(spark, sf):
-    return en.brand_dense_top(en.expansion_seeds(_kept(spark, sf)), k=4).select("img_id", "id", "score", "place")
+    """Images of forty entities, behind the gate."""
+    seeds = en.expansion_seeds(en.kept_entities(view(spark, sf, "geo_wide")))
+    return en.brand_dense_top(en.promoted(_marked(seeds))).select("img_id", "id", "score", "place")
 
 
 @query
@@ -318,10 +335,9 @@ def url_netloc(spark, sf):
 @query
 def deep_read_urls(spark, sf):
     rows = view(spark, sf, "page_rows")
-    pages = rows.select("page_id", "url", F.col("html").alias("content"))
-    found = top_per(ev.readable(rows), ["topic"], ["page_id"], 2, "nth").select("topic", "page_id", "nth")
-    read = found.join(pages, "page_id").filter(F.coalesce("content", F.lit("")) != "")
-    return read.select("topic", "page_id", "nth", F.substring("content", 1, 2000).alias("page_text"))
+    found = rows.select("topic", "page_id", F.col("page_id").alias("pos"), "url")
+    pages = rows.groupBy("url").agg(F.min_by("html", "page_id").alias("content"))  # a URL is read once
+    return ev.deep_reads(found, pages, ["topic"]).select("topic", "page_id", "nth", "page_text")
 
 
 @query
@@ -342,7 +358,7 @@ def visit_queue(spark, sf):
 def resolution_merge(spark, sf):
     rows = view(spark, sf, "page_rows").select(F.col("topic").alias("img_id"), F.lit("E1").alias("id"), F.col("page_id").alias("pos"), "url", "title", F.col("html").alias("content"))
     some = rows.select("img_id", "id").distinct()
-    merged = ev.merged_resolution(some, rows.select("img_id", "id", "pos", "title"), rows.filter("pos % 2 = 0"))
+    merged = ev.merged_resolution(some, rows.select("img_id", "id", "pos", "title"), rows)
     text = F.array_join(F.transform("pages", lambda p: F.concat_ws(" | ", p["url"], p["title"], p["preview"])), "\n")
     return merged.select(F.col("img_id").alias("topic"), "titles", F.size("pages").cast("bigint").alias("n_pages"), text.alias("pages"))
 
@@ -451,9 +467,7 @@ def discovered_names(spark, sf):
 
 @query
 def promoted_seeds(spark, sf):
-    source = F.when(F.col("idx") % 3 == 0, "proposal").when(F.col("idx") % 3 == 1, "vlm_only").otherwise("")
-    seeds = en.expansion_seeds(_kept(spark, sf)).withColumns({"source": source, "level": F.lower("level")})
-    return en.promoted(seeds).select("img_id", "id", "name")
+    return en.promoted(_marked(en.expansion_seeds(_kept(spark, sf)))).select("img_id", "id", "name")
 
 
 @query
@@ -494,4 +508,139 @@ def job_totals(spark, sf):
     return en.job_totals(view(spark, sf, "geo_raw"), view(spark, sf, "kg_triples_raw"), view(spark, sf, "pages"))
 
 
+@query
+def visit_queue_faithful(spark, sf):
+    """Topics of 200 pages, so that the caps act; entities of up to twelve pages."""
+    p = F.col("page_id") % 10
+    kind = F.when(p < 4, "image").when(p < 8, "web").when(p == 8, "discovery").otherwise("lens")
+    rank = F.when(p < 4, 0).when(p < 8, 1).when(p == 8, 2).otherwise(3)
+    topic = F.floor(F.col("page_id") / 200)
+    rows = view(spark, sf, "page_rows").select(topic.alias("img_id"), kind.alias("origin"), rank.alias("origin_rank"), F.floor(F.col("page_id") % 200 / 12).alias("id"), F.col("page_id").alias("ord"), "url")
+    return ev.visit_queue(rows, faithful=True).select(F.col("img_id").alias("topic"), F.col("ord").alias("page_id"), "origin", "place")
+
+
+@query
+def aliases_closed(spark, sf):
+    return tr.closed_aliases(view(spark, sf, "alias_links"), cut)
+
+
+@query
+def enrich_outcomes(spark, sf):
+    number = F.substring("img_id", 5, 9).cast("long")
+    images = view(spark, sf, "geo_raw").select("img_id").distinct().withColumn("width", F.when(number % 13 != 4, 1)).withColumn("height", F.lit(1))
+    called = images.filter(number % 7 != 0)
+    responses = called.select(F.lit("detect").alias("api"), F.col("img_id").alias("key"), F.when(number % 7 == 1, "TimeoutError").when(number % 11 == 5, "json_parse_failed").otherwise("ok").alias("status"))
+    answers = responses.filter("status = 'ok'").select(F.col("key").alias("img_id"))
+    detected = _kept(spark, sf)
+    kept = en.enough_entities(detected, 7)
+    documents = kept.join(answers, "img_id", "left_semi").groupBy("img_id").agg(F.collect_list("id").alias("entities"), F.collect_list("name").alias("triples"))
+    waiting = kept.filter(number % 7 == 2).select("img_id").distinct()
+    return oc.enrich_outcomes(images, responses, answers, detected, kept, documents, waiting).select("img_id", "stage", "status", "reason", "n_entities")
+
+
+@query
+def unfinished_images(spark, sf):
+    images = view(spark, sf, "customer").select(F.concat(F.lit("img_"), "c_custkey").alias("img_id"))
+    return oc.unfinished(images, view(spark, sf, "tries"))
+
+
+@query
+def image_results(spark, sf):
+    return oc.image_results(view(spark, sf, "tries"))
+
+
+@query
+def outcome_counts(spark, sf):
+    return oc.status_counts(view(spark, sf, "tries"))
+
+
+def _bench(spark: SparkSession, sf: str) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "step1_error").otherwise("ok")
+    return view(spark, sf, "orders").select(F.col("o_orderpriority").alias("folder"), F.col("o_orderkey").alias("img_id"), "o_custkey", status.alias("status"), (F.col("o_orderkey") % 10).alias("n_questions"))
+
+
+@query
+def bench_summary(spark, sf):
+    return sinks.bench_summary(_bench(spark, sf))
+
+
+@query
+def bench_rows(spark, sf):
+    """The first three images of each folder and customer, in the order that the summary lists them."""
+    some = sinks.sorted_results(top_per(_bench(spark, sf), ["folder", "o_custkey"], ["img_id"], 3))
+    place = F.row_number().over(Window.orderBy("folder", "img_id"))  # one report, in one order
+    return some.select("folder", "img_id", "status", place.alias("place"))
+
+
+@query
+def attempt_trace(spark, sf):
+    n = F.col("event_id") % 3
+    told = F.when(F.col("event_id") % 2 == 0, "json_parse_failed").otherwise("call_error")
+    step = lambda k: F.struct(k.cast("int").alias("attempt"), F.when(k <= n, told).otherwise("ok").alias("status"), F.when((k <= n) & (F.col("event_id") % 2 == 1), F.concat(F.lit("E"), k)).alias("error"), F.lit(None).cast("string").alias("preview"))
+    rows = view(spark, sf, "events").select(F.lit("detect").alias("api"), F.col("event_id").alias("key"), F.transform(F.sequence(F.lit(1).cast("long"), n + 1), step).alias("trace"))
+    return lookup.attempts(rows).select(F.col("key").alias("event_id"), "attempt", "status", "error")
+
+
+@query
+def good_images(spark, sf):
+    rows = view(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("img_id"), (F.col("l_partkey") % 6).alias("a"), (F.col("l_suppkey") % 6).alias("b"), (F.col("l_linenumber") % 6).alias("c"), (F.col("l_quantity").cast("long") % 6).alias("d"))
+    return files.good_images(rows, ["a", "b", "c", "d"], total=14)
+
+
+@query
+def bounded_sizes(spark, sf):
+    return view(spark, sf, "geo_raw").select("img_id", "ord", files.bounded_size(F.col("w") * 3, F.col("h") * 3).alias("s")).select("img_id", "ord", "s.*")
+
+
+@query
+def parsed_questions(spark, sf):
+    e = F.col("event_id")
+    asked = F.to_json(F.array(F.struct(F.concat(F.lit("What of "), e, F.lit("?")).alias("question"), F.col("event_type").alias("answer"), F.array(F.lit("ocr")).alias("tools")), F.struct(F.lit("").alias("question"), F.lit("x").alias("answer"), F.array().cast("array<string>").alias("tools"))))
+    listed = F.regexp_replace(asked, "\\]$", ',{"question": "And?"}]')
+    one = F.to_json(F.struct(F.concat(F.lit("What of "), e, F.lit("?")).alias("question"), F.col("event_type").alias("answer")))
+    raw = F.when(e % 4 == 0, F.concat(F.lit("Here you are: "), listed)).when(e % 4 == 1, one).when(e % 4 == 2, F.concat(F.lit("```json\n"), listed, F.lit("\n```"))).otherwise("[none")
+    return qu.parsed_questions(view(spark, sf, "events").select(e.alias("img_id"), raw.alias("raw"))).select("img_id", "ord", "question", "answer")
+
+
+@query
+def images_with_enough(spark, sf):
+    return en.enough_entities(_kept(spark, sf), 7).select("img_id", "id", "name")
+
+
+@query
+def entity_lines(spark, sf):
+    turn = F.col("idx") % 3
+    titles = F.when(turn == 0, F.array(F.lit("one"), F.lit("two"), F.lit("three"))).when(turn == 1, F.array(F.lit("one"))).otherwise(F.array().cast("array<string>"))
+    page = F.array(F.struct(F.lit("u").alias("url"), F.lit("t").alias("title"), F.lit("see").alias("preview")))
+    pages = F.when(turn == 0, page).otherwise(F.array().cast("array<struct<url:string,title:string,preview:string>>"))
+    return ch.entity_lines(_kept(spark, sf).withColumns({"location": F.lit("here"), "titles": titles, "pages": pages}))
+
+
+@query
+def answered_triples(spark, sf):
+    """Triples as a model answers them, an image at a time; some answers don't parse."""
+    rows = view(spark, sf, "kg_triples_raw")
+    one = F.struct("ord", "head", "relation", "tail", "tail_type", "normalized_value", "unit")
+    body = F.concat(F.lit("Sure! "), F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("triples"))))
+    told = rows.groupBy("img_id").agg(body.alias("body"))
+    told = told.withColumn("body", F.when(F.substring("img_id", 5, 9).cast("long") % 4 == 3, F.substring("body", 1, 40)).otherwise(F.col("body")))
+    answers = told.select("img_id", F.from_json(s.extract_json(F.col("body")), ch.TRIPLES).alias("r")).filter(F.col("r").isNotNull())
+    clean = ch.found_triples(answers).withColumns({"head": s.trimmed(F.col("head")), "tail": s.trimmed(F.col("tail"))})
+    return clean.select("img_id", "ord", "head", "relation", "tail", "tail_type", F.col("normalized_value.raw").alias("nv_raw"), "unit")
+
+
+@query
+def detected_boxes(spark, sf):
+    """Detections as a model answers them; every fifth has a box of three numbers."""
+    rows = view(spark, sf, "geo_raw")
+    box = F.when(F.col("ord") % 5 == 2, F.array("rx1", "ry1", "rx2")).otherwise(F.array("rx1", "ry1", "rx2", "ry2"))
+    one = F.struct("ord", "name", F.col("etype").alias("type"), box.alias("bbox"))
+    told = rows.groupBy("img_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("entities"))).alias("body"), F.first("w").alias("width"), F.first("h").alias("height"))
+    answers = told.select("img_id", F.from_json("body", jobs.DETECTION).alias("r"))
+    found = jobs.detections(told, answers)
+    boxes = [F.col(c).cast("long").alias(c) for c in ("rx1", "ry1", "rx2", "ry2")]
+    first = rows.groupBy("img_id").agg(F.min("ord").alias("least"))  # an image's numbers need not begin at 0
+    return found.join(first, "img_id").select("img_id", (F.col("ord") + F.col("least")).alias("ord"), "name", "etype", *boxes)
+
+
 __all__ = ["ORACLES", "QUERIES"]

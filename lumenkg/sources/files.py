@@ -65,6 +65,14 @@ def json_documents(spark: SparkSession, root: str, schema: str, skip_suffix: str
     return rows.filter(~F.col("path").endswith(skip_suffix)) if skip_suffix else rows
 
 
+def response_files(spark: SparkSession, root: str) -> DataFrame:
+    """(api, key, body, status, path) of files ``<api>/<key>.json``, by Spark's own reader, from any store it opens."""
+    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").load(root)
+    body = F.decode("content", "UTF-8")
+    status = F.when(F.try_parse_json(body).isNotNull(), "ok").otherwise("json_parse_failed")
+    return read.select(folder(F.col("path")).alias("api"), stem(F.col("path")).alias("key"), body.alias("body"), status.alias("status"), "path")
+
+
 def locate_images(ids: DataFrame, paths: DataFrame, folders: list[str]) -> DataFrame:
     """Path of each image id: the first folder of ``folders``, then the first ending, that has it."""
     rank = lambda c, values: F.array_position(F.array(*map(F.lit, values)), c)
