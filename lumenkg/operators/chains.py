@@ -150,12 +150,13 @@ def described_views(views: DataFrame, kept: DataFrame, asked: Asked, save: Save)
     return told.join(titles, ["img_id", "id"], "left"), named.select("img_id", "id", F.col("pos").alias("nth"), name.alias("name"), "url")
 
 
-def resolution(kept: DataFrame, asked: Asked, save: Save, view_search: bool | None = None, faithful: bool = False) -> tuple[DataFrame, DataFrame]:
+def resolution(kept: DataFrame, asked: Asked, save: Save, view_search: bool | None = None, faithful: bool = False, crop_keys: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Entities with the titles, snippets, lens titles and pages that searches give, and the new names that they hold.
 
     Pictured entities are searched by image and by their view, others on the web; pages of both are read as ``visit_queue``
     says, and a model cleans the titles of the views. Without ``view_search`` a model describes the views instead; None
-    means: views are searched if any response of such a search is stored.
+    means: views are searched if any response of such a search is stored. ``crop_keys`` gives the key (img_id, id, crop) of
+    each view, what it shows for one; without it views are asked by the names of their image, entity and box.
     """
     if view_search is None:
         view_search = not asked.responses.filter("api = 'serper_lens'").isEmpty()
@@ -165,7 +166,9 @@ def resolution(kept: DataFrame, asked: Asked, save: Save, view_search: bool | No
     pictures = save(ev.image_rows(ask("image", "serper_img")).select("key.*", "pos", "title", F.col("source_url").alias("url")), "pictures")
     web = save(ev.search_rows(ask("web", "serper_web")).select("key.*", "pos", "kind", "title", "url", F.coalesce("snippet", "content").alias("snippet")), "web")
 
-    views = en.reverse_search_views(kept).select("img_id", "id", F.concat_ws("/", "img_id", "id", "view").alias("crop"))
+    views = en.reverse_search_views(kept)
+    named_views = views.select("img_id", "id", F.concat_ws("/", "img_id", "id", "view").alias("crop"))
+    views = save(crop_keys(views).select("img_id", "id", "crop"), "crop_keys") if crop_keys else named_views
     seen, described = (views, views.limit(0)) if view_search else (views.limit(0), views)
     lens = asked.bodies(seen, "serper_lens", F.col("crop"), F.col("crop")).select("img_id", "id", F.from_json("body", LENS).alias("r"))
     told, named = described_views(described, kept, asked, save)

@@ -2,7 +2,7 @@
 
     python -m lumenkg.plans.jobs enrich --images TABLE --responses TABLE --target DIR [--limit N] [--hold] [--tries N] [--view-search yes|no]
     python -m lumenkg.plans.jobs questions --documents DIR --responses TABLE --target DIR
-    python -m lumenkg.plans.jobs batch --source DIR[,DIR] --responses TABLE --target DIR [--limit N]
+    python -m lumenkg.plans.jobs batch --source DIR[,DIR] --responses TABLE --target DIR [--limit N] [--content-keys] [--transitive]
     python -m lumenkg.plans.jobs bench --source DIR --responses TABLE --target DIR
     python -m lumenkg.plans.jobs compact --documents DIR
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lumenkg.operators import chains as ch
+from lumenkg.operators import crops as cr
 from lumenkg.operators import entities as en
 from lumenkg.operators import graph as gr
 from lumenkg.operators import outcomes as oc
@@ -29,6 +30,7 @@ from lumenkg.operators import questions as qu
 from lumenkg.operators import triples as tr
 from lumenkg.operators.expansion import expand
 from lumenkg.operators.lookup import TRACED
+from lumenkg.operators.relational import cut
 from lumenkg.sources import files, sinks
 
 DETECTION = "struct<image_description string, entities array<struct<name string, type string, bbox array<double>>>>"
@@ -46,12 +48,13 @@ def detections(images: DataFrame, answers: DataFrame) -> DataFrame:
     return rows.drop("e")
 
 
-def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities: int = 3, view_search: bool | None = None) -> dict[str, DataFrame]:
+def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities: int = 3, view_search: bool | None = None, crop_keys: Callable[[DataFrame], DataFrame] | None = None, transitive: bool = False) -> dict[str, DataFrame]:
     """Entities, triples, documents, requests and outcomes of every image with at least ``least_entities`` entities.
 
     Entities are detected, boxed, numbered, located and resolved by searches; main, cross-entity and expansion triples are
     merged, normalised and aliased; pairs of anchors that no triple joins get a spatial one. A request without a stored
-    response gives nothing; ``requests`` holds those to call, ``waiting`` their images.
+    response gives nothing; ``requests`` holds those to call, ``waiting`` their images. ``transitive`` follows chains of aliases
+    to their end, ``crop_keys`` asks for views by what they show.
     """
     asked = ch.Asked(responses)
     path = F.col("path") if "path" in images.columns else F.lit(None).cast("string")
@@ -59,7 +62,7 @@ def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities:
     detected = save(en.kept_entities(detections(images, answers)), "detected")
     kept = save(en.with_values(en.located(en.enough_entities(detected, least_entities))), "entities")
     about = answers.select("img_id", F.col("r.image_description").alias("description"))
-    known, discovered = ch.resolution(kept, asked, save, view_search)
+    known, discovered = ch.resolution(kept, asked, save, view_search, crop_keys=crop_keys)
 
     scored = save(en.expansion_seeds(known.withColumn("source", F.lit(""))), "seeds")
     tier1 = save(en.brand_dense_top(en.promoted(scored)), "tier1")
@@ -83,6 +86,8 @@ def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities:
     groups = asked.answers(listed, "aliases", GROUPS).select("img_id", F.posexplode("r.groups").alias("group_ord", "g"))
     groups = groups.select("img_id", "group_ord", F.col("g.canonical").alias("canonical"), F.explode("g.aliases").alias("alias"))
     aliases = save(tr.valid_aliases(groups, candidates), "aliases")
+    if transitive:
+        aliases = save(tr.closed_aliases(aliases, cut), "aliases_closed")
     aliased = tr.aliased(normal, aliases)
     anchors = save(en.core_anchors(kept), "anchors")  # named as before the aliases, like the graph and the spatial triples
     spatial = tr.spatial_fallback(en.spatial_triples(anchors), aliased)
@@ -138,7 +143,7 @@ class Run:
         df.write.mode("overwrite").parquet(f"{self.target}/work/{label}")
         return self.spark.read.parquet(f"{self.target}/work/{label}")
 
-    def enrich(self, images: DataFrame, limit: int = 0, hold: bool = False, view_search: bool | None = None) -> None:
+    def enrich(self, images: DataFrame, limit: int = 0, hold: bool = False, **how) -> None:
         """Documents of the images that the ledger doesn't settle, and their outcomes."""
         began = time.time()
         images = oc.unfinished(images, self.ledger(), "enrich", self.tries)
@@ -147,7 +152,7 @@ class Run:
         images = self.save(images, "images")
         if images.isEmpty():
             return
-        out = enrich(images, self.responses, self.save, view_search=view_search)
+        out = enrich(images, self.responses, self.save, **how)
         self.save(out["requests"], "requests")
         waiting = self.save(out["waiting"], "waiting") if hold else None
         documents = out["documents"].join(waiting, "img_id", "left_anti") if hold else out["documents"]
@@ -183,13 +188,15 @@ def sized(spark: SparkSession, paths: DataFrame, root: str) -> DataFrame:
     return paths.withColumn("_at", bare(F.col("path"))).join(sizes, "_at", "left").drop("_at")
 
 
-def batch(spark: SparkSession, paths: DataFrame, root: str, responses: str, target: str, tries: int = 3, view_search: bool | None = None) -> Run:
+def batch(spark: SparkSession, paths: DataFrame, root: str, responses: str, target: str, tries: int = 3, content_keys: bool = False, **how) -> Run:
     """Both jobs over the images of ``paths`` under ``root``, and ``TARGET/summary``."""
     began, run = time.time(), Run(spark, responses, target, tries)
     images = run.save(sized(spark, paths, root), "sized")
     # two images of one name are one document: the first path stands for both
     one = images.groupBy("img_id").agg(F.min_by(F.struct("path", "width", "height"), "path").alias("x")).select("img_id", "x.*")
-    run.enrich(one, view_search=view_search)
+    if content_keys:
+        how["crop_keys"] = lambda views: cr.crop_keys(cr.pictures(spark, root), views)
+    run.enrich(one, **how)
     run.questions(f"{target}/documents")
     sinks.write_summary(run.results(images.select("img_id", "path")), f"{target}/summary", time.time() - began)
     return run
@@ -204,25 +211,27 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--tries", type=int, default=3)
     parser.add_argument("--per-folder", type=int, default=3)
     parser.add_argument("--view-search", choices=("yes", "no"))
+    parser.add_argument("--content-keys", action="store_true", help="ask for views by a hash of their pixels")
+    parser.add_argument("--transitive", action="store_true", help="follow chains of aliases to their end")
     parser.add_argument("--hold", action="store_true", help="leave images for a later run whose requests weren't all called")
     given = parser.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
-    searched = {"yes": True, "no": False}.get(given.view_search)
+    how = {"view_search": {"yes": True, "no": False}.get(given.view_search), "transitive": given.transitive}
     roots = (given.source or "").split(",")
     if given.job == "compact":
         sinks.compact_documents(spark, given.documents)
     elif given.job == "questions":
         Run(spark, given.responses, given.target, given.tries).questions(given.documents)
     elif given.job == "enrich":
-        Run(spark, given.responses, given.target, given.tries).enrich(spark.read.parquet(given.images), given.limit, given.hold, searched)
+        Run(spark, given.responses, given.target, given.tries).enrich(spark.read.parquet(given.images), given.limit, given.hold, **how)
     elif given.job == "batch":
         found = files.first_image_paths(spark, roots, given.limit)
         if found is None:
             raise SystemExit(f"no images in {given.source}")
-        batch(spark, *found, given.responses, given.target, given.tries, searched)
+        batch(spark, *found, given.responses, given.target, given.tries, given.content_keys, **how)
     else:  # earlier results don't count, so each run has a folder of its own
         target = f"{given.target}/bench-{int(time.time())}"
-        batch(spark, files.sampled_image_paths(spark, given.source, given.per_folder).select("img_id", "path"), given.source, given.responses, target, given.tries, searched)
+        batch(spark, files.sampled_image_paths(spark, given.source, given.per_folder).select("img_id", "path"), given.source, given.responses, target, given.tries, given.content_keys, **how)
 
 
 if __name__ == "__main__":
