@@ -5,8 +5,8 @@ The tables hold fixed values. Rules apply in the order given; the first that mat
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -129,6 +129,10 @@ DOMAINS = (
     ("retail", ("store", "shop", "cashier", "shelf", "product", "cart")),
     ("geography", ("map", "street", "road", "building", "bridge", "tower")),
 )
+#: What a region looks like, by the signals of its entity's relations and by its type, and how its place is put.
+SIGNAL_LOOKS = (("musical", False, "音乐剧海报"), ("movie", False, "电影海报"), ("electronics", True, "电子品牌广告牌"), ("food", True, "餐饮品牌广告牌"))  # (signal, brands only, look)
+TYPE_LOOKS = (("brand", "品牌广告牌"), ("landmark", "地标建筑"), ("person", "人物照片"), ("text", "文字招牌"), ("product", "广告海报"))
+OTHER_LOOK, PICTURE, IN_PICTURE, OF = "标识", "画面", "图中的", "的"
 CODE_TOOLS = ("code_interpreter", "point", "insertimage", "draw2dpath", "detectblackarea", "astar")
 SEARCH_TOOLS = ("web_search", "image_search", "visit", "crop", "ocr")
 GENERIC_OBJECTS = ("car", "person", "building", "tree", "sign", "door", "window", "wall", "floor", "sky")
@@ -139,7 +143,13 @@ SKIPPED_SITES = ("youtube.com", "facebook.com", "instagram.com", "twitter.com",
 
 
 def contains_any(c: Column, words) -> Column:
-    return reduce(or_, [c.contains(w) for w in words], F.lit(False))
+    """Does the text contain one of the words? One pattern for all: a chain of tests would make plans large."""
+    return c.rlike("|".join(map(re.escape, words))) if words else F.lit(False)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _first(cases, default: Column) -> Column:
@@ -214,12 +224,18 @@ def _clamped(c: Column, high: float) -> Column:
 
 def relation_profile(relation: Column, kind: Column) -> Column:
     """struct of nine fields that say how well a relation can be asked about."""
-    rel = slug(relation)
-    text = natural_text(rel, kind)
-    plain = text == F.replace(rel, F.lit("_"), F.lit(" "))
-    vague = text.startswith("相关")
+    return _let(slug(relation), lambda rel: _let(natural_text(rel, kind), lambda text: _let(_base(rel, text), lambda base: _profile(rel, kind, text, base))))
+
+
+def _base(rel: Column, text: Column) -> Column:
+    """How well a relation can be put in words: known names, short ones, the rest."""
+    plain, vague = text == F.replace(rel, F.lit("_"), F.lit(" ")), text.startswith("相关")
     short = F.size(F.split(rel, "_")) <= 3
-    base = F.when(~plain & ~vague, 0.85).when(plain & short, 0.65).otherwise(0.2)
+    return F.when(~plain & ~vague, 0.85).when(plain & short, 0.65).otherwise(0.2)
+
+
+def _profile(rel: Column, kind: Column, text: Column, base: Column) -> Column:
+    vague = text.startswith("相关")
     sure, strong, weak, other = base >= 0.6, rel.isin(*STRONG_RELATIONS), rel.isin(*LOW_VALUE_RELATIONS), kind == "OTHER"
     bonus = lambda test, v: F.when(test, v).otherwise(0.0)
     ask = 0.7 + F.greatest(F.lit(0.0), question_value(rel, kind)) * 0.25 + bonus(strong, 0.35) - bonus(weak, 1.0) - bonus(other, 0.3)
@@ -292,21 +308,14 @@ def region_score(confidence: Column, degree: Column, kind: Column, location: Col
 
 
 def visual_descriptor(kind: Column, slugs: Column, location: Column) -> Column:
-    """What a region looks like and where it is, from its type and its entity's relations (fixed values)."""
-    has = {k: F.arrays_overlap(slugs, F.array(*map(F.lit, v))) for k, v in SIGNALS.items()}
-    brand = kind == "brand"
-    what = _first(
-        [
-            (has["musical"], F.lit("音乐剧海报")), (has["movie"], F.lit("电影海报")), (brand & has["electronics"], F.lit("电子品牌广告牌")),
-            (brand & has["food"], F.lit("餐饮品牌广告牌")), (brand, F.lit("品牌广告牌")), (kind == "landmark", F.lit("地标建筑")),
-            (kind == "person", F.lit("人物照片")), (kind == "text", F.lit("文字招牌")), (kind == "product", F.lit("广告海报")),
-        ],
-        F.lit("标识"),
-    )
+    """What a region looks like and where it is, from its type and its entity's relations."""
+    has = lambda signal: F.arrays_overlap(slugs, F.array(*map(F.lit, SIGNALS[signal])))
+    told = [(has(signal) & (kind == "brand") if brands else has(signal), F.lit(look)) for signal, brands, look in SIGNAL_LOOKS]
+    what = _first([*told, *[(kind == k, F.lit(look)) for k, look in TYPE_LOOKS]], F.lit(OTHER_LOOK))
     loc = F.coalesce(location, F.lit(""))
-    at = F.instr(loc, "画面")
-    placed = F.when(at > 1, F.substr(loc, at)).when(at == 0, F.concat(F.lit("画面"), loc)).otherwise(loc)
-    return F.when(loc == "", F.concat(F.lit("图中的"), what)).otherwise(F.concat(placed, F.lit("的"), what))
+    at = F.instr(loc, PICTURE)
+    placed = F.when(at > 1, F.substr(loc, at)).when(at == 0, F.concat(F.lit(PICTURE), loc)).otherwise(loc)
+    return F.when(loc == "", F.concat(F.lit(IN_PICTURE), what)).otherwise(F.concat(placed, F.lit(OF), what))
 
 
 def question_category(tools: Column) -> Column:

@@ -12,7 +12,7 @@ TAIL_TYPES = ("TIME", "QUANTITY", "LOCATION", "PERSON", "ORG", "OTHER")
 #: Words that don't tell relations apart.
 STOP_WORDS = ("in", "on", "at", "by", "of", "the", "a", "an")
 #: Fixed value: an amount of money, or a number with a unit.
-VALUE_PATTERN = "(?i)([$¥]\\s*\\d+(?:[.,]\\d+)?)|(\\d+(?:[.,]\\d+)?\\s*(?:kg|g|cm|mm|inch|in|hz|mhz|ghz|gb|tb|w|kw|v|mah))"
+VALUE_PATTERN = r"(?i)(\$\s*\d+(?:[\.,]\d+)?)|(¥\s*\d+(?:[\.,]\d+)?)|(\d+(?:[\.,]\d+)?\s*(?:kg|g|cm|mm|inch|in|hz|mhz|ghz|gb|tb|w|kw|v|mah))"
 
 
 def trimmed(c: Column) -> Column:

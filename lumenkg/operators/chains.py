@@ -25,6 +25,10 @@ PAIR_PLANS = "struct<search_plans array<struct<entity_a string, entity_b string,
 TAIL_PLANS = "struct<queries array<struct<entity string, query string, skip boolean>>>"
 LENS = "struct<organic array<struct<title string, link string, source string>>, knowledgeGraph struct<title string>>"
 NAMES = "struct<canonical_names array<string>>"
+#: Labels of the texts that models read.
+PANEL_LABEL, ANSWER_LABEL, READ_LABEL = "  [知识面板] ", "  [精选摘要] ", "\n  [深度读取: "
+TYPE_LABEL, PLACE_LABEL, SEEN_LABEL, PAGE_LABEL = " (类型=", ", 位置=", " [图搜验证: ", " [来源页: "
+QUERY_LABEL, PURPOSE_LABEL, TAIL_SOURCE_LABEL = '\n搜索词: "', '" (目的: resolution 来源页, provenance: resolution)\n', '"  来源: '
 Save = Callable[[DataFrame, str], DataFrame]
 
 
@@ -102,10 +106,10 @@ def deep_read(asked: Asked, rows: DataFrame, k: int, limit: int = 2000) -> DataF
 def evidence_text(heads: DataFrame, results: DataFrame, reads: DataFrame, page_chars: int) -> DataFrame:
     """(img_id, payload): the heads(img_id, place, text) of an image in order, each with its results and pages."""
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
-    line = F.when(F.col("kind") == "knowledge_graph", F.concat(F.lit("  [知识面板] "), blank("content"), F.lit("\n")))
-    line = line.when(F.col("kind") == "answer", F.concat(F.lit("  [精选摘要] "), blank("content"), F.lit("\n")))
+    line = F.when(F.col("kind") == "knowledge_graph", F.concat(F.lit(PANEL_LABEL), blank("content"), F.lit("\n")))
+    line = line.when(F.col("kind") == "answer", F.concat(F.lit(ANSWER_LABEL), blank("content"), F.lit("\n")))
     line = line.otherwise(F.concat(F.lit("  ["), blank("title"), F.lit("] "), F.substring(blank("snippet"), 1, 300), F.lit("\n")))
-    page = F.concat(F.lit("\n  [深度读取: "), blank("title"), F.lit("]\n  "), F.substring("page_text", 1, page_chars), F.lit("\n"))
+    page = F.concat(F.lit(READ_LABEL), blank("title"), F.lit("]\n  "), F.substring("page_text", 1, page_chars), F.lit("\n"))
     rows = heads.select("img_id", "place", F.lit(0).alias("part"), F.lit(0).alias("pos"), "text")
     rows = rows.unionByName(results.select("img_id", "place", F.lit(1).alias("part"), "pos", line.alias("text")))
     rows = rows.unionByName(reads.select("img_id", "place", F.lit(2).alias("part"), "pos", page.alias("text")))
@@ -114,10 +118,10 @@ def evidence_text(heads: DataFrame, results: DataFrame, reads: DataFrame, page_c
 
 def entity_lines(entities: DataFrame) -> DataFrame:
     """(img_id, lines): the entities of an image in order with type and place, and the first titles and page if there are any."""
-    line = F.concat(F.lit("- "), "id", F.lit(": "), "name", F.lit(" (类型="), "etype", F.lit(", 位置="), F.coalesce("location", F.lit("")), F.lit(")"))
+    line = F.concat(F.lit("- "), "id", F.lit(": "), "name", F.lit(TYPE_LABEL), "etype", F.lit(PLACE_LABEL), F.coalesce("location", F.lit("")), F.lit(")"))
     if "titles" in entities.columns:
-        line = F.concat(line, F.when(F.size("titles") > 0, F.concat(F.lit(" [图搜验证: "), F.array_join(F.slice("titles", 1, 2), ", "), F.lit("]"))).otherwise(""))
-        line = F.concat(line, F.when(F.size("pages") > 0, F.concat(F.lit(" [来源页: "), F.substring(F.get("pages", F.lit(0))["preview"], 1, 100), F.lit("]"))).otherwise(""))
+        line = F.concat(line, F.when(F.size("titles") > 0, F.concat(F.lit(SEEN_LABEL), F.array_join(F.slice("titles", 1, 2), ", "), F.lit("]"))).otherwise(""))
+        line = F.concat(line, F.when(F.size("pages") > 0, F.concat(F.lit(PAGE_LABEL), F.substring(F.get("pages", F.lit(0))["preview"], 1, 100), F.lit("]"))).otherwise(""))
     return entities.groupBy("img_id").agg(joined_text(line, F.col("ord"), "\n").alias("lines"))
 
 
@@ -206,7 +210,7 @@ def resolution(kept: DataFrame, asked: Asked, save: Save, view_search: bool | No
 def main_evidence(seeds: DataFrame) -> DataFrame:
     """(img_id, payload) of what resolution found about the ``seeds(img_id, id, name, ord, titles, snippets, lens_titles, pages)``."""
     head = F.concat(F.lit("\n### "), "name", F.lit(" ("), "id", F.lit(")\n"))
-    asked = F.concat(F.lit('\n搜索词: "'), "name", F.lit('" (目的: resolution 来源页, provenance: resolution)\n'))
+    asked = F.concat(F.lit(QUERY_LABEL), "name", F.lit(PURPOSE_LABEL))
     none = F.lit(None).cast("string")
     row = lambda title, snippet: F.struct(title.alias("title"), snippet.alias("snippet"))
     same = lambda c: F.coalesce(F.transform(F.slice(c, 1, 5), lambda t: row(t, t)), F.array().cast("array<struct<title:string,snippet:string>>"))
@@ -235,7 +239,7 @@ def cross_entity(tier1: DataFrame, descriptions: DataFrame, asked: Asked, save:
     both = ev.both_mentioned(results.groupBy("img_id", "place").agg(text).join(names, ["img_id", "place"]))
     reads = save(deep_read(asked, results.join(both.select("img_id", "place"), ["img_id", "place"], "left_semi"), 2), "pair_reads")
     asked.note("cross_entity", queries.withColumn("provenance", F.lit("cross_entity")), results, reads)
-    head = F.concat(F.lit("\n### "), "a_name", F.lit(" ↔ "), "b_name", F.lit('\n搜索词: "'), "query", F.lit('"\n'))
+    head = F.concat(F.lit("\n### "), "a_name", F.lit(" ↔ "), "b_name", F.lit(QUERY_LABEL), "query", F.lit('"\n'))
     evidence = save(evidence_text(queries.select("img_id", "place", head.alias("text")), results, reads, 1500), "pair_evidence")
     return found_triples(asked.answers(with_lines(tier1, evidence), "cross_triples", TRIPLES)).withColumn("source", F.lit("cross_entity"))
 
@@ -248,14 +252,14 @@ def tail_search(asked: Asked, save: Save, entities: DataFrame, triples: Callable
 
     def discover(tails: DataFrame, k: int) -> DataFrame:
         now = triples()
-        behind = tr.tail_context(tails, now).withColumn("line", F.concat(F.lit('- "'), "tail", F.lit('"  来源: '), "context"))
+        behind = tr.tail_context(tails, now).withColumn("line", F.concat(F.lit('- "'), "tail", F.lit(TAIL_SOURCE_LABEL), "context"))
         listed = behind.join(tails.select("img_id", "tail", "rank"), ["img_id", "tail"]).groupBy("img_id").agg(joined_text(F.col("line"), F.col("rank"), "\n").alias("payload"))
         plans = asked.answers(listed, f"expand_plan_{k + 1}", TAIL_PLANS).select("img_id", F.posexplode("r.queries").alias("nth", "q"))
         planned = plans.select(F.struct("img_id", "nth").alias("img_id"), F.col("q.entity").alias("tail"), F.col("q.query").alias("rewritten"), "q.skip")
         place = F.row_number().over(Window.partitionBy("img_id").orderBy("nth", "pos"))
         queries = save(tr.tail_queries(planned).select("img_id.*", "tail", "pos", "query", "origin").withColumn("place", place), f"tail_queries-{k}")
         results = save(searched(asked, queries), f"tail_results-{k}")
-        head = F.concat(F.lit("\n### "), "tail", F.lit('\n搜索词: "'), "query", F.lit('" (provenance: '), "origin", F.lit(")\n"))
+        head = F.concat(F.lit("\n### "), "tail", F.lit(QUERY_LABEL), "query", F.lit('" (provenance: '), "origin", F.lit(")\n"))
         reads = save(deep_read(asked, results, 5), f"tail_reads-{k}")
         asked.note(f"expansion_{k + 1}", queries.withColumnRenamed("origin", "provenance"), results, reads)
         evidence = save(evidence_text(queries.select("img_id", "place", head.alias("text")), results, reads, 1000), f"tail_evidence-{k}")

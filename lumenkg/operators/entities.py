@@ -32,6 +32,13 @@ def located(kept: DataFrame) -> DataFrame:
     return kept.withColumn("location", g.location_text(F.col("bbox"), F.col("w"), F.col("h")))
 
 
+def boxes_flagged(kept: DataFrame) -> DataFrame:
+    """``kept`` with ``sound_box``: whether the box has a width and a height within the picture. A detection beyond the edge
+    keeps its box, of no or negative width, as it was read."""
+    b = F.col("bbox")
+    return kept.withColumn("sound_box", (b["x1"] >= 0) & (b["y1"] >= 0) & (b["x2"] > b["x1"]) & (b["y2"] > b["y1"]) & (b["x2"] <= F.col("w")) & (b["y2"] <= F.col("h")))
+
+
 def views(kept: DataFrame) -> DataFrame:
     """One row per entity and crop view."""
     one = kept.select("img_id", "id", F.explode(g.crop_views(F.col("bbox"), F.col("w"), F.col("h"))).alias("v"))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenkg.functions import rules
 from lumenkg.functions.strings import canonical, slug, trimmed
-from lumenkg.operators.relational import first_wins, top_per
+from lumenkg.operators.relational import cut, first_wins, top_per
 
+#: Labels of the graph's text.
+NAMES_LABEL, FACTS_LABEL, FACTS_END, SPACE_LABEL, ABOUT_LABEL = "【图中实体】", "\n【知识三元组】（共 ", " 条）", "\n【空间细节】\n", "\n图片描述: "
+KIND_LABEL, AT_LABEL, BOX_LABEL, CENTRE_LABEL, SIZE_LABEL, AREA_LABEL, AREA_END = "  类型=", "  位置=", "  bbox=", ": 中心=(", ") 尺寸=", " 面积=", "px²"
 
 def _complete(triples: DataFrame) -> DataFrame:
     named = triples.withColumns({c: trimmed(F.coalesce(F.col(c), F.lit(""))) for c in ("head", "tail", "relation")})
@@ -24,18 +30,32 @@ def regions(entities: DataFrame) -> DataFrame:
     )
 
 
+def with_rules(rows: DataFrame, keys: list[str], **told: Column) -> DataFrame:
+    """``rows`` with columns that depend on ``keys`` alone, worked out once per distinct key and joined back.
+
+    The rules are long case expressions over strings, and relations are few next to triples. ``rows`` is read twice, so it
+    should be a table. Null keys count as a key.
+    """
+    once = rows.select(*keys).distinct().select(*[F.col(k).alias(f"_{k}") for k in keys], *[c.alias(n) for n, c in told.items()])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return rows.join(once, same).drop(*[f"_{k}" for k in keys])
+
+
 def resolved_triples(entities: DataFrame, triples: DataFrame) -> DataFrame:
     """Complete triples with the entity node of their head: the entity of that name, else the last one of the same canonical
-    name, else a synthetic one; and with their fact node, slug and profile."""
+    name, else a synthetic one; and with their fact node, slug and profile. The triples are stored first: they are read for
+    their distinct relations as well."""
     own = regions(entities)
     exact = own.select("img_id", "entity").distinct().withColumn("found", F.lit(True))
     folded = own.groupBy("img_id", canonical(F.col("name")).alias("canon")).agg(F.max_by("entity", "ord").alias("folded"))
-    facts = _complete(triples).withColumns({"entity": F.concat(F.lit("entity:"), F.lower("head")), "canon": canonical(F.col("head")), "slug": slug(F.col("relation"))})
+    profile = rules.relation_profile(F.col("relation"), F.col("tail_type"))
+    facts = with_rules(cut(_complete(triples)), ["relation", "tail_type"], profile=profile)
+    facts = facts.withColumns({"entity": F.concat(F.lit("entity:"), F.lower("head")), "canon": canonical(F.col("head")), "slug": slug(F.col("relation"))})
     facts = facts.join(exact, ["img_id", "entity"], "left").join(folded, ["img_id", "canon"], "left")
     key = F.when(F.col("found"), F.col("entity")).otherwise(F.coalesce("folded", F.concat(F.lit("entity:"), "canon")))
     fact = F.concat(F.lit("fact:"), F.lower("head"), F.lit(":"), "slug", F.lit(":"), F.lower("tail"))
     out = facts.withColumns({"synthetic": F.col("found").isNull() & F.col("folded").isNull(), "entity": key, "fact_key": fact})
-    return out.withColumn("profile", rules.relation_profile(F.col("relation"), F.col("tail_type"))).drop("found", "folded", "canon")
+    return out.drop("found", "folded", "canon")
 
 
 def retrieve_edges(resolved: DataFrame) -> DataFrame:
@@ -105,11 +125,12 @@ def comparable_pairs(by_region: DataFrame, kind: str) -> DataFrame:
     """Pairs of edges of two regions, of one tail type and compatible relations.
 
     Relations are compatible if they are equal, of one bucket, or share a word, the first of these that holds; so edges meet
-    on each of the three, and a pair counts only where it meets on its first.
+    on each of the three, and a pair counts only where it meets on its first. The edges are stored first, as both sides read
+    them.
     """
     some = by_region.filter((F.col("tail_type") == kind) & (F.col("relation") != ""))
     bucket = rules.value_bucket(F.col("relation"), F.lit(kind))
-    some = some.withColumns({"bucket": F.when(~bucket.endswith("other"), bucket), "words": F.array_sort(rules.relation_tokens(F.col("relation")))})
+    some = cut(some.withColumns({"bucket": F.when(~bucket.endswith("other"), bucket), "words": F.array_sort(rules.relation_tokens(F.col("relation")))}))
     key = lambda rank, c: F.struct(F.lit(rank).alias("rank"), c.alias("value"))
     keys = F.concat(F.array(key(1, F.col("relation")), key(2, F.col("bucket"))), F.transform("words", lambda w: key(3, w)))
     keyed = some.withColumn("key", F.explode(F.filter(keys, lambda k: k["value"].isNotNull())))
@@ -171,7 +192,7 @@ def region_scores(entities: DataFrame, retrieved: DataFrame) -> DataFrame:
 def k_hops(edge: DataFrame, start: DataFrame, hops: int) -> DataFrame:
     """(img_id, origin, key, hop): nodes within ``hops`` steps of the ``start(img_id, key)`` nodes, at their least distance."""
     reached = start.select("img_id", F.col("key").alias("origin"), "key", F.lit(0).alias("hop"))
-    front, step = reached, edge.select("img_id", F.col("src").alias("key"), F.col("dst").alias("next"))
+    front, step = reached, cut(edge).select("img_id", F.col("src").alias("key"), F.col("dst").alias("next"))
     for k in range(1, hops + 1):
         front = front.join(step, ["img_id", "key"]).select("img_id", "origin", F.col("next").alias("key"), F.lit(k).alias("hop")).distinct()
         front = front.join(reached, ["img_id", "origin", "key"], "left_anti")
@@ -185,8 +206,8 @@ def context_text(entities: DataFrame, triples: DataFrame, descriptions: DataFram
     box = F.concat(F.lit("["), F.concat_ws(", ", *[F.col(f"{b}.{k}").cast("string") for k in ("x1", "y1", "x2", "y2")]), F.lit("]"))
     w, h = F.col(f"{b}.x2") - F.col(f"{b}.x1"), F.col(f"{b}.y2") - F.col(f"{b}.y1")
     cx, cy = F.floor((F.col(f"{b}.x1") + F.col(f"{b}.x2")) / 2), F.floor((F.col(f"{b}.y1") + F.col(f"{b}.y2")) / 2)
-    one = F.concat(F.lit("  - "), "name", F.lit("  类型="), "etype", F.lit("  位置="), "location", F.lit("  bbox="), box)
-    detail = F.concat(F.lit("  "), "name", F.lit(": 中心=("), cx, F.lit(","), cy, F.lit(") 尺寸="), w, F.lit("×"), h, F.lit(" 面积="), w * h, F.lit("px²"))
+    one = F.concat(F.lit("  - "), "name", F.lit(KIND_LABEL), "etype", F.lit(AT_LABEL), "location", F.lit(BOX_LABEL), box)
+    detail = F.concat(F.lit("  "), "name", F.lit(CENTRE_LABEL), cx, F.lit(","), cy, F.lit(SIZE_LABEL), w, F.lit("×"), h, F.lit(AREA_LABEL), w * h, F.lit(AREA_END))
     lines = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o1", "o2", c))), lambda x: x["line"]), "\n")
     listed = entities.select("img_id", F.col("ord").alias("o1"), F.lit(0).alias("o2"), one.alias("line"), detail.alias("detail"))
     part_e = listed.groupBy("img_id").agg(lines("line").alias("names"), lines(F.col("detail").alias("line")).alias("details"), F.count(F.lit(1)).alias("n_e"))
@@ -198,7 +219,7 @@ def context_text(entities: DataFrame, triples: DataFrame, descriptions: DataFram
     facts = triples.select("img_id", first.alias("o1"), F.col("ord").alias("o2"), line.alias("line"))
     part_t = facts.groupBy("img_id").agg(lines("line").alias("facts"), F.count(F.lit(1)).alias("n_t"))
     both = part_e.join(part_t, "img_id", "left").join(descriptions, "img_id", "left")
-    head_t = F.concat(F.lit("\n【知识三元组】（共 "), F.coalesce("n_t", F.lit(0)).cast("string"), F.lit(" 条）"))
-    space = F.when(F.col("n_e") >= 2, F.concat(F.lit("\n【空间细节】\n"), "details"))
-    about = F.concat(F.lit("\n图片描述: "), F.substring(F.coalesce("description", F.lit("")), 1, 300))
-    return both.select("img_id", F.concat_ws("\n", F.lit("【图中实体】"), "names", head_t, "facts", space, about).alias("context"))
+    head_t = F.concat(F.lit(FACTS_LABEL), F.coalesce("n_t", F.lit(0)).cast("string"), F.lit(FACTS_END))
+    space = F.when(F.col("n_e") >= 2, F.concat(F.lit(SPACE_LABEL), "details"))
+    about = F.concat(F.lit(ABOUT_LABEL), F.substring(F.coalesce("description", F.lit("")), 1, 300))
+    return both.select("img_id", F.concat_ws("\n", F.lit(NAMES_LABEL), "names", head_t, "facts", space, about).alias("context"))

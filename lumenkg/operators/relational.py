@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,12 +40,23 @@ def joined_text(text: Column, order: Column, separator: str) -> Column:
     return F.array_join(F.transform(listed, lambda x: x["t"]), separator)
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-tables-")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` stored in the session's checkpoint folder, so that later plans start from its rows.
+    """``df`` stored as a table in the folder of ``spark.checkpoint.dir``, so that later plans start from its rows and read
+    only the columns they need.
 
-    A local session without one gets a temporary folder; on a cluster Spark asks for ``spark.checkpoint.dir``.
+    A local session without one gets a temporary folder; on a cluster it must be set.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None and context.master.startswith("local") and not context.master.startswith("local-cluster"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoints-"))
-    return df.checkpoint()
+    spark = df.sparkSession
+    root, master = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.master", "local")
+    if not root:
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_folder()
+    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -60,7 +60,7 @@ def enrich(images: DataFrame, responses: DataFrame, save: Save, least_entities:
     path = F.col("path") if "path" in images.columns else F.lit(None).cast("string")
     answers = save(asked.answers(images.select("img_id", path.alias("payload")), "detect", DETECTION), "detections")
     detected = save(en.kept_entities(detections(images, answers)), "detected")
-    kept = save(en.with_values(en.located(en.enough_entities(detected, least_entities))), "entities")
+    kept = save(en.boxes_flagged(en.with_values(en.located(en.enough_entities(detected, least_entities)))), "entities")
     about = answers.select("img_id", F.col("r.image_description").alias("description"))
     known, discovered = ch.resolution(kept, asked, save, view_search, crop_keys=crop_keys)
 

@@ -339,6 +339,8 @@ from a full join b on a.img_id = b.img_id""",
     "attempt_trace": """select event_id, cast(attempt as int) as attempt, case when attempt < 1 + event_id % 3 then case when event_id % 2 = 0 then 'json_parse_failed' else 'call_error' end else 'ok' end as status,
   case when attempt < 1 + event_id % 3 and event_id % 2 = 1 then concat('E', attempt) end as error from events, lateral (select unnest(range(1, 2 + event_id % 3)) as attempt)""",
     "good_images": """select * from (select l_orderkey * 10 + l_linenumber as img_id, l_partkey % 6 as a, l_suppkey % 6 as b, l_linenumber % 6 as c, cast(l_quantity as bigint) % 6 as d from lineitem) where a + b + c + d >= 14 and a >= 3 and b >= 3 and c >= 3 and d >= 3""",
+    "sound_boxes": f"""with {KEPT.replace("(select * replace (trim(name) as name) from geo_raw)", "(select * replace (trim(name) as name, case when (rx1 + ord) % 7 = 0 then rx1 % 50 + 980 else rx1 end as rx1, case when (rx1 + ord) % 7 = 0 then rx2 % 50 + 1000 else rx2 end as rx2) from geo_raw)")}
+select img_id, ord, x1 >= 0 and y1 >= 0 and x2 > x1 and y2 > y1 and x2 <= w and y2 <= h as sound_box from kid""",
     "bounded_sizes": f"""with {ctes("geo_raw")} select img_id, ord, cast(trunc(case when greatest(w, h) * 3 > 2048 then w * 3 * 2048 / (greatest(w, h) * 3)::double else w * 3 end) as bigint) as width,
   cast(trunc(case when greatest(w, h) * 3 > 2048 then h * 3 * 2048 / (greatest(w, h) * 3)::double else h * 3 end) as bigint) as height from geo_raw""",
     "parsed_questions": """select event_id as img_id, pos as ord, case when pos = 0 then concat('What of ', event_id, '?') else 'And?' end as question, case when pos = 0 then event_type end as answer

@@ -228,16 +228,18 @@ def triples_by_head(spark, sf):
 
 @query
 def relation_profile(spark, sf):
-    return view(spark, sf, "rel_rows").select("event_id", rules.relation_profile(F.col("relation"), F.col("kind")).alias("p")).select("event_id", "p.*")
+    rows = view(spark, sf, "rel_rows").select("event_id", "relation", "kind")
+    return gr.with_rules(rows, ["relation", "kind"], p=rules.relation_profile(F.col("relation"), F.col("kind"))).select("event_id", "p.*")
 
 
 @query
 def relation_texts(spark, sf):
     rel, kind = s.slug(F.col("relation")), F.col("kind")
-    return view(spark, sf, "rel_rows").select(
-        "event_id", rules.natural_text(rel, kind).alias("natural_text"), rules.follow_clause(rel, kind).alias("follow_clause"),
-        rules.answer_prompt(kind).alias("answer_prompt"), rules.selection_phrase(rel, kind).alias("selection_phrase"), rules.question_value(rel, kind).alias("question_value"),
-    )
+    told = {
+        "natural_text": rules.natural_text(rel, kind), "follow_clause": rules.follow_clause(rel, kind), "answer_prompt": rules.answer_prompt(kind),
+        "selection_phrase": rules.selection_phrase(rel, kind), "question_value": rules.question_value(rel, kind),
+    }
+    return gr.with_rules(view(spark, sf, "rel_rows").select("event_id", "relation", "kind"), ["relation", "kind"], **told).drop("relation", "kind")
 
 
 @query
@@ -587,6 +589,15 @@ def good_images(spark, sf):
     return files.good_images(rows, ["a", "b", "c", "d"], total=14)
 
 
+@query
+def sound_boxes(spark, sf):
+    """Every seventh detection is moved to the right edge and beyond."""
+    raw = view(spark, sf, "geo_raw")
+    far = (F.col("rx1") + F.col("ord")) % 7 == 0
+    raw = raw.withColumns({"rx1": F.when(far, F.col("rx1") % 50 + 980).otherwise(F.col("rx1")), "rx2": F.when(far, F.col("rx2") % 50 + 1000).otherwise(F.col("rx2"))})
+    return en.boxes_flagged(en.kept_entities(raw)).select("img_id", "ord", "sound_box")
+
+
 @query
 def bounded_sizes(spark, sf):
     return view(spark, sf, "geo_raw").select("img_id", "ord", files.bounded_size(F.col("w") * 3, F.col("h") * 3).alias("s")).select("img_id", "ord", "s.*")
