@@ -32,19 +32,20 @@ from lumenkg.llm.workspace import bound_batches
 
 P = "__li_"
 UND = "und"
-CLASSES = 96
+CLASSES = 158
 WIDTHS = (2, 3, 4)
+#: Groups of tasks that the labelled rows are ranked in before they are ranked by language alone.
+RANK_GROUPS = 16
 
 
 def _symbols() -> np.ndarray:
-    """Symbol of each byte: 0 pads; letters without case; space, digit, other ASCII; the rest by value."""
+    """Symbol of each byte: 0 pads; ASCII letters without case; space, digit, other ASCII; every byte beyond ASCII its own."""
     out = np.full(256, 29, dtype=np.int16)
     out[[0x20, *range(0x09, 0x0E)]] = 27
     out[0x30:0x3A] = 28
     for k in range(26):
         out[0x41 + k] = out[0x61 + k] = k + 1
-    out[0x80:0xC0] = 30 + np.arange(64)
-    out[0xC0:] = 94 + np.arange(64) % 2
+    out[0x80:] = 30 + np.arange(128)
     return out
 
 
@@ -190,8 +191,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(bounds.seed)).alias("key")
     )
-    best = Window.partitionBy("lang").orderBy("key")  # tasks hand on no more than that many rows of a language
-    first = lambda df: df.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= bounds.texts_per_language)
+    # a language is ranked in groups of tasks first, each of which hands on so many rows at most, whatever the number of tasks
+    ranked = lambda df, *by: df.withColumn("nth", F.row_number().over(Window.partitionBy("lang", *by).orderBy("key"))).filter(F.col("nth") <= bounds.texts_per_language)
+    first = lambda df: ranked(ranked(df.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(RANK_GROUPS))), "part"))
     last = {r["lang"]: r["key"] for r in first(rows.select("lang", "key")).groupBy("lang").agg(F.max("key").alias("key")).collect()}  # a row per output of the network
     if not last:
         return None

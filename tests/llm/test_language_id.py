@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lumenkg.llm import language_id, queries
@@ -37,3 +38,38 @@ def test_edges(spark):
     assert kept.columns == docs.columns and kept.filter("doc_id in (100, 101, 102)").count() == 0
     assert language_id.keep_identified(docs.limit(0)).count() == 0
     assert {r["__li_lang"] for r in language_id.predict(docs.withColumn("lang", F.lit(None).cast("string")), None).collect()} == {"und"}
+
+
+def test_whole_text_scores_equal_plain_convolution():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, language_id.CLASSES, (6, 64)).astype(np.int16)
+    net = language_id.train(x, np.array([0, 1, 2, 0, 1, 2]), ["a", "b", "c"], language_id.TrainingBounds(window=64, epochs=3))
+    texts = ["short", "ünïcode слова и 字 " * 40, "x" * 64, "y" * 65, "The quick brown fox. " * 100, "é"]
+    got, score = language_id._predicted(net, pa.array(texts))
+    for k, text in enumerate(texts):
+        data = text.encode()
+        total, weight = np.zeros(3), 0
+        for at in range(0, len(data), 64):
+            symbols = np.zeros(64, int)
+            part = data[at : at + 64]
+            symbols[: len(part)] = [language_id.SYMBOL[b] for b in part]
+            hot = np.eye(language_id.CLASSES)[symbols]
+            pooled = []
+            for w, table in net.tables.items():
+                response = [[(hot[p : p + w] * table[:, :, f]).sum() for f in range(table.shape[2])] for p in range(64 - w + 1)]
+                pooled.append(np.maximum(np.max(response, axis=0), 0))
+            z = np.concatenate(pooled) @ net.dense + net.bias
+            p = np.exp(z - z.max())
+            total += p / p.sum() * len(part)
+            weight += len(part)
+        assert got[k] == net.languages[int(total.argmax())] and abs(score[k] - total.max() / weight) < 1e-4
+
+
+def test_held_out_rows_are_never_learned_from(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs.write.parquet(str(tmp_path / "a/documents.parquet"))
+    other = F.when(held, F.lit("zz")).otherwise(F.col("lang"))
+    docs.withColumns({"lang": other, "source": F.lit("s")}).write.parquet(str(tmp_path / "b/documents.parquet"))
+    told = [sorted(map(tuple, queries.op1_language_id(spark, str(tmp_path / k)).collect())) for k in "ab"]
+    assert told[0] == told[1] and "zz" not in {r[2] for r in told[1]}
