@@ -103,6 +103,22 @@ def op2_wavelet_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def wavelet_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first and the middle id of every document, read from the store by their place."""
+    root = scratch_path(spark, "wavelet")
+    wavelet_store.write_shards(read_table(spark, sf_dir, "documents"), root)
+    docs = wavelet_store.read_documents(spark, root, (F.lit(None).cast("int").alias("ids"),)).select("doc_id", "start", "n_tokens")
+    asked = docs.select("doc_id", "start", F.explode(F.array("start", F.col("start") + F.floor(F.col("n_tokens") / 2))).alias("place")).distinct()
+    return asked.join(wavelet_store.access_ids(spark, root, asked), "place").select("doc_id", (F.col("place") - F.col("start")).alias("at"), "id")
+
+
+def wavelet_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of the ids 2, 1002, 2002 and so on, the end of a document among them."""
+    root = scratch_path(spark, "wavelet")
+    wavelet_store.write_shards(read_table(spark, sf_dir, "documents"), root)
+    return wavelet_store.occurrences_of(spark, root, list(range(2, 50_000, 1000)))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = best_fit_packing.cut_pieces(read_table(spark, sf_dir, "documents"))
     return pack_digest(pieces)
@@ -279,6 +295,8 @@ QUERIES = {
     "op8_posting_lists": op8_posting_lists,
     "op4_compact_windows": op4_compact_windows,
     "op7_edit_token_counts": op7_edit_token_counts,
+    "wavelet_access": wavelet_access,
+    "wavelet_occurrences": wavelet_occurrences,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,

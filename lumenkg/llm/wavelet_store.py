@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lumenkg.llm.tokenization import unit_encoder, utf8
 from lumenkg.llm.workspace import bound_batches, write_table
@@ -34,6 +36,10 @@ _BLOCK = 512
 _ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 #: Rows up to which the table of shard starts is broadcast; beyond it is joined by shuffle.
 BROADCAST_SHARDS = 100_000
+#: Ids to a block by which asked places find their shard.
+ACCESS_BLOCK = 1 << 18
+#: Occurrences of an id that are looked up one by one; more are looked up together.
+MANY = 64
 
 
 def _pack(data: bytes) -> bytes:
@@ -137,6 +143,13 @@ class WaveletShard:
     def occurrences(self, symbol: int, lo: int = 0, hi: int | None = None) -> list[int]:
         """Ascending places of an id, found by select from the last plane up."""
         a, b = self._range(symbol, lo, self.n if hi is None else hi)
+        if b - a > MANY:  # all at once, over the places of a plane's ones or zeros
+            where = np.arange(a, b)
+            for i in range(self.planes - 1, -1, -1):
+                one = bool(symbol >> (self.planes - 1 - i) & 1)
+                bits = np.unpackbits(self._plane(i)[0], count=self.n).view(bool)
+                where = np.flatnonzero(bits == one)[where - self.zeros[i] if one else where]
+            return where.tolist()
         found = []
         for at in range(a, b):
             for i in range(self.planes - 1, -1, -1):
@@ -246,6 +259,65 @@ def read_documents(spark: SparkSession, root: str, columns: tuple = ()) -> DataF
     return joined.withColumn("start", F.col("base") + F.col("place")).drop("part", "seq", "place", "base")
 
 
+def _shard_spans(spark: SparkSession, root: str) -> DataFrame:
+    """(part, seq, base, n_tokens): where each shard's ids lie in the whole store."""
+    shards = spark.read.parquet(root)
+    return _shard_starts(shards).join(shards.select("part", "seq", "n_tokens"), ["part", "seq"])
+
+
+def _per_shard(shards: DataFrame, work, schema: str) -> DataFrame:
+    """``work(shard, asked)`` for each row ``shards(part, seq, file, asked)``, its rows behind the shard's numbers."""
+    schema = "part int, seq int, " + schema
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, seq, file, asked in zip(*b.columns):
+                found = [(part.as_py(), seq.as_py(), *row) for row in work(WaveletShard(file.as_py()), asked.as_py())]
+                columns = list(zip(*found)) or [[]] * len(arrow)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return shards.select("part", "seq", "file", "asked").mapInArrow(run, schema)
+
+
+def access_ids(spark: SparkSession, root: str, places: DataFrame) -> DataFrame:
+    """(place, id) of the distinct ``places(place)`` of the whole store, by access on the planes of the shards that hold them.
+
+    Null, negative places and those behind the last id give no row. Shards are found by the blocks of ``ACCESS_BLOCK`` ids
+    that they touch, so the join is on equality; a shard is asked for at most as many places as it has ids.
+    """
+    spans, size = _shard_spans(spark, root).filter("n_tokens > 0"), F.lit(ACCESS_BLOCK)
+    block = lambda place: F.floor(place / size)
+    touched = spans.withColumn("block", F.explode(F.sequence(block(F.col("base")), block(F.col("base") + F.col("n_tokens") - 1))))
+    asked = places.select(F.col("place").cast("long").alias("place")).filter("place >= 0").distinct().withColumn("block", block(F.col("place")))
+    met = asked.join(touched, "block").filter((F.col("place") >= F.col("base")) & (F.col("place") < F.col("base") + F.col("n_tokens")))
+    listed = met.groupBy("part", "seq", "base").agg(F.collect_list(F.col("place") - F.col("base")).alias("asked"))
+    shards = spark.read.parquet(root).select("part", "seq", "file").join(listed.drop("base"), ["part", "seq"])
+    found = _per_shard(shards, lambda shard, asked: [(at, shard.access(at)) for at in asked], "at long, id long")
+    return found.join(spans.select("part", "seq", "base"), ["part", "seq"]).select((F.col("base") + F.col("at")).alias("place"), "id")
+
+
+def occurrences_of(spark: SparkSession, root: str, ids: list[int]) -> DataFrame:
+    """(id, place, doc_id): every place of the store that holds one of ``ids``, and the document it lies in.
+
+    Each shard walks up its planes for the ids it holds, so the places of an id stay spread over the shards.
+    """
+    wanted = sorted(set(ids))
+
+    def work(shard: WaveletShard, _) -> Iterator[tuple]:
+        ends = np.cumsum(shard.lengths)
+        for symbol in wanted:
+            if shard.count(symbol):
+                where = np.array(shard.occurrences(symbol))
+                owner = np.searchsorted(ends, where, side="right")
+                yield from ((symbol, int(at), shard.doc_ids[k]) for at, k in zip(where, owner))
+
+    shards = spark.read.parquet(root).withColumn("asked", F.lit(None).cast("int"))
+    found = _per_shard(shards, work, "id long, at long, doc_id long")
+    spans = _shard_spans(spark, root).select("part", "seq", "base")
+    return found.join(spans, ["part", "seq"]).select("id", (F.col("base") + F.col("at")).alias("place"), "doc_id")
+
+
 def count_token(spark: SparkSession, root: str, symbol: int) -> DataFrame:
     """One row: occurrences of an id in the whole store, counted on the planes without decoding."""
 

@@ -114,3 +114,28 @@ def test_texts_of_many_lines_without_a_space(spark, tmp_path):
     assert got == {i: len(BYTE.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
     tree = edit_token_counts.TokenTree.build(texts[0], lambda t: len(BYTE.encode(t, add_special_tokens=False).ids))
     assert len(tree.leaves) > 1000
+
+
+def test_access_and_occurrences_equal_brute_force(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(wavelet_store, "ACCESS_BLOCK", 100)
+    rng = random.Random(4)
+    words = ["the", "cat", "sat", "on", "a", "mat", "zebra", "of"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([0, 3, 60, 400]))), "x") for i in range(30)] + [(31, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    ids = {i: WORD.encode(t or "", add_special_tokens=False).ids + [2] for i, t, _ in rows}
+    every = [(k, i) for i in sorted(ids) for k in ids[i]]
+    got = sorted(map(tuple, queries.wavelet_access(spark, str(tmp_path)).collect()))
+    assert got == sorted({(i, at, ids[i][at]) for i in ids for at in (0, len(ids[i]) // 2)})
+    asked = list(range(2, 50_000, 1000))
+    found = sorted((r["id"], r["place"], r["doc_id"]) for r in queries.wavelet_occurrences(spark, str(tmp_path)).collect())
+    assert found == sorted((k, place, i) for place, (k, i) in enumerate(every) if k in asked) and len(found) >= 31
+    root = str(tmp_path / "shards")
+    wavelet_store.write_shards(docs, root, shard_tokens=150)
+    common = max(set(k for k, _ in every), key=[k for k, _ in every].count)
+    found = sorted((r["place"], r["doc_id"]) for r in wavelet_store.occurrences_of(spark, root, [common, 49_000, -1 & 0xFFFFF]).collect())
+    assert found == [(place, i) for place, (k, i) in enumerate(every) if k == common] and len(found) > wavelet_store.MANY
+    places = spark.createDataFrame([(0,), (0,), (len(every) - 1,), (len(every),), (-1,), (None,), (777,)], "place long")
+    assert sorted(map(tuple, wavelet_store.access_ids(spark, root, places).collect())) == [(p, every[p][0]) for p in (0, 777, len(every) - 1)]
+    wavelet_store.write_shards(docs.limit(0), str(tmp_path / "none"))
+    assert wavelet_store.access_ids(spark, str(tmp_path / "none"), places).count() == 0 == wavelet_store.occurrences_of(spark, str(tmp_path / "none"), [2]).count()
