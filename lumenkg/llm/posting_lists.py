@@ -10,6 +10,11 @@ sample: the least one with which ``target`` of the nearest neighbours within the
 sample lie in visited lists. So clustered vectors are pruned hard, and vectors
 without structure as far as the target allows.
 
+Lists are balanced on the vectors themselves: lists of over twice the mean are
+split, by clusters of a bounded sample of what they hold, and all vectors dealt
+anew, ``split_rounds`` times at most; what is still too long then (vectors that
+no centroid tells apart) is dealt by hash into parts that are visited together.
+
 The lists of a shelf are scored in one task, which hands on each query's best
 once; long shelves are cut into blocks, and so are the queries that visit them,
 so no task holds a whole one. Lists grow in number with the vectors; beyond
@@ -37,7 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenkg.llm.workspace import materialise
+from lumenkg.llm.text import mix
+from lumenkg.llm.workspace import collected_paths, discard, materialise
 
 
 @dataclass(frozen=True)
@@ -57,6 +63,7 @@ class IndexOptions:
     probe_ratio: float | None = None
     trials: int = 256
     block: int = 16384
+    split_rounds: int = 2
     seed: int = 5
 
 
@@ -177,6 +184,12 @@ def build_graph(sample: np.ndarray, n_lists: int, options: IndexOptions) -> Cent
         np.add.at(sums, near, sample)
         n = np.bincount(near, minlength=len(centroids))
         centroids = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centroids)
+    return link_centroids(centroids, options)
+
+
+def link_centroids(centroids: np.ndarray, options: IndexOptions) -> CentroidGraph:
+    """The graph over distinct centroids."""
+    rng = np.random.default_rng(options.seed)
     centroids = np.unique(centroids, axis=0)
     c, norms = len(centroids), (centroids**2).sum(axis=1)
     links = np.full((c, options.degree + 4), -1)
@@ -190,6 +203,23 @@ def build_graph(sample: np.ndarray, n_lists: int, options: IndexOptions) -> Cent
     return CentroidGraph(centroids, links, np.sort(entries))
 
 
+def split_centroids(g: CentroidGraph, full: dict[int, tuple[np.ndarray, int]], options: IndexOptions) -> CentroidGraph:
+    """The graph with each list of ``full`` (list: sample of its vectors, number of parts) replaced by clusters of its sample."""
+    rng, made = np.random.default_rng(options.seed), []
+    for sample, parts in full.values():
+        groups = [np.arange(len(sample))]
+        while len(groups) < parts:
+            groups.sort(key=len)
+            if len(groups[-1]) < 2:
+                break
+            own = groups.pop()
+            side = _halves(sample[own], rng)
+            groups += [own[side], own[~side]]
+        made += [sample[x].mean(axis=0) for x in groups]
+    kept = np.delete(g.centroids, list(full), axis=0)
+    return link_centroids(np.concatenate([kept, np.array(made).reshape(-1, kept.shape[1])]), options)
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(-1, dim)
@@ -251,9 +281,18 @@ def _shelved(ids: pa.Array, vectors: pa.Array, row: np.ndarray, lists: np.ndarra
     return pa.RecordBatch.from_arrays([ids.take(take), vectors.take(take), pa.array(lists[first] // shelf, pa.int32()), groups], names=["class_id", "v", "shelf", "lists"])
 
 
-def _list_rows(graph, dim: int, top: float, options: IndexOptions, ratio: float | None = None, sizes: np.ndarray | None = None, least: int = 0):
+def _parted(lists: np.ndarray, row: np.ndarray, own: np.ndarray | None, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, stored list) of lists dealt into ``parts``: one part by the hash of ``own``, or all parts of it."""
+    first = np.concatenate([[0], np.cumsum(parts)])
+    if own is not None:
+        return row, first[lists] + (mix(own.astype(np.uint64)[row]) % parts[lists].astype(np.uint64)).astype(np.int64)
+    n = parts[lists]
+    return np.repeat(row, n), np.repeat(first[lists], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _list_rows(graph, dim: int, top: float, options: IndexOptions, parts: np.ndarray | None = None, ratio: float | None = None, sizes: np.ndarray | None = None, least: int = 0):
     """The lists a vector is stored in, or those a query visits if a ratio is given: all within it, and the nearest ones
-    until they hold ``least`` vectors."""
+    until they hold ``least`` vectors. ``parts`` says how many stored lists stand for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = graph.value
@@ -274,6 +313,8 @@ def _list_rows(graph, dim: int, top: float, options: IndexOptions, ratio: float
                     at = np.nonzero((near >= 0) & (np.cumsum(held, axis=1) - held < least))
                     pair = np.unique(np.concatenate([row, at[0]]) * len(sizes) + np.concatenate([lists, near[at]]))
                     row, lists = pair // len(sizes), pair % len(sizes)
+                if parts is not None:
+                    row, lists = _parted(lists, row, b.column(0).to_numpy() if ratio is None else None, parts)
                 yield _shelved(b.column(0), b.column(1), row, lists, options.shelf)
 
     return run
@@ -356,20 +397,52 @@ def index_tables(
     picked = classes.orderBy(F.xxhash64("v"), "v").limit(options.sample).select("v").toArrow()
     sample = _augmented(_matrix(picked["v"].combine_chunks(), dim), top)
     built = build_graph(sample, n_lists, options)
-    ratio = options.probe_ratio or fit_ratio(built, sample, top, k, options)
-    graph = spark.sparkContext.broadcast(built)
-
+    ratio = options.probe_ratio
     rows_of = "class_id long, v array<double>, shelf int, lists array<int>"
     both = classes.select("class_id", "v")
-    postings = materialise(both.mapInArrow(_list_rows(graph, dim, top, options), rows_of), "postings")
-    sizes = np.zeros(len(built.centroids), np.int64)
-    for r in postings.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # at most ``max_lists`` rows
-        sizes[r["list"]] = r["n"]
+
+    def stored(g: CentroidGraph, parts: np.ndarray | None, label: str) -> tuple[DataFrame, np.ndarray]:
+        """Postings, and the size of each list."""
+        made = materialise(both.mapInArrow(_list_rows(spark.sparkContext.broadcast(g), dim, top, options, parts), rows_of), label)
+        sizes = np.zeros(len(g.centroids) if parts is None else int(parts.sum()), np.int64)
+        for r in made.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per list
+            sizes[r["list"]] = r["n"]
+        return made, sizes
+
+    with collected_paths() as tried:
+        for turn in range(options.split_rounds + 1):
+            postings, sizes = stored(built, None, "postings")
+            most = 2 * sizes.sum() / len(sizes)
+            if turn == options.split_rounds or sizes.max() <= most:
+                break
+            longest = [int(k) for k in np.argsort(-sizes) if sizes[k] > most]
+            parts = {k: int(-(-sizes[k] // max(most / 2, 1))) for k in longest}
+            built = split_centroids(built, _samples_of(postings, sizes, parts, dim, top, options), options)
+    if sizes.max() > most:
+        discard(spark, tried)
+        parts = np.maximum(np.where(sizes > most, -(-sizes // max(int(most / 2), 1)), 1), 1)
+        postings, _ = stored(built, parts, "postings")
+    else:
+        discard(spark, tried[:-1])
+        parts = None
+    if options.probe_ratio is None:
+        ratio = fit_ratio(built, sample, top, k, options)
     asked = both.join(members.filter(is_query).select("class_id").distinct(), "class_id")
-    visiting = _list_rows(graph, dim, top, options, ratio, sizes, 2 * options.max_copies * (k + 1))
+    visiting = _list_rows(spark.sparkContext.broadcast(built), dim, top, options, parts, ratio, sizes, 2 * options.max_copies * (k + 1))
     return dim, members, postings, materialise(asked.mapInArrow(visiting, rows_of), "visits")
 
 
+def _samples_of(postings: DataFrame, sizes: np.ndarray, parts: dict[int, int], dim: int, top: float, options: IndexOptions) -> dict[int, tuple[np.ndarray, int]]:
+    """(sample of its vectors, number of parts) of each list of ``parts``: about 32 vectors a part, ``sample`` in all."""
+    share = min(1.0, options.sample / (64 * sum(parts.values())))
+    wanted = F.create_map(*[F.lit(x) for k, n in parts.items() for x in (k, min(1.0, share * 32 * n / sizes[k]))])
+    rows = postings.select("class_id", "v", F.explode("lists").alias("list")).filter(F.col("list").isin(list(parts)))
+    low = F.pmod(F.xxhash64("class_id", "list"), F.lit(1 << 20)) / F.lit(1 << 20)
+    some = rows.filter(low <= wanted[F.col("list")]).select("list", "v").limit(options.sample).toArrow()
+    lists, found = some["list"].to_numpy(), _augmented(_matrix(some["v"].combine_chunks(), dim), top)
+    return {k: (found[lists == k], n) for k, n in parts.items() if (lists == k).sum() > 1}
+
+
 def search(
     vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", options: IndexOptions = IndexOptions()
 ) -> DataFrame:

@@ -92,3 +92,19 @@ def test_an_id_with_several_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     out = posting_lists.search(df, F.col("vec_id") % 20 == 0).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out] == [(0, 1, 2, 2.0), (0, 2, 1, 1.0), (0, 3, 3, 1.0)]
+
+
+def test_no_list_is_over_twice_the_mean(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 16))
+    crowd = np.minimum(rng.zipf(1.5, 6000) - 1, 39)
+    x = centres[crowd] + 0.3 * rng.normal(size=(6000, 16))
+    x[:300] = centres[0] + 1e-9 * rng.normal(size=(300, 16))  # no centroid tells these apart
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    _, members, postings, _ = posting_lists.index_tables(df, F.col("vec_id") % 20 == 0)
+    sizes = [r["n"] for r in postings.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()]
+    got = posting_lists.search(df, F.col("vec_id") % 20 == 0).toPandas().groupby("query_id")["vec_id"].apply(set)
+    found = recall(df, got, lambda ids: ids % 20 == 0)
+    print(f"skewed: {len(sizes)} lists of {min(sizes)} to {max(sizes)}, mean {np.mean(sizes):.1f}, recall {found:.3f}")
+    assert max(sizes) <= 2 * np.mean(sizes) and found >= 0.9 and (got.apply(len) == 20).all()
+    assert postings.select("class_id").distinct().count() == 6000
