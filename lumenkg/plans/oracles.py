@@ -350,4 +350,31 @@ from events, lateral (select unnest([0, 2]) as pos) where not (event_id % 4 = 3)
 select img_id, string_agg(concat('- ', id, ': ', name, ' (类型=', etype, ', 位置=here)', more), chr(10) order by ord) as lines from t group by img_id""",
     "answered_triples": f"with {CLEAN} select img_id, row_number() over (partition by img_id order by ord) - 1 as ord, head, relation, tail, tail_type, nv_raw, unit from tri where cast(substring(img_id, 5) as bigint) % 4 < 3",
     "detected_boxes": f"with {ctes('geo_raw')} select img_id, ord, name, etype, rx1, ry1, rx2, ry2 from geo_raw where ord % 5 <> 2",
+    "entity_documents": f"""with {PAIRS}, s0 as (select *, row_number() over (partition by img_id order by confidence desc, idx) as rank from kid),
+c as (select * from (select *, row_number() over (partition by img_id, lower(trim(name)) order by rank) as cn from s0 where confidence >= 0.8 or lower(level) = 'high') where cn = 1),
+f as (select * from (select *, row_number() over (partition by img_id order by idx) as fn from s0 where img_id not in (select img_id from c)) where fn <= 5),
+an as (select img_id, rank, id from c union all select img_id, rank, id from f), a as (select img_id, count(*) as n_anchors, min_by(id, rank) as first_anchor from an group by img_id),
+e as (select img_id, count(*) as n_entities, min_by(name, ord) as first_name, max_by(id, area * 1000 - idx) as largest, min_by(id, area * 1000 - idx) as smallest from kid group by img_id),
+t as (select img_id, count(*) as n, min_by(b_name, a_idx * 100 + b_idx) as first_tail from pr group by img_id)
+select e.img_id, n_entities, n_anchors, coalesce(n, 0) as n_triples, first_name, first_anchor, first_tail, largest, smallest, coalesce(n, 0) as n_layout from e join a using (img_id) left join t using (img_id)""",
+    "question_documents": f"with {NUMBERED} select day as img_id, concat('images/', day, '.jpg') as img_path, count(*) as n, string_agg(question_id, ',' order by question_id) as ids from t3 group by day",
+    "records_of_documents": f"with {NUMBERED} select concat(day, '_', question_id) as id, day as image_id, concat('images/', day, '.jpg') as image_path, category, question_id, img_id as question, 'a' as answer from t3",
+    "expansion_rounds": f"""with {CLEAN}, base as (select img_id, ord, head, relation, tail from tri),
+known0 as (select img_id, name from kg_ent),
+live0 as (select * from base where img_id in (select img_id from base group by img_id having count(*) < 52)),
+top0 as (select img_id, tail, rank from (select *, row_number() over (partition by img_id order by n desc, first_ord) as rank from (
+  select img_id, trim(tail) as tail, count(*) as n, min(ord) as first_ord from live0 l where length(trim(tail)) >= 3 and not exists (select 1 from known0 x where x.img_id = l.img_id and lower(x.name) = lower(trim(l.tail))) group by img_id, trim(tail))) where rank <= 6),
+new0 as (select img_id, rank * 2 as o, tail as head, 'leads_to' as relation, tail || ' next' as tail from top0),
+put0 as (select n.img_id, m.last + row_number() over (partition by n.img_id order by o) - 1 as ord, head, relation, tail from new0 n join (select img_id, max(ord) + 1 as last from base group by img_id) m on m.img_id = n.img_id
+  where not exists (select 1 from base s where s.img_id = n.img_id and lower(s.head) = lower(n.head) and lower(s.relation) = lower(n.relation) and lower(s.tail) = lower(n.tail))),
+round0 as (select img_id, ord, head, relation, tail from base union all select * from put0),
+known1 as (select img_id, tail as name from top0),
+live1 as (select * from round0 where img_id in (select img_id from round0 group by img_id having count(*) < 52)),
+top1 as (select img_id, tail, rank from (select *, row_number() over (partition by img_id order by n desc, first_ord) as rank from (
+  select img_id, trim(tail) as tail, count(*) as n, min(ord) as first_ord from live1 l where length(trim(tail)) >= 3 and not exists (select 1 from known1 x where x.img_id = l.img_id and lower(x.name) = lower(trim(l.tail))) group by img_id, trim(tail))) where rank <= 6),
+new1 as (select img_id, rank * 2 as o, tail as head, 'leads_to' as relation, tail || ' next' as tail from top1),
+put1 as (select n.img_id, m.last + row_number() over (partition by n.img_id order by o) - 1 as ord, head, relation, tail from new1 n join (select img_id, max(ord) + 1 as last from round0 group by img_id) m on m.img_id = n.img_id
+  where not exists (select 1 from round0 s where s.img_id = n.img_id and lower(s.head) = lower(n.head) and lower(s.relation) = lower(n.relation) and lower(s.tail) = lower(n.tail))),
+round1 as (select img_id, ord, head, relation, tail from round0 union all select * from put1)
+select * from round1""",
 }

@@ -17,6 +17,7 @@ from lumenkg.operators import lookup
 from lumenkg.operators import outcomes as oc
 from lumenkg.operators import questions as qu
 from lumenkg.operators import triples as tr
+from lumenkg.operators.expansion import expand
 from lumenkg.operators.relational import cut, top_per
 from lumenkg.plans import jobs
 from lumenkg.plans.fixtures import view
@@ -654,4 +655,55 @@ def detected_boxes(spark, sf):
     return found.join(first, "img_id").select("img_id", (F.col("ord") + F.col("least")).alias("ord"), "name", "etype", *boxes)
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    kept = _kept(spark, sf)
+    anchors = en.located(en.core_anchors(kept))
+    spatial = en.spatial_triples(kept).withColumn("ord", F.col("a_idx") * 100 + F.col("b_idx")).select("img_id", "ord", "head", "relation", "tail")
+    entities = kept.select("img_id", "ord", "id", "name")
+    return sinks.entity_documents(kept.select("img_id").distinct(), entities, spatial, anchors, kept)
+
+
+@query
+def entity_documents(spark, sf):
+    """The nested document of each image, told by its parts."""
+    first = lambda c, name: F.get(c, F.lit(0))[name]
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+    boxes = F.col("local_artifacts")
+    return _documents(spark, sf).select(
+        "img_id", size("entities").alias("n_entities"), size("high_conf").alias("n_anchors"), size("triples").alias("n_triples"), first("entities", "name").alias("first_name"),
+        first("high_conf", "id").alias("first_anchor"), first("triples", "tail").alias("first_tail"), boxes["largest"].alias("largest"), boxes["smallest"].alias("smallest"), size(boxes["layout"]).alias("n_layout"),
+    )
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _numbered(spark, sf).withColumns({"question": F.col("user"), "answer": F.lit("a"), "reasoning": F.lit(None).cast("string")})
+    return qu.final_records(rows, F.concat(F.lit("images/"), "img_id", F.lit(".jpg")))
+
+
+@query
+def question_documents(spark, sf):
+    """The question document of each image, told by its path and ids in order."""
+    ids = F.array_join(F.transform("questions", lambda q: q["question_id"]), ",")
+    return sinks.question_documents(_records(spark, sf)).select("img_id", "img_path", F.size("questions").cast("bigint").alias("n"), ids.alias("ids"))
+
+
+@query
+def records_of_documents(spark, sf):
+    """The final records read back from the question documents."""
+    return sinks.records_of(sinks.question_documents(_records(spark, sf))).select("id", "image_id", "image_path", "category", "question_id", "question", "answer")
+
+
+@query
+def expansion_rounds(spark, sf):
+    """Two rounds of expansion: each searched tail gives a next one and one that is known already."""
+    clean = _clean(spark, sf).select(*_TRIPLE)
+
+    def discover(tails: DataFrame, k: int) -> DataFrame:
+        step = lambda place, relation, tail: F.struct(place.alias("ord"), F.lit(relation).alias("relation"), tail.alias("tail"))
+        found = F.array(step(F.col("rank") * 2, "leads_to", F.concat("tail", F.lit(" next"))), step(F.col("rank") * 2 + 1, "LEADS_TO", F.upper(F.concat("tail", F.lit(" next")))))
+        return tails.select("img_id", F.col("tail").alias("head"), F.explode(found).alias("x")).select("img_id", F.col("x.ord").cast("long").alias("ord"), "head", "x.relation", "x.tail")
+
+    return expand(clean, view(spark, sf, "kg_ent"), discover, lambda df, label: cut(df), target=52)
+
+
 __all__ = ["ORACLES", "QUERIES"]
