@@ -16,6 +16,8 @@ from lumenkg.functions.strings import relation_tokens, slug, trimmed
 # --- fixed values -------------------------------------------------------------------------------------------------
 BAD_ANSWERS = ("true", "false", "yes", "no", "none", "n/a", "unknown", "various", "multiple")
 LOW_VALUE_RELATIONS = ("related_to", "associated_with", "connected_to", "located_left_of", "located_right_of", "located_above", "located_below")
+#: Wording of the graph that a question shouldn't use.
+GRAPH_WORDING = ("对应的", "所对应的", "实体", "对象", "相关信息", "组织或机构是什么")
 STRONG_RELATIONS = (
     "founded_by", "founder", "ceo", "music_by", "book_and_lyrics_by", "features_songs_by", "director", "author", "writer", "lyrics",
     "headquartered_in", "performed_at", "premiered_at", "opened_at", "incorporated_as", "originally_named", "born_in", "born_on",

@@ -21,6 +21,11 @@ def parsed_questions(responses: DataFrame) -> DataFrame:
     return rows.select("img_id", "ord", "q.*").filter(F.coalesce(F.col("question"), F.lit("")) != "")
 
 
+def plainly_worded(questions: DataFrame, text_col: str = "question") -> DataFrame:
+    """Questions that don't speak in the graph's own words; a null text is kept."""
+    return questions.filter(~F.coalesce(rules.contains_any(F.col(text_col), rules.GRAPH_WORDING), F.lit(False)))
+
+
 def classified(questions: DataFrame) -> DataFrame:
     tools = F.coalesce("tools", F.expr("cast(array() as array<string>)"))
     return questions.withColumn("tools", tools).withColumns(

@@ -3,10 +3,12 @@
     python -m lumenkg.plans.jobs enrich --images TABLE --responses TABLE --target DIR [--limit N] [--hold] [--tries N] [--view-search yes|no]
     python -m lumenkg.plans.jobs questions --documents DIR --responses TABLE --target DIR
     python -m lumenkg.plans.jobs batch --source DIR[,DIR] --responses TABLE --target DIR [--limit N] [--content-keys] [--transitive]
+    python -m lumenkg.plans.jobs pipeline --responses TABLE --target DIR [--source DIR] [--limit N]
     python -m lumenkg.plans.jobs bench --source DIR --responses TABLE --target DIR
     python -m lumenkg.plans.jobs compact --documents DIR
 
-``batch`` takes the images of the first folder that has any through both jobs; ``bench`` takes three of each folder, anew.
+``batch`` takes the images of the first folder that has any through both jobs, ``pipeline`` those of ``images`` unless told
+otherwise; ``bench`` takes three of each folder, anew.
 Every run adds to the ledger of outcomes (``TARGET/ledger``), and takes only images that it doesn't settle: done, with too
 little to go on, or failed ``--tries`` times. Requests without a response are written to ``work/requests``; with ``--hold``
 their images wait for a run that finds the responses.
@@ -204,7 +206,7 @@ def batch(spark: SparkSession, paths: DataFrame, root: str, responses: str, targ
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=("enrich", "questions", "batch", "bench", "compact"))
+    parser.add_argument("job", choices=("enrich", "questions", "batch", "pipeline", "bench", "compact"))
     for name in ("images", "responses", "documents", "target", "source"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--limit", type=int, default=0)
@@ -217,17 +219,17 @@ def main(args: list[str] | None = None) -> None:
     given = parser.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
     how = {"view_search": {"yes": True, "no": False}.get(given.view_search), "transitive": given.transitive}
-    roots = (given.source or "").split(",")
+    roots = (given.source or ("images" if given.job == "pipeline" else "")).split(",")
     if given.job == "compact":
         sinks.compact_documents(spark, given.documents)
     elif given.job == "questions":
         Run(spark, given.responses, given.target, given.tries).questions(given.documents)
     elif given.job == "enrich":
         Run(spark, given.responses, given.target, given.tries).enrich(spark.read.parquet(given.images), given.limit, given.hold, **how)
-    elif given.job == "batch":
+    elif given.job in ("batch", "pipeline"):
         found = files.first_image_paths(spark, roots, given.limit)
         if found is None:
-            raise SystemExit(f"no images in {given.source}")
+            raise SystemExit(f"no images in {', '.join(roots)}")
         batch(spark, *found, given.responses, given.target, given.tries, given.content_keys, **how)
     else:  # earlier results don't count, so each run has a folder of its own
         target = f"{given.target}/bench-{int(time.time())}"

@@ -377,4 +377,7 @@ put1 as (select n.img_id, m.last + row_number() over (partition by n.img_id orde
   where not exists (select 1 from round0 s where s.img_id = n.img_id and lower(s.head) = lower(n.head) and lower(s.relation) = lower(n.relation) and lower(s.tail) = lower(n.tail))),
 round1 as (select img_id, ord, head, relation, tail from round0 union all select * from put1)
 select * from round1""",
+    "plainly_worded": f"""with {ctes("rel_rows")}, p as (select event_id, {SLUG.format("relation")} as slug, kind from rel_rows), c as (select event_id, {follow("slug", "kind")} as clause from p),
+a as (select event_id, case when event_id % 3 = 0 then clause || [{", ".join(map(q, r.GRAPH_WORDING))}][event_id % 6 + 1] else clause end as question from c)
+select event_id, question from a where not {any_of("question", r.GRAPH_WORDING)}""",
 }

@@ -227,6 +227,15 @@ def triples_by_head(spark, sf):
     return tr.triples_by_head(_clean(spark, sf)).select("img_id", "head", F.size("items").cast("bigint").alias("n"), "place")
 
 
+@query
+def plainly_worded(spark, sf):
+    """Questions put together from the rules' own phrases; every third asks in the graph's words."""
+    rel, kind = s.slug(F.col("relation")), F.col("kind")
+    rows = gr.with_rules(view(spark, sf, "rel_rows").select("event_id", "relation", "kind"), ["relation", "kind"], clause=rules.follow_clause(rel, kind))
+    asked = F.when(F.col("event_id") % 3 == 0, F.concat("clause", F.array(*map(F.lit, rules.GRAPH_WORDING))[(F.col("event_id") % 6).cast("int")])).otherwise(F.col("clause"))
+    return qu.plainly_worded(rows.select("event_id", asked.alias("question")))
+
+
 @query
 def relation_profile(spark, sf):
     rows = view(spark, sf, "rel_rows").select("event_id", "relation", "kind")
