@@ -32,7 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenkg.llm.workspace import materialise
+from lumenkg.llm.workspace import collected_paths, discard, materialise
 
 FANOUT = 8
 #: Up to so many (part, group) rows the places' offsets are broadcast, about 5 MB; beyond they are joined by a shuffle.
@@ -130,9 +130,10 @@ def build(docs: DataFrame, fields: list[str], group_col: str, id_col: str, carri
     extra = carried or {}
     leaf = leaf_digest([F.col(c) for c in fields])
     leaves = docs.select(_group_key(F.col(group_col)).alias("grp"), F.col(id_col).alias("id"), F.unhex(leaf).alias("leaf"), *[c.alias(n) for n, c in extra.items()])
-    leaves = placed(materialise(leaves, "leaves"), ["id", "leaf"])
-    child = F.struct("id", "leaf", *extra)
-    leaf_runs = materialise(_runs(leaves, child), "leaf-runs")
+    with collected_paths() as spent:
+        leaves = placed(materialise(leaves, "leaves"), ["id", "leaf"])
+    leaf_runs = materialise(_runs(leaves, F.struct("id", "leaf", *extra)), "leaf-runs")
+    discard(docs.sparkSession, spent)
     slots = [F.lower(F.hex(F.col(c)["leaf"])) for c in SLOTS]
     # a lone leaf is the root of its group: it isn't hashed again
     lone = F.col("m") == 1
@@ -140,8 +141,10 @@ def build(docs: DataFrame, fields: list[str], group_col: str, id_col: str, carri
     most = leaf_runs.agg(F.max("m")).first()[0]
     runs, alone = _climb(first, max(0, _depth(most) - 1))
     tops = materialise(alone, "group-roots")
-    ranked = placed(tops.select(F.lit("").alias("grp"), F.col("grp").alias("of"), "digest", "depth"), ["of"])
+    with collected_paths() as spent:
+        ranked = placed(tops.select(F.lit("").alias("grp"), F.col("grp").alias("of"), "digest", "depth"), ["of"])
     ranked = materialise(ranked, "group-places")
+    discard(docs.sparkSession, spent)
     top_runs, root = _climb(ranked.select("grp", "k", "m", "digest"), _depth(tops.count()))
     return Manifest(leaf_runs, runs, ranked, top_runs, materialise(root, "root"))
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenkg.llm.tokenization import release_encoders
-from lumenkg.llm.workspace import bound_batches, materialise
+from lumenkg.llm.workspace import bound_batches, collected_paths, discard, materialise
 
 #: Words that the upper trees are split on at most, and words that a cell is meant to hold.
 SAMPLE = 65_536
@@ -398,8 +398,12 @@ def with_roots(told: DataFrame, ratio: int = 5) -> DataFrame:
         return told.withColumn("root", F.col("word"))
     steps = 1 + int(math.log(max(1.0, ends["most"] / max(ends["least"], 1))) / math.log(ratio))
     pointers = told.filter("form is not null").select("word", F.col("form").alias("root"))
+    spent: list[str] = []
     for _ in range(math.ceil(math.log2(steps)) if steps > 1 else 0):
-        pointers = materialise(pointers, "roots")
+        with collected_paths() as made:
+            pointers = materialise(pointers, "roots")
+        discard(told.sparkSession, spent)
+        spent = made
         ahead = pointers.select(F.col("word").alias("root"), F.col("root").alias("next"))
         pointers = pointers.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
     return told.join(pointers, "word", "left").withColumn("root", F.coalesce("root", "word"))
@@ -409,8 +413,10 @@ def spelling_variants(
     docs: DataFrame, least_chars: int = 6, least_count: int = 5, ratio: int = 5, drop_one_in: int = 0, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word of the corpus; see ``count_words`` for the parameters."""
-    words = materialise(count_words(docs, least_chars, least_count, drop_one_in, id_col, text_col), "words")
+    with collected_paths() as spent:
+        words = materialise(count_words(docs, least_chars, least_count, drop_one_in, id_col, text_col), "words")
     told = materialise(forms(words, ratio), "forms")
+    discard(docs.sparkSession, spent)
     return with_roots(told, ratio).select("word", "form", "root", "n", "n_near", "form_n")
 
 
