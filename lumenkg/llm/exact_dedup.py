@@ -50,7 +50,7 @@ MAX_KICKS = 200
 #: Distinct texts that a task's index holds before it hands them on and begins anew.
 TASK_KEYS = 1 << 17
 #: Live digests that a shard is meant to hold.
-SHARD_KEYS = 1 << 18
+SHARD_KEYS = 1 << 16
 HEAVY_PART = 1000
 P = "__ed_"
 
