@@ -18,6 +18,29 @@ RELATIONS = (
     "celebrity_guest", "hometown", "based_in", "starring", "stock_exchange", "menu_item", "role", "  Part Of ", "sales figures",
 )
 
+_CUSTOMERS = f"""
+  select c.*, n.n_name, r.r_name, y.y0, y.y1, {IMG.format("c_custkey")} as img_id,
+    lead(c_name) over (partition by floor(c_custkey/8) order by c_custkey) as next_name
+  from {{customer}} c join {{nation}} n on c.c_nationkey = n.n_nationkey join {{region}} r on n.n_regionkey = r.r_regionkey
+  left join {{yrs}} y on y.o_custkey = c.c_custkey
+"""
+#: Triples of a customer: when there is one, its number, head, relation, tail, kind, value and unit.
+TRIPLE_ROWS = (
+    ("", 1, "c_name", "'based_in'", "n_name", "'LOCATION'", "null", "' km '"),
+    ("", 2, "c_name", "'member_of'", "c_mktsegment", "'ORG'", "null", "null"),
+    ("", 3, "c_name", "'Annual Revenue'", "cast(cast(floor(c_acctbal) as bigint) as string)", "' quantity '", "cast(cast(floor(c_acctbal) as bigint) as string)", "'usd'"),
+    ("y0 is not null", 4, "c_name", "'founded_in'", "cast(y0 as string)", "'time'", "cast(y0 as string)", "'year'"),
+    ("y1 is not null", 5, "case when c_custkey%4=0 then concat(c_name, ' Corp') else c_name end", "'closed_in'", "cast(y1 as string)", "'TIME'", "cast(y1 as string)", "'year'"),
+    ("", 6, "n_name", "'located_in'", "r_name", "'LOCATION'", "null", "null"),
+    ("c_custkey%3=0 and next_name is not null", 7, "c_name", "'related_to'", "next_name", "'bogus'", "null", "null"),
+)
+
+
+def _triple(number: int, *texts: str) -> str:
+    names = ("head", "relation", "tail", "tail_type", "normalized_value", "unit")
+    return f"img_id, cast(c_custkey*10+{number} as bigint) as ord, " + ", ".join(f"cast({t} as string) as {n}" for t, n in zip(texts, names, strict=True))
+
+
 VIEWS = {
     "geo_raw": f"""
 select {IMG.format("p_partkey")} as img_id, cast(p_partkey % 8 as int) as ord,
@@ -35,20 +58,7 @@ select {IMG.format("c_custkey")} as img_id, cast(c_custkey % 8 as int) as ord, c
   case cast(c_custkey % 4 as int) when 0 then '大幅画面上方偏左' when 1 then '画面中央' when 2 then '偏右' else '' end as location,
   cast(c_custkey%50 as bigint) as x1, cast(c_custkey%40 as bigint) as y1, cast(c_custkey%50+60 as bigint) as x2, cast(c_custkey%40+55 as bigint) as y2
 from {{customer}}""",
-    "kg_triples_raw": f"""
-with c as (
-  select c.*, n.n_name, r.r_name, y.y0, y.y1, {IMG.format("c_custkey")} as img_id,
-    lead(c_name) over (partition by floor(c_custkey/8) order by c_custkey) as next_name
-  from {{customer}} c join {{nation}} n on c.c_nationkey = n.n_nationkey join {{region}} r on n.n_regionkey = r.r_regionkey
-  left join {{yrs}} y on y.o_custkey = c.c_custkey
-)
-select img_id, c_custkey*10+1 as ord, c_name as head, 'based_in' as relation, n_name as tail, 'LOCATION' as tail_type, cast(null as string) as normalized_value, ' km ' as unit from c
-union all select img_id, c_custkey*10+2, c_name, 'member_of', c_mktsegment, 'ORG', null, null from c
-union all select img_id, c_custkey*10+3, c_name, 'Annual Revenue', cast(cast(floor(c_acctbal) as bigint) as string), ' quantity ', cast(cast(floor(c_acctbal) as bigint) as string), 'usd' from c
-union all select img_id, c_custkey*10+4, c_name, 'founded_in', cast(y0 as string), 'time', cast(y0 as string), 'year' from c where y0 is not null
-union all select img_id, c_custkey*10+5, case when c_custkey%4=0 then concat(c_name, ' Corp') else c_name end, 'closed_in', cast(y1 as string), 'TIME', cast(y1 as string), 'year' from c where y1 is not null
-union all select img_id, c_custkey*10+6, n_name, 'located_in', r_name, 'LOCATION', null, null from c
-union all select img_id, c_custkey*10+7, c_name, 'related_to', next_name, 'bogus', null, null from c where c_custkey%3=0 and next_name is not null""",
+    "kg_triples_raw": f"with c as ({_CUSTOMERS})\n" + " union all ".join(f"select {_triple(*row)} from c" + (f" where {test}" if test else "") for test, *row in TRIPLE_ROWS),
     "alias_groups": """
 select img_id, c_custkey*10 as group_ord, concat(c_name, ' ') as canonical, concat(' ', c_name, ' Corp') as alias from {kg_cust} where c_custkey%4=0
 union all select img_id, c_custkey*10+1, c_name, lower(c_name) from {kg_cust} where c_custkey%8=1
@@ -95,22 +105,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def _triples_in_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``kg_triples_raw`` without its union: the branches are structs of one row, so the joins below them run once."""
-    sql = VIEWS["kg_triples_raw"]
-    rows, *branches = re.split(r"\n\)\n|\nunion all ", sql)
-    parts = []
-    for branch in branches:
-        items, _, rest = branch.removeprefix("select ").partition(" from c")
-        names = ("img_id", "ord", "head", "relation", "tail", "tail_type", "normalized_value", "unit")
-        values = [re.sub(r" as (img_id|ord|head|relation|tail|tail_type|normalized_value|unit)$", "", x.strip()) for x in re.split(r",\s*(?![^()]*\))", items)]
-        one = "struct(" + ", ".join(f"cast({v} as {'bigint' if n == 'ord' else 'string'}) as {n}" for n, v in zip(names, values, strict=True)) + ")"
-        test = rest.strip().removeprefix("where ")
-        parts.append(f"case when {test} then {one} end" if test else one)
-    used = set(re.findall(r"\{(\w+)\}", rows))
-    wide = spark.sql(f"{rows}\n) select filter(array({', '.join(parts)}), x -> x is not null) as items from c", **{t: view(spark, sf_dir, t) for t in used})
+    """``kg_triples_raw`` without its union: a customer's triples are structs of one row, so the joins below run once."""
+    parts = [f"case when {test or 'true'} then struct({_triple(*row)}) end" for test, *row in TRIPLE_ROWS]
+    wide = spark.sql(f"select filter(array({', '.join(parts)}), x -> x is not null) as items from ({_CUSTOMERS}) c", **_used(spark, sf_dir, _CUSTOMERS))
     return wide.selectExpr("inline(items)")
 
 
+def _used(spark: SparkSession, sf_dir: str, sql: str) -> dict[str, DataFrame]:
+    return {t: view(spark, sf_dir, t) for t in set(re.findall(r"\{(\w+)\}", sql))}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a derived view of them."""
     if name in TABLES:
@@ -118,8 +122,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "kg_triples_raw":
         return _triples_in_one_scan(spark, sf_dir)
     sql = VIEWS[name]
-    used = set(re.findall(r"\{(\w+)\}", sql))
-    return spark.sql(sql, **{t: view(spark, sf_dir, t) for t in used})
+    return spark.sql(sql, **_used(spark, sf_dir, sql))
 
 
 def ctes(*names: str) -> str:
