@@ -1,7 +1,7 @@
 """The jobs end to end, on stored responses: images to entity documents, documents to question files.
 
     python -m lumenkg.plans.jobs enrich --images TABLE --responses TABLE --target DIR [--limit N] [--hold] [--tries N] [--view-search yes|no]
-    python -m lumenkg.plans.jobs questions --documents DIR --responses TABLE --target DIR
+    python -m lumenkg.plans.jobs questions --documents DIR --responses TABLE --target DIR [--source DIR]
     python -m lumenkg.plans.jobs batch --source DIR[,DIR] --responses TABLE --target DIR [--limit N] [--content-keys] [--transitive]
     python -m lumenkg.plans.jobs pipeline --responses TABLE --target DIR [--source DIR] [--limit N]
     python -m lumenkg.plans.jobs bench --source DIR --responses TABLE --target DIR
@@ -162,12 +162,26 @@ class Run:
         done = sinks.latest_documents(self.spark, f"{self.target}/documents").join(images.select("img_id"), "img_id", "left_semi")
         self.add(oc.enrich_outcomes(images, self.responses, out["answers"], out["detected"], out["kept"], done, waiting), began)
 
-    def questions(self, documents: str) -> None:
+    def documents(self, root: str, source: str | None = None) -> DataFrame:
+        """(img_id, img_path) of the documents under ``root``: a store of versions, or a folder of one JSON file each.
+
+        Documents without a path get that of the image of their name under ``source``.
+        """
+        schema = "img_id string, img_path string"
+        stored = sinks.latest_documents(self.spark, root, schema)
+        if stored is None:
+            stored = files.json_documents(self.spark, root, schema, files.SHADOW_SUFFIX).filter("img_id is not null").groupBy("img_id").agg(F.min("img_path").alias("img_path"))
+        if not source:
+            return stored
+        at = files.image_paths(self.spark, source)
+        folders = [r["folder"] for r in at.select(files.folder(F.col("path")).alias("folder")).distinct().orderBy("folder").collect()]  # a folder name per folder of images
+        found = files.locate_images(stored.filter("img_path is null").select("img_id"), at, folders)
+        return stored.join(found, "img_id", "left").select("img_id", F.coalesce("img_path", "path").alias("img_path"))
+
+    def questions(self, documents: str, source: str | None = None) -> None:
         """Questions of the documents that the ledger doesn't settle, their outcomes, and the final files of all questions."""
         began = time.time()
-        stored = sinks.latest_documents(self.spark, documents, "img_id string, img_path string")
-        if stored is None:
-            return
+        stored = self.documents(documents, source)
         todo = self.save(oc.unfinished(stored, self.ledger(), "questions", self.tries), "todo")
         made = self.save(parsed_records(self.responses, todo.select("img_id", F.col("img_path").alias("path"))), "questions")
         sinks.write_documents(sinks.question_documents(qu.final_records(made, F.col("path"))), f"{self.target}/by_image", self.number)
@@ -223,7 +237,7 @@ def main(args: list[str] | None = None) -> None:
     if given.job == "compact":
         sinks.compact_documents(spark, given.documents)
     elif given.job == "questions":
-        Run(spark, given.responses, given.target, given.tries).questions(given.documents)
+        Run(spark, given.responses, given.target, given.tries).questions(given.documents, given.source)
     elif given.job == "enrich":
         Run(spark, given.responses, given.target, given.tries).enrich(spark.read.parquet(given.images), given.limit, given.hold, **how)
     elif given.job in ("batch", "pipeline"):

@@ -9,6 +9,8 @@ from lumenkg.operators.relational import top_per
 
 #: Image file endings and the folders images are looked for in, best first.
 IMAGE_ENDINGS = (".jpg", ".jpeg", ".png", ".webp")
+#: Fixed value: the ending of documents that are copies for comparison and aren't read.
+SHADOW_SUFFIX = "_randomwalk_shadow.json"
 IMAGE_PATTERN = "*.{jpg,jpeg,png,webp}"
 
 

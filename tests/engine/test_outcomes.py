@@ -168,3 +168,17 @@ def test_views_are_described_where_no_view_search_is_stored(spark, tmp_path):
     assert "serper_lens" not in asked
     searched = jobs.enrich(images, stored, save, view_search=True)
     assert {"serper_lens"} <= {r["api"] for r in searched["requests"].collect()} and spark.read.parquet(f"{tmp_path}/described").count() == 0
+
+
+def test_questions_of_plain_documents(spark, tmp_path):
+    source, docs, stored, target = tmp_path / "pictures", tmp_path / "docs", str(tmp_path / "responses"), str(tmp_path / "out")
+    picture_folder(source, ["x/a.png", "y/b.png"])
+    docs.mkdir()
+    for name in ("a", "b"):
+        (docs / f"{name}.json").write_text(json.dumps({"img_id": name, "img_path": "given/b.png" if name == "b" else None, "entities": []}, indent=2))
+    (docs / "a_randomwalk_shadow.json").write_text(json.dumps({"img_id": "shadow"}))
+    (docs / "broken.json").write_text("{")
+    responses(spark, ("a", "b")).write.parquet(stored)
+    jobs.main(["questions", "--documents", str(docs), "--responses", stored, "--target", target, "--source", str(source)])
+    rows = {r["image_id"]: r["image_path"] for r in spark.read.json(target + "/all_questions").collect()}
+    assert rows.keys() == {"a", "b"} and rows["a"].endswith("pictures/x/a.png") and rows["b"] == "given/b.png"
