@@ -10,10 +10,11 @@ sample: the least one with which ``target`` of the nearest neighbours within the
 sample lie in visited lists. So clustered vectors are pruned hard, and vectors
 without structure as far as the target allows.
 
-Lists are balanced on the vectors themselves: lists of over twice the mean are
-split, by clusters of a bounded sample of what they hold, and all vectors dealt
-anew, ``split_rounds`` times at most; what is still too long then (vectors that
-no centroid tells apart) is dealt by hash into parts that are visited together.
+Lists are balanced on the vectors themselves: lists of over ``FULL`` times the mean
+are split, by clusters of a bounded sample of what they hold, and the vectors in
+them dealt anew, ``split_rounds`` times at most; what is still too long then
+(vectors that no centroid tells apart) is dealt by hash into parts that are
+visited together.
 
 The lists of a shelf are scored in one task, which hands on each query's best
 once; long shelves are cut into blocks, and so are the queries that visit them,
@@ -43,7 +44,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenkg.llm.text import mix
-from lumenkg.llm.workspace import collected_paths, discard, materialise
+from lumenkg.llm.workspace import materialise
+
+
+#: Lists of over so many times the mean are split.
+FULL = 1.75
 
 
 @dataclass(frozen=True)
@@ -63,7 +68,7 @@ class IndexOptions:
     probe_ratio: float | None = None
     trials: int = 256
     block: int = 16384
-    split_rounds: int = 2
+    split_rounds: int = 1
     seed: int = 5
 
 
@@ -184,13 +189,12 @@ def build_graph(sample: np.ndarray, n_lists: int, options: IndexOptions) -> Cent
         np.add.at(sums, near, sample)
         n = np.bincount(near, minlength=len(centroids))
         centroids = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centroids)
-    return link_centroids(centroids, options)
+    return link_centroids(np.unique(centroids, axis=0), options)
 
 
 def link_centroids(centroids: np.ndarray, options: IndexOptions) -> CentroidGraph:
-    """The graph over distinct centroids."""
+    """The graph over centroids."""
     rng = np.random.default_rng(options.seed)
-    centroids = np.unique(centroids, axis=0)
     c, norms = len(centroids), (centroids**2).sum(axis=1)
     links = np.full((c, options.degree + 4), -1)
     for at in range(0, c, 512):
@@ -205,8 +209,8 @@ def link_centroids(centroids: np.ndarray, options: IndexOptions) -> CentroidGrap
 
 def split_centroids(g: CentroidGraph, full: dict[int, tuple[np.ndarray, int]], options: IndexOptions) -> CentroidGraph:
     """The graph with each list of ``full`` (list: sample of its vectors, number of parts) replaced by clusters of its sample."""
-    rng, made = np.random.default_rng(options.seed), []
-    for sample, parts in full.values():
+    rng, centroids = np.random.default_rng(options.seed), [g.centroids.copy()]
+    for k, (sample, parts) in full.items():
         groups = [np.arange(len(sample))]
         while len(groups) < parts:
             groups.sort(key=len)
@@ -215,9 +219,10 @@ def split_centroids(g: CentroidGraph, full: dict[int, tuple[np.ndarray, int]], o
             own = groups.pop()
             side = _halves(sample[own], rng)
             groups += [own[side], own[~side]]
-        made += [sample[x].mean(axis=0) for x in groups]
-    kept = np.delete(g.centroids, list(full), axis=0)
-    return link_centroids(np.concatenate([kept, np.array(made).reshape(-1, kept.shape[1])]), options)
+        made = np.array([sample[x].mean(axis=0) for x in groups])
+        centroids[0][k] = made[0]  # the others come behind, so all lists keep their numbers
+        centroids.append(made[1:])
+    return link_centroids(np.concatenate(centroids), options)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -290,9 +295,21 @@ def _parted(lists: np.ndarray, row: np.ndarray, own: np.ndarray | None, parts: n
     return np.repeat(row, n), np.repeat(first[lists], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
+def _dealt_rows(parts: np.ndarray, shelf: int):
+    """Stored vectors (class_id, v, lists) on the shelves of their lists' parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row = np.repeat(np.arange(b.num_rows), b.column(2).value_lengths().to_numpy(zero_copy_only=False))
+            row, lists = _parted(b.column(2).flatten().to_numpy(zero_copy_only=False), row, b.column(0).to_numpy(), parts)
+            yield _shelved(b.column(0), b.column(1), row, lists, shelf)
+
+    return run
+
+
 def _list_rows(graph, dim: int, top: float, options: IndexOptions, parts: np.ndarray | None = None, ratio: float | None = None, sizes: np.ndarray | None = None, least: int = 0):
     """The lists a vector is stored in, or those a query visits if a ratio is given: all within it, and the nearest ones
-    until they hold ``least`` vectors. ``parts`` says how many stored lists stand for each."""
+    until they hold ``least`` vectors. ``parts`` says how many stored lists stand for each that a query visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = graph.value
@@ -314,7 +331,7 @@ def _list_rows(graph, dim: int, top: float, options: IndexOptions, parts: np.nda
                     pair = np.unique(np.concatenate([row, at[0]]) * len(sizes) + np.concatenate([lists, near[at]]))
                     row, lists = pair // len(sizes), pair % len(sizes)
                 if parts is not None:
-                    row, lists = _parted(lists, row, b.column(0).to_numpy() if ratio is None else None, parts)
+                    row, lists = _parted(lists, row, None, parts)
                 yield _shelved(b.column(0), b.column(1), row, lists, options.shelf)
 
     return run
@@ -401,30 +418,24 @@ def index_tables(
     rows_of = "class_id long, v array<double>, shelf int, lists array<int>"
     both = classes.select("class_id", "v")
 
-    def stored(g: CentroidGraph, parts: np.ndarray | None, label: str) -> tuple[DataFrame, np.ndarray]:
-        """Postings, and the size of each list."""
-        made = materialise(both.mapInArrow(_list_rows(spark.sparkContext.broadcast(g), dim, top, options, parts), rows_of), label)
-        sizes = np.zeros(len(g.centroids) if parts is None else int(parts.sum()), np.int64)
-        for r in made.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per list
-            sizes[r["list"]] = r["n"]
-        return made, sizes
-
-    with collected_paths() as tried:
-        for turn in range(options.split_rounds + 1):
-            postings, sizes = stored(built, None, "postings")
-            most = 2 * sizes.sum() / len(sizes)
-            if turn == options.split_rounds or sizes.max() <= most:
-                break
-            longest = [int(k) for k in np.argsort(-sizes) if sizes[k] > most]
-            parts = {k: int(-(-sizes[k] // max(most / 2, 1))) for k in longest}
-            built = split_centroids(built, _samples_of(postings, sizes, parts, dim, top, options), options)
-    if sizes.max() > most:
-        discard(spark, tried)
-        parts = np.maximum(np.where(sizes > most, -(-sizes // max(int(most / 2), 1)), 1), 1)
-        postings, _ = stored(built, parts, "postings")
-    else:
-        discard(spark, tried[:-1])
-        parts = None
+    place = lambda some: some.mapInArrow(_list_rows(spark.sparkContext.broadcast(built), dim, top, options), rows_of)
+    postings, parts = materialise(place(both), "postings"), None
+    sizes = _sizes(postings, len(built.centroids))
+    for turn in range(options.split_rounds + 1):
+        most = FULL * sizes.sum() / len(sizes)  # splitting lowers the mean, and leaves none over twice of it
+        longest = [int(k) for k in np.argsort(-sizes) if sizes[k] > most]
+        if not longest or turn == options.split_rounds:
+            break
+        split = {k: int(-(-sizes[k] // max(most / FULL, 1))) for k in longest}
+        built = split_centroids(built, _samples_of(postings, sizes, split, dim, top, options), options)
+        touched = postings.filter(F.arrays_overlap("lists", F.array(*map(F.lit, longest)))).select("class_id").distinct()
+        anew = place(both.join(touched, "class_id", "left_semi"))
+        postings = materialise(postings.join(touched, "class_id", "left_anti").unionByName(anew), "postings")
+        sizes = _sizes(postings, len(built.centroids))
+    if longest:
+        parts = np.maximum(np.where(sizes > most, -(-sizes // max(int(most / FULL), 1)), 1), 1)
+        whole = postings.groupBy("class_id").agg(F.first("v").alias("v"), F.flatten(F.collect_list("lists")).alias("lists"))
+        postings = materialise(whole.mapInArrow(_dealt_rows(parts, options.shelf), rows_of), "postings")
     if options.probe_ratio is None:
         ratio = fit_ratio(built, sample, top, k, options)
     asked = both.join(members.filter(is_query).select("class_id").distinct(), "class_id")
@@ -432,6 +443,14 @@ def index_tables(
     return dim, members, postings, materialise(asked.mapInArrow(visiting, rows_of), "visits")
 
 
+def _sizes(postings: DataFrame, lists: int) -> np.ndarray:
+    """Number of vectors of each list; a row per list reaches the driver."""
+    sizes = np.zeros(lists, np.int64)
+    for r in postings.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["list"]] = r["n"]
+    return sizes
+
+
 def _samples_of(postings: DataFrame, sizes: np.ndarray, parts: dict[int, int], dim: int, top: float, options: IndexOptions) -> dict[int, tuple[np.ndarray, int]]:
     """(sample of its vectors, number of parts) of each list of ``parts``: about 32 vectors a part, ``sample`` in all."""
     share = min(1.0, options.sample / (64 * sum(parts.values())))
