@@ -265,7 +265,8 @@ def fit_ratio(g: CentroidGraph, sample: np.ndarray, top: float, k: int, options:
         score[np.arange(len(score)), chosen[at : at + 32]] = -np.inf
         near[at : at + 32] = np.argpartition(score, -near.shape[1], axis=1)[:, -near.shape[1] :]
     hit = np.unique(near)
-    lists, keep = _copies(g, sample[hit], options)
+    some = [_copies(g, sample[hit[a : a + 256]], options) for a in range(0, len(hit), 256)]  # a search holds its rows' neighbours
+    lists, keep = (np.concatenate(c) for c in zip(*some))
     x = _asking(asked, top)
     d = np.sqrt(np.maximum((x**2).sum(axis=1)[:, None] + (g.centroids**2).sum(axis=1) - 2 * x @ g.centroids.T, 0))
     least = np.maximum(d.min(axis=1), 1e-6)
