@@ -159,7 +159,8 @@ class Run:
         waiting = self.save(out["waiting"], "waiting") if hold else None
         documents = out["documents"].join(waiting, "img_id", "left_anti") if hold else out["documents"]
         sinks.write_documents(documents, f"{self.target}/documents", self.number)
-        done = sinks.latest_documents(self.spark, f"{self.target}/documents").join(images.select("img_id"), "img_id", "left_semi")
+        parts = "img_id string, entities array<string>, triples array<string>"
+        done = sinks.latest_documents(self.spark, f"{self.target}/documents", parts).join(images.select("img_id"), "img_id", "left_semi")
         self.add(oc.enrich_outcomes(images, self.responses, out["answers"], out["detected"], out["kept"], done, waiting), began)
 
     def documents(self, root: str, source: str | None = None) -> DataFrame:

@@ -52,7 +52,7 @@ def compact_documents(spark: SparkSession, root: str, buckets: int = 64) -> None
     A run that ends in between leaves both; readers then see the same documents, and the next run drops what is left.
     """
     old = generations(spark, root)
-    if not old:
+    if not old or spark.read.schema("img_id string").json(root).isEmpty():
         return
     rows = spark.read.json(root)
     rank = F.row_number().over(Window.partitionBy("img_id").orderBy(F.desc("version"), F.desc("gen")))

@@ -182,3 +182,14 @@ def test_questions_of_plain_documents(spark, tmp_path):
     jobs.main(["questions", "--documents", str(docs), "--responses", stored, "--target", target, "--source", str(source)])
     rows = {r["image_id"]: r["image_path"] for r in spark.read.json(target + "/all_questions").collect()}
     assert rows.keys() == {"a", "b"} and rows["a"].endswith("pictures/x/a.png") and rows["b"] == "given/b.png"
+
+
+def test_a_run_of_failures_alone(spark, tmp_path):
+    stored, images, target = str(tmp_path / "responses"), str(tmp_path / "images"), str(tmp_path / "out")
+    responses(spark, ()).write.parquet(stored)
+    spark.createDataFrame([(k, 1000, 800) for k in ("broken", "failed")], "img_id string, width int, height int").write.parquet(images)
+    jobs.main(["enrich", "--images", images, "--responses", stored, "--target", target])
+    jobs.main(["questions", "--documents", target + "/documents", "--responses", stored, "--target", target])
+    jobs.main(["compact", "--documents", target + "/documents"])
+    assert {r["img_id"]: r["status"] for r in oc.image_results(spark.read.parquet(target + "/ledger")).collect()} == {"broken": "step1_error", "failed": "step1_error"}
+    assert spark.read.json(target + "/question_stats").first()["total_questions"] == 0
