@@ -18,6 +18,8 @@ from lumenkg.sources.files import stem
 
 CROP = "img_id string, id string, view string, width int, height int, channels int, crop string, pixels binary"
 KEY_DIGITS = 16
+#: Bytes of pictures that travel to a Python worker at once.
+BATCH_BYTES = 64 << 20
 
 
 def pictures(spark: SparkSession, root: str) -> DataFrame:
@@ -58,8 +60,9 @@ def crops(shown: DataFrame, views: DataFrame, keep_pixels: bool = True) -> DataF
     spark = shown.sparkSession
     boxes = views.groupBy("img_id").agg(F.array_sort(F.collect_list(F.struct("id", "view", *[F.col(c).cast("int").alias(c) for c in ("x1", "y1", "x2", "y2")]))).alias("boxes"))
     one = shown.groupBy("img_id").agg(F.min("picture").alias("picture")).join(boxes, "img_id")
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 16:  # pictures are large: few at a time
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    size = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")).rstrip("bB")
+    if not size.isdigit() or not 0 < int(size) <= BATCH_BYTES:  # pictures are large: few at a time
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return one.select("img_id", "picture", "boxes").mapInArrow(_crop_rows(keep_pixels), CROP)
 
 
