@@ -43,10 +43,14 @@ def readable(rows: DataFrame, url_col: str = "url") -> DataFrame:
     return rows.filter((url != "") & ~rules.contains_any(url, rules.SKIPPED_SITES))
 
 
-def deep_reads(rows: DataFrame, pages: DataFrame, keys: list[str], k: int = 2, limit: int = 2000) -> DataFrame:
-    """The first ``k`` readable URLs of each key with the text of their page; empty pages go, the order stays."""
+def deep_reads(rows: DataFrame, pages: DataFrame | None, keys: list[str], k: int = 2, limit: int = 2000) -> DataFrame:
+    """The first ``k`` readable URLs of each key with the text of their page; empty pages go, the order stays.
+
+    Without ``pages(url, content)``, rows carry the ``content`` that was read for them, which may differ between rows of a URL.
+    """
     few = top_per(readable(rows), keys, ["pos"], k, "nth")
-    read = few.join(pages.select("url", F.substring("content", 1, limit).alias("page_text")), "url")
+    text = F.substring("content", 1, limit).alias("page_text")
+    read = few.withColumn("page_text", text).drop("content") if pages is None else few.join(pages.select("url", text), "url")
     return read.filter(F.coalesce(F.col("page_text"), F.lit("")) != "")
 
 

@@ -52,3 +52,10 @@ def test_detected_boxes_with_numbers_that_repeat(spark, folder):
     both = part.unionByName(part.withColumn("p_partkey", F.col("p_partkey") + 800_000)).filter("p_partkey < 40 or p_partkey < 800040 and p_partkey >= 800000")
     far = both.withColumn("p_partkey", F.when(F.col("p_partkey") < 800_000, F.col("p_partkey") + 80_000).otherwise(F.col("p_partkey")))
     assert equal_to_sql(spark, folder(part=far), "detected_boxes") == 60
+
+
+def test_deep_read_urls_with_pages_that_changed(spark, folder):
+    """A URL read twice, with another text each time."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    later = pages.withColumns({"page_id": F.col("page_id") + 4000, "html": F.concat(F.lit("later "), "html")})
+    assert equal_to_sql(spark, folder(pages=pages.unionByName(later)), "deep_read_urls") == 2 * registry.deep_read_urls(spark, SF).count() > 0
