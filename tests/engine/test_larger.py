@@ -59,3 +59,16 @@ def test_deep_read_urls_with_pages_that_changed(spark, folder):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     later = pages.withColumns({"page_id": F.col("page_id") + 4000, "html": F.concat(F.lit("later "), "html")})
     assert equal_to_sql(spark, folder(pages=pages.unionByName(later)), "deep_read_urls") == 2 * registry.deep_read_urls(spark, SF).count() > 0
+
+
+def test_braces_of_long_answers(spark):
+    """The plan steps over braces, not over every character, and reads a long answer once."""
+    from lumenkg.functions import strings as s
+
+    body = '{"triples": [' + ", ".join('{"head": "' + "x" * 50_000 + '"}' for _ in range(20)) + "]}"
+    cases = [("Sure! " + body + " {} }", body), ("}{a}}", "{a}"), ("{{}", None), ("a}", None), ("", None), (None, None), ("é{b{c}}d", "{b{c}}")]
+    rows = spark.createDataFrame([(k, raw) for k, (raw, _) in enumerate(cases)], "k int, raw string")
+    got = rows.select("k", s.braced(F.col("raw")).alias("x")).orderBy("k").collect()
+    assert [r["x"] for r in got] == [want for _, want in cases]
+    plan = rows.select(s.extract_json(F.col("raw")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("aggregate(") == 2  # one scan for plain answers, one for fenced ones
