@@ -72,3 +72,11 @@ def test_braces_of_long_answers(spark):
     assert [r["x"] for r in got] == [want for _, want in cases]
     plan = rows.select(s.extract_json(F.col("raw")).alias("x"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("aggregate(") == 2  # one scan for plain answers, one for fenced ones
+
+
+def test_bench_rows_are_numbered_by_all_tasks(spark):
+    """No window takes whole rows to one task: what it numbers are the tasks' totals."""
+    assert equal_to_sql(spark, SF, "bench_rows") > 1000
+    plan = registry.QUERIES["bench_rows"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    single = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
+    assert not single and "_n" in plan
