@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from lumenkg.llm.tokenization import unit_encoder, utf8
+from lumenkg.llm.tokenization import release_encoders, unit_encoder, utf8
 from lumenkg.llm.workspace import bound_batches, write_table
 
 _MAGIC = b"WMTX"
@@ -142,6 +142,10 @@ class WaveletShard:
 
     def occurrences(self, symbol: int, lo: int = 0, hi: int | None = None) -> list[int]:
         """Ascending places of an id, found by select from the last plane up."""
+        return self.places(symbol, lo, hi).tolist()
+
+    def places(self, symbol: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """``occurrences`` as an array."""
         a, b = self._range(symbol, lo, self.n if hi is None else hi)
         if b - a > MANY:  # all at once, over the places of a plane's ones or zeros
             where = np.arange(a, b)
@@ -149,14 +153,14 @@ class WaveletShard:
                 one = bool(symbol >> (self.planes - 1 - i) & 1)
                 bits = np.unpackbits(self._plane(i)[0], count=self.n).view(bool)
                 where = np.flatnonzero(bits == one)[where - self.zeros[i] if one else where]
-            return where.tolist()
+            return where
         found = []
         for at in range(a, b):
             for i in range(self.planes - 1, -1, -1):
                 one = bool(symbol >> (self.planes - 1 - i) & 1)
                 at = self._select(i, at - self.zeros[i] if one else at, one)
             found.append(at)
-        return found
+        return np.array(found, dtype=np.int64)
 
     def decode(self) -> np.ndarray:
         """All ids in order, undoing the planes from the last."""
@@ -222,6 +226,7 @@ def write_shards(
 
 
 def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release_encoders()
     for b in batches:
         for part, seq, file in zip(b.column(0), b.column(1), b.column(2)):
             shard = WaveletShard(file.as_py())
@@ -265,18 +270,24 @@ def _shard_spans(spark: SparkSession, root: str) -> DataFrame:
     return _shard_starts(shards).join(shards.select("part", "seq", "n_tokens"), ["part", "seq"])
 
 
-def _per_shard(shards: DataFrame, work, schema: str) -> DataFrame:
-    """``work(shard, asked)`` for each row ``shards(part, seq, file, asked)``, its rows behind the shard's numbers."""
-    schema = "part int, seq int, " + schema
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+def _shard_work(work, arrow: pa.Schema):
+    """Columns of ``work(shard, asked)`` behind the shard's numbers, a batch for each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for b in batches:
             for part, seq, file, asked in zip(*b.columns):
-                found = [(part.as_py(), seq.as_py(), *row) for row in work(WaveletShard(file.as_py()), asked.as_py())]
-                columns = list(zip(*found)) or [[]] * len(arrow)
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+                found = work(WaveletShard(file.as_py()), asked.as_py())
+                numbers = [np.full(len(found[0]), x.as_py(), dtype=np.int32) for x in (part, seq)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((*numbers, *found), arrow)], schema=arrow)
 
+    return run
+
+
+def _per_shard(shards: DataFrame, work, schema: str) -> DataFrame:
+    """``work(shard, asked)``, a list of columns, for each row ``shards(part, seq, file, asked)``, behind the shard's numbers."""
+    schema = "part int, seq int, " + schema
+    run = _shard_work(work, to_arrow_schema(StructType.fromDDL(schema)))
     return shards.select("part", "seq", "file", "asked").mapInArrow(run, schema)
 
 
@@ -293,25 +304,27 @@ def access_ids(spark: SparkSession, root: str, places: DataFrame) -> DataFrame:
     met = asked.join(touched, "block").filter((F.col("place") >= F.col("base")) & (F.col("place") < F.col("base") + F.col("n_tokens")))
     listed = met.groupBy("part", "seq", "base").agg(F.collect_list(F.col("place") - F.col("base")).alias("asked"))
     shards = spark.read.parquet(root).select("part", "seq", "file").join(listed.drop("base"), ["part", "seq"])
-    found = _per_shard(shards, lambda shard, asked: [(at, shard.access(at)) for at in asked], "at long, id long")
+    found = _per_shard(shards, lambda shard, asked: [asked, list(map(shard.access, asked))], "at long, id long")
     return found.join(spans.select("part", "seq", "base"), ["part", "seq"]).select((F.col("base") + F.col("at")).alias("place"), "id")
 
 
+def _occurrence_columns(wanted: list[int]):
+    def work(shard: WaveletShard, _) -> list:
+        held = [symbol for symbol in wanted if shard.count(symbol)]
+        where = [shard.places(symbol) for symbol in held]
+        at = np.concatenate([np.zeros(0, np.int64), *where])
+        owner = np.searchsorted(np.cumsum(shard.lengths), at, side="right")
+        return [np.repeat(np.array(held, dtype=np.int64), np.array(list(map(len, where)), dtype=np.int64)), at, pa.array(shard.doc_ids, pa.int64()).take(pa.array(owner))]
+
+    return work
+
+
 def occurrences_of(spark: SparkSession, root: str, ids: list[int]) -> DataFrame:
     """(id, place, doc_id): every place of the store that holds one of ``ids``, and the document it lies in.
 
     Each shard walks up its planes for the ids it holds, so the places of an id stay spread over the shards.
     """
-    wanted = sorted(set(ids))
-
-    def work(shard: WaveletShard, _) -> Iterator[tuple]:
-        ends = np.cumsum(shard.lengths)
-        for symbol in wanted:
-            if shard.count(symbol):
-                where = np.array(shard.occurrences(symbol))
-                owner = np.searchsorted(ends, where, side="right")
-                yield from ((symbol, int(at), shard.doc_ids[k]) for at, k in zip(where, owner))
-
+    work = _occurrence_columns(sorted(set(ids)))
     shards = spark.read.parquet(root).withColumn("asked", F.lit(None).cast("int"))
     found = _per_shard(shards, work, "id long, at long, doc_id long")
     spans = _shard_spans(spark, root).select("part", "seq", "base")
@@ -322,6 +335,7 @@ def count_token(spark: SparkSession, root: str, symbol: int) -> DataFrame:
     """One row: occurrences of an id in the whole store, counted on the planes without decoding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for b in batches:
             yield pa.RecordBatch.from_pydict({"n": [WaveletShard(f.as_py()).count(symbol) for f in b.column(0)]}, schema=pa.schema([("n", pa.int64())]))
 

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from lumenkg.llm import best_fit_packing, edit_token_counts, queries, wavelet_store
+from lumenkg.llm import best_fit_packing, edit_token_counts, queries, tokenization, wavelet_store
 from lumenkg.llm.tokenization import unit_encoder
 
 WORD = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -139,3 +139,24 @@ def test_access_and_occurrences_equal_brute_force(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, wavelet_store.access_ids(spark, root, places).collect())) == [(p, every[p][0]) for p in (0, 777, len(every) - 1)]
     wavelet_store.write_shards(docs.limit(0), str(tmp_path / "none"))
     assert wavelet_store.access_ids(spark, str(tmp_path / "none"), places).count() == 0 == wavelet_store.occurrences_of(spark, str(tmp_path / "none"), [2]).count()
+
+
+def test_occurrences_of_a_full_shard_stay_columns():
+    """A shard that one id fills: no Python object for each place, and the ids that the writer cached are given back."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n = 1 << 18
+    file = wavelet_store.build_shard(np.full(n, 7, dtype=np.uint32), [5, None], [n - 3, 3])
+    arrow = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("id", pa.int64()), ("at", pa.int64()), ("doc_id", pa.int64())])
+    batch = pa.RecordBatch.from_pydict({"part": [1], "seq": [2], "file": [file], "asked": [None]})
+    tokenization.unit_encoder("word_bpe_49k.json", "words").encode(b"some words")
+    tracemalloc.start()
+    (found,) = wavelet_store._shard_work(wavelet_store._occurrence_columns([3, 7, 1 << 20]), arrow)(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == n and found.slice(n - 4, 2).to_pylist() == [{"part": 1, "seq": 2, "id": 7, "at": n - 4 + k, "doc_id": d} for k, d in enumerate((5, None))]
+    (none,) = wavelet_store._shard_work(wavelet_store._occurrence_columns([8]), arrow)(iter([batch]))
+    assert none.num_rows == 0
+    assert peak < 64 * n and tokenization.unit_encoder.cache_info().currsize == 0
