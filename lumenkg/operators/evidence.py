@@ -65,18 +65,27 @@ def mentions(docs: DataFrame, names: DataFrame) -> DataFrame:
     regard to case, for names of one word.
 
     A text holds a word if one of its words does, so the distinct words are cut into pieces of the names' lengths, of
-    which there are few, and meet the names by equality; no document meets a name it doesn't hold.
+    which there are few, and meet the names by equality. Names of one or two characters are in most words and are looked
+    for in the text itself. What a document holds is gathered once, and its pairs are counted where it lies.
     """
-    sides = names.select("item_id", F.explode(F.array(F.struct(F.lit("a").alias("side"), F.lower("entity_a").alias("name")), F.struct(F.lit("b").alias("side"), F.lower("entity_b").alias("name")))).alias("x"))
-    wanted = sides.select("item_id", "x.*").filter("name <> ''")
-    lengths = sorted(r["n"] for r in wanted.select(F.length("name").alias("n")).distinct().collect())
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), " +"))).alias("word"))
-    sized = words.select("word").distinct().select("word", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")).alias("n"))
+    pairs = names.groupBy(F.lower("entity_a").alias("a"), F.lower("entity_b").alias("b")).agg(F.collect_list("item_id").alias("items")).filter("a <> '' and b <> ''")
+    sides = pairs.select("a", "b", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("a").alias("name")), F.struct(F.lit(2).alias("side"), F.col("b").alias("name")))).alias("x")).select("a", "b", "x.*")
+    wanted = sides.select("name").distinct()
+    lengths = sorted(r["n"] for r in wanted.select(F.length("name").alias("n")).distinct().collect() if r["n"] > 2)
+    short = [r["name"] for r in wanted.filter(F.length("name") <= 2).collect()]
+    low = F.lower("text")
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split(low, " +"))).alias("word"))
+    vocabulary = docs.select(F.explode(F.split(low, " +")).alias("word")).distinct()
+    sized = vocabulary.select("word", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")).alias("n"))
     cut = sized.filter(F.length("word") >= F.col("n")).withColumn("at", F.explode(F.sequence(F.lit(1), F.length("word") - F.col("n") + 1)))
-    held = cut.select("word", F.substr("word", F.col("at"), F.col("n")).alias("name")).join(wanted.select("name").distinct(), "name").distinct()
-    found = words.join(held, "word").select("doc_id", "name").distinct()
-    one = lambda side: found.join(wanted.filter(F.col("side") == side), "name").select("doc_id", "item_id")
-    return one("a").join(one("b"), ["doc_id", "item_id"])
+    held = cut.select("word", F.substr("word", F.col("at"), F.col("n")).alias("name")).join(wanted, "name").distinct()
+    found = words.join(held, "word").select("doc_id", F.array("name").alias("names"))
+    if short:  # within a lambda over one text, as the optimizer would else lower it anew for each name
+        inside = F.transform(F.array(low), lambda t: F.filter(F.array(*map(F.lit, short)), lambda n: t.contains(n)))[0]
+        found = found.unionByName(docs.filter("text is not null").select("doc_id", inside.alias("names")))
+    each = found.groupBy("doc_id").agg(F.explode(F.array_distinct(F.flatten(F.collect_list("names")))).alias("name"))
+    both = each.join(sides, "name").groupBy("doc_id", "a", "b").agg(F.bit_or("side").alias("sides")).filter("sides = 3")
+    return both.join(pairs, ["a", "b"]).select("doc_id", F.explode("items").alias("item_id"))
 
 
 IMAGES = "struct<images array<struct<title string, imageUrl string, link string, source string>>>"

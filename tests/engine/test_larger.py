@@ -80,3 +80,13 @@ def test_bench_rows_are_numbered_by_all_tasks(spark):
     plan = registry.QUERIES["bench_rows"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     single = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
     assert not single and "_n" in plan
+
+
+def test_both_mentioned_with_items_that_repeat(spark, folder):
+    """Items that come twice, names of one letter, and equal names; a document's pairs are counted without another shuffle of its names."""
+    items = spark.createDataFrame([(1, "x y the z of"), (1, "x y the z of"), (2, "x y A z e"), (3, "x y in z in"), (4, "x y  z of"), (5, "x y der z es"), (6, "x")], "item_id long, text string")
+    root = folder(benchmark=items)
+    assert equal_to_sql(spark, root, "both_mentioned") > 100
+    plan = registry.QUERIES["both_mentioned"](spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(doc_id" in line and "a#" in line]
