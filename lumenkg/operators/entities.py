@@ -11,14 +11,19 @@ from lumenkg.functions.strings import name_key, numeric_labels, trimmed, value_i
 from lumenkg.operators.relational import first_wins, pairs_of, top_per
 
 
+#: The order of an image's detections. Where ``ord`` repeats, what was detected decides, never the order rows arrive in.
+_ORDER = ("ord", "name", "etype", "w", "h", "rx1", "ry1", "rx2", "ry2", "confidence", "level")
+
+
 def kept_entities(raw: DataFrame, max_share: float = 0.8) -> DataFrame:
     """Detections(img_id, ord, name, etype, w, h, rx1..ry2) with pixel boxes: names of two characters or more, first of
     each name, boxes of at most ``max_share`` of the image, numbered E1.. in order."""
+    order = [c for c in _ORDER if c in raw.columns]
     named = raw.withColumn("name", trimmed(F.col("name"))).filter(F.length("name") >= 2)
-    unique = first_wins(named, ["img_id", name_key(F.col("name"))], ["ord"])
+    unique = first_wins(named, ["img_id", name_key(F.col("name"))], order)
     boxed = unique.withColumn("bbox", g.pixel_box(*[F.col(c) for c in ("rx1", "ry1", "rx2", "ry2", "w", "h")]))
     kept = boxed.filter(g.area_share(F.col("bbox"), F.col("w"), F.col("h")) <= max_share)
-    idx = F.row_number().over(Window.partitionBy("img_id").orderBy("ord"))
+    idx = F.row_number().over(Window.partitionBy("img_id").orderBy(*order))
     return kept.withColumn("idx", idx).withColumn("id", F.concat(F.lit("E"), F.col("idx"))).drop("rx1", "ry1", "rx2", "ry2")
 
 
