@@ -116,8 +116,8 @@ def discovered_names(titles: DataFrame, cleaned: DataFrame, entities: DataFrame)
     pairs = titles.join(cleaned, ["img_id", "pos"]).withColumn("name", F.btrim(trimmed(F.col("name")), F.lit("《》\"'")))
     fresh = pairs.filter(F.length("name").between(2, 60)).withColumn("key", F.lower("name"))
     known = entities.select("img_id", F.lower(trimmed(F.col("name"))).alias("key"))
-    one = first_wins(fresh.join(known, ["img_id", "key"], "left_anti"), ["img_id", "key"], ["pos"])
-    place = F.row_number().over(Window.partitionBy("img_id").orderBy("pos"))
+    one = first_wins(fresh.join(known, ["img_id", "key"], "left_anti"), ["img_id", "key"], ["pos", "name"])
+    place = F.row_number().over(Window.partitionBy("img_id").orderBy("pos", "name"))  # two lists may share their places
     return one.withColumn("id", F.concat(F.lit("DE"), place)).drop("key")
 
 

@@ -61,3 +61,8 @@ def test_outcomes_documents_and_lines_of_numbers_that_repeat(spark, tmp_path, pa
     line = ("more), chr(10) order by ord)", "more), chr(10) order by ord, concat('- ', id, ': ', name))")
     for name, more in (("enrich_outcomes", ()), ("entity_documents", (("min_by(name, ord)", "min_by(name, idx)"),)), ("entity_lines", (line,))):
         assert differing(spark, tmp_path, name, "part", parts, "p_partkey", (*DETECTIONS, *more)) == [0, 0]
+
+
+def test_discovered_names_of_numbers_that_repeat(spark, tmp_path, parts):
+    places = (("lower(name) order by pos)", "lower(name) order by pos, name)"), ("by img_id order by pos)", "by img_id order by pos, name)"))
+    assert differing(spark, tmp_path, "discovered_names", "part", parts, "p_partkey", (*DETECTIONS, *places)) == [0, 0]
