@@ -66,3 +66,12 @@ def test_outcomes_documents_and_lines_of_numbers_that_repeat(spark, tmp_path, pa
 def test_discovered_names_of_numbers_that_repeat(spark, tmp_path, parts):
     places = (("lower(name) order by pos)", "lower(name) order by pos, name)"), ("by img_id order by pos)", "by img_id order by pos, name)"))
     assert differing(spark, tmp_path, "discovered_names", "part", parts, "p_partkey", (*DETECTIONS, *places)) == [0, 0]
+
+
+def test_names_of_numbers_that_repeat(spark, tmp_path):
+    """Every name holds the balances of its image: equally long names of one ``ord`` tie."""
+    customer = spark.read.parquet(f"{SF}/customer.parquet").filter("c_custkey < 80").withColumns({"c_nationkey": F.lit(3), "c_acctbal": F.col("c_custkey") % 2 + 70})
+    both = [customer.withColumn("c_custkey", F.col("c_custkey") + first) for first in (80_000, 800_000)]
+    named = both[0].unionByName(both[1]).withColumn("c_name", F.concat(F.lit("Shop 70 71 #"), F.lpad((F.col("c_custkey") % 1009).cast("string"), 4, "0")))
+    ties = (("order by length(k.name) desc, k.ord)", "order by length(k.name) desc, k.ord, k.name)"),)
+    assert differing(spark, tmp_path, "cross_merge", "customer", named, "c_custkey", ties) == [0, 0]
