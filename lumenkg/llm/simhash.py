@@ -128,11 +128,27 @@ def _group_links(group: pa.Table) -> pa.Table:
     return pa.table({"a": prints[moved], "b": prints[first[moved]]})
 
 
-def link_fingerprints(prints: DataFrame) -> DataFrame:
-    """Edges (a, b) between distinct ``fp`` values whose components are those of all pairs at two or fewer differing bits."""
+def _met_variants(prints: DataFrame) -> DataFrame:
+    """(key, fp, n): the segment variants that ``n`` > 1 fingerprints share.
+
+    Spark takes an exploded table to be as small as what it came from, and would broadcast either side: 64 rows for each
+    fingerprint. So this join, like that of the pair variants, is told to shuffle.
+    """
     variants = _segment_variants(prints)
     groups = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialise(variants.join(groups, "key"), "variants")
+    return variants.join(groups.hint("merge"), "key")
+
+
+def _variant_stars(prints: DataFrame) -> DataFrame:
+    """Links (a, b) of the fingerprints that share a pair variant, each to the smallest of them."""
+    deep = _pair_variants(prints)
+    least = deep.groupBy("place", "rest").agg(F.min("fp").alias("b"), F.max("fp").alias("most")).filter("b <> most")
+    return deep.join(least.hint("merge"), ["place", "rest"]).filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+
+
+def link_fingerprints(prints: DataFrame) -> DataFrame:
+    """Edges (a, b) between distinct ``fp`` values whose components are those of all pairs at two or fewer differing bits."""
+    members = materialise(_met_variants(prints), "variants")
     small = members.filter(F.col("n") <= SMALL_GROUP)
     left, right = small.select("key", F.col("fp").alias("a")), small.select("key", F.col("fp").alias("b"))
     near = (F.col("a") > F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
@@ -140,10 +156,7 @@ def link_fingerprints(prints: DataFrame) -> DataFrame:
     middle = members.filter((F.col("n") > SMALL_GROUP) & (F.col("n") <= TASK_GROUP)).select("key", "fp")
     forests = middle.groupBy("key").applyInArrow(_group_links, "a long, b long").distinct()
     crowded = members.filter(F.col("n") > TASK_GROUP).select("fp").distinct()
-    deep = _pair_variants(crowded)
-    least = deep.groupBy("place", "rest").agg(F.min("fp").alias("b"), F.max("fp").alias("most")).filter("b <> most")
-    stars = deep.join(least, ["place", "rest"]).filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
-    return pairs.unionByName(forests).unionByName(stars)
+    return pairs.unionByName(forests).unionByName(_variant_stars(crowded))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

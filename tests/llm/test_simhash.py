@@ -1,6 +1,7 @@
 import random
 
 import xxhash
+from pyspark.sql import functions as F
 
 from lumenkg.llm import simhash
 
@@ -80,3 +81,11 @@ def test_components_of_null_or_equal_ids_stay_apart(spark):
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3])]
     kept = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(0, texts[0]), (0, texts[1]), (7, texts[2]), (7, texts[3])])
+
+
+def test_variants_are_never_broadcast(spark):
+    """An exploded table looks as small to Spark as its input; 64 or 2,016 rows a fingerprint went through the driver."""
+    prints = spark.range(300).select(F.xxhash64("id").alias("fp"))
+    for made in (simhash._met_variants(prints), simhash._variant_stars(prints)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
