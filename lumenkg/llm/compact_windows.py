@@ -34,9 +34,11 @@ result; other columns are ignored by ``repeated_passages`` and kept by
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,8 @@ from lumenkg.llm.tokenization import release_encoders
 from lumenkg.llm.workspace import bound_batches, collected_paths, discard, materialise
 
 P = "__cw_"
+#: Of the bytes of all texts, how much the word hashes of one round of verification may take.
+ROUND_SHARE = 0.5
 
 
 @dataclass(frozen=True)
@@ -68,6 +72,11 @@ class WindowOptions:
     def min_shingles(self) -> int:
         return self.min_words - self.width + 1
 
+    @property
+    def half(self) -> int:
+        """A window holds so many shingles at least on one side of any of its shingles."""
+        return (self.min_shingles - 1) // 2
+
 
 def _placed(values: np.ndarray) -> np.ndarray:
     """Values with their place in the lowest bits, so that the first of equal ones is the least."""
@@ -177,7 +186,7 @@ def _salts(link: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 _ALONE, _MANY, _LINKED, _SAME = 0, 1, 2, 3
-_RUNS = "key long, salt int, id long, at long, stretch long, kind int, rep_id long, rep_c int"
+_RUNS = "key long, salt int, id long, at long, stretch long, sides long, kind int, rep_id long, rep_c int"
 
 
 def _run_rows(options: WindowOptions):
@@ -185,16 +194,17 @@ def _run_rows(options: WindowOptions):
 
     ``at`` holds the place (upper half), how far before it the run starts, and the run's length. ``kind`` tells whether a
     row is the first of its shingle in the flush (alone, or one of many), linked to the first, or has all the run's
-    shingles in common with the text it is linked to.
+    shingles in common with the text it is linked to. ``sides`` holds hashes of the half windows that end (upper half) and
+    begin at the place.
     """
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-    names = ["key", "salt", "id", "at", "stretch", "kind", "rep_id", "rep_c"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    names = ["key", "salt", "id", "at", "stretch", "sides", "kind", "rep_id", "rep_c"]
     t = options.min_shingles
 
     def settle(held: list) -> pa.RecordBatch:
-        key, doc, c, run, stretch = (np.concatenate(x) for x in zip(*held))
+        key, doc, c, run, stretch, sides = (np.concatenate(x) for x in zip(*held))
         order, leader, link = _firsts([key], doc, c)
-        key, doc, c, run, stretch = (x[order] for x in (key, doc, c, run, stretch))
+        key, doc, c, run, stretch, sides = (x[order] for x in (key, doc, c, run, stretch, sides))
         met = np.zeros(len(key), bool)
         met[leader[link]] = True
         own = np.arange(len(key))
@@ -207,8 +217,8 @@ def _run_rows(options: WindowOptions):
         rep = np.where(same, own, leader)
         kind = np.where(same, _SAME, np.where(link, _LINKED, np.where(met[leader], _MANY, _ALONE)))
         keep = np.lexsort((c, doc))  # neighbours share their id, which shuffles smaller
-        values = [key.view(np.int64), _salts(link, doc, c), doc, c << np.int64(32) | run, stretch.view(np.int64), kind.astype(np.int32), doc[rep], c[rep].astype(np.int32)]
-        gaps = {4: stretch == 0, 6: ~link, 7: ~link}
+        values = [key.view(np.int64), _salts(link, doc, c), doc, c << np.int64(32) | run, stretch.view(np.int64), sides.view(np.int64), kind.astype(np.int32), doc[rep], c[rep].astype(np.int32)]
+        gaps = {4: stretch == 0, 5: stretch == 0, 7: ~link, 8: ~link}
         columns = [pa.array(v[keep], k, mask=gaps[i][keep] if i in gaps else None) for i, (v, k) in enumerate(zip(values, kinds))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -227,7 +237,9 @@ def _run_rows(options: WindowOptions):
                     end = np.where(size > 0, last + t, first + 1)
                     stretch = mix(sums[end] - sums[first] + mix(shingles[first]) + (shingles[end - 1] << np.uint64(1))) | np.uint64(1)
                     back = np.where(size > 0, c - first, 0)
-                    held.append((shingles[c], ids[texts[piece]], c + words[piece] - bounds[piece], back << 16 | size, np.where(size > 0, stretch, np.uint64(0))))
+                    left, right = sums[c + 1] - sums[np.maximum(c - options.half, 0)], sums[np.minimum(c + options.half + 1, len(shingles))] - sums[c]
+                    sides = mix(left) >> np.uint64(32) << np.uint64(32) | mix(right) >> np.uint64(32)
+                    held.append((shingles[c], ids[texts[piece]], c + words[piece] - bounds[piece], back << 16 | size, np.where(size > 0, stretch, np.uint64(0)), sides))
                     n += len(c)
                     if n >= options.flush:
                         yield settle(held)
@@ -239,7 +251,7 @@ def _run_rows(options: WindowOptions):
 
 
 def _met_runs(texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """(key, id, c, first, n, stretch, same, rep_id, rep_c): least shingles that several texts hold, each with an earlier
+    """(key, id, c, first, n, stretch, sides, same, rep_id, rep_c): least shingles that several texts hold, each with an earlier
     text's if there is one; ``first`` and ``n`` give the run of windows of the first hash function, else ``n`` is 0."""
     runs = texts.select("id", "text").mapInArrow(_run_rows(options), _RUNS)
     group = Window.partitionBy("key", "salt")
@@ -249,7 +261,7 @@ def _met_runs(texts: DataFrame, options: WindowOptions) -> DataFrame:
     first = c - F.shiftright("at", 16).bitwiseAND(F.lit(0xFFFF)).cast("int")
     far = (F.col("kind") < _LINKED) & (F.col("lead.id") < F.col("id"))
     return led.select(
-        "key", "id", c.alias("c"), first.alias("first"), F.col("at").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("n"), "stretch", (F.col("kind") == _SAME).alias("same"),
+        "key", "id", c.alias("c"), first.alias("first"), F.col("at").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("n"), "stretch", "sides", (F.col("kind") == _SAME).alias("same"),
         F.coalesce("rep_id", F.when(far, F.col("lead.id"))).alias("rep_id"), F.coalesce("rep_c", F.when(far, F.shiftright("lead.at", 32).cast("int"))).alias("rep_c"),
     )
 
@@ -264,6 +276,23 @@ def _told_runs(runs: DataFrame) -> DataFrame:
     return plain.unionByName(rest).select("*", F.col("from.id").alias("from_id"), F.col("from.first").alias("from_start")).drop("from")
 
 
+def _asked_runs(runs: DataFrame, options: WindowOptions) -> DataFrame:
+    """(id, first, n): the window starts that another document may hold too, of the runs that no earlier text holds as a
+    whole (the first of equal runs stands for the others).
+
+    A window holds half a window before its least shingle or behind it. So starts of which no other document has that half
+    in common are left out; by chance alone, texts have many least shingles in common, but few halves.
+    """
+    left, right = F.shiftright("sides", 32), F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF))
+    met = lambda side: F.min("id").over(w := Window.partitionBy("key", side)) < F.max("id").over(w)
+    rows = runs.filter("n > 0 and from_id is null").withColumns({"left": left, "right": right})
+    rows = rows.withColumn("before", met("left")).withColumn("behind", met("right"))
+    turn, stop = F.col("c") - options.half, F.col("first") + F.col("n")  # starts before ``turn`` hold the half before it
+    begin = F.when(F.col("before"), F.col("first")).otherwise(F.greatest("first", turn))
+    end = F.when(F.col("behind"), stop).otherwise(F.least(stop, turn))
+    return rows.select("id", begin.alias("first"), (end - begin).alias("n")).filter("n > 0")
+
+
 def _grouped_numbers(column: pa.Array, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
     """(row of each element, the elements' fields) of a column of lists of structs of numbers."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -271,17 +300,19 @@ def _grouped_numbers(column: pa.Array, names: list[str]) -> tuple[np.ndarray, li
     return owner, [flat.field(n).to_numpy(zero_copy_only=False) for n in names]
 
 
-_STARTS = "kind int, key long, check int, salt int, id long, start int, n int, rep_id long, rep_start int"
+_STARTS = "key long, mark long, id long, at long, rep_id long, rep_start int"
 _WINDOW, _LEFT, _RIGHT = 0, 1, 2
 
 
 def _start_rows(options: WindowOptions):
     """Window starts by a hash of the whole window, and least shingles by a hash of the shingles on either side.
 
-    Starts that link to the flush's first come out as islands of ``n`` neighbours.
+    Starts that link to the flush's first come out as islands of ``n`` neighbours. Of all tables this one has the most rows,
+    so its numbers are packed: ``mark`` holds the salt, the kind (two bits) and a second hash (lower half), ``at`` the start
+    (upper half) and ``n``. What is random stands side by side, and so shuffles smaller.
     """
-    t, names = options.min_shingles, ["kind", "key", "check", "salt", "id", "start", "n", "rep_id", "rep_start"]
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    t, names = options.min_shingles, ["key", "mark", "id", "at", "rep_id", "rep_start"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
 
     def hashed(sums: list[np.ndarray], shingles: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         total, other = (s[at + n] - s[at] for s in sums)
@@ -299,8 +330,10 @@ def _start_rows(options: WindowOptions):
         head[1:] = ~(link[1:] & link[:-1] & (kind[1:] == _WINDOW) & (kind[:-1] == _WINDOW) & (doc[1:] == doc[:-1]) & (rep[1:] == rep[:-1]) & (start[1:] == start[:-1] + 1) & (rep_start[1:] == rep_start[:-1] + 1))
         n = np.diff(np.append(np.flatnonzero(head), len(by)))
         kind, key, check, doc, start, rep, rep_start, link = (x[head] for x in (kind, key, check, doc, start, rep, rep_start, link))
-        values = [kind, key.view(np.int64), check.view(np.int32), _salts(link, doc, start), doc, start, n, rep, rep_start]
-        columns = [pa.array(v.astype(k.to_pandas_dtype(), copy=False), k, mask=~link if i > 6 else None) for i, (v, k) in enumerate(zip(values, kinds))]
+        salt = _salts(link, doc, start).astype(np.uint64) & np.uint64(0x3FFFFFFF)
+        mark = (salt << np.uint64(2) | kind.astype(np.uint64)) << np.uint64(32) | check.astype(np.uint64)
+        values = [key.view(np.int64), mark.view(np.int64), doc, start.astype(np.int64) << np.int64(32) | n, rep, rep_start]
+        columns = [pa.array(v.astype(k.to_pandas_dtype(), copy=False), k, mask=~link if i > 3 else None) for i, (v, k) in enumerate(zip(values, kinds))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,20 +368,19 @@ def _start_rows(options: WindowOptions):
 
 
 def _start_links(runs: DataFrame, opened: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """(kind, id, start, n, rep_id, rep_start): starts and least shingles linked to the earliest text that holds the same.
-
-    Starts come from the runs that no earlier text holds as a whole (the first of equal runs stands for the others), least
-    shingles from ``opened``.
-    """
+    """(kind, id, start, n, rep_id, rep_start): the starts of ``_asked_runs`` and the least shingles of ``opened``, linked to
+    the earliest text that holds the same."""
     none = F.lit(-1)
-    asked = runs.filter("n > 0 and from_id is null").select("id", none.alias("c"), "first", "n")
+    asked = materialise(_asked_runs(runs, options), "asked").select("id", none.alias("c"), "first", "n")
     asked = asked.unionByName(opened.select("id", "c", none.alias("first"), F.lit(0).alias("n")))
     asked = asked.groupBy("id").agg(F.collect_list(F.struct("c", "first", "n")).alias("runs"))
-    starts = texts.join(asked, "id").select("id", "text", "runs").mapInArrow(_start_rows(options), _STARTS)
-    lead = F.min(F.struct("id", "start")).over(Window.partitionBy("key", "check", "kind", "salt"))
-    rep = F.when(F.col("rep_id").isNotNull(), F.struct(F.col("rep_id").alias("id"), F.col("rep_start").alias("start"))).otherwise(F.col("lead"))
-    linked = starts.withColumn("lead", lead).withColumn("rep", rep).filter(F.col("rep.id") < F.col("id"))
-    return linked.select("kind", "id", "start", "n", F.col("rep.id").alias("rep_id"), F.col("rep.start").alias("rep_start"))
+    starts = texts.join(asked.hint("merge"), "id").select("id", "text", "runs").mapInArrow(_start_rows(options), _STARTS)
+    upper = lambda c: F.shiftright(c, 32).cast("int")
+    lead = F.min(F.struct("id", "at")).over(Window.partitionBy("key", "mark"))
+    near, far = (F.struct(i.alias("id"), c.alias("start")) for i, c in ((F.col("rep_id"), F.col("rep_start")), (F.col("lead.id"), upper("lead.at"))))
+    linked = starts.withColumn("lead", lead).withColumn("rep", F.when(F.col("rep_id").isNotNull(), near).otherwise(far)).filter(F.col("rep.id") < F.col("id"))
+    kind, n = F.shiftright("mark", 32).bitwiseAND(F.lit(3)).cast("int"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    return linked.select(kind.alias("kind"), "id", upper("at").alias("start"), n.alias("n"), F.col("rep.id").alias("rep_id"), F.col("rep.start").alias("rep_start"))
 
 
 def _equal_passages(links: DataFrame, options: WindowOptions) -> DataFrame:
@@ -390,8 +422,12 @@ def _passage_pairs(links: DataFrame, options: WindowOptions, grid: int = 32) ->
     )
 
 
+_SIDE = ["first", "stop", "rep_id", "rep_first", "rep_stop"]
+_SPANS = "id long, first int, stop int, rep_id long, rep_first int, rep_stop int, words binary"
+
+
 def _span_rows(options: WindowOptions):
-    """(id, first, stop, words): 32-bit hashes of the words of each requested span; a text is hashed once for all its spans."""
+    """Each requested span with the 32-bit hashes of its words; a text is hashed once for all its spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -400,9 +436,12 @@ def _span_rows(options: WindowOptions):
                 words, at = word_hashes(*utf8_buffer(b.column(1)))
                 words = words.astype(np.uint32)
                 owner, (first, stop) = _grouped_numbers(b.column(2), ["first", "stop"])
-                spans = [words[f + x : min(f + y, end)].tobytes() for f, end, x, y in zip(at[:-1][owner], at[1:][owner], first, stop)]
-                columns = [b.column(0).take(pa.array(owner)), pa.array(first, pa.int32()), pa.array(stop, pa.int32()), pa.array(spans, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "first", "stop", "words"])
+                asked = pa.array(b.column(2)).flatten()
+                rows = [b.column(0).take(pa.array(owner)), *map(asked.field, _SIDE)]
+                for x in range(0, len(owner), 4096):  # a long text may have many spans
+                    mine = slice(x, x + 4096)
+                    spans = [words[f + x : min(f + y, end)].tobytes() for f, end, x, y in zip(at[:-1][owner[mine]], at[1:][owner[mine]], first[mine], stop[mine])]
+                    yield pa.RecordBatch.from_arrays([*(c[mine] for c in rows), pa.array(spans, pa.binary())], names=["id", *_SIDE, "words"])
 
     return run
 
@@ -523,16 +562,45 @@ def _similarity_rows(options: WindowOptions):
     return run
 
 
+def _rounds(pairs: DataFrame, texts: DataFrame) -> tuple[int, bool]:
+    """In how many rounds ``pairs`` are verified, and whether ids repeat.
+
+    A round's hashes take at most ``ROUND_SHARE`` of the bytes of the texts, however many pairs there are.
+    """
+    size = texts.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text").cast("long")).alias("bytes"))
+    most, held = size.agg(F.max("rows"), F.sum("bytes")).first()
+    words = lambda rows, a, b: rows.agg(F.coalesce(F.sum((F.col(b) - F.col(a)).cast("long")), F.lit(0))).first()[0]
+    asked = words(pairs, "first", "stop") + words(pairs.select("rep_id", "rep_first", "rep_stop").distinct(), "rep_first", "rep_stop")
+    return max(1, math.ceil(4 * asked / max(1, ROUND_SHARE * (held or 0)))), (most or 0) > 1
+
+
+def _words_of(pairs: DataFrame, texts: DataFrame, options: WindowOptions, repeated: bool) -> DataFrame:
+    """The written words of each pair's own side, and once each (``rep_id`` null) those of the spans they are held against."""
+    theirs = pairs.select("rep_id", "rep_first", "rep_stop").distinct().toDF("id", "first", "stop")
+    none = [F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in _SIDE[2:]]
+    asked = pairs.select("id", *_SIDE).unionByName(theirs.select("id", "first", "stop", *none))
+    asked = asked.groupBy("id").agg(F.collect_list(F.struct(*_SIDE)).alias("spans"))
+    spans = texts.join(asked.hint("merge"), "id").select("id", "text", "spans").mapInArrow(_span_rows(options), _SPANS)
+    return materialise(spans.dropDuplicates(["id", *_SIDE]) if repeated else spans, "spans")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, options: WindowOptions) -> DataFrame:
-    """The passages that the written ``pairs`` share, trimmed to shared shingles and verified; each text is shuffled and
-    hashed once."""
-    asked = pairs.select("id", "first", "stop").unionByName(pairs.select(F.col("rep_id").alias("id"), F.col("rep_first").alias("first"), F.col("rep_stop").alias("stop")))
-    asked = asked.groupBy("id").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
-    spans = texts.join(asked, "id").select("id", "text", "spans").mapInArrow(_span_rows(options), "id long, first int, stop int, words binary")
-    spans = materialise(spans.dropDuplicates(["id", "first", "stop"]), "spans")
-    theirs = spans.select(F.col("id").alias("rep_id"), F.col("first").alias("rep_first"), F.col("stop").alias("rep_stop"), F.col("words").alias("rep_words"))
-    both = pairs.join(spans, ["id", "first", "stop"]).join(theirs, ["rep_id", "rep_first", "rep_stop"])
-    return both.select("id", "rep_id", "first", "rep_first", "words", "rep_words").mapInArrow(_similarity_rows(options), _FOUND)
+    """The written passages that the written ``pairs`` share, trimmed to shared shingles and verified.
+
+    That goes in rounds, each of which has all pairs of its part of the earlier spans, so what lies on disk at once follows
+    the texts and not the pairs. In a round each text is shuffled and hashed once.
+    """
+    spark, key, done = texts.sparkSession, ["rep_id", "rep_first", "rep_stop"], []
+    rounds, repeated = _rounds(pairs, texts)
+    for k in range(rounds):
+        with collected_paths() as used:
+            spans = _words_of(pairs.filter(F.pmod(F.xxhash64(*key), F.lit(rounds)) == k), texts, options, repeated)
+        theirs = spans.filter("rep_id is null").select(*[F.col(a).alias(b) for a, b in zip(["id", "first", "stop", "words"], [*key, "rep_words"])])
+        both = spans.filter("rep_id is not null").join(theirs.hint("merge"), key)
+        both = both.select("id", "rep_id", "first", "rep_first", "words", "rep_words")
+        done.append(materialise(both.mapInArrow(_similarity_rows(options), _FOUND), "near"))
+        discard(spark, used)
+    return reduce(DataFrame.unionByName, done)
 
 
 def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: WindowOptions = WindowOptions()) -> DataFrame:
@@ -552,7 +620,11 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = near.unionByName(links.filter(F.col("kind") != _WINDOW).select("id", F.col("start").alias("c"), "rep_id", F.col("rep_start").alias("rep_c")))
     pairs = materialise(_passage_pairs(_open(near, equal, options), options), "pairs")
     discard(docs.sparkSession, spent)
-    return materialise(equal.unionByName(_verified(pairs, texts, options)), "passages")
+    with collected_paths() as used:
+        near = _verified(pairs, texts, options)
+    passages = materialise(equal.unionByName(near), "passages")
+    discard(docs.sparkSession, used)
+    return passages
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: WindowOptions = WindowOptions()) -> DataFrame:
@@ -587,7 +659,7 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     found = find_passages(docs, id_col, text_col, options)
     spans = found.groupBy(F.col("id").alias(P + "id")).agg(F.collect_set(F.struct("first", "stop")).alias(P + "spans"))
-    marked = docs.join(spans, F.col(id_col).cast("long") == F.col(P + "id"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], P + "spans")
+    marked = docs.join(spans.hint("merge"), F.col(id_col).cast("long") == F.col(P + "id"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], P + "spans")
     schema, names, at = T.StructType(docs.schema.fields), docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -181,3 +181,49 @@ def test_near_passages_of_a_table_against_all_pairs(spark):
     total, held = sum(map(len, want.values())), sum(len(v & found.get(k, set())) for k, v in want.items())
     print("words in passages of all pairs", total, "of which found", held)
     assert total > 5_000 and held >= 0.99 * total and set(found) == set(want)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_verification_in_rounds_finds_the_same(spark, monkeypatch):
+    """The words of all pairs lay on disk at once, in four copies; now a round's words follow the texts' size."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.filter("doc_id % 7 = 0"))  # rows that repeat
+    rows = lambda: sorted(map(tuple, cw.repeated_passages(docs).collect()))
+    words_of, seen = cw._words_of, []
+
+    def counted(*args):
+        out = words_of(*args)
+        seen.append(sum(len(r["words"]) for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(cw, "_words_of", counted)
+    whole = rows()
+    asked, held = sum(seen), docs.selectExpr("sum(octet_length(text))").first()[0]
+    seen.clear()
+    monkeypatch.setattr(cw, "ROUND_SHARE", asked / held / 4)
+    assert rows() == whole
+    assert len(seen) >= 4 and max(seen) <= 2 * cw.ROUND_SHARE * held
+
+
+def test_starts_that_no_other_document_can_hold_are_not_asked(spark):
+    """Every start of a run was hashed and shuffled, though two texts had only five words in common."""
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    lines, passage = [words(5) for _ in range(60)], words(60)
+    texts = [[w for line in lines for w in words(20) + line] for _ in range(30)] + [words(80) + passage + words(80) for _ in range(2)]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "id long, text string")
+    options = cw.WindowOptions()
+    runs = cw._told_runs(cw._met_runs(docs, options))
+    asked = cw._asked_runs(runs, options).collect()
+    assert runs.filter("n > 0 and id < 30").count() and {r["id"] for r in asked} == {30, 31}
+    starts = {(r["id"], s) for r in asked for s in range(r["first"], r["first"] + r["n"])}
+    assert starts >= {(i, s) for i in (30, 31) for s in range(80, 80 + 60 - options.min_words + 1)}
+
+
+def test_passages_are_not_broadcast(spark):
+    docs = spark.createDataFrame([(i, "some words of a text") for i in range(4)], "doc_id long, text string")
+    plan = plan_of(cw.drop_repeated_passages(docs))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
